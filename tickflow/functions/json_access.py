@@ -1,0 +1,51 @@
+"""Typed reads from a VARIANT object: a value counts only if its JSON type fits.
+
+The readers are kept small on purpose. Ranges are checked on the result, in a
+later projection, so that no reader is repeated inside another expression.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def _path(key: str) -> str:
+    return f"$.{key}"
+
+
+def json_kind(v: Column, key: str) -> Column:
+    """Type of the value under ``key``: STRING, BIGINT, ...; VOID for null; NULL if absent."""
+    return F.schema_of_variant(F.try_variant_get(v, _path(key), "variant"))
+
+
+def json_text(v: Column, key: str) -> Column:
+    return F.when(json_kind(v, key) == "STRING", F.try_variant_get(v, _path(key), "string"))
+
+
+def json_bool(v: Column, key: str) -> Column:
+    return F.when(json_kind(v, key) == "BOOLEAN", F.try_variant_get(v, _path(key), "boolean"))
+
+
+def json_int(v: Column, key: str) -> Column:
+    """A signed 64-bit integer literal (``1.0`` and ``1e3`` are none)."""
+    return F.when(json_kind(v, key) == "BIGINT", F.try_variant_get(v, _path(key), "bigint"))
+
+
+def json_uint64(v: Column, key: str) -> Column:
+    """An integer literal of up to 20 digits as DECIMAL(20,0)."""
+    return F.when(
+        json_kind(v, key).isin("BIGINT", "DECIMAL(19,0)", "DECIMAL(20,0)"),
+        F.try_variant_get(v, _path(key), "decimal(20,0)"),
+    )
+
+
+def json_number(v: Column, key: str) -> Column:
+    """Any JSON number as DOUBLE."""
+    return F.when(~json_kind(v, key).isin("STRING", "BOOLEAN"), F.try_variant_get(v, _path(key), "double"))
+
+
+def is_absent(v: Column, key: str) -> Column:
+    """No such key, or a JSON null under it."""
+    value = F.try_variant_get(v, _path(key), "variant")
+    return F.coalesce(F.is_variant_null(value), F.lit(True)) | value.isNull()
