@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from tickflow.schemas import ORACLE_STATES, UINT64_MAX
 
 # Date, time, milliseconds and microseconds; text after the last field is ignored.
@@ -14,55 +11,49 @@ _STAMP = (
 )
 
 
-def hex_to_binary(s: Column) -> Column:
+def hex_to_binary(s: str) -> str:
     """Hex digits of either case, an even number of them; the empty text is an empty value."""
-    return F.when(s.rlike(r"\A([0-9a-fA-F]{2})*\z"), F.unhex(s))
+    return f"case when length({s}) % 2 = 0 then try_to_binary({s}, 'hex') end"
+
 
+def unit_of_measurement(s: str) -> str:
+    """Exactly 7 bytes, each shifted down by 48 (modulo 256).
 
-def unit_of_measurement(s: Column) -> Column:
-    """Exactly 7 bytes, each shifted down by 48 (modulo 256)."""
-    shifted = [
-        F.lpad(F.hex(F.pmod(F.conv(F.substring(F.hex(s), 2 * i + 1, 2), 16, 10).cast("int") - 48, F.lit(256))), 2, "0")
-        for i in range(7)
-    ]
-    return F.when(F.octet_length(s) == 7, F.unhex(F.concat(*shifted)))
+    The bytes are one 56-bit number; the high bit of every byte is set during
+    the subtraction, so that no byte borrows from the next one.
+    """
+    high, shift = int("80" * 7, 16), int("30" * 7, 16)
+    x = f"cast(conv(hex({s}), 16, 10) as bigint)"
+    shifted = f"((({x} | {high}) - {shift}) ^ (~{x} & {high}))"
+    return f"case when octet_length({s}) = 7 then unhex(lpad(hex({shifted}), 14, '0')) end"
 
 
-def oracle_state(s: Column) -> Column:
-    out = F.lit(None).cast("smallint")
-    for name, code in ORACLE_STATES.items():
-        out = F.when(s == name, F.lit(code).cast("smallint")).otherwise(out)
-    return out
+def oracle_state(s: str) -> str:
+    branches = " ".join(f"when '{name}' then {code}" for name, code in ORACLE_STATES.items())
+    return f"cast(case {s} {branches} end as smallint)"
 
 
-def parse_uint64_text(s: Column) -> Column:
-    """Base-10 digits only, below 2^64."""
-    digits = F.when(s.rlike(r"\A[0-9]+\z"), F.ltrim(s, F.lit("0")))
-    value = F.when(digits == "", F.lit("0")).otherwise(digits)
-    number = F.when(F.length(value) <= 20, value.try_cast("decimal(20,0)"))
-    return F.when(number <= F.lit(str(UINT64_MAX)).cast("decimal(20,0)"), number)
+def parse_uint64_text(s: str) -> str:
+    """Base-10 digits only, below 2^64 (leading zeros do not count)."""
+    number = f"try_cast({s} as decimal(38,0))"
+    return (
+        rf"case when {s} rlike r'\A0*[0-9]{{1,20}}\z' and {number} <= {UINT64_MAX}"
+        f" then cast({number} as decimal(20,0)) end"
+    )
 
 
-def parse_utc_millis(s: Column) -> Column:
+def parse_utc_millis(s: str) -> str:
     """``Y-MM-DD HH:MM:SS.mmm'uuu`` in UTC -> Unix milliseconds.
 
     Fields beyond their usual range carry over (month 13 is January of the
     next year). Microseconds below a full millisecond are dropped. Moments
     before 1970 wrap around as unsigned 64-bit values do.
     """
-    part = [F.regexp_extract(s, _STAMP, i).try_cast("bigint") for i in range(1, 9)]
-    year, month, day, hour, minute, second, milli, micro = part
-    month0 = year * 12 + month - 1
-    y, m = F.floor(month0 / 12), F.pmod(month0, F.lit(12)) + 1
-    first = F.when((y >= 0) & (y <= 9999), F.make_date(y.cast("int"), m.cast("int"), F.lit(1)))
+    n = [f"""try_cast(regexp_extract({s}, r"{_STAMP}", {i}) as int)""" for i in range(1, 9)]
+    year = f"make_date(case when {n[0]} between 0 and 9999 then {n[0]} end, 1, 1)"
+    days = f"(unix_date(add_months({year}, {n[1]} - 1)) + {n[2]} - 1)"
     millis = (
-        (F.unix_date(first).cast("bigint") + day - 1) * 86_400_000
-        + hour * 3_600_000
-        + minute * 60_000
-        + second * 1_000
-        + F.floor((milli * 1_000 + micro) / 1_000)
-    ).cast("decimal(20,0)")
-    wrapped = F.when(
-        millis < 0, (millis + F.lit(str(UINT64_MAX + 1)).cast("decimal(20,0)")).cast("decimal(20,0)")
-    ).otherwise(millis)
-    return F.when(s.rlike(_STAMP), wrapped)
+        f"{days} * 86400000L + {n[3]} * 3600000L + {n[4]} * 60000L + {n[5]} * 1000L"
+        f" + floor(({n[6]} * 1000 + {n[7]}) / 1000D)"
+    )
+    return f"""case when {s} rlike r"{_STAMP}" then pmod(cast({millis} as decimal(20,0)), {UINT64_MAX + 1}) end"""

@@ -2,40 +2,31 @@
 
 from __future__ import annotations
 
-from itertools import chain
+from tickflow.schemas import CUSTOM_MESSAGE, DIVIDENDS_END, DIVIDENDS_START, SYSTEM_TX_CATEGORIES, TYPE_NAMES
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+_NOTIFICATION = "SC_NOTIFICATION_TX"
 
-from tickflow.schemas import DIVIDENDS_END, DIVIDENDS_START, SYSTEM_TX_CATEGORIES, TYPE_NAMES
 
-_BROKEN_NOTIFICATION = "SC_NOTIFICATION_TX"
-
-
-def _literal_map(values: dict) -> Column:
-    return F.create_map(*[F.lit(x) for x in chain.from_iterable(values.items())])
-
-
-def type_name(code: Column) -> Column:
+def type_name(code: str) -> str:
     """Name of a log type code; ``unknown`` for codes that have none."""
-    return F.coalesce(F.try_element_at(_literal_map(TYPE_NAMES), code.cast("int")), F.lit("unknown"))
+    branches = " ".join(f"when {t} then '{name}'" for t, name in TYPE_NAMES.items())
+    return f"case {code} {branches} else 'unknown' end"
 
 
-def tx_category(tx_hash: Column) -> Column:
+def tx_category(tx_hash: str) -> str:
     """Category 1-6 of a system transaction hash ``<prefix>_<anything>``, else NULL.
 
     Notifications are also known without the separator before their suffix.
     """
-    suffix = F.substring_index(tx_hash, "_", -1)
-    prefix = F.left(tx_hash, F.length(tx_hash) - F.length(suffix) - 1)
-    known = F.try_element_at(_literal_map(SYSTEM_TX_CATEGORIES), prefix)
-    broken = F.when(tx_hash.startswith(_BROKEN_NOTIFICATION), F.lit(SYSTEM_TX_CATEGORIES[_BROKEN_NOTIFICATION]))
-    return F.when(tx_hash.startswith("SC_"), F.coalesce(known, broken)).cast("int")
+    prefix = f"left({tx_hash}, length({tx_hash}) - length(substring_index({tx_hash}, '_', -1)) - 1)"
+    branches = " ".join(f"when '{name}' then {code}" for name, code in SYSTEM_TX_CATEGORIES.items())
+    broken = f"case when startswith({tx_hash}, '{_NOTIFICATION}') then {SYSTEM_TX_CATEGORIES[_NOTIFICATION]} end"
+    return f"case when startswith({tx_hash}, 'SC_') then coalesce(case {prefix} {branches} end, {broken}) end"
 
 
-def dividend_marker(log_type: Column, custom_message: Column) -> Column:
+def dividend_marker(log_type: str, custom_message: str) -> str:
     """1 opens a dividend section, 0 closes it, NULL is no marker."""
-    return F.when(
-        log_type == 255,
-        F.when(custom_message == DIVIDENDS_START, F.lit(1)).when(custom_message == DIVIDENDS_END, F.lit(0)),
+    return (
+        f"case when {log_type} = {CUSTOM_MESSAGE} then"
+        f" case {custom_message} when '{DIVIDENDS_START}' then 1 when '{DIVIDENDS_END}' then 0 end end"
     )

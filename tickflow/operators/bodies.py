@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from tickflow.functions.json_access import is_absent, json_int, json_text, json_uint64
-from tickflow.schemas import HEX_BODY, RENAMED_TYPES, SOURCE_BODIES, TYPE_NAMES, UINT32_MAX, UINT64_MAX, BodyField
+from tickflow.functions.json_text import from_json, suspect_kinds, uint64_field, wrong_kind
+from tickflow.functions.numbers import in_range
+from tickflow.schemas import HEX_BODY, RENAMED_TYPES, SOURCE_BODIES, TYPE_NAMES, UINT32_MAX, UINT64_MAX
 
-_KEEP_NULLS = {"ignoreNullFields": "false"}
+_ZEROS = {"str": "''", "u64": "cast(0 as decimal(20,0))"}
 #: Kinds that are narrower than the column they are read into.
 _BOUNDS = {
     "i32": (-(2**31), 2**31 - 1),
@@ -20,50 +19,28 @@ _BOUNDS = {
 }
 
 
-def _fields() -> dict[str, tuple[BodyField, list[int]]]:
-    """Every source key once, with the types that carry it (one kind per key)."""
-    out: dict[str, tuple[BodyField, list[int]]] = {}
+def _carriers() -> dict[str, tuple[str, list[int]]]:
+    """Source key -> (kind, types that carry it), keys sorted. A key has one kind wherever it occurs."""
+    out: dict[str, tuple[str, list[int]]] = {}
     for code, fields in SOURCE_BODIES.items():
         for field in fields:
-            out.setdefault(field.key, (field, []))[1].append(code)
+            out.setdefault(field.key, (field.kind, []))[1].append(code)
     return dict(sorted(out.items()))
 
 
-def _carries(code: Column, types: list[int]) -> Column:
-    """Whether a log of this type has the field; unlisted types carry the hex body."""
-    if set(types) == {t for t, fields in SOURCE_BODIES.items() if fields is HEX_BODY}:
-        return ~code.isin([t for t in TYPE_NAMES if t not in types])
-    return code.isin(types)
-
-
-def _typed(body: Column, field: BodyField) -> Column:
-    """The value if its JSON type fits, the zero value if it is absent, else NULL."""
-    if field.kind == "str":
-        value, zero = json_text(body, field.key), F.lit("")
-    elif field.kind == "u64":
-        value, zero = json_uint64(body, field.key), F.lit(0).cast("decimal(20,0)")
-    else:
-        value, zero = json_int(body, field.key), F.lit(0).cast("bigint")
-    return F.coalesce(value, F.when(is_absent(body, field.key), zero))
-
-
-def in_bounds(value: Column, low: int, high: int) -> Column:
-    """Range test; bounds beyond 64 bits are written as decimals."""
-    if high < 2**63:
-        return value.between(low, high)
-    return value.between(F.lit(str(low)).cast("decimal(20,0)"), F.lit(str(high)).cast("decimal(20,0)"))
+_HEX_TYPES = [t for t, fields in SOURCE_BODIES.items() if fields is HEX_BODY]
 
 
-def first_failure(checks: list[tuple[Column, str]]) -> Column:
-    """Label of the first check that is true, else NULL."""
-    return F.coalesce(*[F.when(bad, F.lit(label)) for bad, label in checks]) if checks else F.lit(None).cast("string")
+def _is_type(types: list[int]) -> str:
+    """SQL test of the type; types without a body table carry the hex body."""
+    if types == _HEX_TYPES:
+        return f"type not in ({', '.join(str(t) for t in TYPE_NAMES if t not in types)})"
+    return f"type in ({', '.join(map(str, types))})"
 
 
-def body_variant(df: DataFrame, column: str = "body") -> Column:
-    """The body column as VARIANT, whether it arrives as JSON text or already parsed."""
-    if isinstance(df.schema[column].dataType, StringType):
-        return F.try_parse_json(F.col(column))
-    return F.col(column)
+def body_text(df: DataFrame, column: str = "body") -> Column:
+    """The body column as JSON text, whether it is text already or a VARIANT."""
+    return F.col(column) if isinstance(df.schema[column].dataType, StringType) else F.to_json(F.col(column))
 
 
 def parse_body(df: DataFrame) -> DataFrame:
@@ -72,58 +49,63 @@ def parse_body(df: DataFrame) -> DataFrame:
     Of ``parsed`` only the keys of the row's type are set: absent or null
     keys get the zero value, other keys are dropped. An absent body gives a
     NULL struct, a JSON null an all-zero one. ``parse_error`` names the first
-    key whose JSON type does not fit.
+    key whose value does not fit, or ``body`` if the body is no object.
     """
-    fields = _fields()
-    code = F.coalesce(F.col("type"), F.lit(0))
-    rows = df.withColumn("__present", F.col("body").isNotNull()).withColumn("__body", body_variant(df))
-    body, present = F.col("__body"), F.col("__present")
-    struct = F.struct(
-        *[F.when(_carries(code, types), _typed(body, field)).alias(key) for key, (field, types) in fields.items()]
+    carriers = _carriers()
+    kinds = {key: kind if kind in ("str", "u64") else "int" for key, (kind, _) in carriers.items()}
+    by_type: dict[str, list[str]] = {}
+    for code, fields in SOURCE_BODIES.items():
+        if fields is not HEX_BODY:
+            by_type[f"type = {code}"] = [f.key for f in fields]
+    by_type["true"] = [f.key for f in HEX_BODY]
+
+    sql_types = {key: "STRING" if kind == "str" else "BIGINT" for key, (kind, _) in carriers.items()}
+    rows = (
+        df.withColumn("__text", body_text(df))
+        .withColumn("__j", F.expr(from_json("__text", sql_types)))
+        .withColumn("__kinds", F.expr(suspect_kinds("__text", "__j", kinds, by_type)))
+    )
+
+    def value(key: str, kind: str) -> str:
+        return uint64_field("__text", "__j", "__kinds", key) if kind == "u64" else f"__j.`{key}`"
+
+    members = ", ".join(
+        f"'{key}', case when {_is_type(types)} then coalesce({value(key, kind)}, {_ZEROS.get(kind, '0L')}) end"
+        for key, (kind, types) in carriers.items()
+    )
+    beyond = " ".join(
+        f"when {_is_type(types)} and not {in_range(value(key, kind), *_BOUNDS[kind])} then '{key}'"
+        for key, (kind, types) in carriers.items()
+        if kind in _BOUNDS
     )
-    rows = rows.withColumn("parsed", F.when(present, struct))
-
-    def bad(field: BodyField) -> Column:
-        value = F.col("parsed")[field.key]
-        if field.kind not in _BOUNDS:
-            return value.isNull()
-        return value.isNull() | ~in_bounds(value, *_BOUNDS[field.kind])
-
-    # A body that has the first key of its type is an object; only others need a closer look.
-    first_keys = {fs[0].key for fs in SOURCE_BODIES.values()}
-    has_first_key = reduce(
-        lambda a, b: a | b,
-        [
-            _carries(code, types) & F.try_variant_get(body, f"$.{key}", "variant").isNotNull()
-            for key, (_, types) in fields.items()
-            if key in first_keys
-        ],
+    error = (
+        "case when __text is null or __text = 'null' then null"
+        f" else coalesce({wrong_kind('__kinds', kinds, by_type, 'body')}, case {beyond} end) end"
     )
-    is_object = F.coalesce(has_first_key | F.to_json(body).startswith("{") | F.is_variant_null(body), F.lit(False))
-    field_error = first_failure(
-        [(_carries(code, types) & bad(field), key) for key, (field, types) in fields.items()]
+    return rows.selectExpr(
+        *[f"`{c}`" for c in df.columns],
+        f"case when __text is not null then named_struct({members}) end parsed",
+        f"{error} parse_error",
     )
-    error = F.when(present, F.when(~is_object, F.lit("body")).otherwise(field_error))
-    return rows.withColumn("parse_error", error).drop("__body", "__present")
 
 
-def source_body_json(parsed: Column) -> Column:
+def source_body_json(parsed: str = "parsed") -> str:
     """Canonical JSON of a parsed body: keys sorted, only those of the type."""
-    return F.to_json(parsed)
+    return f"to_json({parsed})"
 
 
-def rename_body(parsed: Column) -> Column:
+def rename_body(parsed: str = "parsed") -> str:
     """Canonical JSON of a parsed body under its topic-side keys."""
     sources: dict[str, list[str]] = {}
-    for key, (field, _) in _fields().items():
-        for fields in SOURCE_BODIES.values():
-            for f in fields:
-                if f.key == key and key not in sources.setdefault(f.topic_key, []):
-                    sources[f.topic_key].append(key)
-    struct = F.struct(
-        *[F.coalesce(*[parsed[key] for key in keys]).alias(topic_key) for topic_key, keys in sorted(sources.items())]
+    for fields in SOURCE_BODIES.values():
+        for f in fields:
+            if f.key not in sources.setdefault(f.topic_key, []):
+                sources[f.topic_key].append(f.key)
+    members = ", ".join(
+        f"'{topic_key}', coalesce({', '.join(f'{parsed}.`{key}`' for key in keys)})"
+        for topic_key, keys in sorted(sources.items())
     )
-    return F.when(parsed.isNotNull(), F.to_json(struct))
+    return f"case when {parsed} is not null then to_json(named_struct({members})) end"
 
 
 def rename_stored_body(df: DataFrame, type_column: str = "event_type") -> DataFrame:
@@ -133,19 +115,21 @@ def rename_stored_body(df: DataFrame, type_column: str = "event_type") -> DataFr
     becomes a JSON null, an absent body stays absent, and a body of an
     unknown type is an error.
     """
-    code = F.col(type_column)
-    rows = df.withColumn("__body", F.when(code.isin(list(RENAMED_TYPES)), F.try_parse_json("body")))
-    body = F.col("__body")
+    renamed = ", ".join(map(str, RENAMED_TYPES))
+    known = ", ".join(map(str, TYPE_NAMES))
     groups: dict[tuple, list[int]] = {}
     for t in RENAMED_TYPES:
         groups.setdefault(tuple(sorted((f.topic_key, f.key) for f in SOURCE_BODIES[t])), []).append(t)
-    out = F.when(~code.isin(list(RENAMED_TYPES)), F.col("body"))
+    branches = ""
     for pairs, types in groups.items():
-        struct = F.struct(*[F.try_variant_get(body, f"$.{key}", "variant").alias(topic) for topic, key in pairs])
-        out = out.when(code.isin(types), F.to_json(struct, _KEEP_NULLS))
-    known = code.isin(list(TYPE_NAMES))
-    return (
-        rows.withColumn("topic_body", F.when(F.col("body").isNotNull() & known, out))
-        .withColumn("rename_error", F.when(F.col("body").isNotNull() & ~known, F.lit("unsupported type")))
-        .drop("__body")
+        members = ", ".join(f"'{topic}', try_variant_get(__body, '$.{key}', 'variant')" for topic, key in pairs)
+        branches += (
+            f" when {type_column} in ({', '.join(map(str, types))})"
+            f" then to_json(named_struct({members}), map('ignoreNullFields', 'false'))"
+        )
+    rows = df.withColumn("__body", F.expr(f"case when {type_column} in ({renamed}) then try_parse_json(body) end"))
+    return rows.selectExpr(
+        *[f"`{c}`" for c in df.columns],
+        f"case when body is null or {type_column} not in ({known}) then null{branches} else body end topic_body",
+        f"case when body is not null and {type_column} not in ({known}) then 'unsupported type' end rename_error",
     )

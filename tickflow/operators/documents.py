@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickflow.functions.identity import is_identity
-from tickflow.functions.json_access import json_number, json_text
+from tickflow.functions.json_text import from_json, suspect_kinds, wrong_kind
 from tickflow.functions.numbers import to_byte, to_int64, to_positive_int16, to_uint32, to_uint64
 from tickflow.functions.text import (
     hex_to_binary,
@@ -18,7 +18,6 @@ from tickflow.functions.text import (
     unit_of_measurement,
 )
 from tickflow.functions.tx_hash import tx_category
-from tickflow.operators.bodies import first_failure
 from tickflow.operators.validate import (
     apply_defaults,
     decode_event,
@@ -35,19 +34,19 @@ from tickflow.schemas import (
     DocField,
 )
 
-#: Rule -> (reader of the JSON value, conversion of what was read).
+#: Rule -> (JSON kind that is read, conversion of what was read).
 _RULES = {
-    "text": (json_text, lambda x: x),
-    "u64": (json_number, to_uint64),
-    "i64": (json_number, to_int64),
-    "u32": (json_number, to_uint32),
-    "i16": (json_number, to_positive_int16),
-    "byte": (json_number, to_byte),
-    "hex": (json_text, hex_to_binary),
-    "unit": (json_text, unit_of_measurement),
-    "state": (json_text, oracle_state),
-    "datetime": (json_text, parse_utc_millis),
-    "u64text": (json_text, parse_uint64_text),
+    "text": ("str", lambda x: x),
+    "u64": ("num", to_uint64),
+    "i64": ("num", to_int64),
+    "u32": ("num", to_uint32),
+    "i16": ("num", to_positive_int16),
+    "byte": ("num", to_byte),
+    "hex": ("str", hex_to_binary),
+    "unit": ("str", unit_of_measurement),
+    "state": ("str", oracle_state),
+    "datetime": ("str", parse_utc_millis),
+    "u64text": ("str", parse_uint64_text),
 }
 
 
@@ -65,12 +64,13 @@ def zero_amount() -> Column:
     return F.coalesce(F.col("logType").isin(0, 8) & (F.col("amount") == 0), F.lit(False))
 
 
-def categories(category: Column, dividend: Column) -> Column:
+def categories(category: str, dividend: str) -> str:
     """Hash category, then the dividend category; NULL instead of an empty array."""
-    found = F.array_compact(
-        F.array(category.cast("smallint"), F.when(dividend, F.lit(DIVIDEND_CATEGORY).cast("smallint")))
+    found = (
+        f"array_compact(array(cast({category} as smallint),"
+        f" case when {dividend} then cast({DIVIDEND_CATEGORY} as smallint) end))"
     )
-    return F.when(F.size(found) > 0, found)
+    return f"case when {category} is not null or {dividend} then {found} end"
 
 
 def _field_sources() -> dict[str, dict[DocField, list[int]]]:
@@ -82,17 +82,13 @@ def _field_sources() -> dict[str, dict[DocField, list[int]]]:
     return out
 
 
-def _read(body: Column, code: Column, sources: dict[DocField, list[int]]) -> Column:
-    """The JSON value of a document field, before conversion."""
-    out = F
-    for field, types in sources.items():
-        out = out.when(code.isin(types), _RULES[field.rule][0](body, field.key))
-    return out
+def _among(types: Sequence[int]) -> str:
+    return f"in ({', '.join(map(str, types))})"
 
 
-def _convert(name: str, sources: dict[DocField, list[int]]) -> Column:
-    (rule,) = {field.rule for field in sources}
-    return _RULES[rule][1](F.col(name)).alias(name)
+def _per_type(branches: dict[tuple[int, ...], str]) -> str:
+    whens = " ".join(f"when logType {_among(types)} then {value}" for types, value in branches.items())
+    return f"case {whens} end"
 
 
 def to_document(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -100,65 +96,77 @@ def to_document(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
     ``doc_error`` names the first thing that is wrong, in this order: the
     timestamp, a zero value, the transaction hash, the type, a body field.
-    Every body field is read once; a NULL among a type's fields is its error.
+    Every body is parsed once, into one struct over all topic keys; a NULL
+    among the fields of a type is the error of that field.
     """
-    code, body, tx_hash = F.col("type"), F.col("body"), F.col("transactionHash")
     sources = _field_sources()
-    # Read once, then convert: a conversion names its input several times.
-    read = events.select(
-        *keep,
-        "epoch",
-        "tickNumber",
-        "timestamp",
-        "transactionHash",
-        "logId",
-        "logDigest",
-        code.alias("logType"),
+    kinds = {f.key: _RULES[f.rule][0] for fields in DOCUMENT_BODIES.values() for f in fields}
+    sql_types = {key: "STRING" if kind == "str" else "DOUBLE" for key, kind in kinds.items()}
+    texts = {
+        f"logType = {t}": [f.key for f in fields if kinds[f.key] == "str"]
+        for t, fields in DOCUMENT_BODIES.items()
+        if any(kinds[f.key] == "str" for f in fields)
+    }
+    carried = [f"`{c}`" for c in keep]
+    common = ["epoch", "tickNumber", "timestamp", "transactionHash", "logId", "logDigest", "logType"]
+
+    parsed = events.withColumnRenamed("type", "logType").select(
+        *[c.strip("`") for c in carried],
+        *common,
         "dividend",
-        is_identity(tx_hash).alias("__identity"),
-        tx_category(tx_hash).alias("__category"),
-        *[_read(body, code, s).alias(name) for name, s in sources.items()],
-    )
-    category = F.when(~F.col("__identity"), F.col("__category"))
-    flat = read.select(
-        *keep,
-        "epoch",
-        "tickNumber",
-        to_millis(F.col("timestamp")).alias("timestamp"),
-        F.when(category.isNull(), tx_hash).alias("transactionHash"),
-        "logId",
-        "logDigest",
-        "logType",
-        categories(category, F.col("dividend")).alias("categories"),
-        ((tx_hash == "") | F.col("__identity") | F.col("__category").isNotNull()).alias("__hash_ok"),
-        *[_convert(name, s) for name, s in sources.items()],
+        "body",
+        F.expr(from_json("body", sql_types)).alias("__j"),
+        is_identity(F.col("transactionHash")).alias("__identity"),
+        F.expr(tx_category("transactionHash")).alias("__category"),
     )
-    doc_type = F.col("logType")
-    groups: dict[tuple[str, ...], list[int]] = {}
-    for t, fields in DOCUMENT_BODIES.items():
-        groups.setdefault(tuple(f.name for f in fields), []).append(t)
-    body_error = None
-    for names, types in groups.items():
-        failure = first_failure([(F.col(name).isNull(), f"body field {name}") for name in names])
-        body_error = (
-            F.when(doc_type.isin(types), failure) if body_error is None else body_error.when(doc_type.isin(types), failure)
-        )
-    error = F.coalesce(
-        F.when(F.col("timestamp").isNull(), F.lit("timestamp is not in seconds")),
-        F.when(F.col("epoch") == 0, F.lit("zero epoch")),
-        F.when(F.col("tickNumber") == 0, F.lit("zero tickNumber")),
-        F.when(F.col("timestamp") == 0, F.lit("zero timestamp")),
-        F.when(F.col("logDigest") == "", F.lit("zero logDigest")),
-        F.when(~F.col("__hash_ok"), F.lit("unexpected transaction hash")),
-        F.when(~doc_type.isin(list(DOCUMENT_BODIES)), F.lit("unsupported type")),
-        body_error,
+    # Read, then convert: a conversion names its input several times.
+    read = parsed.selectExpr(
+        *carried,
+        *common,
+        "dividend",
+        "__identity",
+        "case when not __identity then __category end __category",
+        # A number where a text is due reads as text; everything else that does not fit is NULL already.
+        suspect_kinds("body", "__j", kinds, texts) + " __kinds",
+        *[
+            _per_type({tuple(types): f"__j.`{field.key}`" for field, types in fields.items()}) + f" `{name}`"
+            for name, fields in sources.items()
+        ],
     )
-    return flat.select(
-        *keep,
-        *DOCUMENT_COLUMNS,
-        error.alias("doc_error"),
+    converted = {
+        "timestamp": to_millis("timestamp"),
+        "transactionHash": "case when __category is null then transactionHash end",
+        "categories": categories("__category", "dividend"),
+    }
+    for name, fields in sources.items():
+        (rule,) = {field.rule for field in fields}
+        converted[name] = _RULES[rule][1](f"`{name}`")
+    flat = read.selectExpr(
+        *carried,
+        *[f"{converted.get(c, f'`{c}`')} `{c}`" for c in DOCUMENT_COLUMNS],
+        "transactionHash = '' or __identity or __category is not null __hash_ok",
+        f"{wrong_kind('__kinds', kinds, texts, 'body')} __misfit",
     )
 
+    orders: dict[tuple[DocField, ...], list[int]] = {}
+    for t, fields in DOCUMENT_BODIES.items():
+        orders.setdefault(tuple(fields), []).append(t)
+    first_null = {
+        tuple(types): "case " + " ".join(f"when `{f.name}` is null then 'body field {f.key}'" for f in fields) + " end"
+        for fields, types in orders.items()
+    }
+    error = f"""case
+        when timestamp is null then 'timestamp is not in seconds'
+        when epoch = 0 then 'zero epoch'
+        when tickNumber = 0 then 'zero tickNumber'
+        when timestamp = 0 then 'zero timestamp'
+        when logDigest = '' then 'zero logDigest'
+        when not __hash_ok then 'unexpected transaction hash'
+        when logType not {_among(list(DOCUMENT_BODIES))} then 'unsupported type'
+        when __misfit is not null then concat('body field ', __misfit)
+        else {_per_type(first_null)} end"""
+    return flat.selectExpr(*carried, *[f"`{c}`" for c in DOCUMENT_COLUMNS], f"{error} doc_error")
+
 
 def doc_id(epoch: Column, log_id: Column) -> Column:
     """``<epoch>-<log id>``; the separator keeps 1-23 and 12-3 apart."""

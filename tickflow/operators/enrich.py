@@ -7,8 +7,9 @@ come from one window over (tick, chunk), so the rows are shuffled once.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 from pyspark.sql.window import Window
 
 from tickflow.functions.tx_hash import dividend_marker
@@ -25,18 +26,14 @@ def ok_logs(logs: DataFrame) -> DataFrame:
     return logs.filter("ok")
 
 
-def custom_message(df: DataFrame) -> Column:
-    """The custom message of a log, from ``parsed`` if bodies are parsed, else from the body."""
-    if "parsed" in df.columns:
-        return F.col("parsed")["customMessage"]
-    if df.schema["body"].dataType.typeName() == "variant":
-        return F.try_variant_get(F.col("body"), "$.customMessage", "string")
-    return F.get_json_object(F.col("body"), "$.customMessage")
-
-
 def with_marker(logs: DataFrame) -> DataFrame:
-    """Add ``marker``: 1 opens, 0 closes a dividend section."""
-    return logs.withColumn("marker", F.when(F.col("type") == 255, dividend_marker(F.col("type"), custom_message(logs))))
+    """Add ``marker``: 1 opens, 0 closes a dividend section. Only custom messages are looked into."""
+    body = logs.schema["body"].dataType
+    if isinstance(body, StringType):
+        message = "get_json_object(body, '$.customMessage')"
+    else:
+        message = "try_variant_get(body, '$.customMessage', 'string')"
+    return logs.withColumn("marker", F.expr(dividend_marker("type", message)))
 
 
 def enrich(logs: DataFrame, resume: dict | None = None) -> DataFrame:

@@ -41,7 +41,7 @@ def build_event_message(enriched: DataFrame) -> DataFrame:
         _or_zero("body_size").alias("bodySize"),
         _or_zero("timestamp").alias("timestamp"),
         _or_empty("tx_hash").alias("transactionHash"),
-        rename_body(F.col("parsed")).alias("body"),
+        F.expr(rename_body()).alias("body"),
         F.col("dividend"),
         F.col("last_log_for_tick").alias("lastLogForTick"),
     )
@@ -99,7 +99,7 @@ def to_stored_event(enriched: DataFrame) -> DataFrame:
         "event_type": _or_zero("type"),
         "tx_hash": _or_empty("tx_hash"),
         "timestamp": _or_zero("timestamp"),
-        "body": source_body_json(F.col("parsed")),
+        "body": F.expr(source_body_json()),
         "log_digest": _or_empty("log_digest"),
     }
     return enriched.select(*[columns.get(c, F.col(c)).alias(c) for c in STORED_COLUMNS])

@@ -19,7 +19,7 @@ def metrics_by_type(parsed: DataFrame) -> DataFrame:
             F.count_if(F.col("ok") & F.col("parse_error").isNull()).alias("processed"),
             F.count_if(~F.col("ok")).alias("skipped_not_ok"),
         )
-        .withColumn("type_name", type_name(F.col("type")))
+        .withColumn("type_name", F.expr(type_name("type")))
     )
 
 
@@ -38,7 +38,7 @@ def failures_by_reason(failures: DataFrame, code: str = "type", reason: str = "f
     return (
         failures.groupBy(F.col(code).alias("type"), F.col(reason).alias("failure_reason"))
         .agg(F.count(F.lit(1)).alias("failed"))
-        .withColumn("type_name", type_name(F.col("type")))
+        .withColumn("type_name", F.expr(type_name("type")))
     )
 
 
@@ -46,7 +46,7 @@ def published_by_topic(topic_rows: DataFrame, topic: str) -> DataFrame:
     return (
         topic_rows.groupBy("type")
         .agg(F.count(F.lit(1)).alias("published"))
-        .select("type", type_name(F.col("type")).alias("type_name"), F.lit(topic).alias("topic"), "published")
+        .select("type", F.expr(type_name("type")).alias("type_name"), F.lit(topic).alias("topic"), "published")
     )
 
 

@@ -4,13 +4,28 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickflow.functions.json_access import is_absent, json_bool, json_int, json_text, json_uint64
-from tickflow.operators.bodies import first_failure, in_bounds
+from tickflow.functions.json_text import from_json, suspect_kinds, uint64_field, wrong_kind
+from tickflow.functions.numbers import in_range
 from tickflow.schemas import MAX_SECONDS, UINT32_MAX, UINT64_MAX
 
+#: Event fields: kind and SQL type. The body stays JSON text until its type is known.
+EVENT_FIELDS = {
+    "epoch": ("int", "BIGINT"),
+    "tickNumber": ("u64", "BIGINT"),
+    "index": ("u64", "BIGINT"),
+    "type": ("int", "BIGINT"),
+    "logId": ("u64", "BIGINT"),
+    "logDigest": ("str", "STRING"),
+    "transactionHash": ("str", "STRING"),
+    "timestamp": ("u64", "BIGINT"),
+    "bodySize": ("int", "BIGINT"),
+    "body": ("obj", "STRING"),
+    "dividend": ("bool", "BOOLEAN"),
+    "lastLogForTick": ("bool", "BOOLEAN"),
+}
 #: Required fields in the order in which they are reported.
 REQUIRED = ["epoch", "tickNumber", "logId", "timestamp", "logDigest", "index", "type"]
 #: Ranges of the integer fields.
@@ -30,56 +45,48 @@ NONZERO = ["epoch", "tickNumber", "logDigest", "timestamp"]
 def decode_event(records: DataFrame, value: str = "value") -> DataFrame:
     """Topic JSON -> nullable event columns plus ``decode_error``; other columns are kept.
 
-    NULL means absent or JSON null. A value of the wrong JSON type, or text
-    that is no JSON object, sets ``decode_error``. ``body`` stays a VARIANT.
+    NULL means absent or JSON null. A value of the wrong JSON type or out of
+    range, or text that is no JSON object, sets ``decode_error``.
     """
-    v = F.col("__event")
-    rows = records.withColumn("__event", F.try_parse_json(F.col(value)))
-    readers = {
-        "epoch": json_int(v, "epoch"),
-        "tickNumber": json_uint64(v, "tickNumber"),
-        "index": json_uint64(v, "index"),
-        "type": json_int(v, "type"),
-        "logId": json_uint64(v, "logId"),
-        "logDigest": json_text(v, "logDigest"),
-        "transactionHash": json_text(v, "transactionHash"),
-        "timestamp": json_uint64(v, "timestamp"),
-        "bodySize": json_int(v, "bodySize"),
-        "dividend": json_bool(v, "dividend"),
-        "lastLogForTick": json_bool(v, "lastLogForTick"),
-    }
-    body = F.try_variant_get(v, "$.body", "variant")
-    rows = rows.select(
-        *[c for c in records.columns if c not in readers and c != "body"],
-        *[c.alias(name) for name, c in readers.items()],
-        F.when(~F.is_variant_null(body), body).alias("body"),
-        v,
+    kinds = {name: kind for name, (kind, _) in EVENT_FIELDS.items()}
+    parsed = from_json(value, {name: sql for name, (_, sql) in EVENT_FIELDS.items()})
+    every = {"true": list(EVENT_FIELDS)}
+    kept = [f"`{c}`" for c in records.columns if c not in EVENT_FIELDS]
+    rows = (
+        records.withColumn("__j", F.expr(parsed))
+        .withColumn("__kinds", F.expr(suspect_kinds(value, "__j", kinds, every)))
+        .selectExpr(
+            *dict.fromkeys([*kept, f"`{value}`"]),
+            *[
+                (uint64_field(value, "__j", "__kinds", name) if kind == "u64" else f"__j.`{name}`") + f" `{name}`"
+                for name, (kind, _) in EVENT_FIELDS.items()
+            ],
+            "__kinds",
+        )
+    )
+    beyond = " ".join(f"when not {in_range(f'`{name}`', *bounds)} then '{name}'" for name, bounds in _RANGES.items())
+    error = (
+        f"case when {value} is null or not endswith(trim(trailing ' \t\r\n' from {value}), '}}') then 'json'"
+        f" else coalesce({wrong_kind('__kinds', kinds, every, 'json')}, case {beyond} end) end"
     )
-    # The event is looked at again only where a value is NULL.
-    checks = [(F.col(name).isNull() & ~is_absent(v, name), name) for name in readers]
-    checks += [(~in_bounds(F.col(name), *bounds), name) for name, bounds in _RANGES.items()]
-    checks.append((F.col("body").isNotNull() & ~F.to_json(F.col("body")).startswith("{"), "body"))
-    broken = v.isNull() | ~F.rtrim(F.col(value), F.lit(" \t\r\n")).endswith("}")
-    error = F.when(broken, F.lit("json")).otherwise(first_failure(checks))
-    return rows.withColumn("decode_error", error).drop("__event")
+    return rows.selectExpr(*kept, *[f"`{name}`" for name in EVENT_FIELDS], f"{error} decode_error")
 
 
-def _names(checks: list[tuple[Column, str]]) -> Column:
-    """Comma-separated labels of the checks that are true, NULL if there are none."""
-    text = F.concat_ws(",", *[F.when(bad, F.lit(label)) for bad, label in checks])
-    return F.nullif(text, F.lit(""))
+def _names(conditions: dict[str, str]) -> str:
+    """Comma-separated names whose condition is true, NULL if there are none."""
+    flags = ", ".join(f"case when {condition} then '{name}' end" for name, condition in conditions.items())
+    return f"nullif(concat_ws(',', {flags}), '')"
 
 
 def validate_required(events: DataFrame) -> DataFrame:
     """Add ``missing``: names of absent required fields."""
-    return events.withColumn("missing", _names([(F.col(c).isNull(), c) for c in REQUIRED]))
+    return events.withColumn("missing", F.expr(_names({c: f"`{c}` is null" for c in REQUIRED})))
 
 
 def validate_nonzero(events: DataFrame) -> DataFrame:
     """Add ``zero``: names of fields that are present but zero or empty."""
-    return events.withColumn(
-        "zero", _names([(F.col(c) == ("" if c == "logDigest" else 0), c) for c in NONZERO])
-    )
+    zeros = {c: f"`{c}` = ''" if c == "logDigest" else f"`{c}` = 0" for c in NONZERO}
+    return events.withColumn("zero", F.expr(_names(zeros)))
 
 
 def apply_defaults(events: DataFrame) -> DataFrame:
@@ -94,9 +101,9 @@ def apply_defaults(events: DataFrame) -> DataFrame:
     )
 
 
-def to_millis(seconds: Column) -> Column:
+def to_millis(seconds: str) -> str:
     """Seconds -> milliseconds; NULL beyond the year 2286 (the value is in milliseconds already)."""
-    return F.when(seconds <= MAX_SECONDS, seconds.cast("bigint") * 1000)
+    return f"case when {seconds} <= {MAX_SECONDS} then cast({seconds} as bigint) * 1000 end"
 
 
 def parse_supported(text: str) -> list[int]:

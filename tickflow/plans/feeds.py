@@ -77,14 +77,10 @@ def feed_e(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cast(get_json_object(props, '$.k') as bigint) k",
     )
     ticks = rows.selectExpr("*", "sec div 3600 tick", "1 + (sec - 1704067200) div 604800 epoch")
-    logs = ticks.select(F.expr(f"struct({_as_struct(_log_columns('event_id div 8'))})").alias("log")).select("log.*")
+    logs = ticks.select(F.expr(f"struct({_log_columns('event_id div 8')})").alias("log")).select("log.*")
     return logs.withColumn("type", F.col("type").cast("bigint"))
 
 
-def _as_struct(columns: str) -> str:
-    return columns
-
-
 def feed_l(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delivered events: epoch, tick, log_id, ok, type, amount, source, destination and the arrival order."""
     rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr(
@@ -128,12 +124,13 @@ def feed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parsed_e(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ok logs of feed E with typed bodies."""
-    return parse_body(ok_logs(feed_e(spark, sf_dir)))
+    """Logs of feed E with typed bodies."""
+    return parse_body(feed_e(spark, sf_dir))
 
 
 def enriched_e(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich(parsed_e(spark, sf_dir))
+    """Numbered and flagged ok logs. Bodies are parsed after the shuffle, so it moves raw text only."""
+    return parse_body(enrich(ok_logs(feed_e(spark, sf_dir))))
 
 
 def topic_e(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,6 +12,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A repeated JSON key is not an error; the last one wins.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # The JVM does not compile methods beyond this size; a plan step that would need one runs as
+    # a split projection instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -28,6 +31,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         SparkSession.builder.master(f"local[{cores}]")
         .appName("tickflow")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
