@@ -6,6 +6,7 @@ per projection is both quicker to build and easier to read in a plan than
 thousands of column objects. NULL always means: the value cannot be converted.
 """
 
+from tickflow.functions.fence import fence
 from tickflow.functions.identity import is_identity
 from tickflow.functions.json_text import from_json, suspect_kinds, wrong_kind
 from tickflow.functions.numbers import in_range, to_byte, to_int64, to_positive_int16, to_uint32, to_uint64
@@ -20,6 +21,7 @@ from tickflow.functions.tx_hash import dividend_marker, tx_category, type_name
 
 __all__ = [
     "dividend_marker",
+    "fence",
     "from_json",
     "hex_to_binary",
     "in_range",

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from tickflow.functions.fence import fence
 from tickflow.functions.json_text import from_json, suspect_kinds, uint64_field, wrong_kind
 from tickflow.functions.numbers import in_range
 from tickflow.schemas import HEX_BODY, RENAMED_TYPES, SOURCE_BODIES, TYPE_NAMES, UINT32_MAX, UINT64_MAX
@@ -85,7 +86,7 @@ def parse_body(df: DataFrame) -> DataFrame:
     return rows.selectExpr(
         *[f"`{c}`" for c in df.columns],
         f"case when __text is not null then named_struct({members}) end parsed",
-        f"{error} parse_error",
+        f"{fence(error)} parse_error",
     )
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickflow.functions.fence import fence
 from tickflow.functions.identity import is_identity
 from tickflow.functions.json_text import from_json, suspect_kinds, wrong_kind
 from tickflow.functions.numbers import to_byte, to_int64, to_positive_int16, to_uint32, to_uint64
@@ -165,7 +166,13 @@ def to_document(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         when logType not {_among(list(DOCUMENT_BODIES))} then 'unsupported type'
         when __misfit is not null then concat('body field ', __misfit)
         else {_per_type(first_null)} end"""
-    return flat.selectExpr(*carried, *[f"`{c}`" for c in DOCUMENT_COLUMNS], f"{error} doc_error")
+    return flat.selectExpr(*carried, *[f"`{c}`" for c in DOCUMENT_COLUMNS], f"{fence(error)} doc_error")
+
+
+def identity_verdicts(rows: DataFrame, column: str = "tx_hash") -> DataFrame:
+    """Distinct hashes, how many rows carry each, and whether it is a valid digest."""
+    counts = rows.groupBy(column).agg(F.count(F.lit(1)).alias("logs"))
+    return counts.withColumn("valid", is_identity(F.col(column)))
 
 
 def doc_id(epoch: Column, log_id: Column) -> Column:
@@ -219,25 +226,14 @@ def route_records(records: DataFrame, types: Sequence[int] = DEFAULT_SUPPORTED_T
     carried = [c for c in records.columns if c != value and c not in DOCUMENT_COLUMNS]
     keep = [*carried, "early", "index", "lastLogForTick"]
     docs = to_document(events, keep=keep)
-    unsupported = ~F.coalesce(F.col("logType").isin(list(types)), F.lit(False))
-    status = (
-        F.when(F.col("early").isNotNull(), F.lit("failed"))
-        .when(unsupported, F.lit("skipped"))
-        .when(F.col("doc_error").isNotNull(), F.lit("failed"))
-        .when(zero_amount(), F.lit("skipped"))
-        .otherwise(F.lit("processed"))
-    )
-    reason = (
-        F.when(F.col("early").isNotNull(), F.col("early"))
-        .when(unsupported, F.lit("unsupported type"))
-        .when(F.col("doc_error").isNotNull(), F.col("doc_error"))
-        .when(zero_amount(), F.lit("zero amount"))
-    )
-    return docs.select(
-        *carried,
-        "index",
-        "lastLogForTick",
-        *DOCUMENT_COLUMNS,
-        status.alias("status"),
-        reason.alias("reason"),
+    unsupported = f"not logType {_among(types)}" if types else "true"
+    zero = "logType in (0, 8) and amount = 0"
+    status = f"""case when early is not null then 'failed' when {unsupported} then 'skipped'
+        when doc_error is not null then 'failed' when {zero} then 'skipped' else 'processed' end"""
+    reason = f"""case when early is not null then early when {unsupported} then 'unsupported type'
+        when doc_error is not null then doc_error when {zero} then 'zero amount' end"""
+    return docs.selectExpr(
+        *[f"`{c}`" for c in [*carried, "index", "lastLogForTick", *DOCUMENT_COLUMNS]],
+        f"{fence(status)} status",
+        f"{fence(reason)} reason",
     )

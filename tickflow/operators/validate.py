@@ -7,6 +7,7 @@ import json
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickflow.functions.fence import fence
 from tickflow.functions.json_text import from_json, suspect_kinds, uint64_field, wrong_kind
 from tickflow.functions.numbers import in_range
 from tickflow.schemas import MAX_SECONDS, UINT32_MAX, UINT64_MAX
@@ -69,7 +70,7 @@ def decode_event(records: DataFrame, value: str = "value") -> DataFrame:
         f"case when {value} is null or not endswith(trim(trailing ' \t\r\n' from {value}), '}}') then 'json'"
         f" else coalesce({wrong_kind('__kinds', kinds, every, 'json')}, case {beyond} end) end"
     )
-    return rows.selectExpr(*kept, *[f"`{name}`" for name in EVENT_FIELDS], f"{error} decode_error")
+    return rows.selectExpr(*kept, *[f"`{name}`" for name in EVENT_FIELDS], f"{fence(error)} decode_error")
 
 
 def _names(conditions: dict[str, str]) -> str:
