@@ -37,7 +37,8 @@ def _check_tick(tick: int) -> None:
         raise ValueError("tick must be greater than 0")
 
 
-def _range(start: int, end: int) -> Column:
+def in_range(start: int, end: int) -> Column:
+    """``start <= tick <= end``; 0 leaves a side open."""
     if start < 0 or end < 0:
         raise ValueError("ticks must not be negative")
     if end and end < start:
@@ -57,7 +58,7 @@ def scan_events(events: DataFrame, epoch: int) -> DataFrame:
 
 def events_in_range(events: DataFrame, epoch: int, start: int = 0, end: int = 0) -> DataFrame:
     """Events of an epoch with ``start <= tick <= end``, in key order; 0 leaves a side open."""
-    return events.filter((F.col("epoch") == epoch) & _range(start, end)).orderBy("tick", "log_id")
+    return events.filter((F.col("epoch") == epoch) & in_range(start, end)).orderBy("tick", "log_id")
 
 
 def tick_to_epoch(events: DataFrame, ticks: DataFrame) -> DataFrame:

@@ -57,7 +57,7 @@ def query(sql: str | None = None):
     return register
 
 
-def _with(ctes: str, select: str) -> str:
+def with_ctes(ctes: str, select: str) -> str:
     return f"with {ctes}\n{select}"
 
 
@@ -66,13 +66,13 @@ _LOG_COLUMNS = "msg_seq, pos, ok, epoch, tick, type, log_id, log_digest, body_si
 # ------------------------------------------------------------ raw logs and enrichment
 
 
-@query(_with(feeds.SQL_FEED_E, f"select {_LOG_COLUMNS} from logs where ok"))
+@query(with_ctes(feeds.SQL_FEED_E, f"select {_LOG_COLUMNS} from logs where ok"))
 def ok_logs(spark, sf_dir):
     return enrich.ok_logs(feeds.feed_e(spark, sf_dir))
 
 
 @query(
-    _with(
+    with_ctes(
         feeds.SQL_FEED_E,
         """select msg_seq, row_number() over (partition by msg_seq, tick order by pos) - 1 as pos, ok, epoch, tick, type, log_id,
              log_digest, body_size, coalesce(timestamp, 0) as timestamp, tx_hash,
@@ -92,7 +92,7 @@ def explode_messages(spark, sf_dir):
 
 
 @query(
-    _with(
+    with_ctes(
         feeds.SQL_FEED_E,
         "select 'ticks' as kind, count(distinct (msg_seq, tick)) as messages, count(*) as logs from logs",
     )
@@ -105,7 +105,7 @@ def message_kinds(spark, sf_dir):
 
 
 @query(
-    _with(
+    with_ctes(
         feeds.SQL_FEED_E,
         f"select log_id, type, {feeds.SQL_SOURCE_BODY} as body, cast(null as varchar) as parse_error from logs",
     )
@@ -115,31 +115,31 @@ def parsed_bodies(spark, sf_dir):
     return parsed.select("log_id", "type", F.expr(source_body_json()).alias("body"), "parse_error")
 
 
-@query(_with(feeds.SQL_FEED_E, f"select log_id, type, {feeds.SQL_TOPIC_BODY} as body from logs"))
+@query(with_ctes(feeds.SQL_FEED_E, f"select log_id, type, {feeds.SQL_TOPIC_BODY} as body from logs"))
 def renamed_bodies(spark, sf_dir):
     return feeds.parsed_e(spark, sf_dir).select("log_id", "type", F.expr(rename_body()).alias("body"))
 
 
-@query(_with(feeds.SQL_ENRICHED_E, "select epoch, tick, log_id, index_in_tick from enr"))
+@query(with_ctes(feeds.SQL_ENRICHED_E, "select epoch, tick, log_id, index_in_tick from enr"))
 def index_in_tick(spark, sf_dir):
     logs = enrich.ok_logs(feeds.feed_e(spark, sf_dir))
     return enrich.index_in_tick(logs).select("epoch", "tick", "log_id", "index_in_tick")
 
 
-@query(_with(feeds.SQL_ENRICHED_E, "select epoch, tick, log_id, last_log_for_tick from enr"))
+@query(with_ctes(feeds.SQL_ENRICHED_E, "select epoch, tick, log_id, last_log_for_tick from enr"))
 def last_log_flag(spark, sf_dir):
     logs = enrich.ok_logs(feeds.feed_e(spark, sf_dir))
     return enrich.last_log_for_tick(logs).select("epoch", "tick", "log_id", "last_log_for_tick")
 
 
-@query(_with(feeds.SQL_ENRICHED_E, "select epoch, tick, log_id, dividend from enr"))
+@query(with_ctes(feeds.SQL_ENRICHED_E, "select epoch, tick, log_id, dividend from enr"))
 def dividend_flag(spark, sf_dir):
     logs = enrich.ok_logs(feeds.feed_e(spark, sf_dir))
     return enrich.dividend_flag(logs).select("epoch", "tick", "log_id", "dividend")
 
 
 @query(
-    _with(
+    with_ctes(
         feeds.SQL_ENRICHED_E,
         "select epoch, tick, log_id, index_in_tick + count(*) over (partition by epoch, tick) as index_in_tick from enr",
     )
@@ -151,7 +151,7 @@ def resumed_index(spark, sf_dir):
 
 
 @query(
-    _with(
+    with_ctes(
         feeds.SQL_FEED_E,
         """, m as (select distinct msg_seq, tick, epoch from logs),
            p as (select *, lag(epoch) over (order by msg_seq, tick) old_epoch from m)
@@ -163,7 +163,7 @@ def epoch_transitions(spark, sf_dir):
 
 
 @query(
-    _with(
+    with_ctes(
         feeds.SQL_ENRICHED_E,
         """select epoch, tick, count(*) as events, min(index_in_tick) as first_index, max(index_in_tick) as last_index,
              min(log_id) as first_log_id, max(log_id) as last_log_id from enr group by epoch, tick""",
@@ -176,13 +176,13 @@ def tick_batches(spark, sf_dir):
 # ------------------------------------------------------------ messages and stored events
 
 
-@query(_with(feeds.SQL_MESSAGES_E, "select * from messages"))
+@query(with_ctes(feeds.SQL_MESSAGES_E, "select * from messages"))
 def event_messages(spark, sf_dir):
     return messages.build_event_message(feeds.enriched_e(spark, sf_dir))
 
 
 @query(
-    _with(
+    with_ctes(
         feeds.SQL_MESSAGES_E,
         f'select cast(tickNumber as varchar) as "key", {feeds.SQL_TOPIC_VALUE} as "value" from messages',
     )
@@ -191,7 +191,7 @@ def topic_rows(spark, sf_dir):
     return feeds.topic_e(spark, sf_dir).select("key", "value")
 
 
-@query(_with(feeds.SQL_STORED_E, "select * from stored"))
+@query(with_ctes(feeds.SQL_STORED_E, "select * from stored"))
 def stored_events(spark, sf_dir):
     return feeds.stored_e(spark, sf_dir)
 
@@ -212,13 +212,13 @@ def _latest_l(spark, sf_dir):
     return events.latest_by_key(feeds.feed_l(spark, sf_dir), events.EVENT_KEY, *feeds.FEED_L_ARRIVAL)
 
 
-@query(_with(_LATEST_L, f"select {_L_COLUMNS} from latest"))
+@query(with_ctes(_LATEST_L, f"select {_L_COLUMNS} from latest"))
 def latest_by_key(spark, sf_dir):
     return _latest_l(spark, sf_dir).select(*_L_COLUMNS.split(", "))
 
 
 @query(
-    _with(
+    with_ctes(
         feeds.SQL_FEED_L,
         """, once as (
              select epoch, tick, log_id, max(case when ok then amount end) good, max(case when not ok then amount end) bad,
@@ -233,7 +233,7 @@ def upsert_events(spark, sf_dir):
 
 
 @query(
-    _with(
+    with_ctes(
         feeds.SQL_STORED_E,
         f"""select s.index_in_tick as "index", s.event_type as type, s.tick as tickNumber, s.epoch, s.log_digest as logDigest,
               s.log_id as logId, 0 as bodySize, s.timestamp as "timestamp", s.tx_hash as transactionHash,
@@ -246,7 +246,7 @@ def replay_messages(spark, sf_dir):
 
 
 @query(
-    _with(
+    with_ctes(
         feeds.SQL_STORED_E,
         "select count(*) as events, count(distinct tick) as ticks from stored where epoch = 2",
     )
@@ -257,7 +257,7 @@ def replay_totals(spark, sf_dir):
 
 
 @query(
-    _with(
+    with_ctes(
         feeds.SQL_STORED_E,
         """, per_tick as (select tick, count(*) n from stored group by tick),
            running as (select tick, row_number() over (order by tick) ticks, cast(sum(n) over (order by tick) as bigint) events
@@ -287,18 +287,18 @@ def _raw_events(spark, sf_dir):
     return feeds.feed_e(spark, sf_dir).selectExpr(*[f"{source} as `{name}`" for name, source in _RAW_EVENT.items()])
 
 
-@query(_with(feeds.SQL_FEED_E, "select log_id as logId, case when timestamp is null then 'timestamp' end as missing from logs"))
+@query(with_ctes(feeds.SQL_FEED_E, "select log_id as logId, case when timestamp is null then 'timestamp' end as missing from logs"))
 def required_errors(spark, sf_dir):
     return validate.validate_required(_raw_events(spark, sf_dir)).select("logId", "missing")
 
 
-@query(_with(feeds.SQL_FEED_E, "select log_id as logId, case when log_digest = '' then 'logDigest' end as zero from logs"))
+@query(with_ctes(feeds.SQL_FEED_E, "select log_id as logId, case when log_digest = '' then 'logDigest' end as zero from logs"))
 def zero_errors(spark, sf_dir):
     return validate.validate_nonzero(_raw_events(spark, sf_dir)).select("logId", "zero")
 
 
 @query(
-    _with(
+    with_ctes(
         feeds.SQL_FEED_E,
         """select log_id, timestamp * 1000 as millis, case when timestamp * log_id <= 10000000000 then timestamp * log_id * 1000 end as guarded
            from logs""",
@@ -312,7 +312,7 @@ def millis_guard(spark, sf_dir):
 
 
 @query(
-    _with(
+    with_ctes(
         feeds.SQL_FEED_E,
         """select log_id, tx_hash, case when tx_hash like 'SC_END_TICK_TX_%' then 4 when tx_hash like 'SC_BEGIN_TICK_TX_%' then 3
              when tx_hash like 'SC_NOTIFICATION_TX%' then 6 end as category,
@@ -329,7 +329,7 @@ def tx_category_by_hash(spark, sf_dir):
 
 
 @query(
-    _with(
+    with_ctes(
         feeds.SQL_FEED_E,
         "select tx_hash, length(tx_hash) = 60 as valid, count(*) as logs from logs where ok group by tx_hash",
     )
@@ -343,19 +343,19 @@ _ROUTED = ", ".join(f'"{c}"' for c in DOCUMENT_COLUMNS)
 
 
 @query(
-    _with(feeds.SQL_ROUTED_E, """select logId, categories, status from routed where categories is not null""")
+    with_ctes(feeds.SQL_ROUTED_E, """select logId, categories, status from routed where categories is not null""")
 )
 def categories(spark, sf_dir):
     routed = feeds.routed_e(spark, sf_dir)
     return routed.filter("categories is not null").select("logId", "categories", "status")
 
 
-@query(_with(feeds.SQL_ROUTED_E, f"select {_ROUTED} from routed where status = 'processed'"))
+@query(with_ctes(feeds.SQL_ROUTED_E, f"select {_ROUTED} from routed where status = 'processed'"))
 def document_rows(spark, sf_dir):
     return feeds.routed_e(spark, sf_dir).filter("status = 'processed'").select(*DOCUMENT_COLUMNS)
 
 
-@query(_with(feeds.SQL_ROUTED_E, "select concat(epoch, '-', logId) as doc_id, status from routed"))
+@query(with_ctes(feeds.SQL_ROUTED_E, "select concat(epoch, '-', logId) as doc_id, status from routed"))
 def document_ids(spark, sf_dir):
     routed = feeds.routed_e(spark, sf_dir)
     return routed.select(documents.doc_id(F.col("epoch"), F.col("logId")).alias("doc_id"), "status")
@@ -379,14 +379,14 @@ def _json_member(name: str) -> str:
 _DOC_JSON = "'{' || concat_ws(',', " + ", ".join(_json_member(c) for c in DOCUMENT_COLUMNS) + ") || '}'"
 
 
-@query(_with(feeds.SQL_ROUTED_E, f"select logId, {_DOC_JSON} as document from routed where status = 'processed'"))
+@query(with_ctes(feeds.SQL_ROUTED_E, f"select logId, {_DOC_JSON} as document from routed where status = 'processed'"))
 def document_json(spark, sf_dir):
     routed = feeds.routed_e(spark, sf_dir).filter("status = 'processed'")
     return routed.select("logId", documents.document_json(routed).alias("document"))
 
 
 @query(
-    _with(
+    with_ctes(
         feeds.SQL_ROUTED_E,
         f"""select '{{"index":{{"_id":"' || epoch || '-' || logId || '","_index":"log-docs"}}}}' || chr(10) || {_DOC_JSON} as value
             from routed where status = 'processed'""",
@@ -397,14 +397,14 @@ def bulk_ndjson(spark, sf_dir):
     return documents.bulk_ndjson(routed, "log-docs")
 
 
-@query(_with(feeds.SQL_FEED_E, "select type, count(*) as logs from logs where type <> 7 group by type"))
+@query(with_ctes(feeds.SQL_FEED_E, "select type, count(*) as logs from logs where type <> 7 group by type"))
 def supported_filter(spark, sf_dir):
     rows = documents.supported(feeds.feed_e(spark, sf_dir))
     return rows.groupBy("type").agg(F.count(F.lit(1)).alias("logs"))
 
 
 @query(
-    _with(
+    with_ctes(
         feeds.SQL_ROUTED_E,
         """select logType, logId, amount from routed
            where (reason is null or reason in ('unsupported type', 'zero amount')) and not (logType in (0, 8) and amount = 0)""",
@@ -417,7 +417,7 @@ def zero_amount_filter(spark, sf_dir):
     return documents.nonzero_amount(routed).select("logType", "logId", "amount")
 
 
-@query(_with(feeds.SQL_ROUTED_E, "select status, reason, count(*) as records from routed group by status, reason"))
+@query(with_ctes(feeds.SQL_ROUTED_E, "select status, reason, count(*) as records from routed group by status, reason"))
 def routed_counts(spark, sf_dir):
     return feeds.routed_e(spark, sf_dir).groupBy("status", "reason").agg(F.count(F.lit(1)).alias("records"))
 
@@ -435,7 +435,7 @@ tick_status as (select *, total > 0 and processed + skipped >= total as complete
 )
 
 
-@query(_with(_STATUS_E, "select * from tick_status"))
+@query(with_ctes(_STATUS_E, "select * from tick_status"))
 def tick_status(spark, sf_dir):
     return ticks.tick_status(feeds.routed_e(spark, sf_dir))
 
@@ -452,7 +452,7 @@ def _delivered_l(spark, sf_dir):
 
 
 @query(
-    _with(
+    with_ctes(
         _LATEST_L,
         """, counters as (
              select tick, count(*) filter (ok) as processed, count(*) filter (not ok) as skipped,
@@ -464,20 +464,20 @@ def tick_status_exact(spark, sf_dir):
     return ticks.tick_status_exact(_delivered_l(spark, sf_dir), events.EVENT_KEY, *feeds.FEED_L_ARRIVAL)
 
 
-@query(_with(_STATUS_E, "select * from tick_status where complete"))
+@query(with_ctes(_STATUS_E, "select * from tick_status where complete"))
 def complete_ticks(spark, sf_dir):
     return ticks.complete_ticks(ticks.tick_status(feeds.routed_e(spark, sf_dir)))
 
 
 @query(
-    _with(_STATUS_E, "select tick, processed from tick_status where complete and processed > 0 order by tick desc limit 1")
+    with_ctes(_STATUS_E, "select tick, processed from tick_status where complete and processed > 0 order by tick desc limit 1")
 )
 def highest_tick(spark, sf_dir):
     return ticks.highest_tick(ticks.tick_counters(feeds.routed_e(spark, sf_dir)))
 
 
 @query(
-    _with(
+    with_ctes(
         _STATUS_E,
         """, h as (select max(tick) as tick from tick_status where complete and processed > 0)
            select s.* from tick_status s, h where s.tick >= h.tick""",
@@ -489,7 +489,7 @@ def prune_ticks(spark, sf_dir):
 
 
 @query(
-    _with(
+    with_ctes(
         feeds.SQL_ROUTED_E,
         "select max(tickNumber) as tick, arg_max(epoch, tickNumber) as epoch from routed where status = 'processed'",
     )
@@ -499,7 +499,7 @@ def indexed_height(spark, sf_dir):
 
 
 @query(
-    _with(
+    with_ctes(
         feeds.SQL_ROUTED_E,
         "select count(*) as records, count(*) filter (status = 'processed') as documents from routed",
     )
@@ -511,13 +511,13 @@ def batch_totals(spark, sf_dir):
 # ------------------------------------------------------------ lookups
 
 
-@query(_with(feeds.SQL_STORED_E, f"select * from stored where tick = {_TICK}"))
+@query(with_ctes(feeds.SQL_STORED_E, f"select * from stored where tick = {_TICK}"))
 def events_for_tick(spark, sf_dir):
     return events.events_for_tick(feeds.stored_e(spark, sf_dir), _TICK)
 
 
 @query(
-    _with(
+    with_ctes(
         feeds.SQL_STORED_E,
         """, wanted as (select distinct tick from stored union select distinct tick + 100000 from stored)
            select w.tick, coalesce(s.epoch, 0) as epoch, s.log_id, s.event_type, s.index_in_tick
@@ -533,19 +533,19 @@ def events_for_ticks(spark, sf_dir):
 
 
 @query(
-    _with(feeds.SQL_STORED_E, f"select * from stored where epoch = 1 and tick between {_TICK - 20} and {_TICK + 20}")
+    with_ctes(feeds.SQL_STORED_E, f"select * from stored where epoch = 1 and tick between {_TICK - 20} and {_TICK + 20}")
 )
 def events_in_range(spark, sf_dir):
     return events.events_in_range(feeds.stored_e(spark, sf_dir), 1, _TICK - 20, _TICK + 20)
 
 
-@query(_with(feeds.SQL_STORED_E, "select * from stored where epoch = 3"))
+@query(with_ctes(feeds.SQL_STORED_E, "select * from stored where epoch = 3"))
 def scan_events(spark, sf_dir):
     return events.scan_events(feeds.stored_e(spark, sf_dir), 3)
 
 
 @query(
-    _with(
+    with_ctes(
         feeds.SQL_FEED_E,
         """select l.epoch, l.tick, l.log_id, s.log_id is not null as present
            from logs l left join (select epoch, tick, log_id from logs where ok) s using (epoch, tick, log_id)""",
@@ -558,7 +558,7 @@ def has_events(spark, sf_dir):
 
 
 @query(
-    _with(
+    with_ctes(
         feeds.SQL_FEED_L,
         """, w as (select distinct tick from deliveries union select distinct tick + 400 from deliveries),
            x as (select tick, min(epoch) epoch from deliveries group by tick),
@@ -574,13 +574,13 @@ def tick_to_epoch(spark, sf_dir):
     return events.tick_to_epoch(stored, days.unionByName(days.select((F.col("tick") + 400).alias("tick"))))
 
 
-@query(_with(_LATEST_L, f"select {_L_COLUMNS} from latest where epoch in (select distinct epoch from latest order by epoch desc limit 3)"))
+@query(with_ctes(_LATEST_L, f"select {_L_COLUMNS} from latest where epoch in (select distinct epoch from latest order by epoch desc limit 3)"))
 def retain_epochs(spark, sf_dir):
     return events.retain_epochs(_latest_l(spark, sf_dir), 3).select(*_L_COLUMNS.split(", "))
 
 
 @query(
-    _with(
+    with_ctes(
         feeds.SQL_FEED_L,
         """, dropped as (select distinct epoch from deliveries order by epoch desc offset 3)
            select epoch, count(*) as events, epoch > (select max(epoch) from dropped) as in_scope from deliveries group by epoch""",
@@ -591,7 +591,7 @@ def epoch_scope(spark, sf_dir):
     return events.epoch_scope(feed, feed, 3).groupBy("epoch", "in_scope").agg(F.count(F.lit(1)).alias("events"))
 
 
-@query(_with(feeds.SQL_STORED_E, "select epoch, tick, count(*) as events from stored group by epoch, tick"))
+@query(with_ctes(feeds.SQL_STORED_E, "select epoch, tick, count(*) as events from stored group by epoch, tick"))
 def count_events_per_tick(spark, sf_dir):
     return events.count_events_per_tick(feeds.stored_e(spark, sf_dir))
 
@@ -601,18 +601,18 @@ def count_events_per_tick(spark, sf_dir):
 _STATUS = "select epoch, min(tick) as first_tick, max(tick) as last_tick, count(*) as total_events from {} group by epoch"
 
 
-@query(_with(_LATEST_L, _STATUS.format("latest")))
+@query(with_ctes(_LATEST_L, _STATUS.format("latest")))
 def epoch_status(spark, sf_dir):
     return status.epoch_status(feeds.feed_l(spark, sf_dir), *feeds.FEED_L_ARRIVAL)
 
 
-@query(_with(feeds.SQL_FEED_L, _STATUS.format("deliveries")))
+@query(with_ctes(feeds.SQL_FEED_L, _STATUS.format("deliveries")))
 def epoch_status_delivered(spark, sf_dir):
     return status.epoch_status_delivered(feeds.feed_l(spark, sf_dir))
 
 
 @query(
-    _with(
+    with_ctes(
         feeds.SQL_STORED_E,
         """, per_epoch as (select epoch, min(tick) a, max(tick) b, count(*) n from stored group by epoch)
            select (select '[' || string_agg('{"epoch":' || epoch || ',"intervals":[{"firstTick":' || a || ',"lastTick":' || b
@@ -625,12 +625,12 @@ def service_status(spark, sf_dir):
     return status.service_status(feeds.stored_e(spark, sf_dir)).withColumn("epochs", F.to_json("epochs"))
 
 
-@query(_with(feeds.SQL_STORED_E, "select distinct epoch from stored"))
+@query(with_ctes(feeds.SQL_STORED_E, "select distinct epoch from stored"))
 def available_epochs(spark, sf_dir):
     return status.available_epochs(feeds.stored_e(spark, sf_dir))
 
 
-@query(_with(feeds.SQL_STORED_E, "select max(tick) + 1 as start_tick from stored"))
+@query(with_ctes(feeds.SQL_STORED_E, "select max(tick) + 1 as start_tick from stored"))
 def resume_from(spark, sf_dir):
     return status.resume_from(status.progress(feeds.stored_e(spark, sf_dir)), initial_tick=1)
 
@@ -641,7 +641,7 @@ _TYPE_NAME_SQL = type_name("type")
 
 
 @query(
-    _with(
+    with_ctes(
         feeds.SQL_FEED_E,
         f"""select type, {_TYPE_NAME_SQL} as type_name, count(*) filter (ok) as received, count(*) filter (ok) as processed,
               count(*) filter (not ok) as skipped_not_ok from logs group by type""",
@@ -652,7 +652,7 @@ def metrics_by_type(spark, sf_dir):
 
 
 @query(
-    _with(
+    with_ctes(
         feeds.SQL_ROUTED_E,
         f"""select logType as type, {type_name("logType")} as type_name, reason as failure_reason, count(*) as failed
             from routed where status = 'failed' group by logType, reason""",
@@ -664,7 +664,7 @@ def failures_by_reason(spark, sf_dir):
 
 
 @query(
-    _with(
+    with_ctes(
         feeds.SQL_FEED_E,
         f"""select type, {_TYPE_NAME_SQL} as type_name, 'parse_error' as failure_reason, count(*) as failed
             from logs where ok and type in (8, 14) group by type""",
@@ -680,7 +680,7 @@ def bridge_failures(spark, sf_dir):
 
 
 @query(
-    _with(
+    with_ctes(
         feeds.SQL_MESSAGES_E,
         f"""select type, {_TYPE_NAME_SQL} as type_name, '{_TOPIC}' as topic, count(*) as published from messages group by type""",
     )
@@ -690,7 +690,7 @@ def published_by_topic(spark, sf_dir):
 
 
 @query(
-    _with(
+    with_ctes(
         feeds.SQL_ENRICHED_E,
         """select max(epoch) as current_epoch, max(tick) as last_tick, arg_max(log_id, tick * 1000000 + index_in_tick) as last_log_id,
              (select count(*) from enr where tick = (select max(tick) from enr)) as events_in_tick from enr""",
@@ -701,7 +701,7 @@ def state_gauges(spark, sf_dir):
 
 
 @query(
-    _with(
+    with_ctes(
         feeds.SQL_ROUTED_E,
         """select count(*) as processed, max(tickNumber) as tick, arg_max(epoch, tickNumber) as epoch
            from routed where status = 'processed'""",
@@ -712,7 +712,7 @@ def consumer_gauges(spark, sf_dir):
 
 
 @query(
-    _with(
+    with_ctes(
         feeds.SQL_FEED_E,
         """select count(*) filter (ok) as received, count(*) filter (ok) as processed, cast(0 as bigint) as deduplicated,
              cast(0 as bigint) as failed, cast(0 as bigint) as pending, true as balanced from logs""",
