@@ -19,7 +19,7 @@ _FITS = {
     "u64": r"BIGINT|DECIMAL\((?:19|20),0\)",
     "num": r"BIGINT|DOUBLE|DECIMAL\(",
     "bool": "BOOLEAN",
-    "obj": "NESTED",
+    "obj": "OBJECT_",
 }
 _OPTIONS = (
     "map('columnNameOfCorruptRecord', '__bad', 'allowSingleQuotes', 'false', 'allowNonNumericNumbers', 'false')"
@@ -35,7 +35,7 @@ def from_json(text: str, fields: Mapping[str, str]) -> str:
 def suspect_kinds(text: str, parsed: str, kinds: Mapping[str, str], by_type: Mapping[str, Iterable[str]]) -> str:
     """For rows where a value may have the wrong type: ``, key: TYPE, key: TYPE`` of the top level.
 
-    Nested types read NESTED; text that is no object reads as anything that
+    Nested types read OBJECT_ and ARRAY_; text that is no object reads as anything that
     does not start with a comma. NULL for all other rows, which are not parsed again.
     """
     opening = {"str": '"', "obj": "{"}
@@ -45,7 +45,7 @@ def suspect_kinds(text: str, parsed: str, kinds: Mapping[str, str], by_type: Map
         branches += f" when {condition} then {' and '.join(tests) or 'true'}"
     types = f"regexp_replace(schema_of_variant(try_parse_json({text})), '^OBJECT<', ', ')"
     for _ in range(4):
-        types = f"regexp_replace({types}, '(OBJECT|ARRAY)<[^<>]*>', 'NESTED')"
+        types = f"regexp_replace({types}, '(OBJECT|ARRAY)<[^<>]*>', '$1_')"
     return (
         f"case when {text} is not null and ({parsed}.__bad is not null or not case{branches} else true end)"
         f" then coalesce({types}, 'none') end"

@@ -17,10 +17,11 @@ from pyspark.sql.streaming import StreamingQuery
 from tickflow.operators.bodies import parse_body
 from tickflow.operators.enrich import enrich, ok_logs
 from tickflow.operators.messages import build_event_message, to_stored_event, to_topic_rows
+from tickflow.operators.status import resume_from
 from tickflow.operators.validate import BadRecords
 from tickflow.schemas import DIVIDENDS_START
 from tickflow.sinks.files import publish_ndjson
-from tickflow.sinks.tables import PROGRESS_SCHEMA, read_state, save_progress, write_batch, write_events
+from tickflow.sinks.tables import PROGRESS_SCHEMA, newest_state, read_state, save_progress, write_batch, write_events
 from tickflow.sources.tick_stream import explode_logs, parse_messages
 
 #: Takes topic rows and the batch id.
@@ -95,6 +96,8 @@ def process_bridge_batch(
     logs = ok_logs(explode_logs(parsed))
     if start_tick is not None:
         logs = logs.filter(F.col("tick") >= start_tick)
+    # Enrichment looks at the logs twice, and the results are written three times.
+    logs = logs.persist()
     rows = parse_body(enrich(logs, carry_tick_state(previous))).persist()
     try:
         bad = rows.filter("parse_error is not null")
@@ -114,6 +117,7 @@ def process_bridge_batch(
         save_progress(progress_row(good, previous), tables.progress, batch)
     finally:
         rows.unpersist()
+        logs.unpersist()
 
 
 def run_bridge(
@@ -136,8 +140,5 @@ def run_bridge(
 
 def start_position(spark: SparkSession, tables: BridgeTables, initial_tick: int, override_tick: int | None = None) -> DataFrame:
     """``start_tick`` for a source that is asked for ticks: saved tick + 1, the initial tick, or the override."""
-    from tickflow.operators.status import resume_from
-    from tickflow.sinks.tables import newest_state
-
     saved = newest_state(spark, tables.progress, PROGRESS_SCHEMA)
     return resume_from(saved.withColumnRenamed("last_tick", "last_processed_tick"), initial_tick, override_tick)
