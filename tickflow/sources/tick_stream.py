@@ -65,8 +65,11 @@ def explode_logs(messages: DataFrame) -> DataFrame:
     """
     ticks = messages.filter("kind = 'ticks'")
     if "msg_seq" not in ticks.columns:
-        ids = F.transform(F.filter(F.col("result.logs"), lambda x: x["ok"]), lambda x: x["logId"].cast("bigint"))
-        ticks = ticks.withColumn("msg_seq", F.coalesce(F.array_min(ids), F.lit(0)))
+        good = F.transform(F.filter(F.col("result.logs"), lambda x: x["ok"]), lambda x: x["logId"])
+        ticks = ticks.withColumn("__low", F.coalesce(F.array_min(good), F.lit(0).cast("decimal(20,0)")))
+        # Ids from 2^63 on continue below zero, as 64-bit numbers do.
+        wrapped = F.expr("cast(case when __low < 9223372036854775808 then __low else __low - 18446744073709551616 end as bigint)")
+        ticks = ticks.withColumn("msg_seq", wrapped)
     rows = ticks.select("msg_seq", F.col("result.tick").alias("message_tick"), F.posexplode("result.logs").alias("pos", "log"))
     return rows.select("msg_seq", F.col("pos").cast("bigint").alias("pos"), *_log_columns())
 
