@@ -216,13 +216,10 @@ def route_records(records: DataFrame, types: Sequence[int] = DEFAULT_SUPPORTED_T
     fields fail a record of any type; then unsupported types are skipped;
     then the conversion may fail; then zero amounts are skipped.
     """
+    early = """case when decode_error is not null then concat('decode ', decode_error)
+        when missing is not null then concat('missing ', missing) when zero is not null then concat('zero ', zero) end"""
     decoded = validate_nonzero(validate_required(decode_event(records, value)))
-    early = F.coalesce(
-        F.when(F.col("decode_error").isNotNull(), F.concat(F.lit("decode "), F.col("decode_error"))),
-        F.when(F.col("missing").isNotNull(), F.concat(F.lit("missing "), F.col("missing"))),
-        F.when(F.col("zero").isNotNull(), F.concat(F.lit("zero "), F.col("zero"))),
-    )
-    events = apply_defaults(decoded.withColumn("early", early))
+    events = apply_defaults(decoded.withColumn("early", F.expr(early)))
     carried = [c for c in records.columns if c != value and c not in DOCUMENT_COLUMNS]
     keep = [*carried, "early", "index", "lastLogForTick"]
     docs = to_document(events, keep=keep)

@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
-from pyspark.sql.window import Window
 
 from tickflow.functions.tx_hash import dividend_marker
 from tickflow.operators.prefix import carry_forward
@@ -19,6 +18,8 @@ from tickflow.operators.prefix import carry_forward
 CHUNK_BITS = 6
 #: Room for the place of a log inside its message when both are packed in one BIGINT.
 _POS_BITS = 40
+#: Messages per chunk where a row is one message (as a power of two).
+_NARROW_CHUNK_BITS = 16
 
 
 def ok_logs(logs: DataFrame) -> DataFrame:
@@ -48,43 +49,40 @@ def enrich(logs: DataFrame, resume: dict | None = None) -> DataFrame:
     ``resume`` continues a tick cut by an earlier batch:
     ``{"tick": t, "next_index": n, "section_open": bool}``.
     """
-    rows = with_marker(logs).withColumn("__chunk", F.shiftright(F.col("msg_seq"), CHUNK_BITS))
-    local = Window.partitionBy("tick", "__chunk").orderBy("msg_seq", "pos")
-    upto = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    numbered = rows.select(
+    columns = [f"`{c}`" for c in logs.columns]
+    rows = with_marker(logs).selectExpr("*", f"shiftright(msg_seq, {CHUNK_BITS}) __chunk")
+    local = "partition by tick, __chunk order by msg_seq, pos"
+    numbered = rows.selectExpr(
         "*",
-        (F.row_number().over(local) - 1).cast("bigint").alias("__index"),
-        F.lead("msg_seq").over(local).alias("__next"),
-        F.last("marker", ignorenulls=True).over(upto).alias("__section"),
+        f"cast(row_number() over ({local}) - 1 as bigint) __index",
+        f"lead(msg_seq) over ({local}) __next",
+        f"last(marker, true) over ({local} rows between unbounded preceding and current row) __section",
     )
 
     # One row per chunk. The marker seen last is the greatest (message, place, marker) packed in a
     # BIGINT, which a hash aggregate combines on the map side.
-    in_chunk = F.col("msg_seq").bitwiseAND((1 << CHUNK_BITS) - 1)
-    packed = F.shiftleft(in_chunk, _POS_BITS + 1) + F.shiftleft(F.col("pos"), 1) + F.col("marker")
+    in_chunk = f"(msg_seq & {(1 << CHUNK_BITS) - 1}L)"
+    packed = f"shiftleft({in_chunk}, {_POS_BITS + 1}) + shiftleft(pos, 1) + marker"
     chunks = (
         rows.groupBy("tick", "__chunk")
-        .agg(F.count(F.lit(1)).alias("n"), F.max(F.when(F.col("marker").isNotNull(), packed)).alias("packed"))
-        .select("tick", "__chunk", "n", F.col("packed").bitwiseAND(1).cast("int").alias("marker"))
+        .agg(F.expr("count(1) n"), F.expr(f"max(case when marker is not null then {packed} end) packed"))
+        .selectExpr("tick", "__chunk", "n", "cast(packed & 1 as int) marker")
     )
-    before = (
-        carry_forward(chunks, ["tick"], "__chunk", sums=["n"], lasts=["marker"])
-        # Most ticks fit in one chunk: only chunks that inherit something are joined back.
-        .filter((F.col("before_n") > 0) | F.col("before_marker").isNotNull())
-        .withColumnsRenamed({"tick": "__tick", "__chunk": "__c"})
-    )
-    joined = numbered.join(before, (F.col("tick") == F.col("__tick")) & (F.col("__chunk") == F.col("__c")), "left")
+    before = carry_forward(chunks, ["tick"], "__chunk", sums=["n"], lasts=["marker"])
+    # Most ticks fit in one chunk: only chunks that inherit something are joined back.
+    inherited = before.filter("before_n > 0 or before_marker is not null")
+    joined = numbered.join(inherited, ["tick", "__chunk"], "left")
 
-    offset, section = F.coalesce("before_n", F.lit(0)), F.coalesce("__section", "before_marker")
+    offset, section = "coalesce(before_n, 0)", "__section, before_marker"
     if resume:
-        here = F.col("tick") == F.lit(resume["tick"])
-        offset = offset + F.when(here, F.lit(resume["next_index"])).otherwise(0)
-        section = F.coalesce(section, F.when(here, F.lit(int(resume["section_open"]))))
-    return joined.select(
-        *[F.col(c) for c in logs.columns],
-        (F.col("__index") + offset).cast("bigint").alias("index_in_tick"),
-        (F.col("__next").isNull() | (F.col("__next") != F.col("msg_seq"))).alias("last_log_for_tick"),
-        (F.col("marker").isNull() & (F.coalesce(section, F.lit(0)) == 1)).alias("dividend"),
+        here = f"tick = {int(resume['tick'])}"
+        offset += f" + case when {here} then {int(resume['next_index'])} else 0 end"
+        section += f", case when {here} then {int(resume['section_open'])} end"
+    return joined.selectExpr(
+        *columns,
+        f"__index + {offset} index_in_tick",
+        "__next is null or __next <> msg_seq last_log_for_tick",
+        f"marker is null and coalesce({section}, 0) = 1 dividend",
     )
 
 
@@ -118,17 +116,15 @@ def epoch_transitions(logs: DataFrame) -> DataFrame:
     only the last epoch of every chunk is carried over chunk borders.
     """
     messages = logs.groupBy("msg_seq", "tick", "epoch").agg(F.min("pos").alias("pos"))
-    rows = messages.withColumn("__chunk", F.shiftright(F.col("msg_seq"), 16))
-    order = ["msg_seq", "tick", "pos"]
-    local = Window.partitionBy("__chunk").orderBy(*order)
-    compared = rows.withColumn("__previous", F.lag("epoch").over(local))
-    tails = rows.groupBy("__chunk").agg(F.max_by("epoch", F.struct(*order)).alias("epoch"))
-    before = carry_forward(tails, [], "__chunk", sums=[], lasts=["epoch"]).withColumnRenamed("__chunk", "__c")
+    rows = messages.selectExpr("*", f"shiftright(msg_seq, {_NARROW_CHUNK_BITS}) __chunk")
+    order = "msg_seq, tick, pos"
+    compared = rows.selectExpr("*", f"lag(epoch) over (partition by __chunk order by {order}) __previous")
+    tails = rows.groupBy("__chunk").agg(F.expr(f"max_by(epoch, struct({order})) epoch"))
+    before = carry_forward(tails, [], "__chunk", sums=[], lasts=["epoch"])
     return (
-        compared.join(before, F.col("__chunk") == F.col("__c"), "left")
-        .withColumn("old_epoch", F.coalesce("__previous", "before_epoch"))
-        .filter(F.col("old_epoch").isNotNull() & (F.col("old_epoch") != F.col("epoch")))
-        .select("msg_seq", "tick", "old_epoch", F.col("epoch").alias("new_epoch"))
+        compared.join(before, "__chunk", "left")
+        .selectExpr("msg_seq", "tick", "coalesce(__previous, before_epoch) old_epoch", "epoch new_epoch")
+        .filter("old_epoch <> new_epoch")
     )
 
 

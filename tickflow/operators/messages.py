@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tickflow.operators.bodies import rename_body, rename_stored_body, source_body_json
 from tickflow.schemas import STORED_COLUMNS
@@ -21,85 +20,72 @@ _ENVELOPE = [
 ]
 
 
-def _or_zero(name: str) -> Column:
-    return F.coalesce(F.col(name), F.lit(0))
-
-
-def _or_empty(name: str) -> Column:
-    return F.coalesce(F.col(name), F.lit(""))
-
-
 def build_event_message(enriched: DataFrame) -> DataFrame:
     """Enriched, parsed log rows -> the 12 message columns; ``body`` is JSON text or NULL."""
-    return enriched.select(
-        F.col("index_in_tick").alias("index"),
-        _or_zero("type").alias("type"),
-        F.col("tick").alias("tickNumber"),
-        F.col("epoch"),
-        _or_empty("log_digest").alias("logDigest"),
-        F.col("log_id").alias("logId"),
-        _or_zero("body_size").alias("bodySize"),
-        _or_zero("timestamp").alias("timestamp"),
-        _or_empty("tx_hash").alias("transactionHash"),
-        F.expr(rename_body()).alias("body"),
-        F.col("dividend"),
-        F.col("last_log_for_tick").alias("lastLogForTick"),
+    return enriched.selectExpr(
+        "index_in_tick `index`",
+        "coalesce(type, 0) type",
+        "tick tickNumber",
+        "epoch",
+        "coalesce(log_digest, '') logDigest",
+        "log_id logId",
+        "coalesce(body_size, 0) bodySize",
+        "coalesce(timestamp, 0) timestamp",
+        "coalesce(tx_hash, '') transactionHash",
+        f"{rename_body()} body",
+        "dividend",
+        "last_log_for_tick lastLogForTick",
     )
 
 
 def replay_messages(stored: DataFrame) -> DataFrame:
     """Stored events -> message columns plus ``rename_error``; body size and dividend are not stored."""
-    return rename_stored_body(stored).select(
-        F.col("index_in_tick").alias("index"),
-        F.col("event_type").alias("type"),
-        F.col("tick").alias("tickNumber"),
-        F.col("epoch"),
-        F.col("log_digest").alias("logDigest"),
-        F.col("log_id").alias("logId"),
-        F.lit(0).cast("bigint").alias("bodySize"),
-        F.col("timestamp"),
-        F.col("tx_hash").alias("transactionHash"),
-        F.col("topic_body").alias("body"),
-        F.lit(False).alias("dividend"),
-        F.col("last_log_for_tick").alias("lastLogForTick"),
-        F.col("rename_error"),
+    return rename_stored_body(stored).selectExpr(
+        "index_in_tick `index`",
+        "event_type type",
+        "tick tickNumber",
+        "epoch",
+        "log_digest logDigest",
+        "log_id logId",
+        "0L bodySize",
+        "timestamp",
+        "tx_hash transactionHash",
+        "topic_body body",
+        "false dividend",
+        "last_log_for_tick lastLogForTick",
+        "rename_error",
     )
 
 
-def message_json(messages: DataFrame) -> Column:
+def message_json() -> str:
     """One event as JSON. The two flags appear only when they are true."""
-    envelope = F.to_json(F.struct(*[F.col(c) for c in _ENVELOPE]))
-    return F.concat(
-        F.left(envelope, F.length(envelope) - 1),
-        F.lit(',"body":'),
-        F.coalesce(F.col("body"), F.lit("null")),
-        F.when(F.col("dividend"), F.lit(',"dividend":true')).otherwise(""),
-        F.when(F.col("lastLogForTick"), F.lit(',"lastLogForTick":true')).otherwise(""),
-        F.lit("}"),
-    )
+    envelope = f"to_json(struct({', '.join(f'`{c}`' for c in _ENVELOPE)}))"
+    return f"""concat(rtrim('}}', {envelope}), ',"body":', coalesce(body, 'null'),
+        case when dividend then ',"dividend":true' else '' end,
+        case when lastLogForTick then ',"lastLogForTick":true' else '' end, '}}')"""
 
 
 def to_topic_rows(messages: DataFrame) -> DataFrame:
     """``key`` (tick as text: one tick, one topic partition), ``value`` (JSON), and the sort columns."""
-    return messages.select(
-        F.col("tickNumber").cast("string").alias("key"),
-        message_json(messages).alias("value"),
-        F.col("epoch"),
-        F.col("tickNumber").alias("tick"),
-        F.col("index"),
-        F.col("logId").alias("log_id"),
-        F.col("type"),
+    return messages.selectExpr(
+        "cast(tickNumber as string) key",
+        f"{message_json()} value",
+        "epoch",
+        "tickNumber tick",
+        "`index`",
+        "logId log_id",
+        "type",
     )
 
 
 def to_stored_event(enriched: DataFrame) -> DataFrame:
     """Enriched, parsed log rows -> the stored columns; the body keeps its source keys."""
     columns = {
-        "log_id": F.col("log_id").cast("decimal(20,0)"),
-        "event_type": _or_zero("type"),
-        "tx_hash": _or_empty("tx_hash"),
-        "timestamp": _or_zero("timestamp"),
-        "body": F.expr(source_body_json()),
-        "log_digest": _or_empty("log_digest"),
+        "log_id": "cast(log_id as decimal(20,0))",
+        "event_type": "coalesce(type, 0)",
+        "tx_hash": "coalesce(tx_hash, '')",
+        "timestamp": "coalesce(timestamp, 0)",
+        "body": source_body_json(),
+        "log_digest": "coalesce(log_digest, '')",
     }
-    return enriched.select(*[columns.get(c, F.col(c)).alias(c) for c in STORED_COLUMNS])
+    return enriched.selectExpr(*[f"{columns.get(c, c)} {c}" for c in STORED_COLUMNS])

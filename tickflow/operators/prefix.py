@@ -11,45 +11,49 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 #: Chunk rows per first-level block.
 BLOCK_BITS = 14
 
+_BEFORE = "rows between unbounded preceding and 1 preceding"
+
 
 def carry_forward(chunks: DataFrame, keys: list[str], seq: str, sums: list[str], lasts: list[str]) -> DataFrame:
     """What lies before each chunk of its group.
 
-    ``chunks`` has one row per ``keys`` + ``seq``. Returns those columns plus
-    ``before_<c>``: the sum of every column of ``sums`` and the latest
-    non-null value of every column of ``lasts`` over the earlier chunks.
+    ``chunks`` has one row per ``keys`` + ``seq``, none of them null. Returns
+    those columns plus ``before_<c>``: the sum of every column of ``sums`` and
+    the latest non-null value of every column of ``lasts`` over the earlier chunks.
     """
-    blocks = chunks.withColumn("__block", F.shiftright(F.col(seq), BLOCK_BITS))
-    within = Window.partitionBy(*keys, "__block").orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)
-    inner = blocks.select(
+    by_key = f"partition by {', '.join(keys)}" if keys else ""
+    within = f"over (partition by {', '.join([*keys, '__block'])} order by {seq} {_BEFORE})"
+    across = f"over ({by_key} order by __block {_BEFORE})"
+    # The null tests are spelled out here so that the join below adds none to one of its sides only:
+    # both sides stay equal down to the scan, and the chunks are computed once.
+    blocks = chunks.selectExpr("*", f"shiftright({seq}, {BLOCK_BITS}) __block").filter(
+        " and ".join(f"{c} is not null" for c in [*keys, seq, "__block"])
+    )
+    inner = blocks.selectExpr(
         *keys,
         seq,
         "__block",
-        *[F.coalesce(F.sum(c).over(within), F.lit(0)).alias(f"__in_{c}") for c in sums],
-        *[F.last(c, ignorenulls=True).over(within).alias(f"__in_{c}") for c in lasts],
-    )
-    totals = blocks.groupBy(*keys, "__block").agg(
-        *[F.sum(c).alias(c) for c in sums],
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(seq))).alias(c) for c in lasts],
+        *[f"coalesce(sum({c}) {within}, 0) __in_{c}" for c in sums],
+        *[f"last({c}, true) {within} __in_{c}" for c in lasts],
     )
-    across = Window.partitionBy(*keys).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    outer = totals.select(
-        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
-        F.col("__block").alias("__b"),
-        *[F.coalesce(F.sum(c).over(across), F.lit(0)).alias(f"__out_{c}") for c in sums],
-        *[F.last(c, ignorenulls=True).over(across).alias(f"__out_{c}") for c in lasts],
+    totals = [f"sum({c}) {c}" for c in sums] + [f"max_by({c}, case when {c} is not null then {seq} end) {c}" for c in lasts]
+    outer = (
+        blocks.groupBy(*keys, "__block")
+        .agg(*[F.expr(t) for t in totals])
+        .selectExpr(
+            *keys,
+            "__block",
+            *[f"coalesce(sum({c}) {across}, 0) __out_{c}" for c in sums],
+            *[f"last({c}, true) {across} __out_{c}" for c in lasts],
+        )
     )
-    on = F.col("__block") == F.col("__b")
-    for i, k in enumerate(keys):
-        on = on & (F.col(k) == F.col(f"__k{i}"))
-    return inner.join(outer, on).select(
+    return inner.join(outer, [*keys, "__block"]).selectExpr(
         *keys,
         seq,
-        *[(F.col(f"__in_{c}") + F.col(f"__out_{c}")).alias(f"before_{c}") for c in sums],
-        *[F.coalesce(F.col(f"__in_{c}"), F.col(f"__out_{c}")).alias(f"before_{c}") for c in lasts],
+        *[f"__in_{c} + __out_{c} before_{c}" for c in sums],
+        *[f"coalesce(__in_{c}, __out_{c}) before_{c}" for c in lasts],
     )

@@ -92,13 +92,9 @@ def validate_nonzero(events: DataFrame) -> DataFrame:
 
 def apply_defaults(events: DataFrame) -> DataFrame:
     """Absent optional fields: empty hash, size 0, flags false; an absent body stays absent."""
-    return events.withColumns(
-        {
-            "transactionHash": F.coalesce("transactionHash", F.lit("")),
-            "bodySize": F.coalesce("bodySize", F.lit(0)),
-            "dividend": F.coalesce("dividend", F.lit(False)),
-            "lastLogForTick": F.coalesce("lastLogForTick", F.lit(False)),
-        }
+    defaults = {"transactionHash": "''", "bodySize": "0", "dividend": "false", "lastLogForTick": "false"}
+    return events.selectExpr(
+        *[f"coalesce(`{c}`, {defaults[c]}) `{c}`" if c in defaults else f"`{c}`" for c in events.columns]
     )
 
 

@@ -32,15 +32,15 @@ _TOPIC = "log-events"
 def portable(df: DataFrame) -> DataFrame:
     columns = []
     for name, kind in df.dtypes:
-        column = F.col(f"`{name}`")
+        column = f"`{name}`"
         if kind.startswith("decimal") or kind in ("smallint", "int"):
-            column = column.cast("bigint")
+            column = f"cast({column} as bigint)"
         elif kind == "binary":
-            column = F.hex(column)
+            column = f"hex({column})"
         elif kind.startswith("array"):
-            column = F.array_join(column.cast("array<string>"), ",")
-        columns.append(column.alias(name))
-    return df.select(*columns)
+            column = f"array_join(cast({column} as array<string>), ',')"
+        columns.append(f"{column} `{name}`")
+    return df.selectExpr(*columns)
 
 
 def query(sql: str | None = None):

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tickflow.operators.documents import bulk_ndjson
 from tickflow.operators.messages import message_json
@@ -40,9 +39,9 @@ def publish_ndjson(topic_rows: DataFrame, path: str) -> None:
 
 def write_event_ndjson(messages: DataFrame, path: str) -> None:
     """One event JSON per line."""
-    messages.select(message_json(messages).alias("value")).write.mode("overwrite").text(path)
+    messages.selectExpr(f"{message_json()} value").write.mode("overwrite").text(path)
 
 
 def write_bulk_ndjson(documents: DataFrame, path: str, index: str) -> None:
     """Bulk file: an action line and a document line per document, kept together in one record."""
-    bulk_ndjson(documents, index).select(F.col("value")).write.mode("overwrite").text(path)
+    bulk_ndjson(documents, index).write.mode("overwrite").text(path)
