@@ -43,16 +43,16 @@ def portable(df: DataFrame) -> DataFrame:
     return df.selectExpr(*columns)
 
 
-def query(sql: str | None = None):
-    """Register a query under its function name, with its DuckDB SQL."""
+def query(sql: str | None = None, name: str | None = None):
+    """Register a query under its (function) name, with its DuckDB SQL."""
 
     def register(build: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return portable(build(configure(spark), sf_dir))
 
-        QUERIES[build.__name__] = run
+        QUERIES[name or build.__name__] = run
         if sql is not None:
-            ORACLES[build.__name__] = sql
+            ORACLES[name or build.__name__] = sql
         return run
 
     return register
@@ -318,7 +318,8 @@ def millis_guard(spark, sf_dir):
         """select log_id, tx_hash, case when tx_hash like 'SC_END_TICK_TX_%' then 4 when tx_hash like 'SC_BEGIN_TICK_TX_%' then 3
              when tx_hash like 'SC_NOTIFICATION_TX%' then 6 end as category,
              length(tx_hash) = 60 as is_digest, tx_hash <> 'SC_BAD_TX_1' as known from logs""",
-    ).replace("end as category", "end::bigint as category")
+    ).replace("end as category", "end::bigint as category"),
+    name="tx_category",
 )
 def tx_category_by_hash(spark, sf_dir):
     rows = feeds.feed_e(spark, sf_dir).select(
@@ -349,7 +350,7 @@ def categories(spark, sf_dir):
     return routed.filter("categories is not null").select("logId", "categories", "status")
 
 
-@query(with_ctes(feeds.SQL_ROUTED_E, f"select {_ROUTED} from routed where status = 'processed'"))
+@query(with_ctes(feeds.SQL_ROUTED_E, f"select {_ROUTED} from routed where status = 'processed'"), name="documents")
 def document_rows(spark, sf_dir):
     return feeds.routed_e(spark, sf_dir).filter("status = 'processed'").select(*DOCUMENT_COLUMNS)
 

@@ -92,12 +92,11 @@ def process_bridge_batch(
     """One micro-batch of message text."""
     spark = messages.sparkSession
     previous = read_state(spark, tables.progress, batch - 1, PROGRESS_SCHEMA)
-    parsed = parse_messages(messages, method)
+    # The messages are parsed once: enrichment looks at their logs twice, the strict check at their kinds.
+    parsed = parse_messages(messages, method).persist()
     logs = ok_logs(explode_logs(parsed))
     if start_tick is not None:
         logs = logs.filter(F.col("tick") >= start_tick)
-    # Enrichment looks at the logs twice, and the results are written three times.
-    logs = logs.persist()
     rows = parse_body(enrich(logs, carry_tick_state(previous))).persist()
     try:
         bad = rows.filter("parse_error is not null")
@@ -117,7 +116,7 @@ def process_bridge_batch(
         save_progress(progress_row(good, previous), tables.progress, batch)
     finally:
         rows.unpersist()
-        logs.unpersist()
+        parsed.unpersist()
 
 
 def run_bridge(
