@@ -8,6 +8,8 @@ its keys arrive more than once. Both are narrow projections: no shuffle.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,6 +56,11 @@ def _log_columns(seq: str) -> str:
     return _LOG_COLUMNS.format(seq=seq).replace("{{", "{").replace("}}", "}")
 
 
+def _spark_hex(columns: str) -> str:
+    """``printf('%016x', n)`` in the functions Spark compiles."""
+    return re.sub(r"printf\('%016x', ([^)]*)\)", r"lpad(lower(hex(\1)), 16, '0')", columns)
+
+
 _FEED_L_COLUMNS = """
   epoch, tick, l_orderkey * 8 + l_linenumber log_id,
   l_linestatus = 'O' or l_returnflag <> 'A' ok,
@@ -77,7 +84,7 @@ def feed_e(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cast(get_json_object(props, '$.k') as bigint) k",
     )
     ticks = rows.selectExpr("*", "sec div 3600 tick", "1 + (sec - 1704067200) div 604800 epoch")
-    logs = ticks.select(F.expr(f"struct({_log_columns('event_id div 8')})").alias("log")).select("log.*")
+    logs = ticks.select(F.expr(f"struct({_spark_hex(_log_columns('event_id div 8'))})").alias("log")).select("log.*")
     return logs.withColumn("type", F.col("type").cast("bigint"))
 
 
@@ -231,12 +238,6 @@ stored as (
   from enr)"""
 )
 
-_DOC_SQL = {
-    "contractIndex": "case when type in (6, 7) then scIndex when type = 8 then contractIndexBurnedFor"
-    " when type = 13 then contractIndex end",
-}
-
-
 def _n(key: str) -> str:
     return f"cast(json_extract_string(body, '$.{key}') as bigint)"
 
