@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tickflow.operators.bodies import parse_body
 from tickflow.operators.enrich import enrich, ok_logs
+from tickflow.operators.events import events_in_range
 from tickflow.operators.messages import build_event_message, to_stored_event, to_topic_rows
 from tickflow.operators.metrics import rpc_errors
 from tickflow.operators.validate import BadRecords
@@ -178,6 +179,17 @@ def test_resent_events_are_overwritten(spark, tmp_path):
     assert events_of(read_events(spark, str(tmp_path / "compact"))) == events_of(read_events(spark, tables.events))
 
 
+def test_lookups_reach_the_files(spark, tmp_path):
+    tables = BridgeTables(str(tmp_path / "out"))
+    process_bridge_batch(lines(spark, message(log(1), log(2)), message(log(3, tick=11), tick=11)), 0, tables)
+    found = events_in_range(read_events(spark, tables.events), 1, 11, 12)
+    assert [int(r["log_id"]) for r in found.collect()] == [3]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(epoch" in plan
+    assert "GreaterThanOrEqual(tick,11), LessThanOrEqual(tick,12)" in plan
+    assert "Window" in plan  # resent keys are still resolved, above the filters
+
+
 def test_start_tick_and_errors(spark, tmp_path):
     bad = log(2, body={"from": 5})
     tables = BridgeTables(str(tmp_path / "strict"))

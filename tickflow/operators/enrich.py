@@ -115,11 +115,12 @@ def epoch_transitions(logs: DataFrame) -> DataFrame:
     Messages are reduced to one narrow row each, then compared inside chunks;
     only the last epoch of every chunk is carried over chunk borders.
     """
-    messages = logs.groupBy("msg_seq", "tick", "epoch").agg(F.min("pos").alias("pos"))
+    messages = logs.select("msg_seq", "tick", "epoch").distinct()
     rows = messages.selectExpr("*", f"shiftright(msg_seq, {_NARROW_CHUNK_BITS}) __chunk")
-    order = "msg_seq, tick, pos"
-    compared = rows.selectExpr("*", f"lag(epoch) over (partition by __chunk order by {order}) __previous")
-    tails = rows.groupBy("__chunk").agg(F.expr(f"max_by(epoch, struct({order})) epoch"))
+    compared = rows.selectExpr("*", "lag(epoch) over (partition by __chunk order by msg_seq, tick) __previous")
+    # (message, tick) packed in a BIGINT (ticks are 32-bit numbers), for a hash aggregate.
+    place = f"shiftleft(msg_seq & {(1 << _NARROW_CHUNK_BITS) - 1}L, 32) + tick"
+    tails = rows.groupBy("__chunk").agg(F.expr(f"max_by(epoch, {place}) epoch"))
     before = carry_forward(tails, [], "__chunk", sums=[], lasts=["epoch"])
     return (
         compared.join(before, "__chunk", "left")
