@@ -19,7 +19,6 @@ import sys
 import unicodedata
 from itertools import chain
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -60,10 +59,28 @@ def _ranges(letters: str) -> list[str]:
     return ["".join(map(chr, part)) for part in np.split(points, np.flatnonzero(np.diff(points) != 1) + 1)]
 
 
+class _Known(dict):
+    """Ids of stretches of text. A full generation is kept for one more, so that what is frequent stays known."""
+
+    def __init__(self, bpe: Bpe):
+        self.bpe = bpe
+
+    def __missing__(self, chunk: str) -> bytes:
+        older = self.bpe.older
+        ids = older.get(chunk)
+        if ids is None:
+            ids = self.bpe.chunk(chunk) if chunk else b""
+        if len(self) >= self.bpe.remembered:
+            self.bpe.older = dict(self)
+            self.clear()
+        self[chunk] = ids
+        return ids
+
+
 class Bpe:
     """One vocabulary; ``newer`` is ``newer_letters()``; ``remembered`` bounds each of the caches."""
 
-    def __init__(self, spec: str, newer: str, remembered: int = 250_000):
+    def __init__(self, spec: str, newer: str, remembered: int = 200_000):
         file = json.loads(spec)
         model = file["model"]
         self.suffix = model["end_of_word_suffix"]
@@ -80,8 +97,7 @@ class Bpe:
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")")
         self.letters = byte_alphabet()
         self.remembered = remembered
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.chunks: dict[str, tuple[int, ...]] = {}
+        self.known, self.older = _Known(self), {}
         self.pairs: dict[int, bool] = {}
         # Tokens by number: base letters first, then by the rank of the merge that makes them.
         keys = [t[: -len(self.suffix)] + _END if t.endswith(self.suffix) else t for t in self.vocab]
@@ -95,11 +111,52 @@ class Bpe:
             self.pair_rank[number[left] << 20 | number[right]] = rank
             if self.made_at[whole] < 0:
                 self.made_at[whole], self.parts[whole] = rank, (number[left], number[right])
-        self.matches = ahocorasick.Automaton()
-        for n, key in enumerate(keys):
-            if self._merged(key) == [key[:-1] + self.suffix if key[-1] == _END else key]:
-                self.matches.add_word(key, (n, len(key)))
-        self.matches.make_automaton()
+        self._automaton([(n, key) for n, key in enumerate(keys) if self._merged(key) == [key[:-1] + self.suffix if key[-1] == _END else key]])
+
+    def _automaton(self, tokens: list[tuple[int, str]]) -> None:
+        """States are prefixes of tokens, with links to their longest suffix that is one; ``longest`` is the longest
+        token that ends in a state, ``shorter`` the next one that ends a token."""
+        self.size = [0] * len(self.ids)
+        goes: list[dict[str, int]] = [{}]
+        own = [-1]
+        for n, key in tokens:
+            self.size[n] = len(key)
+            state = 0
+            for letter in key:
+                then = goes[state].get(letter)
+                if then is None:
+                    then = goes[state][letter] = len(goes)
+                    goes.append({})
+                    own.append(-1)
+                state = then
+            own[state] = n
+        link = [0] * len(goes)
+        longest = list(own)
+        self.shorter = [-1] * len(self.ids)
+        level = [0]
+        while level:
+            below = []
+            for state in level:
+                if own[state] >= 0:
+                    self.shorter[own[state]] = longest[link[state]] if state else -1
+                else:
+                    longest[state] = longest[link[state]]
+                for letter, then in goes[state].items():
+                    at = link[state]
+                    while at and letter not in goes[at]:
+                        at = link[at]
+                    found = goes[at].get(letter, 0)
+                    link[then] = found if found != then else 0
+                    below.append(then)
+            level = below
+        self.goes, self.link, self.longest = goes, link, longest
+        self.step: dict[int, int] = {}
+
+    def _move(self, state: int, letter: str) -> int:
+        """The longest prefix of a token that ends here after one more letter."""
+        while state and letter not in self.goes[state]:
+            state = self.link[state]
+        return self.goes[state].get(letter, 0)
 
     def _merged(self, key: str) -> list[str]:
         """The symbols of ``key`` merged by rank, lowest first, leftmost first."""
@@ -142,75 +199,75 @@ class Bpe:
             else:
                 return True
 
-    def word(self, letters: str) -> tuple[int, ...]:
+    def word(self, letters: str) -> list[int]:
         """Ids of one word, given in the byte alphabet."""
         text = letters + _END
         last = [-1] * (len(text) + 1)
         begins = [0] * (len(text) + 1)
-        pairs, stable = self.pairs, self._stable
-        for end, (token, size) in self.matches.iter(text):  # at each end, the longest match comes first
-            if last[end + 1] >= 0:
-                continue
-            start = end + 1 - size
-            if start:
+        pairs, longest, shorter, size = self.pairs, self.longest, self.shorter, self.size
+        step, state = self.step, 0
+        for end, letter in enumerate(text, 1):
+            move = state << 10 | ord(letter)
+            state = step.get(move, -1)
+            if state < 0:
+                state = step[move] = self._move(move >> 10, letter)
+            token = longest[state]  # the longest match is right most of the time
+            while token >= 0:
+                start = end - size[token]
+                if not start:
+                    break
                 before = last[start]
-                if before < 0:
-                    continue
-                pair = before << 20 | token
-                known = pairs.get(pair)
-                if known is None:
-                    if len(pairs) >= self.remembered:
-                        pairs.clear()
-                    known = pairs[pair] = stable(before, token)
-                if not known:
-                    continue
-            last[end + 1], begins[end + 1] = token, start
+                if before >= 0:
+                    pair = before << 20 | token
+                    known = pairs.get(pair)
+                    if known is None:
+                        if len(pairs) >= self.remembered:
+                            pairs.clear()
+                        known = pairs[pair] = self._stable(before, token)
+                    if known:
+                        break
+                token = shorter[token]
+            last[end], begins[end] = token, end - size[token] if token >= 0 else 0
         ids, end = [], len(text)
         while end:
             ids.append(self.ids[last[end]])
             end = begins[end]
-        return tuple(reversed(ids))
-
-    def chunk(self, chunk: str) -> tuple[int, ...]:
-        """Ids of a stretch of normalised text without white space."""
-        out: list[int] = []
-        for word in self.pattern.findall(chunk):
-            ids = self.words.get(word)
-            if ids is None:
-                if len(self.words) >= self.remembered:
-                    self.words.clear()
-                ids = self.words[word] = self.word("".join(map(self.letters.__getitem__, word.encode())))
-            out.extend(ids)
-        return tuple(out)
-
-    def encode(self, text: str | None) -> list[int]:
-        ids: list[int] = []
-        known = self.chunks
-        for part in self.cut.split(text or ""):
+        return ids[::-1]
+
+    def chunk(self, chunk: str) -> bytes:
+        """Ids (32 bits each) of a stretch of normalised text without white space."""
+        words = self.pattern.findall(chunk)
+        if len(words) == 1:
+            return np.array(self.word("".join(map(self.letters.__getitem__, words[0].encode()))), np.int32).tobytes()
+        return b"".join(map(self.known.__getitem__, words))
+
+    def ids_of(self, text: str | None) -> bytes:
+        """Ids of a text, 32 bits each."""
+        if not text:
+            return b""
+        out = []
+        for part in self.cut.split(text) if "<|" in text else (text,):
             if part in self.added:
-                ids.append(self.added[part])
+                out.append(np.int32(self.added[part]).tobytes())
                 continue
             # One letter at a time: the final form of sigma is not used.
             if not part.isascii():
                 part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
                 if _NEWER.search(part):
                     part = part.translate(NEWER_LOWER)
+            # Python counts four controls as white space that are none here.
             part = part.lower()
-            for chunk in (_SPACES.sub(" ", part) if not part.isascii() else part.translate(_ASCII_SPACE)).split(" "):
-                got = known.get(chunk)
-                if got is None:
-                    if len(known) >= self.remembered:
-                        known.clear()
-                    got = known[chunk] = self.chunk(chunk)
-                ids.extend(got)
-        return ids
+            out.extend(map(self.known.__getitem__, _SPACES.split(part) if any(map(part.__contains__, "\x1c\x1d\x1e\x1f")) else part.split()))
+        return b"".join(out)
+
+    def encode(self, text: str | None) -> list[int]:
+        return np.frombuffer(self.ids_of(text), np.int32).tolist()
 
     def decode(self, ids) -> str:
         """The tokens of the ids with a space between two; unknown ids have none."""
         return " ".join([p for p in map(self.pieces.get, ids) if p is not None])
 
 
-_ASCII_SPACE = {ord(c): " " for c in "\t\n\x0b\x0c\r"}
 _LOADED: dict[int, Bpe] = {}
 
 
@@ -228,13 +285,10 @@ class Tokenizer:
 
         @F.arrow_udf("array<int>")
         def ids(texts: pa.Array) -> pa.Array:
-            bpe, flat, ends = model(), [], [0]
-            for start in range(0, len(texts), 256):
-                part = [bpe.encode(t) for t in texts.slice(start, 256).to_pylist()]
-                ends += [ends[-1] + int(n) for n in np.cumsum([len(x) for x in part])]
-                flat.append(np.fromiter(chain.from_iterable(part), np.int32, ends[-1] - ends[start]))
-            values = np.concatenate(flat) if flat else np.empty(0, np.int32)
-            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
+            bpe = model()
+            parts = [bpe.ids_of(t.as_py()) for t in texts]
+            ends = np.cumsum([0] + [len(p) // 4 for p in parts]).astype(np.int32)
+            return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(parts), np.int32)))
 
         return ids(text)
 

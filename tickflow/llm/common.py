@@ -35,9 +35,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def held_out(doc_id: Column) -> Column:
+    """Whether a row's labels are kept from training: crc32 of its id as text, modulo 3, is 1."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
 def in_fold(doc_id: Column) -> Column:
-    """Whether labels of a row may be learned from: crc32 of its id as text, modulo 3, is not 1."""
-    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 != 1, F.lit(False))
+    """Whether labels of a row may be learned from; not without an id."""
+    return doc_id.isNotNull() & ~held_out(doc_id)
 
 
 def hash64(data: bytes) -> int:

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickflow.llm import line_dedup, minhash, mixing, toxicity
 from tickflow.llm.bpe import Tokenizer
+from tickflow.llm.common import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,3 +44,32 @@ def encoded_digests(docs: DataFrame, tokenizer: Tokenizer) -> DataFrame:
 @query
 def op7_bpe(spark, sf_dir):
     return encoded_digests(_documents(spark, sf_dir), Tokenizer(spark, tokenizer_path()))
+
+
+#: A score from here on predicts label 1.
+TOXIC_FROM = 0.7
+
+
+@query
+def op10_toxicity(spark, sf_dir):
+    docs = _documents(spark, sf_dir)
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), toxicity.toxicity(docs, model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= TOXIC_FROM).cast("int"))
+
+
+@query
+def op9_line_dedup(spark, sf_dir):
+    kept = line_dedup.dedup_lines(_documents(spark, sf_dir))
+    return kept.select("doc_id", "n_dropped", F.length("text").alias("n_chars_kept"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
+@query
+def op3_minhash(spark, sf_dir):
+    return minhash.near_duplicates(_documents(spark, sf_dir), shingle=3, percent=85)
+
+
+@query
+def op2_mixing(spark, sf_dir):
+    mixed = mixing.mix(_documents(spark, sf_dir))
+    return mixed.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
