@@ -10,8 +10,8 @@ as the residual. So the words of a source stay what they were, but for one resid
 Documents are dealt by a hash to buckets of about ``bucket`` rows of a source; a
 bucket hands one residual to the next level, where ``bucket`` buckets meet, and so
 on until one bucket is left: a reduction tree of log(rows) levels, in which
-no task ever holds more than some buckets. The last residual of a source is rounded to
-the nearer side, and what is then missing or too much is made up by up to
+no task ever holds more than some buckets. The last residual of a source is rounded down,
+and what is then missing is made up by up to
 ``closing`` single documents of fitting size, which switch between the two copy
 counts they might have had.
 
@@ -104,7 +104,7 @@ def _trade(seed: int):
 
 def pivotal(rows: DataFrame, seed: int = 17, bucket: int = 64) -> DataFrame:
     """(source, id, size > 0, whole int, 0 <= p < 1) -> (source, id, size, copies); p is 0 or 1 in the end but for
-    one residual of a source, which goes to the nearer side."""
+    one residual of a source, which is rounded down."""
     certain = rows.filter("p = 0").select("source", "id", "size", F.col("whole").alias("copies"))
     going = rows.filter("p > 0")
     n = going.count()
@@ -123,7 +123,7 @@ def pivotal(rows: DataFrame, seed: int = 17, bucket: int = 64) -> DataFrame:
             break
         buckets = -(-buckets // bucket)
         going = going.withColumn("bucket", F.floor(F.col("bucket") / bucket))
-    parts.append(going.select("source", "id", "size", (F.col("whole") + F.round("p").cast("int")).alias("copies")))
+    parts.append(going.select("source", "id", "size", F.col("whole").alias("copies")))
     out = parts[0]
     for part in parts[1:]:
         out = out.union(part)

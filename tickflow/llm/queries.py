@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickflow.llm import line_dedup, minhash, mixing, toxicity
+from tickflow.llm import fingerprints, line_dedup, minhash, mixing, toxicity
 from tickflow.llm.bpe import Tokenizer
 from tickflow.llm.common import held_out
 
@@ -73,3 +73,8 @@ def op3_minhash(spark, sf_dir):
 def op2_mixing(spark, sf_dir):
     mixed = mixing.mix(_documents(spark, sf_dir))
     return mixed.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@query
+def op5_fingerprints(spark, sf_dir):
+    return fingerprints.fingerprint_documents(_documents(spark, sf_dir))
