@@ -1,21 +1,57 @@
-"""The training-data pipeline over ``documents``: each stage reads what the one before it kept."""
+"""The training-data pipeline over ``documents``: each stage reads what the one before it kept.
+
+Toxic documents go; repeated lines go (their first place stays); one document of
+each group of near copies stays; sources are mixed to their target weights, so
+a document may stand up to three times or not at all; what is left is encoded.
+All stages but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickflow.llm import queries
+from tickflow.llm import line_dedup, minhash, mixing, queries, toxicity
 from tickflow.llm.bpe import Tokenizer
 from tickflow.llm.common import written
 
 
-def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not reject."""
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return docs.filter(toxicity.toxicity(docs, model) < queries.TOXIC_FROM)
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without repeated lines."""
+    return line_dedup.dedup_lines(docs, dropped="__dropped").select(*docs.columns)
+
+
+def minhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group, as one row; rows without id stay."""
+    kept = minhash.near_duplicates(docs).filter("kept and doc_id is not null").select(F.col("doc_id").alias("__id")).distinct()
+    unknown = docs.filter("doc_id is null")
+    return docs.join(kept, F.col("doc_id") == F.col("__id"), "left_semi").dropDuplicates(["doc_id"]).union(unknown)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    return mixing.repeated(docs)
+
+
+def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return queries.encoded_digests(docs, Tokenizer(spark, queries.tokenizer_path()))
 
 
-STAGES = [("bpe", encode_stage)]
+STAGES = [
+    ("toxicity", toxicity_stage),
+    ("line dedup", line_stage),
+    ("minhash near-dedup", minhash_stage),
+    ("mixing", mixing_stage),
+    ("bpe", bpe_stage),
+]
 
-#: Trained models, random rounding and BPE are not SQL; the stages are tested against brute force.
+#: A trained model, hashed signatures, random rounding and BPE are not SQL; tests/llm holds each against brute force.
 ORACLE_SQL = None
 
 
@@ -23,5 +59,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole table; what a stage keeps is written and read again by the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = written(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)

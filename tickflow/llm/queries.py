@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickflow.llm import fingerprints, line_dedup, minhash, mixing, toxicity
+from tickflow.llm import fingerprints, language, line_dedup, minhash, mixing, secrets, toxicity
 from tickflow.llm.bpe import Tokenizer
 from tickflow.llm.common import held_out
 
@@ -78,3 +78,20 @@ def op2_mixing(spark, sf_dir):
 @query
 def op5_fingerprints(spark, sf_dir):
     return fingerprints.fingerprint_documents(_documents(spark, sf_dir))
+
+
+@query
+def op6_secrets(spark, sf_dir):
+    docs = _documents(spark, sf_dir)
+    found = docs.select("doc_id", secrets.scan(docs, secrets.train(docs)).alias("found")).select("doc_id", "found.*")
+    count = lambda kind: F.regexp_count("base", F.lit(f"{kind}:")).cast("long").alias(f"n_{kind}")
+    digest = F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", count("assign"), count("access"), count("hex"), digest, "spans")
+
+
+@query
+def op8_language(spark, sf_dir):
+    docs = _documents(spark, sf_dir)
+    net = language.train(docs)
+    found = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), language.language(docs, net).alias("found"))
+    return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"))
