@@ -26,13 +26,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickflow.llm.common import hash64, runs, small_batches, written
+from tickflow.llm.common import hash64, small_batches, written
 
 _FIELD = re.compile(rb"(?<![^\x20\x09-\x0d])[^\x20\x09-\x0d0-9]*[0-9][^\x20\x09-\x0d]*")
 _VARIABLE = b"<*>"
@@ -78,7 +79,7 @@ def _scan(leading: int, least: int):
                         places.append(number)
                         leaves.append(leaf)
                         lines.append(line)
-                        tokens.append(bytes([codes[w] for w in words]))
+                        tokens.append(bytes(map(codes.__getitem__, words)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(places, pa.int32()), _as_long(leaves), _as_long(lines), pa.array(tokens, pa.binary())],
                 ["doc_id", "place", "leaf", "line", "tokens"],
@@ -110,51 +111,67 @@ def grow(rows: list[bytes], likeness: float) -> list[int]:
     return out
 
 
-def _grow_groups(likeness: float):
+def _grow_leaves(likeness: float):
+    """Templates of each (leaf, slice); lines of a leaf in one slice whose template stands once only are left out."""
+
     def work(batches):
-        for group in runs(batches, ["leaf", "slice"]):
-            tokens = group.column("tokens").to_pylist()
-            line = group.column("line").to_numpy()
-            of = grow(tokens, likeness) if len(tokens) > 1 else [0]
-            columns = [group.column("leaf").to_numpy(), line, line[of], group.column("slice").to_numpy()]
-            arrays = [pa.array(c) for c in columns] + [pa.array(tokens, pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, ["leaf", "line", "template", "slice", "tokens"])
+        held = None
+        for batch in chain(batches, [None]):
+            columns = [] if batch is None else [batch.column(c).to_numpy(zero_copy_only=False) for c in ("leaf", "slice", "line", "n_docs", "tokens")]
+            if held is not None:
+                columns = [np.concatenate(x) for x in zip(held, columns)] if columns else held
+            if not columns or not len(columns[0]):
+                continue
+            leaf, part, line, n_docs, tokens = columns
+            starts = np.flatnonzero(np.concatenate([[True], (leaf[1:] != leaf[:-1]) | (part[1:] != part[:-1])]))
+            whole = len(line) if batch is None else starts[-1]  # the last leaf may go on
+            held = [c[whole:] for c in columns]
+            ends = np.append(starts[1:], len(line))
+            template = line[:whole].copy()
+            total = n_docs[:whole].copy()
+            for start, end in zip(starts, ends):
+                if end - start > 1 and end <= whole:
+                    of = np.array(grow(tokens[start:end].tolist(), likeness))
+                    template[start:end] = line[start:end][of]
+                    total[start:end] = np.bincount(of, n_docs[start:end], end - start)[of]
+            kept = np.flatnonzero((total > 1) | (part[:whole] >= 0))
+            arrays = [pa.array(x[:whole][kept]) for x in (leaf, part, line, template, n_docs)]
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(tokens[kept].tolist(), pa.binary())], ["leaf", "slice", "line", "template", "n_docs", "tokens"])
 
     return work
 
 
 def _grown(rows: DataFrame, likeness: float) -> DataFrame:
-    """Templates of each (leaf, slice)."""
-    rows = rows.select("leaf", "slice", "line", "tokens").repartition("leaf", "slice").sortWithinPartitions("leaf", "slice", "line")
-    return rows.mapInArrow(_grow_groups(likeness), "leaf long, line long, template long, slice long, tokens binary")
+    rows = rows.select("leaf", "slice", "line", "n_docs", "tokens").repartition("leaf", "slice").sortWithinPartitions("leaf", "slice", "line")
+    return rows.mapInArrow(_grow_leaves(likeness), "leaf long, slice long, line long, template long, n_docs long, tokens binary")
 
 
 def repeated_lines(docs: DataFrame, leading: int = 4, likeness: float = 0.8, least: int = 3, short: int = 8, short_docs: int = 10, leaf_lines: int = 4096) -> DataFrame:
     """doc_id, line (digest) and first_place (set where the template's first line is) of every line of a recurring template."""
     known = docs.filter("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     lines = written(known.mapInArrow(_scan(leading, least), "doc_id long, place int, leaf long, line long, tokens binary"), "lines")
-    distinct = lines.groupBy("leaf", "line").agg(F.first("tokens").alias("tokens"))
-    # Large leaves in slices first; these are few, as each has thousands of distinct lines.
-    large = distinct.groupBy("leaf").count().filter(F.col("count") > leaf_lines)
-    sliced = distinct.join(large, "leaf", "left").withColumn(
-        "slice", F.when(F.col("count").isNull(), F.lit(-1)).otherwise(F.pmod("line", F.ceil(F.col("count") / leaf_lines)))
-    )
+    # A line's digest is of all its tokens, so it tells the leaf too.
+    distinct = lines.groupBy("line").agg(F.first("leaf").alias("leaf"), F.first("tokens").alias("tokens"), F.count(F.lit(1)).alias("n_docs"))
+    # Large leaves in slices first; each of these stands thousands of times.
+    large = written(lines.groupBy("leaf").count().filter(F.col("count") > leaf_lines).withColumnRenamed("leaf", "__leaf"), "large-leaves")
+    slices = F.when(F.col("count").isNull(), F.lit(-1)).otherwise(F.pmod("line", F.ceil(F.col("count") / leaf_lines)))
+    sliced = distinct.join(large, F.col("leaf") == F.col("__leaf"), "left").withColumn("slice", slices)
     grown = written(_grown(sliced, likeness), "templates")
     heads = grown.filter("slice >= 0 and line = template").withColumn("slice", F.lit(0).cast("long"))
-    merged = _grown(heads, likeness).selectExpr("leaf", "line as template", "template as whole")
-    names = grown.join(merged, ["leaf", "template"], "left").select(
-        "leaf", "line", F.coalesce("whole", "template").alias("template"), F.length("tokens").alias("n_tokens")
+    merged = _grown(heads, likeness).selectExpr("line as template", "template as whole")
+    names = grown.join(merged, "template", "left").select(
+        "line", F.coalesce("whole", "template").alias("template"), F.length("tokens").alias("n_tokens")
     )
-    placed = lines.select("doc_id", "place", "leaf", "line").join(names, ["leaf", "line"])
-    in_docs = placed.groupBy("leaf", "template", "doc_id").agg(F.min("place").alias("place"), F.first("n_tokens").alias("n_tokens"))
+    placed = lines.select("doc_id", "place", "line").join(names, "line")
+    in_docs = placed.groupBy("template", "doc_id").agg(F.min("place").alias("place"), F.first("n_tokens").alias("n_tokens"))
     recurring = (
-        in_docs.groupBy("leaf", "template")
+        in_docs.groupBy("template")
         .agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count(F.lit(1)).alias("n_docs"), F.first("n_tokens").alias("n_tokens"))
-        .filter((F.col("n_docs") >= F.when(F.col("n_tokens") >= short, 2).otherwise(short_docs)))
-        .select("leaf", "template", "first")
+        .filter(F.col("n_docs") >= F.when(F.col("n_tokens") >= short, 2).otherwise(short_docs))
+        .select("template", "first")
     )
     stays = (F.col("doc_id") == F.col("first.doc_id")) & (F.col("place") == F.col("first.place"))
-    return placed.join(recurring, ["leaf", "template"]).select("doc_id", "line", F.when(stays, F.col("place")).alias("first_place"))
+    return placed.join(recurring, "template").select("doc_id", "line", F.when(stays, F.col("place")).alias("first_place"))
 
 
 def strip(text: str | None, drop: dict[int, int | None], least: int = 3) -> tuple[str | None, int]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickflow.llm import fingerprints, language, line_dedup, minhash, mixing, secrets, toxicity
+from tickflow.llm import embeddings, fingerprints, language, line_dedup, minhash, mixing, secrets, toxicity
 from tickflow.llm.bpe import Tokenizer
 from tickflow.llm.common import held_out
 
@@ -95,3 +95,8 @@ def op8_language(spark, sf_dir):
     net = language.train(docs)
     found = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), language.language(docs, net).alias("found"))
     return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"))
+
+
+@query
+def op1_embeddings(spark, sf_dir):
+    return embeddings.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
