@@ -1,0 +1,63 @@
+import random
+import zlib
+from hashlib import sha1
+
+import pytest
+
+from tests.compare import compare, connect
+from tickflow.llm import queries, warc
+from tickflow.llm.common import shared_dir
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_query_agrees_with_sql(spark):
+    spark_rows, duck_rows, differences = compare(queries.QUERIES["op4_warc"](spark, SF), connect(SF), queries.ORACLES["op4_warc"])
+    assert not differences and spark_rows == duck_rows
+
+
+def test_round_trip_and_edges(spark):
+    big = "<p>é\r\n\r\nWARC/1.1\r\n</p>" * 60
+    rows = [
+        (1, "https://User@Example.ORG:80/a?b#c", big), (9, "http://example.org", big), (4, None, big), (5, "x y", "small"), (6, "http://example.org", "small"),
+        (7, "http://example.org/\n", None), (8, "", ""), (9, "http://example.org", big), (None, "http://z.org/", big), (2, "http://a.b.c/", "\x00" * 1000), (3, "http://a.b.c/", "\x00" * 999),
+    ]
+    pages = spark.createDataFrame([(*r, "k") for r in rows], "page_id long, url string, html string, digest string")
+    out = warc.archived(pages).collect()
+    assert sorted((r.page_id or 0, r.payload_bytes, r.payload_digest) for r in out) == sorted(
+        (i or 0, len((h or "").encode()), sha1((h or "").encode()).hexdigest()) for i, _, h in rows
+    )
+    assert {(r.page_id, r.record_type, r.refers_to) for r in out if r.payload_bytes > 1000} == {
+        (1, "revisit", 9), (4, "revisit", 9), (9, "response", None), (None, "response", None)
+    }
+    assert all(r.record_type == "response" for r in out if r.payload_bytes <= 1000)
+    keys = [(r.key, r.stamp, r.page_id if r.page_id is not None else -1) for r in out]
+    assert keys == sorted(keys)
+    assert {r.key for r in out if r.page_id in (1, 9)} == {"org,example)/a?b", "org,example)/"}
+    assert warc.archived(pages.limit(0)).count() == 0
+
+
+def test_global_order_over_ranges_and_one_hot_url(spark):
+    pages = spark.range(3000).selectExpr("id as page_id", "if(id % 3 = 0, 'http://hot.net/', concat('http://h', id % 7, '.net/', id)) as url", "'' as html")
+    path = f"{shared_dir(spark)}/warc-order"
+    warc.write_archives(pages.repartition(6), path)
+    entries = warc.merged(warc.read_archives(spark, path), rows=250)
+    parts = entries.rdd.glom().collect()
+    assert len([p for p in parts if p]) >= 8
+    keys = [(r.key, r.stamp, r.page_id) for p in parts for r in p]
+    assert len(keys) == 3000 and keys == sorted(keys)
+
+
+@pytest.mark.parametrize("k", [0, 1, 2, 3, 7, 16])
+def test_loser_tree(k):
+    chance = random.Random(k)
+    lists = [sorted(chance.choices(range(30), k=chance.randrange(12))) for _ in range(k)]
+    got = [(lists[i][j], i, j) for i, j in warc.LoserTree(lists)]
+    assert got == sorted((x, i, j) for i, own in enumerate(lists) for j, x in enumerate(own))
+
+
+def test_damage_is_found(spark):
+    record = "WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 9\r\n\r\nno head\r\n\r\n"
+    with pytest.raises((ValueError, StopIteration, RuntimeError)):
+        list(warc.parse(record.encode()))
+    assert zlib.decompress(zlib.compress(b"x", wbits=31), 47) == b"x"

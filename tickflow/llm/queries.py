@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickflow.llm import embeddings, fingerprints, language, line_dedup, minhash, mixing, secrets, toxicity
+from tickflow.llm import embeddings, fingerprints, language, line_dedup, minhash, mixing, secrets, toxicity, warc
 from tickflow.llm.bpe import Tokenizer
 from tickflow.llm.common import held_out
 
@@ -100,3 +100,19 @@ def op8_language(spark, sf_dir):
 @query
 def op1_embeddings(spark, sf_dir):
     return embeddings.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query
+def op4_warc(spark, sf_dir):
+    entries = warc.archived(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return entries.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op4_warc"] = f"""
+with p as (select page_id, coalesce(html, '') as payload from pages),
+q as (select page_id, octet_length(encode(payload)) as payload_bytes, sha1(payload) as payload_digest from p),
+r as (select *, payload_bytes >= {warc.REVISIT_FROM} and page_id < max(page_id) over (partition by payload_digest) as again,
+             max(page_id) over (partition by payload_digest) as original from q)
+select page_id, payload_bytes, payload_digest, case when again then 'revisit' else 'response' end as record_type,
+       case when again then original end as refers_to
+from r"""
