@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tickflow.operators.bodies import parse_body, rename_body, rename_stored_body, source_body_json
@@ -106,3 +108,28 @@ def test_stored_bodies(spark):
     frame = spark.createDataFrame([(t, b) for t, b, _, _ in rows], "event_type bigint, body string")
     got = rename_stored_body(frame).select("topic_body", "rename_error").collect()
     assert [tuple(r) for r in got] == [(topic, error) for _, _, topic, error in rows]
+
+
+DEEP = '{"d":' * 6 + '{"from":2}' + "}" * 6
+
+
+@pytest.mark.parametrize(
+    ("body", "error"),
+    [
+        ('{"from":5,"to":"b","amount":1,"memo":{"from":"z"}}', "from"),
+        ('{"from":"a","from":5,"to":"b","amount":1}', "from"),
+        ('{"from" :5,"to":"b","amount":1,"memo":{"from":"z"}}', "from"),
+        ('{"fr\\u006fm":5,"to":"b","amount":1,"memo":{"from":"z"}}', "from"),
+        ('{"from":"a","to":"b","amount":1,"x":%s}' % DEEP, None),
+        ('{"from":"a","to":"b","amount":1,"x":[[[[[["from"]]]]]]}', None),
+        ('{ "from" : "a" , "to" : "b" , "amount" : 1 }', None),
+        ('{"from":"a","to":"b","amount":"1","y":", from: BIGINT"}', "amount"),
+        ('{"from":"a","to":"b","amount":1,"q, from: BIGINT":1}', None),
+        ("[1]", "body"),
+        ("{}", None),
+    ],
+)
+def test_types_are_those_of_the_top_level(spark, body, error):
+    frame = spark.createDataFrame([(0, body)], "type long, body string")
+    row = parse_body(frame).first()
+    assert row["parse_error"] == error

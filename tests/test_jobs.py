@@ -199,9 +199,10 @@ def test_start_tick_and_errors(spark, tmp_path):
         process_bridge_batch(lines(spark, "{"), 0, tables)
     assert not os.path.exists(tables.root)  # nothing was written
     tables = BridgeTables(str(tmp_path / "quarantine"))
-    process_bridge_batch(lines(spark, message(log(1), bad), message(log(3, tick=9), tick=9)), 0, tables, start_tick=10, mode="quarantine")
+    process_bridge_batch(lines(spark, message(log(1), bad), "{broken", message(log(3, tick=9), tick=9)), 0, tables, start_tick=10, mode="quarantine")
     assert [int(r["log_id"]) for r in read_events(spark, tables.events).collect()] == [1]
-    assert [r["parse_error"] for r in spark.read.parquet(tables.errors).collect()] == ["from"]
+    errors = spark.read.parquet(tables.errors).collect()
+    assert {(r["parse_error"], r["message"]) for r in errors} == {("from", None), ("malformed message", "{broken")}
 
 
 def test_restart_after_a_failed_batch(spark, tmp_path):

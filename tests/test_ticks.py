@@ -1,3 +1,5 @@
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -86,3 +88,14 @@ def test_a_later_total_replaces_the_old_one(spark):
     delta = spark.createDataFrame([(1, 1, 1, 0), (2, 0, 1, 3), (4, 1, 0, 1)], schema)
     got = sorted(tuple(r) for r in tk.merge_counters(state, delta).collect())
     assert got == [(1, 2, 1, 5), (2, 1, 1, 3), (3, 1, 1, 2), (4, 1, 0, 1)]
+
+
+def test_unsigned_ticks_and_indices(spark):
+    top = 2**64 - 1
+    rows = [("processed", Decimal(top), Decimal(top), True), ("skipped", Decimal(2**63), Decimal(0), True), ("processed", Decimal(2**63), Decimal(1), False)]
+    routed = spark.createDataFrame(rows, "status string, tickNumber decimal(20,0), index decimal(20,0), lastLogForTick boolean")
+    got = {int(r.tick): (r.processed, r.skipped, int(r.total)) for r in tk.tick_counters(routed).collect()}
+    assert got == {top: (1, 0, 2**64), 2**63: (1, 1, 1)}
+    assert int(tk.highest_tick(tk.tick_status(routed)).first()["tick"]) == 2**63
+    merged = tk.merge_counters(tk.tick_counters(routed), tk.tick_counters(routed))
+    assert {int(r.tick): r.processed for r in merged.collect()} == {top: 2, 2**63: 2}

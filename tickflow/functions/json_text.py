@@ -2,10 +2,10 @@
 
 ``from_json`` reads a whole struct in one pass, but it takes a number where a
 text is wanted, and it does not tell an absent key from one of the wrong type.
-A row is above suspicion if nothing was corrupt and every text key is followed
-by a quote; that is a plain substring test. Only the others (wrong types,
-absent keys, text with blanks after its colons) are parsed a second time to
-look at the types of their top-level keys.
+A row is above suspicion if nothing was corrupt, no character is escaped, and every text key stands
+in it once, followed by a quote, or not at all: plain substring tests. Only the others (wrong types,
+repeated or nested keys, text with blanks around its colons) are parsed a second time to
+look at the types of their top-level keys, at any depth of nesting.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ _FITS = {
     "u64": r"BIGINT|DECIMAL\((?:19|20),0\)",
     "num": r"BIGINT|DOUBLE|DECIMAL\(",
     "bool": "BOOLEAN",
-    "obj": "OBJECT_",
+    "obj": "OBJECT",
 }
 _OPTIONS = (
     "map('columnNameOfCorruptRecord', '__bad', 'allowSingleQuotes', 'false', 'allowNonNumericNumbers', 'false')"
@@ -35,23 +35,37 @@ def from_json(text: str, fields: Mapping[str, str]) -> str:
 def suspect_kinds(text: str, parsed: str, kinds: Mapping[str, str], by_type: Mapping[str, Iterable[str]]) -> str:
     """For rows where a value may have the wrong type: ``, key: TYPE, key: TYPE`` of the top level.
 
-    Nested types read OBJECT_ and ARRAY_; text that is no object reads as anything that
+    Only known keys are listed, each with the head of its type (OBJECT, ARRAY, STRING ..), so nothing
+    below the top level is looked at. Text that is no object reads as anything that
     does not start with a comma. NULL for all other rows, which are not parsed again.
     """
     opening = {"str": '"', "obj": "{"}
     branches = ""
     for condition, names in by_type.items():
-        tests = [f"""contains({text}, '"{n}":{opening[kinds[n]]}')""" for n in names if kinds[n] in opening]
+        tests = [_plain(text, n, opening[kinds[n]]) for n in names if kinds[n] in opening]
         branches += f" when {condition} then {' and '.join(tests) or 'true'}"
-    types = f"regexp_replace(schema_of_variant(try_parse_json({text})), '^OBJECT<', ', ')"
-    for _ in range(4):
-        types = f"regexp_replace({types}, '(OBJECT|ARRAY)<[^<>]*>', '$1_')"
+    listed = ", ".join(f"'{n}'" for n in sorted({n for names in by_type.values() for n in names}))
+    members = f"map_entries(try_cast(try_parse_json({text}) as map<string, variant>))"
+    known = f"array_sort(filter({members}, e -> e.key in ({listed})), (l, r) -> case when l.key < r.key then -1 when l.key > r.key then 1 else 0 end)"
+    head = r"regexp_extract(schema_of_variant(e.value), '^[A-Z]+([(][0-9,]+[)])?', 0)"
+    types = f"concat(', ', array_join(transform({known}, e -> concat(e.key, ': ', {head})), ', '))"
     return (
-        f"case when {text} is not null and ({parsed}.__bad is not null or not case{branches} else true end)"
+        f"case when {text} is not null and ({parsed}.__bad is not null or contains({text}, '\\\\') or not case{branches} else true end)"
         f" then coalesce({types}, 'none') end"
     )
 
 
+def _plain(text: str, name: str, opening: str) -> str:
+    """The quoted key is not in the text at all, or once and before a value of the right type.
+
+    Then no other place can be taken for it: not a nested or repeated key, and not an escaped one, as text with a backslash is
+    suspect anyway.
+    """
+    key = f"""'"{name}"'"""
+    once = f"""contains({text}, '"{name}":{opening}') and locate({key}, {text}, locate({key}, {text}) + 1) = 0"""
+    return f"(locate({key}, {text}) = 0 or {once})"
+
+
 def uint64_field(text: str, parsed: str, suspect: str, name: str) -> str:
     """An unsigned 64-bit field read as BIGINT; values beyond that are looked up again, exactly."""
     again = f"try_variant_get(try_parse_json({text}), '$.{name}', 'decimal(20,0)')"

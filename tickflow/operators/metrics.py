@@ -68,7 +68,7 @@ def consumer_gauges(routed: DataFrame) -> DataFrame:
     """Processed records, and the highest indexed tick with its (lowest) epoch."""
     per_tick = (
         routed.filter(F.col("status") == "processed")
-        .groupBy(F.col("tickNumber").cast("bigint").alias("tick"))
+        .groupBy(F.col("tickNumber").cast("decimal(20,0)").alias("tick"))
         .agg(F.count(F.lit(1)).alias("n"), F.min("epoch").alias("epoch"))
     )
     return per_tick.agg(
@@ -96,7 +96,7 @@ def replay_totals(messages: DataFrame) -> DataFrame:
 def replay_progress(messages: DataFrame, every: int = 100) -> DataFrame:
     """Running totals after every ``every``-th tick: ticks, events and the tick reached."""
     per_tick = (
-        messages.groupBy(F.col("tickNumber").cast("bigint").alias("tick"))
+        messages.groupBy(F.col("tickNumber").cast("decimal(20,0)").alias("tick"))
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("__chunk", F.shiftright("tick", 12))
     )

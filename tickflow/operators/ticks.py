@@ -18,12 +18,12 @@ def is_complete() -> Column:
 def tick_counters(routed: DataFrame) -> DataFrame:
     """Counters per tick over routed records: processed, skipped, and total (0 if not known).
 
-    The total is the index of the last log of the tick plus one.
+    The total is the index of the last log of the tick plus one. Ticks and totals are unsigned 64-bit numbers.
     """
-    size = F.when(F.col("lastLogForTick"), F.col("index").cast("bigint") + 1)
+    size = F.when(F.col("lastLogForTick"), (F.col("index").cast("decimal(20,0)") + 1).cast("decimal(20,0)"))
     return (
         routed.filter(F.col("status").isin("processed", "skipped"))
-        .groupBy(F.col("tickNumber").cast("bigint").alias("tick"))
+        .groupBy(F.col("tickNumber").cast("decimal(20,0)").alias("tick"))
         .agg(
             F.count_if(F.col("status") == "processed").alias("processed"),
             F.count_if(F.col("status") == "skipped").alias("skipped"),
@@ -84,7 +84,7 @@ def above(ticks: DataFrame, highest: int | None) -> DataFrame:
 def indexed_height(routed: DataFrame) -> DataFrame:
     """Highest tick among processed records and its (lowest) epoch."""
     processed = routed.filter(F.col("status") == "processed")
-    per_tick = processed.groupBy(F.col("tickNumber").cast("bigint").alias("tick")).agg(
+    per_tick = processed.groupBy(F.col("tickNumber").cast("decimal(20,0)").alias("tick")).agg(
         F.min("epoch").alias("epoch")
     )
     return per_tick.agg(F.max("tick").alias("tick"), F.max_by("epoch", "tick").alias("epoch"))

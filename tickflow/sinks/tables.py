@@ -13,14 +13,16 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from tickflow.operators.documents import route_records
 from tickflow.operators.events import EVENT_KEY, latest_by_key
-from tickflow.schemas import STORED_SCHEMA
+from tickflow.schemas import DOCUMENT_COLUMNS, STORED_SCHEMA
 
 PROGRESS_SCHEMA = (
     "epoch BIGINT, last_log_id DECIMAL(20,0), last_tick BIGINT, next_index BIGINT, section_open BOOLEAN, batch BIGINT"
 )
-COUNTER_SCHEMA = "tick BIGINT, processed BIGINT, skipped BIGINT, total BIGINT, batch BIGINT"
+COUNTER_SCHEMA = "tick DECIMAL(20,0), processed BIGINT, skipped BIGINT, total DECIMAL(20,0), batch BIGINT"
 
 
 def write_batch(rows: DataFrame, path: str, batch: int, partition: list[str] = ()) -> None:
@@ -57,10 +59,13 @@ def write_documents(documents: DataFrame, path: str, batch: int, *arrival: str)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    return latest_by_key(spark.read.parquet(path), ["doc_id"], "batch").drop("batch")
+    """All documents, newest batch per id; none if no batch wrote one."""
+    empty = route_records(spark.createDataFrame([], "value string"))
+    schema = empty.selectExpr("'' doc_id", *[f"`{c}`" for c in DOCUMENT_COLUMNS], "0L batch").schema
+    return latest_by_key(_read(spark, path, schema), ["doc_id"], "batch").drop("batch")
 
 
-def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def _read(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
     """The table, or an empty frame if it was never written."""
     try:
         return spark.read.schema(schema).parquet(path)

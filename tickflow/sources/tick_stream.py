@@ -15,7 +15,7 @@ def parse_messages(lines: DataFrame, method: str | None = None, value: str = "va
     """Message text -> ``kind`` with the parsed parts; other columns are kept.
 
     ``kind`` is ``ticks`` (carries logs), ``catch_up_complete``, ``error``
-    (RPC error response), ``unknown`` or ``malformed``.
+    (RPC error response), ``unknown`` or ``malformed``; the last has its text in ``malformed_text``.
     """
     options = {"columnNameOfCorruptRecord": "_bad", "allowSingleQuotes": "false"}
     parsed = F.from_json(F.col(value), MESSAGE_SCHEMA + ", _bad STRING", options)
@@ -36,6 +36,7 @@ def parse_messages(lines: DataFrame, method: str | None = None, value: str = "va
         kind.alias("kind"),
         m["params"]["result"].alias("result"),
         m["error"].alias("error"),
+        F.when(kind == "malformed", F.col(value)).alias("malformed_text"),
     )
 
 

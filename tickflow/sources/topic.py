@@ -5,13 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Records per micro-batch and its interval, where nothing else is asked for.
-MAX_RECORDS = 4096
-INTERVAL = "100 milliseconds"
-
 
 def read_event_topic(
-    spark: SparkSession, servers: str, topic: str, max_records: int | None = MAX_RECORDS, **options
+    spark: SparkSession, servers: str, topic: str, max_records: int | None = None, **options
 ) -> DataFrame:
     """A bounded stream of topic records. Needs the Kafka connector jar."""
     reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)

@@ -109,7 +109,11 @@ def process_bridge_batch(
             good = rows
         else:
             errors = bad.select("epoch", "tick", "log_id", "type", F.to_json("parsed").alias("parsed"), "parse_error")
-            write_batch(errors, tables.errors, batch)
+            # A message that cannot be read at all is kept whole.
+            broken = parsed.filter("kind = 'malformed'").select(
+                F.lit("malformed message").alias("parse_error"), F.col("malformed_text").alias("message")
+            )
+            write_batch(errors.unionByName(broken, allowMissingColumns=True), tables.errors, batch)
             good = rows.filter("parse_error is null")
         (publish or tables.publish)(to_topic_rows(build_event_message(good)), batch)
         write_events(to_stored_event(good), tables.events, batch)
