@@ -63,6 +63,21 @@ def test_group_of_near_copies_in_one_bucket(spark):
     assert {r.doc_id: r.component_id for r in out} == expected
 
 
+def test_copies_are_joined_around_their_source(spark):
+    """Copies that are like their source, but not like each other; the source is not the smallest id."""
+    chance = random.Random(9)
+    base = [f"w{i}" for i in range(100)]
+    texts = [(50, " ".join(base))]
+    for i in range(50):
+        words = list(base)
+        for place in chance.sample(range(4, 96), 2):
+            words[place] = f"x{i}y{place}"
+        texts.append((i, " ".join(words)))
+    expected = classes(sets_of(texts, 3), 85)
+    out = near_duplicates(spark.createDataFrame(texts, "doc_id long, text string"), shingle=3, percent=85).collect()
+    assert {r.doc_id: r.component_id for r in out} == expected and len(set(expected.values())) == 1
+
+
 def test_edges(spark):
     rows = [(1, None), (2, ""), (3, " \n"), (4, "one two"), (5, "One  TWO"), (5, "One  TWO"), (None, "one two"), (6, "two one"), (7, "w " * 50_000), (8, "W " * 40_000)]
     docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, node string")

@@ -7,10 +7,12 @@
    as members. A pair's signatures are compared batch by batch, and it is dropped
    as soon as the posterior probability that its likeness reaches the threshold
    falls below ``miss``. Survivors are verified on their full sets.
-3. Buckets whose members are still in different components are gone through once
-   more: the members outside a bucket's largest component meet all others, in tiles
-   of bounded size, and pairs across components that pass the same test are verified
-   too. Pairs inside a component need no look, as they change nothing.
+3. In buckets whose members are still in different components, the members outside
+   the largest component meet all others, in tiles of bounded size. Each hands on the
+   one partner in another component whose signature is most alike, which is
+   verified; that goes on as long as it links anything, and joins groups around whatever text they were copied from.
+4. What is then still apart meets a last time, and all pairs across components
+   that pass the test are verified. Pairs inside a component need no look, as they change nothing.
 
 Results are components, so this loses no link between different texts that a
 bucket holds. The only errors are of the banding and of ``miss``.
@@ -37,6 +39,8 @@ from tickflow.llm.components import components
 HASHES, BAND_ROWS, BATCH = 128, 5, 16
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _ROWS, _COLUMNS = 128, 4096
+#: Ids of texts to be verified are broadcast up to this many (some 10 MB), and joined by a shuffle beyond.
+_BROADCAST_IDS = 500_000
 
 
 def _constants() -> tuple[np.ndarray, np.ndarray]:
@@ -87,8 +91,8 @@ def least_matches(threshold: float, miss: float) -> np.ndarray:
     return np.array(out)
 
 
-def _survive(left: np.ndarray, right: np.ndarray, least: np.ndarray) -> np.ndarray:
-    """Which pairs of signatures pass every batch; each batch is compared for those left only."""
+def _survive(left: np.ndarray, right: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which pairs of signatures pass every batch, and their matches; each batch is compared for those left only."""
     alive = np.arange(len(left))
     matches = np.zeros(len(left), np.int64)
     for step in range(1, len(least)):
@@ -96,7 +100,7 @@ def _survive(left: np.ndarray, right: np.ndarray, least: np.ndarray) -> np.ndarr
         matches = matches + (left[alive, part] == right[alive, part]).sum(axis=1)
         going = matches >= least[step]
         alive, matches = alive[going], matches[going]
-    return alive
+    return alive, matches
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -140,14 +144,14 @@ def _bayes(threshold: float, miss: float):
         least = least_matches(threshold, miss)
         for batch in batches:
             if batch.num_rows:
-                alive = _survive(_matrix(batch.column("left")), _matrix(batch.column("right")), least)
+                alive, _ = _survive(_matrix(batch.column("left")), _matrix(batch.column("right")), least)
                 yield pa.RecordBatch.from_arrays([batch.column("a").take(pa.array(alive)), batch.column("b").take(pa.array(alive))], ["a", "b"])
 
     return test
 
 
-def _tiles(threshold: float, miss: float):
-    """Pairs across components inside a tile: its few rows with its columns."""
+def _tiles(threshold: float, miss: float, best: bool):
+    """Pairs across components inside a tile: its few rows with its columns, or with the ``best`` of these only."""
 
     def test(batches):
         least = least_matches(threshold, miss)
@@ -157,8 +161,9 @@ def _tiles(threshold: float, miss: float):
             columns = np.flatnonzero(~row)
             for i in np.flatnonzero(row):
                 # two members outside the largest component meet from the smaller one's side only
-                asked = columns[(own[columns] != own[i]) & (~minor[columns] | (node[columns] > node[i]))]
-                alive = asked[_survive(np.broadcast_to(marks[i], (len(asked), HASHES)), marks[asked], least)]
+                asked = columns[(own[columns] != own[i]) & (~minor[columns] | (node[columns] > node[i]) | best)]
+                alive, matches = _survive(np.broadcast_to(marks[i], (len(asked), HASHES)), marks[asked], least)
+                alive = asked[alive[matches.argmax() :][:1]] if best and len(alive) else asked[alive]
                 if len(alive):
                     low, high = np.minimum(node[i], node[alive]), np.maximum(node[i], node[alive])
                     yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["a", "b"])
@@ -191,7 +196,7 @@ def _verify(size: int, percent: int):
     return verify
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 24, miss: float = 1e-6) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 24, miss: float = 1e-5) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable), kept; one row per row of ``docs`` (doc_id, text).
 
     Two texts are linked if 100 * shared shingles >= percent * all their shingles.
@@ -212,8 +217,6 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     nodes = named.filter("doc_id = node").select("doc_id", "mark")
     marks = sketches.join(nodes, ["doc_id", "mark"]).selectExpr("doc_id as node", "signature", "bands").dropDuplicates(["node"])
     marks = written(marks, "marks")
-    sources = texts.join(nodes, ["doc_id", "mark"], "left_semi").selectExpr("doc_id as node", "text")
-
     members = marks.select("node", F.explode("bands").alias("bucket"))
     buckets = members.groupBy("bucket").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     shared = written(members.join(buckets, "bucket"), "buckets")
@@ -226,32 +229,43 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
 
     def linked(pairs: DataFrame, name: str) -> DataFrame:
         pairs = written(pairs, f"{name}-pairs")
-        ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        needed = sources.join(ends, "node", "left_semi").dropDuplicates(["node"])
-        needed = written(needed, f"{name}-texts")
+        ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+        ends = written(ends.join(nodes, "doc_id").toDF("node", "own"), f"{name}-ends")
+        few = ends.count() <= _BROADCAST_IDS
+        needed = texts.join(F.broadcast(ends) if few else ends, F.col("doc_id") == F.col("node")).filter("mark = own")
+        needed = written(needed.select("node", "text").dropDuplicates(["node"]), f"{name}-texts")
         both = pairs.join(needed.toDF("b", "right"), "b").join(needed.toDF("a", "left"), "a")
         return written(both.select("a", "b", "left", "right").mapInArrow(_verify(shingle, percent), "a long, b long"), f"{name}-links")
 
+    def apart(classes: DataFrame, best: bool) -> DataFrame:
+        """Likely pairs across components; the centre of a bucket has met all others and takes no part."""
+        placed = shared.filter("node <> centre").join(classes, "node", "left")
+        placed = placed.select("bucket", "node", F.coalesce("component", "node").alias("component"))
+        mixed = placed.groupBy("bucket", "component").count().groupBy("bucket").agg(
+            F.max_by("component", "count").alias("largest"), F.max("count").alias("most"), F.sum("count").alias("n")
+        )
+        mixed = mixed.filter("most < n").selectExpr("bucket", "largest", f"ceil((n - most) / {_ROWS}) as across", f"ceil(n / {_COLUMNS}) as down")
+        placed = placed.join(mixed, "bucket").withColumn("minor", F.col("component") != F.col("largest"))
+        place = lambda of: F.pmod(F.xxhash64("node"), F.col(of))
+        each = lambda of: F.explode(F.sequence(F.lit(0).cast("long"), F.col(of) - 1))
+        columns = placed.select("bucket", "node", "component", "minor", F.lit(False).alias("row"), each("across").alias("first"), place("down").alias("second"))
+        rows = placed.filter("minor").select("bucket", "node", "component", "minor", F.lit(True).alias("row"), place("across").alias("first"), each("down").alias("second"))
+        tiles = columns.union(rows).join(marks.select("node", "signature"), "node").repartition("bucket", "first", "second")
+        tiles = tiles.sortWithinPartitions("bucket", "first", "second", "node")
+        return tiles.mapInArrow(_tiles(percent / 100, miss, best), "a long, b long").distinct()
+
+    def joined(classes: DataFrame, links: DataFrame) -> DataFrame:
+        return components(classes.selectExpr("node as a", "component as b").union(links))
+
     stars = shared.filter("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
-    links = linked(likely(stars), "star")
-    first = components(links)
-    placed = shared.join(first, "node", "left").select("bucket", "node", "centre", F.coalesce("component", "node").alias("component"))
-    # The centre has met all others, so it takes no part.
-    apart = placed.filter("node <> centre")
-    mixed = apart.groupBy("bucket", "component").count().groupBy("bucket").agg(
-        F.max_by("component", "count").alias("largest"), F.max("count").alias("most"), F.sum("count").alias("n")
-    )
-    mixed = mixed.filter("most < n").selectExpr("bucket", "largest", f"ceil((n - most) / {_ROWS}) as across", f"ceil(n / {_COLUMNS}) as down")
-    apart = apart.join(mixed, "bucket").withColumn("minor", F.col("component") != F.col("largest"))
-    place = lambda of: F.pmod(F.xxhash64("node"), F.col(of))
-    each = lambda of: F.explode(F.sequence(F.lit(0).cast("long"), F.col(of) - 1))
-    columns = apart.select("bucket", "node", "component", "minor", F.lit(False).alias("row"), each("across").alias("first"), place("down").alias("second"))
-    rows = apart.filter("minor").select("bucket", "node", "component", "minor", F.lit(True).alias("row"), place("across").alias("first"), each("down").alias("second"))
-    tiles = columns.union(rows).join(marks.select("node", "signature"), "node").repartition("bucket", "first", "second")
-    tiles = tiles.sortWithinPartitions("bucket", "first", "second", "node")
-    across = tiles.mapInArrow(_tiles(percent / 100, miss), "a long, b long").distinct()
-    more = linked(across, "across")
-    whole = components(first.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
+    whole = components(linked(likely(stars), "star"))
+    while True:
+        links = linked(apart(whole, best=True), "best")
+        if links.isEmpty():
+            break
+        whole = joined(whole, links)
+    links = linked(apart(whole, best=False), "across")
+    whole = whole if links.isEmpty() else joined(whole, links)
     classes = named.join(whole, "node", "left").select(F.col("doc_id").alias("__id"), F.coalesce("component", "node").alias("__class"))
     out = sketches.select("doc_id", "n_shingles").join(classes, F.col("doc_id") == F.col("__id"), "left")
     component = F.when(F.col("n_shingles") > 0, F.col("__class")).otherwise(F.col("doc_id"))
