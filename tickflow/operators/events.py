@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 EVENT_KEY = ["epoch", "tick", "log_id"]
 #: Ticks per bucket when a tick range is joined to single ticks (as a power of two).
-RANGE_BITS = 16
+RANGE_BITS = 12
 
 
 class EpochOutOfScope(ValueError):
@@ -65,12 +65,21 @@ def tick_to_epoch(events: DataFrame, ticks: DataFrame) -> DataFrame:
     """Distinct ``tick`` values -> the lowest ``epoch`` that holds events of the tick.
 
     Ticks without events take the lowest epoch whose tick range covers them;
-    other ticks get no row. Ranges are cut into buckets of 2^16 ticks, so the
+    other ticks get no row. Ranges are cut into buckets of 2^12 ticks, so the
     range lookup is an equi-join too.
     """
-    wanted = ticks.select("tick").distinct()
-    exact = events.join(wanted, "tick", "left_semi").groupBy("tick").agg(F.min("epoch").alias("epoch"))
-    ranges = epoch_ranges(events).select(
+    exact, covered = _epochs_of(events, ticks.select("tick").distinct())
+    return exact.unionByName(covered)
+
+
+def _epochs_of(events: DataFrame, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Epochs of the ticks that hold events, and of those that only lie in an epoch's range.
+
+    Events are reduced to one row per epoch and tick before anything else looks at them.
+    """
+    held = events.groupBy("epoch", "tick").agg(F.count(F.lit(1)).alias("n")).select("epoch", "tick")
+    exact = held.groupBy("tick").agg(F.min("epoch").alias("epoch")).join(wanted, "tick").select("tick", "epoch")
+    ranges = epoch_ranges(held).select(
         F.col("epoch"),
         "first_tick",
         "last_tick",
@@ -85,7 +94,7 @@ def tick_to_epoch(events: DataFrame, ticks: DataFrame) -> DataFrame:
         .groupBy("tick")
         .agg(F.min("epoch").alias("epoch"))
     )
-    return exact.unionByName(covered)
+    return exact, covered
 
 
 def events_for_tick(events: DataFrame, tick: int) -> DataFrame:
@@ -102,10 +111,11 @@ def events_for_ticks(events: DataFrame, ticks: DataFrame) -> DataFrame:
     A tick without events keeps one row with NULL event columns.
     """
     wanted = ticks.select("tick").distinct()
-    found = wanted.join(tick_to_epoch(events, wanted), "tick", "left").select(
-        "tick", F.coalesce("epoch", F.lit(0)).alias("epoch")
-    )
-    return found.join(events, ["tick", "epoch"], "left")
+    exact, covered = _epochs_of(events, wanted)
+    # An inner join, either side of which can be split at a tick with very many events.
+    rows = exact.join(events, ["tick", "epoch"])
+    empty = wanted.join(exact, "tick", "left_anti").join(covered, "tick", "left").select("tick", F.coalesce("epoch", F.lit(0)).alias("epoch"))
+    return rows.unionByName(empty, allowMissingColumns=True)
 
 
 def has_events(events: DataFrame, keys: DataFrame) -> DataFrame:
