@@ -59,3 +59,11 @@ def test_exact_repeats_against_brute_force(spark, size):
     out = {r["doc_id"]: r["text"] for r in dedup_lines(docs, likeness=1.0).collect()}
     for doc_id, text in texts.items():
         assert out[doc_id] == "\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone[doc_id])
+
+
+def test_lines_of_one_or_two_words(spark):
+    rows = [(i, f"Menu\nShare this\n\nown{'abcdefghij'[i]} text", None, None) for i in range(10)]
+    out = _run(spark, rows)
+    assert out[0] == (rows[0][1], 0)
+    assert [out[i] for i in range(1, 10)] == [(f"\nown{'abcdefghij'[i]} text", 2) for i in range(1, 10)]
+    assert _run(spark, rows[:9]) == {i: (rows[i][1], 0) for i in range(9)}

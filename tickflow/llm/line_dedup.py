@@ -6,7 +6,7 @@ tokens. In a leaf, a line joins the first template with enough equal tokens at
 equal places, and places where they differ become variable; else it starts a new one.
 
 A template recurs if its lines occur in several documents (short lines need more
-of them). Of a recurring template the first line (by doc_id, then place) stays
+of them: a line of one word and one of seven by the same rule). Of a recurring template the first line (by doc_id, then place) stays
 where it is and all others are dropped.
 
 What is shuffled is one small row per distinct line of a document, and the
@@ -146,7 +146,7 @@ def _grown(rows: DataFrame, likeness: float) -> DataFrame:
     return rows.mapInArrow(_grow_leaves(likeness), "leaf long, slice long, line long, template long, n_docs long, tokens binary")
 
 
-def repeated_lines(docs: DataFrame, leading: int = 4, likeness: float = 0.8, least: int = 3, short: int = 8, short_docs: int = 10, leaf_lines: int = 4096) -> DataFrame:
+def repeated_lines(docs: DataFrame, leading: int = 4, likeness: float = 0.8, least: int = 1, short: int = 8, short_docs: int = 10, leaf_lines: int = 4096) -> DataFrame:
     """doc_id, line (digest) and first_place (set where the template's first line is) of every line of a recurring template."""
     known = docs.filter("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     lines = written(known.mapInArrow(_scan(leading, least), "doc_id long, place int, leaf long, line long, tokens binary"), "lines")
@@ -174,7 +174,7 @@ def repeated_lines(docs: DataFrame, leading: int = 4, likeness: float = 0.8, lea
     return placed.join(recurring, "template").select("doc_id", "line", F.when(stays, F.col("place")).alias("first_place"))
 
 
-def strip(text: str | None, drop: dict[int, int | None], least: int = 3) -> tuple[str | None, int]:
+def strip(text: str | None, drop: dict[int, int | None], least: int = 1) -> tuple[str | None, int]:
     """The text without the lines in ``drop`` (digest to the place that stays, or None), and how many went."""
     if text is None or not drop:
         return text, 0
@@ -186,7 +186,7 @@ def strip(text: str | None, drop: dict[int, int | None], least: int = 3) -> tupl
 
 def dedup_lines(docs: DataFrame, dropped: str = "n_dropped", **options) -> DataFrame:
     """``docs`` with the repeated lines taken out of ``text``, and how many lines went in a new column."""
-    least = options.get("least", 3)
+    least = options.get("least", 1)
     found = repeated_lines(docs, **options)
     by_doc = found.groupBy("doc_id").agg(F.collect_list(F.struct("line", "first_place")).alias("__drop"))
     by_doc = by_doc.withColumnRenamed("doc_id", "__doc_id")
