@@ -1,8 +1,10 @@
+import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
-from tickflow.llm.line_dedup import dedup_lines, lines_of
+from tickflow.llm.line_dedup import _grow_large, dedup_lines, grow, lines_of
 
 LONG = "this notice stands word by word in very many documents of this corpus"
 
@@ -67,3 +69,34 @@ def test_lines_of_one_or_two_words(spark):
     assert out[0] == (rows[0][1], 0)
     assert [out[i] for i in range(1, 10)] == [(f"\nown{'abcdefghij'[i]} text", 2) for i in range(1, 10)]
     assert _run(spark, rows[:9]) == {i: (rows[i][1], 0) for i in range(9)}
+
+
+
+@pytest.mark.parametrize("leaf_lines", [10, 25])
+def test_groups_do_not_depend_on_the_size_of_a_leaf(spark, leaf_lines):
+    dice = random.Random(7)
+    lines = {}
+    for n in (8, 12):
+        for _ in range(3):
+            base = ["a", "b", "c", "d"] + [dice.choice("xyz") for _ in range(n - 4)]
+            for _ in range(12):
+                line = list(base)
+                for at in dice.sample(range(4, n), dice.randrange(0, n // 5 + 2)):
+                    line[at] = dice.choice("pqrs")
+                lines[tuple(line)] = n
+    lines = sorted(lines)
+    dice.shuffle(lines)
+    rows, expected = [], {}
+    for n in (8, 12):
+        of = [(i, x) for i, x in enumerate(lines) if len(x) == n]
+        codes = np.array([[ord(t) for t in x] for _, x in of], np.uint64)
+        heads = []
+        for i, x in of:  # brute force: the first head that differs in a fifth of the places at most
+            near = [h for h in heads if sum(a != b for a, b in zip(x, lines[h])) <= n // 5]
+            expected[i] = near[0] if near else i
+            heads += [] if near else [i]
+        assert [of[j][0] for j in grow(codes, n // 5)] == [expected[i] for i, _ in of]
+        rows += [(n, i, bytearray(row.tobytes())) for (i, _), row in zip(of, codes)]
+    frame = spark.createDataFrame(rows, "leaf long, line long, tokens binary")
+    found = {r.line: r.head for r in _grow_large(frame, 4, 0.8, leaf_lines).collect()}
+    assert {i: found.get(i, i) for i in expected} == expected
