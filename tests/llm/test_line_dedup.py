@@ -71,6 +71,23 @@ def test_lines_of_one_or_two_words(spark):
     assert _run(spark, rows[:9]) == {i: (rows[i][1], 0) for i in range(9)}
 
 
+def test_rows_of_numbers_are_told_apart(spark):
+    table = lambda i: "\n".join(" ".join(str(1000 * i + 10 * j + k) for k in range(9)) for j in range(3))
+    rows = [(i, table(i), None, None) for i in range(3)] + [(3, table(0), None, None)]
+    out = _run(spark, rows)
+    assert [out[i] for i in range(3)] == [(rows[i][1], 0) for i in range(3)]
+    assert out[3] == ("", 3)  # equal rows go
+
+
+def test_likeness_is_of_whole_token_hashes(spark):
+    # 10 tokens of which 3 differ are never alike, whatever their hashes' last bytes
+    rows = [(i, f"we are all of one mind here x{'abcdefghij'[i % 10]}q{chr(97 + i // 10)} y{chr(97 + i // 10)}v z{chr(97 + i % 26)}w{chr(97 + i // 26)}", None, None) for i in range(400)]
+    texts = {r[0]: r[1].split() for r in rows}
+    out = _run(spark, rows)
+    for i, (text, n) in out.items():
+        alike = any(sum(a != b for a, b in zip(texts[i], texts[j])) <= 2 for j in texts if j != i)
+        assert alike or n == 0
+
 
 @pytest.mark.parametrize("leaf_lines", [10, 25])
 def test_groups_do_not_depend_on_the_size_of_a_leaf(spark, leaf_lines):

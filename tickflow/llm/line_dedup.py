@@ -1,10 +1,11 @@
 """Line dedup by a tree of log templates.
 
 A line's tokens are its words. Words with a digit are variable fields and read as
-``<*>``. The tree has a fixed depth: the
+``<*>``, if at least half of the tokens, and two, are constant; other lines
+(rows of numbers) are known by their words as they are. The tree has a fixed depth: the
 number of tokens, then the leading tokens. In a leaf the lines are taken by digest: a
 line joins the first head with enough equal tokens at equal places, else it is a
-head itself.
+head itself. Lines of which joining could leave too few constant tokens join none.
 
 A template (a head's lines) recurs if its lines occur in several documents (short lines
 need more of them: a line of one word and one of seven by the same rule). Of a
@@ -45,6 +46,8 @@ def _read(raw: bytes, masked: bytes) -> tuple[list[bytes], int]:
     """Tokens of a line, and how many of them are constant."""
     tokens = masked.split()
     constant = len(tokens) - tokens.count(_VARIABLE)
+    if constant < len(tokens) and (constant < 2 or 2 * constant < len(tokens)):
+        return raw.split(), constant
     return tokens, constant
 
 
@@ -94,7 +97,7 @@ def _scan(leading: int, likeness: float, least: int):
                     if line not in seen:
                         seen.add(line)
                         slack = _slack(len(tokens), likeness)
-                        joins = slack
+                        joins = slack and constant - slack >= 2 and 2 * (constant - slack) >= len(tokens)
                         ids.append(doc_id)
                         places.append(number)
                         leaves.append(_leaf(tokens, leading) if joins else None)
