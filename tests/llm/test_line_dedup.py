@@ -117,3 +117,9 @@ def test_groups_do_not_depend_on_the_size_of_a_leaf(spark, leaf_lines):
     frame = spark.createDataFrame(rows, "leaf long, line long, tokens binary")
     found = {r.line: r.head for r in _grow_large(frame, 4, 0.8, leaf_lines).collect()}
     assert {i: found.get(i, i) for i in expected} == expected
+
+
+def test_large_leaves_drop_the_same_lines(spark):
+    texts = ["a b c d e f g X", "a b c d e f g h", "a b c d e f Y X", "a b c d e f Y h", "a b c d Z f Y X", "a b c d Z f Y W"]
+    rows = [(i, t, None, None) for i, t in enumerate(texts)]
+    assert _run(spark, rows, leaf_lines=1) == _run(spark, rows, leaf_lines=2) == _run(spark, rows)
