@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickflow.llm import embeddings, fingerprints, language, line_dedup, minhash, mixing, secrets, toxicity, warc
+from tickflow.llm import divergence, embeddings, fill_middle, fingerprints, language, line_dedup, minhash, mixing, packing, secrets, toxicity, warc
 from tickflow.llm.bpe import Tokenizer
 from tickflow.llm.common import held_out
 
@@ -116,3 +116,62 @@ r as (select *, payload_bytes >= {warc.REVISIT_FROM} and page_id < max(page_id)
 select page_id, payload_bytes, payload_digest, case when again then 'revisit' else 'response' end as record_type,
        case when again then original end as refers_to
 from r"""
+
+
+@query
+def op11_divergence(spark, sf_dir):
+    return divergence.divergence(_documents(spark, sf_dir))
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+ORACLES["op11_divergence"] = f"""
+with d as (select row_number() over () as row, coalesce(lang, '') as lang, coalesce(source, '') as source, coalesce("text", '') as text from documents),
+w as (select row, lang, source, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from d),
+k as (select lang, term, count(*) as total from w group by all having count(distinct row) >= 10),
+c as (select lang, source, term, count(*) as n from w join k using (lang, term) group by all),
+g as (select distinct lang, source from d),
+l as (select lang, count(term) as v, coalesce(sum(total), 0) as n from (select distinct lang from g) left join k using (lang) group by lang),
+s as (select g.lang, g.source, l.v, l.n as lang_n, (select coalesce(sum(c.n), 0) from c where c.lang = g.lang and c.source = g.source) as group_n from g join l using (lang)),
+p as (select s.lang, s.source, k.term, coalesce(c.n, 0) as n,
+        1 + 1000000000::hugeint * (coalesce(c.n, 0) + 2) // (s.group_n + 2 * s.v) as p,
+        1 + 1000000000::hugeint * (k.total + 2) // (s.lang_n + 2 * s.v) as q
+      from s join k using (lang) left join c on c.lang = s.lang and c.source = s.source and c.term = k.term),
+f as (select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) as value
+      from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+r as (select a.lang, a.source, 'pair' as part, b.source as item, coalesce(f.value, 0) as value
+      from g a join g b on a.lang = b.lang and a.source <> b.source
+      left join f on f.lang = a.lang and f.source = a.source and f.item = b.source
+      union all
+      select lang, source, 'term', term, (p - q) * (p - q) // (p + q) from p where n > 0 and p > q),
+o as (select *, row_number() over (partition by lang, source, part order by value desc, item) as rank from r)
+select lang, source, part, item, cast(value as bigint) as value, cast(rank as integer) as rank from o where part = 'pair' or rank <= 10"""
+
+
+@query
+def op12_packing(spark, sf_dir):
+    return packing.pack(packing.pieces(_documents(spark, sf_dir), tokenizer_path()))
+
+
+@query
+def op13_fill_middle(spark, sf_dir):
+    cut = fill_middle.fill_in_middle(_documents(spark, sf_dir))
+    digest = lambda text: F.sha2(text.cast("binary"), 256)
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        digest(F.col("output")).alias("output_sha256"), digest(fill_middle.restored("output", "form")).alias("restored_sha256"),
+    )
+
+
+_H = ", ".join(f"('0x' || substr(h, {8 * i + 1}, 8))::bigint as h{i + 1}" for i in range(4))
+ORACLES["op13_fill_middle"] = f"""
+with d as (select doc_id, coalesce("text", '') as t, sha256('1:' || coalesce(cast(doc_id as varchar), '')) as h from documents),
+e as (select doc_id, t, length(t) as n, {_H} from d),
+c as (select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+        case when n = 0 or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90 then 'plain'
+             when h4 % 100 < 20 then 'spm' else 'psm' end as form from e),
+o as (select *, substr(t, 1, a) as prefix, substr(t, a + 1, b - a) as middle, substr(t, b + 1) as suffix from c)
+select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars, case when form <> 'plain' then b - a end as middle_chars,
+  sha256(case form when 'plain' then t when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+         else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+  sha256(t) as restored_sha256
+from o"""
