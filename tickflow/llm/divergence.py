@@ -10,8 +10,8 @@ integer arithmetic.
   partition keeps of every group only the terms that fewer than ``top`` others dominate; skybands are merged,
   ``fan_in`` partitions at a time, each merge again a skyband, and what is left is ranked exactly.
 * Pair part: for every two sources of a language the sum over all kept terms. Cells go to tiles of some
-  ``tile_terms`` terms by some ``tile_sources`` sources, with one row for each source's share of a term it does not have;
-  a tile is summed in numpy, one row per pair leaves it. The result has a row for every pair, the work is no larger than
+  ``tile_terms`` terms by some ``tile_sources`` sources, with one row for each source's share of a term it does not have
+  and the number of terms; a tile is summed in numpy, one row per pair leaves it. The result has a row for every pair, the work is no larger than
   terms times pairs, and no task holds more than a tile.
 
 Counting: each task counts its own documents in dictionaries that it empties at ``held`` terms, so one row per group and
@@ -28,6 +28,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -109,6 +110,10 @@ def _skybands(k: int, keys: list[str]):
     return keep
 
 
+def _apart(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    return (p - q) * (p - q) // (p + q)
+
+
 def _tile_sums(batches):
     """Sums of divergences of the pairs of a tile: of two sources in one block, or of two that lie in its two blocks."""
     for tile in runs(batches, ["lang", "part", "one", "two"]):
@@ -121,12 +126,13 @@ def _tile_sums(batches):
         absent[of[~real]], own[of] = p[~real], block
         shares = np.tile(absent, (len(named.dictionary), 1))
         shares[named.indices.filter(pa.array(real)).to_numpy().astype(np.int64), of[real]] = p[real]
+        # Kept terms of this part that no source of the tile has.
+        unseen = pc.max(tile.column("terms")).as_py() - len(named.dictionary)
         across = tile.column("one")[0].as_py() != tile.column("two")[0].as_py()
         for i in range(len(names)):
             others = np.flatnonzero(own > own[i]) if across else np.arange(i + 1, len(names))
             if len(others):
-                p, q = shares[:, [i]], shares[:, others]
-                sums = ((p - q) * (p - q) // (p + q)).sum(axis=0)
+                sums = _apart(shares[:, [i]], shares[:, others]).sum(axis=0) + unseen * _apart(absent[i], absent[others])
                 yield pa.RecordBatch.from_arrays(
                     [pa.repeat(tile.column("lang")[0], len(others)), pa.repeat(names[i], len(others)), names.take(pa.array(others)), pa.array(sums)],
                     ["lang", "source", "item", "value"],
@@ -172,10 +178,13 @@ def divergence(docs: DataFrame, least_docs: int = 10, top: int = 10, tile_terms:
     tiled = groups.selectExpr("*", f"cast(greatest(ceil(v / {tile_terms}), 1) as int) parts", f"cast(ceil(sources / {tile_sources}) as int) blocks")
     tiled = tiled.withColumn("block", F.pmod(F.xxhash64("source"), F.col("blocks")).cast("int"))
     met = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    of_tile = ["lang", "source", "term", "p", "part", "block", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two")]
+    of_tile = ["lang", "source", "term", "p", "terms", "part", "block", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two")]
     absent = tiled.select("lang", "source", F.lit(None).cast("string").alias("term"), share("0", "group_n").alias("p"), "block", "blocks", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     present = cells.select("lang", "source", "term", "p").join(tiled.select("lang", "source", "parts", "block", "blocks"), ["lang", "source"])
-    present = present.withColumn("part", F.pmod(F.xxhash64("term"), F.col("parts")).cast("int")).drop("parts")
+    part = F.pmod(F.xxhash64("term"), F.col("parts")).cast("int").alias("part")
+    present = present.select("lang", "source", "term", "p", "block", "blocks", part, F.lit(0).cast("long").alias("terms"))
+    in_part = kept.join(tiled.select("lang", "parts").distinct(), "lang").groupBy("lang", part).agg(F.count(F.lit(1)).alias("terms"))
+    absent = absent.join(in_part, ["lang", "part"], "left").na.fill(0, ["terms"])
     tiles = absent.unionByName(present).select("*", met).select(*of_tile).repartition("lang", "part", "one", "two")
     tiles = tiles.sortWithinPartitions("lang", "part", "one", "two")
     pairs = tiles.mapInArrow(_tile_sums, "lang string, source string, item string, value long")
