@@ -23,6 +23,9 @@ from tickflow.streaming.replay import run_replay
 from .conftest import SF
 
 
+METHOD = "node_subscription"
+
+
 def log(log_id, tick=10, **more):
     base = {"ok": True, "epoch": 1, "tick": tick, "type": 0, "logId": log_id, "logDigest": "d", "bodySize": 1,
             "timestamp": 1700000000, "txHash": "", "body": {"from": "a", "to": "b", "amount": 1}}
@@ -30,7 +33,7 @@ def log(log_id, tick=10, **more):
     return {k: v for k, v in base.items() if v is not ...}
 
 
-def message(*logs, tick=10, method="node_subscription", **result):
+def message(*logs, tick=10, method=METHOD, **result):
     return json.dumps(
         {"jsonrpc": "2.0", "method": method, "params": {"subscription": "s", "result": {"epoch": 1, "tick": tick, "logs": list(logs), **result}}}
     )
@@ -66,7 +69,7 @@ def test_message_kinds(spark):
         '{"jsonrpc":"2.0","method":"other","params":{}}',
         "{broken",
     ]
-    parsed = parse_messages(lines(spark, *texts))
+    parsed = parse_messages(lines(spark, *texts), METHOD)
     assert [r["kind"] for r in parsed.select("kind").collect()] == [
         "ticks", "catch_up_complete", "error", "unknown", "unknown", "malformed",
     ]
@@ -76,13 +79,13 @@ def test_message_kinds(spark):
 
 
 def test_explode_orders_messages_by_their_lowest_good_log(spark):
-    parsed = parse_messages(lines(spark, message(log(5), log(6)), message(log(0, ok=False), log(3), log(4)), message()))
+    parsed = parse_messages(lines(spark, message(log(5), log(6)), message(log(0, ok=False), log(3), log(4)), message()), METHOD)
     rows = explode_logs(parsed).orderBy("msg_seq", "pos").select("msg_seq", "pos", "log_id", "ok").collect()
     assert [(r[0], r[1], int(r[2]), r[3]) for r in rows] == [(3, 0, 0, False), (3, 1, 3, True), (3, 2, 4, True), (5, 0, 5, True), (5, 1, 6, True)]
 
 
 def test_log_defaults_and_bodies(spark):
-    parsed = parse_messages(lines(spark, message({"ok": True, "tick": 1, "epoch": 1, "logId": 2**64 - 1}, log(1, body=None))))
+    parsed = parse_messages(lines(spark, message({"ok": True, "tick": 1, "epoch": 1, "logId": 2**64 - 1}, log(1, body=None))), METHOD)
     rows = parse_body(explode_logs(parsed)).orderBy("pos").collect()
     assert int(rows[0]["log_id"]) == 2**64 - 1 and rows[0]["timestamp"] == 0 and rows[0]["tx_hash"] == ""
     assert rows[0]["parsed"] is None and rows[0]["parse_error"] is None  # absent body
@@ -96,7 +99,7 @@ def test_rpc_response_files(spark, tmp_path):
 
 
 def test_ndjson_files(spark, tmp_path):
-    rows = parse_messages(lines(spark, message(log(1), log(2))))
+    rows = parse_messages(lines(spark, message(log(1), log(2))), METHOD)
     messages = build_event_message(parse_body(enrich(ok_logs(explode_logs(rows)))))
     write_event_ndjson(messages, str(tmp_path / "events"))
     put(str(tmp_path / "more"), "x.txt", "", '  {"a":1}  ', "   ")
@@ -110,7 +113,7 @@ def test_ndjson_files(spark, tmp_path):
 
 
 def test_message_without_body_says_null(spark):
-    rows = parse_body(enrich(ok_logs(explode_logs(parse_messages(lines(spark, message(log(1, type=255, body=...))))))))
+    rows = parse_body(enrich(ok_logs(explode_logs(parse_messages(lines(spark, message(log(1, type=255, body=...))), METHOD)))))
     value = json.loads(to_topic_rows(build_event_message(rows)).first()["value"])
     assert value["body"] is None and "dividend" not in value and value["lastLogForTick"] is True
 
@@ -141,7 +144,7 @@ def test_bridge_stream_equals_batch(spark, tmp_path, feed_texts, files):
         put(str(tmp_path / "in"), f"{i}.txt", *feed_texts[i * step : (i + 1) * step], at=1_700_000_000 + i)
     stream = read_tick_stream(spark, str(tmp_path / "in"), streaming=True, max_files=1)
     root = str(tmp_path / "out")
-    run_bridge(stream, root, f"{root}/checkpoint").awaitTermination()
+    run_bridge(stream, root, f"{root}/checkpoint", feeds.METHOD).awaitTermination()
     tables = BridgeTables(root)
     expected = feeds.enriched_e(spark, SF)
     assert events_of(read_events(spark, tables.events)) == events_of(to_stored_event(expected))
@@ -154,24 +157,24 @@ def test_bridge_stream_equals_batch(spark, tmp_path, feed_texts, files):
 def test_tick_cut_by_a_batch(spark, tmp_path):
     start = {"customMessage": "6217575821008262227"}
     tables = BridgeTables(str(tmp_path / "out"))
-    process_bridge_batch(lines(spark, message(log(1), log(2, type=255, body=start), log(3))), 0, tables)
+    process_bridge_batch(lines(spark, message(log(1), log(2, type=255, body=start), log(3))), 0, tables, METHOD)
     second = lines(spark, message(log(4), log(5)), message(log(6, tick=11), tick=11))
     for _ in range(2):  # the second batch runs twice
-        process_bridge_batch(second, 1, tables)
+        process_bridge_batch(second, 1, tables, METHOD)
     got = [(int(r["log_id"]), r["index_in_tick"]) for r in read_events(spark, tables.events).orderBy("log_id").collect()]
     assert got == [(1, 0), (2, 1), (3, 2), (4, 3), (5, 4), (6, 0)]
     values = {v["logId"]: v.get("dividend", False) for v in (json.loads(r["value"]) for r in spark.read.text(tables.topic).collect())}
     assert values == {1: False, 2: False, 3: True, 4: True, 5: True, 6: False}
     # A batch without logs keeps the progress.
-    process_bridge_batch(lines(spark, message(catchUpComplete=True)), 2, tables)
+    process_bridge_batch(lines(spark, message(catchUpComplete=True)), 2, tables, METHOD)
     assert start_position(spark, tables, initial_tick=1).first()[0] == 12
     assert start_position(spark, tables, initial_tick=1, override_tick=5).first()[0] == 5
 
 
 def test_resent_events_are_overwritten(spark, tmp_path):
     tables = BridgeTables(str(tmp_path / "out"))
-    process_bridge_batch(lines(spark, message(log(1), log(2))), 0, tables)
-    process_bridge_batch(lines(spark, message(log(1, txHash="new"), log(2), log(3))), 1, tables)
+    process_bridge_batch(lines(spark, message(log(1), log(2))), 0, tables, METHOD)
+    process_bridge_batch(lines(spark, message(log(1, txHash="new"), log(2), log(3))), 1, tables, METHOD)
     rows = read_events(spark, tables.events).orderBy("log_id").collect()
     # The last tick goes on at its next index, also for logs that came before.
     assert [(int(r["log_id"]), r["tx_hash"], r["index_in_tick"]) for r in rows] == [(1, "new", 2), (2, "", 3), (3, "", 4)]
@@ -181,7 +184,7 @@ def test_resent_events_are_overwritten(spark, tmp_path):
 
 def test_lookups_reach_the_files(spark, tmp_path):
     tables = BridgeTables(str(tmp_path / "out"))
-    process_bridge_batch(lines(spark, message(log(1), log(2)), message(log(3, tick=11), tick=11)), 0, tables)
+    process_bridge_batch(lines(spark, message(log(1), log(2)), message(log(3, tick=11), tick=11)), 0, tables, METHOD)
     found = events_in_range(read_events(spark, tables.events), 1, 11, 12)
     assert [int(r["log_id"]) for r in found.collect()] == [3]
     plan = found._jdf.queryExecution().executedPlan().toString()
@@ -194,15 +197,15 @@ def test_start_tick_and_errors(spark, tmp_path):
     bad = log(2, body={"from": 5})
     tables = BridgeTables(str(tmp_path / "strict"))
     with pytest.raises(BadRecords, match="from"):
-        process_bridge_batch(lines(spark, message(log(1), bad)), 0, tables)
+        process_bridge_batch(lines(spark, message(log(1), bad)), 0, tables, METHOD)
     with pytest.raises(BadRecords, match="malformed"):
-        process_bridge_batch(lines(spark, "{"), 0, tables)
+        process_bridge_batch(lines(spark, "{"), 0, tables, METHOD)
     assert not os.path.exists(tables.root)  # nothing was written
     tables = BridgeTables(str(tmp_path / "quarantine"))
-    process_bridge_batch(lines(spark, message(log(1), bad), "{broken", message(log(3, tick=9), tick=9)), 0, tables, start_tick=10, mode="quarantine")
+    process_bridge_batch(lines(spark, message(log(1), bad), "{broken", message(log(3, tick=9), tick=9)), 0, tables, METHOD, start_tick=10, mode="quarantine")
     assert [int(r["log_id"]) for r in read_events(spark, tables.events).collect()] == [1]
     errors = spark.read.parquet(tables.errors).collect()
-    assert {(r["parse_error"], r["message"]) for r in errors} == {("from", None), ("malformed message", "{broken")}
+    assert {(r["reason"], r["log_id"], r["text"]) for r in errors} == {("from", 2, '{"from":5}'), ("malformed message", None, "{broken")}
 
 
 def test_restart_after_a_failed_batch(spark, tmp_path):
@@ -220,7 +223,7 @@ def test_restart_after_a_failed_batch(spark, tmp_path):
 
     def run():
         stream = read_tick_stream(spark, str(tmp_path / "in"), streaming=True, max_files=1)
-        run_bridge(stream, root, f"{root}/checkpoint", publish=publish).awaitTermination()
+        run_bridge(stream, root, f"{root}/checkpoint", METHOD, publish=publish).awaitTermination()
 
     with pytest.raises(Exception, match="broker is gone"):
         run()

@@ -34,7 +34,27 @@ def with_marker(logs: DataFrame) -> DataFrame:
         message = "get_json_object(body, '$.customMessage')"
     else:
         message = "try_variant_get(body, '$.customMessage', 'string')"
-    return logs.withColumn("marker", F.expr(dividend_marker("type", message)))
+    marker = dividend_marker("type", message)
+    if "log_error" in logs.columns:
+        marker = f"case when log_error is null then {marker} end"
+    return logs.withColumn("marker", F.expr(marker))
+
+
+def tick_runs(messages: DataFrame) -> DataFrame:
+    """Add ``run`` to messages (``msg_seq``, one of its own for each, and ``result.tick``): how many changes of tick lie before.
+
+    Indices and dividend sections belong to a run: a tick that comes back after another one starts anew. Messages are
+    compared inside chunks of 2^16, as narrow rows; one row per chunk says what changes at its border.
+    """
+    rows = messages.selectExpr("msg_seq", "coalesce(result.tick, 0) tick", f"shiftright(msg_seq, {_NARROW_CHUNK_BITS}) __chunk")
+    inside = "over (partition by __chunk order by msg_seq)"
+    changes = rows.selectExpr("*", f"coalesce(cast(tick <> lag(tick) {inside} as bigint), 0) __change")
+    local = changes.selectExpr("msg_seq", "__chunk", f"sum(__change) {inside} __local")
+    ends = changes.groupBy("__chunk").agg(F.expr("min_by(tick, msg_seq) first"), F.expr("max_by(tick, msg_seq) last"), F.expr("sum(__change) n"))
+    ends = ends.selectExpr("__chunk", "n", "coalesce(cast(first <> lag(last) over (order by __chunk) as bigint), 0) border")
+    begins = ends.selectExpr("__chunk", "sum(n + border) over (order by __chunk) - n __begin")
+    runs = local.join(begins, "__chunk").selectExpr("msg_seq", "__begin + __local run")
+    return messages.join(runs, "msg_seq")
 
 
 def enrich(logs: DataFrame, resume: dict | None = None) -> DataFrame:
@@ -46,12 +66,15 @@ def enrich(logs: DataFrame, resume: dict | None = None) -> DataFrame:
     * ``dividend``: between the start and the end marker of the tick; markers
       themselves are not inside, an open section ends with the tick.
 
+    Rows with a ``run`` (see ``tick_runs``) are numbered by run instead of by tick; the first run is 0.
+
     ``resume`` continues a tick cut by an earlier batch:
     ``{"tick": t, "next_index": n, "section_open": bool}``.
     """
+    key = "run" if "run" in logs.columns else "tick"
     columns = [f"`{c}`" for c in logs.columns]
     rows = with_marker(logs).selectExpr("*", f"shiftright(msg_seq, {CHUNK_BITS}) __chunk")
-    local = "partition by tick, __chunk order by msg_seq, pos"
+    local = f"partition by {key}, __chunk order by msg_seq, pos"
     numbered = rows.selectExpr(
         "*",
         f"cast(row_number() over ({local}) - 1 as bigint) __index",
@@ -64,18 +87,18 @@ def enrich(logs: DataFrame, resume: dict | None = None) -> DataFrame:
     in_chunk = f"(msg_seq & {(1 << CHUNK_BITS) - 1}L)"
     packed = f"shiftleft({in_chunk}, {_POS_BITS + 1}) + shiftleft(pos, 1) + marker"
     chunks = (
-        rows.groupBy("tick", "__chunk")
+        rows.groupBy(key, "__chunk")
         .agg(F.expr("count(1) n"), F.expr(f"max(case when marker is not null then {packed} end) packed"))
-        .selectExpr("tick", "__chunk", "n", "cast(packed & 1 as int) marker")
+        .selectExpr(key, "__chunk", "n", "cast(packed & 1 as int) marker")
     )
-    before = carry_forward(chunks, ["tick"], "__chunk", sums=["n"], lasts=["marker"])
+    before = carry_forward(chunks, [key], "__chunk", sums=["n"], lasts=["marker"])
     # Most ticks fit in one chunk: only chunks that inherit something are joined back.
     inherited = before.filter("before_n > 0 or before_marker is not null")
-    joined = numbered.join(inherited, ["tick", "__chunk"], "left")
+    joined = numbered.join(inherited, [key, "__chunk"], "left")
 
     offset, section = "coalesce(before_n, 0)", "__section, before_marker"
     if resume:
-        here = f"tick = {int(resume['tick'])}"
+        here = f"tick = {int(resume['tick'])}" + (" and run = 0" if key == "run" else "")
         offset += f" + case when {here} then {int(resume['next_index'])} else 0 end"
         section += f", case when {here} then {int(resume['section_open'])} end"
     return joined.selectExpr(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from tickflow.operators.bodies import rename_body, rename_stored_body, source_body_json
-from tickflow.schemas import STORED_COLUMNS
+from tickflow.schemas import REJECTED_TYPE, STORED_COLUMNS
 
 _ENVELOPE = [
     "index",
@@ -78,6 +78,38 @@ def to_topic_rows(messages: DataFrame) -> DataFrame:
     )
 
 
+def rejection_rows(rejected: DataFrame) -> DataFrame:
+    """Enriched rows with ``reason`` -> topic rows that stand for them, without a body.
+
+    They keep the place of the log in its tick, so that the tick is known to be complete; ``rejected`` and ``rejectedType`` say
+    what became of it. Fields that a record must not lack are filled in.
+    """
+    envelope = {
+        "index": "index_in_tick",
+        "type": f"{REJECTED_TYPE}L",
+        "tickNumber": "tick",
+        "epoch": "epoch",
+        "logDigest": "coalesce(nullif(log_digest, ''), 'none')",
+        "logId": "log_id",
+        "bodySize": "0L",
+        "timestamp": "greatest(timestamp, 1)",
+        "transactionHash": "''",
+        "rejected": "reason",
+        "rejectedType": "type",
+    }
+    members = ", ".join(f"{value} as `{name}`" for name, value in envelope.items())
+    flag = """case when last_log_for_tick then ',"lastLogForTick":true' else '' end"""
+    return rejected.selectExpr(
+        "cast(tick as string) key",
+        f"""concat(rtrim('}}', to_json(struct({members}))), ',"body":null', {flag}, '}}') value""",
+        "epoch",
+        "tick",
+        "index_in_tick `index`",
+        "log_id",
+        f"{REJECTED_TYPE}L type",
+    )
+
+
 def to_stored_event(enriched: DataFrame) -> DataFrame:
     """Enriched, parsed log rows -> the stored columns; the body keeps its source keys."""
     columns = {

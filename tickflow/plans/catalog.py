@@ -83,13 +83,13 @@ def ok_logs(spark, sf_dir):
 )
 def explode_messages(spark, sf_dir):
     """Message text -> parsed notifications -> one row per log."""
-    rows = explode_logs(parse_messages(feeds.feed_messages(spark, sf_dir)))
+    rows = explode_logs(parse_messages(feeds.feed_messages(spark, sf_dir), feeds.METHOD))
     return rows.withColumns(
         {
-            "amount": F.try_variant_get("body", "$.amount", "string"),
-            "source": F.try_variant_get("body", "$.from", "string"),
+            "amount": F.get_json_object("body", "$.amount"),
+            "source": F.get_json_object("body", "$.from"),
         }
-    ).drop("body")
+    ).drop("body", "message_epoch", "message_tick", "log_error", "rejected_text")
 
 
 @query(
@@ -99,7 +99,7 @@ def explode_messages(spark, sf_dir):
     )
 )
 def message_kinds(spark, sf_dir):
-    parsed = parse_messages(feeds.feed_messages(spark, sf_dir))
+    parsed = parse_messages(feeds.feed_messages(spark, sf_dir), feeds.METHOD)
     return parsed.groupBy("kind").agg(
         F.count(F.lit(1)).alias("messages"), F.sum(F.size("result.logs")).alias("logs")
     )

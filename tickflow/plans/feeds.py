@@ -21,6 +21,20 @@ from tickflow.operators.messages import build_event_message, to_stored_event, to
 #: A digest with a right checksum.
 DIGEST = "dkzxuegxfbbeeanspaourlzbmtdbhakfarbybmkiygegoavqugvfjxqfdspn"
 
+#: Log ids, modulo 100, whose text is changed: pattern, replacement, and the reason for which the log is rejected.
+BROKEN_LOGS = {
+    3: ('"epoch":[0-9]+', '"epoch":70000', "epoch"),
+    23: ('"tick":[0-9]+', '"tick":1099511627776', "tick"),
+    43: ('"logDigest":"[^"]*"', '"logDigest":5', "logDigest"),
+    63: ('"body":[{].*', '"body":[1]}', "body"),
+    83: ('"ok":(true|false)', '"ok":"yes"', "ok"),
+}
+#: Every so many messages one is cut before its end.
+_CUT_EVERY, _CUT_AT = 40, 7
+
+#: The subscription whose notifications carry the feed.
+METHOD = "log_subscription"
+
 _LOG_COLUMNS = f"""
   {{seq}} msg_seq, event_id % 8 pos, k <> 99 ok, epoch, tick,
   case event_type when 'click' then 0 when 'signup' then 1 when 'purchase' then 8
@@ -100,6 +114,11 @@ def feed_l(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def feed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feed E as message text, one row per message (a group of at most 8 logs)."""
+    return _as_messages(_texts(spark, sf_dir))
+
+
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON text of every log of feed E."""
     log = F.struct(
         "pos",
         "ok",
@@ -113,13 +132,28 @@ def feed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("tx_hash").alias("txHash"),
         F.try_parse_json("body").alias("body"),
     )
-    texts = feed_e(spark, sf_dir).select("msg_seq", "tick", "epoch", "pos", F.to_json(log).alias("log"))
+    return feed_e(spark, sf_dir).select("msg_seq", "tick", "epoch", "pos", "log_id", F.to_json(log).alias("log"))
+
+
+def broken_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed E with logs that do not fit (by their log id), and with messages that end early (by their number)."""
+    texts = _texts(spark, sf_dir)
+    log = F.col("log")
+    for rest, (pattern, by, _) in BROKEN_LOGS.items():
+        log = F.when(F.col("log_id") % 100 == rest, F.regexp_replace("log", pattern, by)).otherwise(log)
+    messages = _as_messages(texts.withColumn("log", log))
+    cut = F.expr(f"case when msg_seq % {_CUT_EVERY} = {_CUT_AT} then substring(value, 1, length(value) - 3) else value end")
+    return messages.withColumn("value", cut)
+
+
+def _as_messages(texts: DataFrame) -> DataFrame:
     grouped = texts.groupBy("msg_seq", "tick", "epoch").agg(F.sort_array(F.collect_list(F.struct("pos", "log"))).alias("logs"))
     logs = F.array_join(F.transform("logs", lambda x: x["log"]), ",")
     return grouped.select(
         "msg_seq",
+        "tick",
         F.concat(
-            F.lit('{"jsonrpc":"2.0","method":"log_subscription","params":{"subscription":"s1","result":{"epoch":'),
+            F.lit('{"jsonrpc":"2.0","method":"' + METHOD + '","params":{"subscription":"s1","result":{"epoch":'),
             F.col("epoch"),
             F.lit(',"tick":'),
             F.col("tick"),
@@ -181,6 +215,23 @@ enr as (
 )
 
 
+_REASONS = " ".join(f"when {rest} then '{reason}'" for rest, (_, _, reason) in BROKEN_LOGS.items())
+#: ``broken_enr``: logs that are not marked as bad, of messages that can be read. ``rejected``: those with a reason, and the cut messages.
+SQL_BROKEN_E = (
+    SQL_FEED_E
+    + f""",
+broken_logs as (
+  select *, case log_id % 100 {_REASONS} end reason from logs where msg_seq % {_CUT_EVERY} <> {_CUT_AT} and (ok or log_id % 100 = 83)),
+broken_enr as (
+  select *, row_number() over (partition by tick order by msg_seq, pos) - 1 index_in_tick,
+    pos = max(pos) over (partition by tick, msg_seq) last_log_for_tick from broken_logs),
+rejected as (
+  select epoch, tick, index_in_tick, log_id, type, reason from broken_enr where reason is not null
+  union all
+  select distinct on (msg_seq, tick) null, null, null, null, null, 'malformed message' from logs where msg_seq % {_CUT_EVERY} = {_CUT_AT})"""
+)
+
+
 def _j(key: str) -> str:
     return f"json_extract_string(body, '$.{key}')"
 

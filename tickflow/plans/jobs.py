@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickflow.plans import catalog, feeds
@@ -14,11 +15,29 @@ from tickflow.streaming.bridge import BridgeTables, run_bridge
 from tickflow.streaming.index import IndexTables, read_highest_tick, run_index
 
 
-def _bridge(spark, sf_dir) -> BridgeTables:
+#: Messages per file of the written feeds.
+_FILE_MESSAGES = 100_000
+
+
+def write_in_order(messages: DataFrame, path: str, files: int = 4) -> None:
+    """Message text in files that arrive one after another: at least ``files``, of consecutive ``msg_seq``."""
+    held = messages.persist()
+    low, high, n = held.agg(F.min("msg_seq"), F.max("msg_seq"), F.count(F.lit(1))).first()
+    files = max(files, -(-n // _FILE_MESSAGES))
+    for i in range(files if n else 0):
+        step = held.filter((F.col("msg_seq") - low) * files / (high - low + 1) >= i).filter((F.col("msg_seq") - low) * files / (high - low + 1) < i + 1)
+        step.repartition(1).sortWithinPartitions("msg_seq", "tick", "copy").select("value").write.mode("append").text(path)
+    held.unpersist()
+
+
+def _bridge(spark, sf_dir, messages: DataFrame | None = None, **options) -> BridgeTables:
+    """The bridge over the feed in several micro-batches, one file each. The files do not say in which order their messages are
+    but by the order of their lines."""
     root = scratch_dir(spark, "bridge")
-    # The message order is not kept: it must come out of the messages themselves.
-    feeds.feed_messages(spark, sf_dir).select("value").write.text(f"{root}/messages")
-    run_bridge(read_tick_stream(spark, f"{root}/messages", streaming=True), root, f"{root}/checkpoint").awaitTermination()
+    messages = feeds.feed_messages(spark, sf_dir) if messages is None else messages
+    write_in_order(messages if "copy" in messages.columns else messages.withColumn("copy", F.lit(0)), f"{root}/messages")
+    stream = read_tick_stream(spark, f"{root}/messages", streaming=True, max_files=1)
+    run_bridge(stream, root, f"{root}/checkpoint", feeds.METHOD, **options).awaitTermination()
     return BridgeTables(root)
 
 
@@ -61,3 +80,70 @@ def stream_documents(spark, sf_dir):
 @catalog.query(catalog.ORACLES["highest_tick"])
 def stream_tick_height(spark, sf_dir):
     return read_highest_tick(spark, _index(spark, sf_dir)).select("tick", F.col("processed"))
+
+
+@catalog.query(catalog.with_ctes(feeds.SQL_BROKEN_E, "select epoch, tick, index_in_tick, log_id, type, reason from rejected"))
+def stream_errors(spark, sf_dir):
+    """Logs that do not fit, one by one: the others of their messages are published."""
+    tables = _bridge(spark, sf_dir, feeds.broken_messages(spark, sf_dir), mode="quarantine")
+    return spark.read.parquet(tables.errors).select("epoch", "tick", "index_in_tick", "log_id", "type", "reason")
+
+
+@catalog.query(
+    catalog.with_ctes(
+        feeds.SQL_BROKEN_E,
+        """select tick, index_in_tick as "index", log_id, case when reason is null then type else 32767 end as type,
+             last_log_for_tick, reason, case when reason is not null then type end as rejected_type from broken_enr""",
+    )
+)
+def stream_marked_topic(spark, sf_dir):
+    """The topic of a feed with broken logs: every log that is not marked as bad stands in it, rejected ones as a marker."""
+    tables = _bridge(spark, sf_dir, feeds.broken_messages(spark, sf_dir), mode="quarantine")
+    schema = "tickNumber LONG, index LONG, logId DECIMAL(20,0), type LONG, lastLogForTick BOOLEAN, rejected STRING, rejectedType LONG"
+    rows = spark.read.text(tables.topic).select(F.from_json("value", schema).alias("r")).select("r.*")
+    return rows.selectExpr(
+        "tickNumber tick", "`index`", "logId log_id", "type", "coalesce(lastLogForTick, false) last_log_for_tick", "rejected reason", "rejectedType rejected_type"
+    )
+
+
+_RESENT = """, sent as (select e.*, c.copy, max(pos) over (partition by msg_seq, tick) as last_pos,
+                 count(*) over (partition by msg_seq, tick, c.copy) as n, row_number() over (partition by msg_seq, tick, c.copy order by pos) - 1 as place
+               from logs e cross join (select unnest([0, 1]) as copy) c where ok),
+             base as (select msg_seq, tick, sum(2 * n) over (partition by tick order by msg_seq) - 2 * n as before
+                      from (select distinct msg_seq, tick, n from sent))"""
+
+
+@catalog.query(
+    catalog.with_ctes(
+        feeds.SQL_FEED_E + _RESENT,
+        """select tick, log_id, cast(before + copy * n + place as bigint) as "index", pos = last_pos as last_log_for_tick
+           from sent join base using (msg_seq, tick)""",
+    )
+)
+def resent_messages(spark, sf_dir):
+    """Every message sent twice in a row: the second copy goes on counting, and has a last log of its own."""
+    messages = feeds.feed_messages(spark, sf_dir).withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1))))
+    rows = spark.read.text(_bridge(spark, sf_dir, messages).topic)
+    rows = rows.select(F.from_json("value", "tickNumber LONG, logId LONG, index LONG, lastLogForTick BOOLEAN").alias("r")).select("r.*")
+    return rows.selectExpr("tickNumber tick", "logId log_id", "`index`", "coalesce(lastLogForTick, false) last_log_for_tick")
+
+
+@catalog.query(
+    catalog.with_ctes(
+        feeds.SQL_ENRICHED_E,
+        """select tick, log_id, index_in_tick as "index", last_log_for_tick, count(*) as times from enr cross join (select unnest([0, 1]) as copy)
+           group by all""",
+    )
+)
+def resent_feed(spark, sf_dir):
+    """The whole feed sent again after its end, in batches of its own: ticks that come back are counted from 0 again."""
+    root = scratch_dir(spark, "bridge")
+    messages = feeds.feed_messages(spark, sf_dir).withColumn("copy", F.lit(0))
+    for _ in range(2):
+        write_in_order(messages, f"{root}/messages", files=2)
+    stream = read_tick_stream(spark, f"{root}/messages", streaming=True, max_files=1)
+    run_bridge(stream, root, f"{root}/checkpoint", feeds.METHOD).awaitTermination()
+    rows = spark.read.text(BridgeTables(root).topic)
+    rows = rows.select(F.from_json("value", "tickNumber LONG, logId LONG, index LONG, lastLogForTick BOOLEAN").alias("r")).select("r.*")
+    rows = rows.selectExpr("tickNumber tick", "logId log_id", "`index`", "coalesce(lastLogForTick, false) last_log_for_tick")
+    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("times"))

@@ -29,6 +29,10 @@ TYPE_NAMES = {
     255: "custom_message",
 }
 
+#: Type of the records that stand in the topic for rejected logs. No log has it and no reader supports it, so that it is
+#: counted as skipped and its tick still completes.
+REJECTED_TYPE = 32767
+
 # Categories of system transactions, by hash prefix.
 SYSTEM_TX_CATEGORIES = {
     "SC_INITIALIZE_TX": 1,
@@ -52,7 +56,9 @@ DEFAULT_SUPPORTED_TYPES = tuple(t for t in TYPE_NAMES if t != 7)
 
 CUSTOM_MESSAGE = 255
 MAX_SECONDS = 10_000_000_000
+UINT16_MAX = 2**16 - 1
 UINT32_MAX = 2**32 - 1
+INT64_MAX = 2**63 - 1
 UINT64_MAX = 2**64 - 1
 
 
@@ -267,18 +273,37 @@ DOCUMENT_COLUMNS = [
     *DOCUMENT_OPTIONAL,
 ]
 
-#: One raw log inside a tick-stream message. ``body`` stays a VARIANT until it is typed.
-LOG_STRUCT = (
-    "STRUCT<ok: BOOLEAN, epoch: BIGINT, tick: BIGINT, type: BIGINT, logId: DECIMAL(20,0), logDigest: STRING,"
-    " bodySize: BIGINT, logTypename: STRING, timestamp: BIGINT, txHash: STRING, body: VARIANT>"
-)
+#: Fields of a raw log inside a tick-stream message (fixed names): JSON kind, SQL type, and the value if absent. The flag and
+#: the body have no such value; the body stays JSON text until it is typed.
+LOG_FIELDS = {
+    "ok": ("bool", "BOOLEAN", None),
+    "epoch": ("int", "BIGINT", "0L"),
+    "tick": ("int", "BIGINT", "0L"),
+    "type": ("int", "BIGINT", "0L"),
+    "logId": ("u64", "BIGINT", "cast(0 as decimal(20,0))"),
+    "logDigest": ("str", "STRING", "''"),
+    "bodySize": ("int", "BIGINT", "0L"),
+    "logTypename": ("str", "STRING", None),
+    "timestamp": ("int", "BIGINT", "0L"),
+    "txHash": ("str", "STRING", "''"),
+    "body": ("obj", "STRING", None),
+}
+#: Ranges of its numbers. Times beyond 63 bits are refused here already; as milliseconds they fit nowhere.
+LOG_RANGES = {
+    "epoch": (0, UINT16_MAX),
+    "tick": (0, UINT32_MAX),
+    "type": (0, UINT32_MAX),
+    "logId": (0, UINT64_MAX),
+    "bodySize": (0, UINT32_MAX),
+    "timestamp": (0, INT64_MAX),
+}
 
 #: One tick-stream notification (JSON-RPC 2.0) or error response.
 MESSAGE_SCHEMA = (
     "jsonrpc STRING, method STRING,"
     " params STRUCT<subscription: STRING, result: STRUCT<epoch: BIGINT, tick: BIGINT,"
     " isCatchUp: BOOLEAN, isSkipped: BOOLEAN, totalLogs: BIGINT, filteredLogs: BIGINT,"
-    f" catchUpComplete: BOOLEAN, logs: ARRAY<{LOG_STRUCT}>>>,"
+    " catchUpComplete: BOOLEAN, logs: ARRAY<STRING>>>,"
     " error STRUCT<code: BIGINT, message: STRING>"
 )
 

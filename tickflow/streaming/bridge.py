@@ -15,14 +15,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickflow.operators.bodies import parse_body
-from tickflow.operators.enrich import enrich, ok_logs
-from tickflow.operators.messages import build_event_message, to_stored_event, to_topic_rows
+from tickflow.operators.enrich import enrich, ok_logs, tick_runs
+from tickflow.operators.events import EVENT_KEY, latest_by_key
+from tickflow.operators.messages import build_event_message, rejection_rows, to_stored_event, to_topic_rows
 from tickflow.operators.status import resume_from
 from tickflow.operators.validate import BadRecords
 from tickflow.schemas import DIVIDENDS_START
 from tickflow.sinks.files import publish_ndjson
 from tickflow.sinks.tables import PROGRESS_SCHEMA, newest_state, read_state, save_progress, write_batch, write_events
-from tickflow.sources.tick_stream import explode_logs, parse_messages
+from tickflow.sources.tick_stream import arrival_numbers, explode_logs, parse_messages, with_place
 
 #: Takes topic rows and the batch id.
 Publisher = Callable[[DataFrame, int], None]
@@ -63,19 +64,17 @@ def carry_tick_state(previous: DataFrame) -> dict | None:
 
 
 def progress_row(enriched: DataFrame, previous: DataFrame) -> DataFrame:
-    """Progress after a batch: the last log of the highest tick, or what was there if the batch had no log."""
+    """Progress after a batch: the last log of the last run, or what was there if the batch had no log."""
     open_after = F.col("dividend") | F.coalesce(F.col("parsed.customMessage") == DIVIDENDS_START, F.lit(False))
-    per_tick = enriched.groupBy("tick").agg(
+    per_run = enriched.groupBy("run").agg(
         F.max_by("epoch", "index_in_tick").alias("epoch"),
         F.max_by("log_id", "index_in_tick").alias("last_log_id"),
+        F.max_by("tick", "index_in_tick").alias("last_tick"),
         (F.max("index_in_tick") + 1).alias("next_index"),
         F.max_by(open_after, "index_in_tick").alias("section_open"),
     )
-    new = per_tick.agg(
-        *[F.max_by(c, "tick").alias(c) for c in ("epoch", "last_log_id", "next_index", "section_open")],
-        F.max("tick").alias("last_tick"),
-    ).filter(F.col("last_tick").isNotNull())
     columns = ["epoch", "last_log_id", "last_tick", "next_index", "section_open"]
+    new = per_run.agg(*[F.max_by(c, "run").alias(c) for c in columns]).filter(F.col("last_tick").isNotNull())
     both = new.select(*columns, F.lit(1).alias("__age")).unionByName(previous.select(*columns, F.lit(0).alias("__age")))
     return both.orderBy(F.desc("__age")).limit(1).drop("__age")
 
@@ -84,59 +83,72 @@ def process_bridge_batch(
     messages: DataFrame,
     batch: int,
     tables: BridgeTables,
+    method: str,
     publish: Publisher | None = None,
     start_tick: int | None = None,
     mode: str = "strict",
-    method: str | None = None,
 ) -> None:
-    """One micro-batch of message text."""
+    """One micro-batch of message text.
+
+    A log that cannot be read or has a bad body fails the batch before anything is written (``strict``). In
+    ``quarantine`` mode it goes to the error table, with its text and its place; a record of ``REJECTED_TYPE`` stands
+    for it in the topic, so that its tick completes. So every log that is not marked as bad by
+    the node is either published or an error. A message that cannot be read at all is an error as a whole.
+    """
     spark = messages.sparkSession
     previous = read_state(spark, tables.progress, batch - 1, PROGRESS_SCHEMA)
-    # The messages are parsed once: enrichment looks at their logs twice, the strict check at their kinds.
-    parsed = parse_messages(messages, method).persist()
-    logs = ok_logs(explode_logs(parsed))
+    # The messages are parsed once: for their numbers, their runs, their logs, and the strict check.
+    parsed = parse_messages(with_place(messages), method).persist()
+    numbered = tick_runs(with_numbers(arrival_numbers(parsed.filter("kind = 'ticks'"))))
+    logs = ok_logs(explode_logs(numbered))
     if start_tick is not None:
         logs = logs.filter(F.col("tick") >= start_tick)
-    rows = parse_body(enrich(logs, carry_tick_state(previous))).persist()
+    rows = parse_body(enrich(logs, carry_tick_state(previous)))
+    rows = rows.withColumn("reason", F.coalesce("log_error", "parse_error")).persist()
     try:
-        bad = rows.filter("parse_error is not null")
+        bad, good = rows.filter("reason is not null"), rows.filter("reason is null")
+        topic = to_topic_rows(build_event_message(good))
         if mode == "strict":
             if not parsed.filter("kind = 'malformed'").select("kind").isEmpty():
                 raise BadRecords("malformed message")
-            failed = bad.select("type", "parse_error").take(1)
+            failed = bad.select("type", "reason").take(1)
             if failed:
-                raise BadRecords(f"body of type {failed[0]['type']}: {failed[0]['parse_error']}")
-            good = rows
+                raise BadRecords(f"log of type {failed[0]['type']}: {failed[0]['reason']}")
         else:
-            errors = bad.select("epoch", "tick", "log_id", "type", F.to_json("parsed").alias("parsed"), "parse_error")
-            # A message that cannot be read at all is kept whole.
-            broken = parsed.filter("kind = 'malformed'").select(
-                F.lit("malformed message").alias("parse_error"), F.col("malformed_text").alias("message")
-            )
+            text = F.coalesce("rejected_text", "body").alias("text")
+            errors = bad.select("epoch", "tick", "index_in_tick", "log_id", "type", "reason", text)
+            broken = parsed.filter("kind = 'malformed'").select(F.lit("malformed message").alias("reason"), F.col("malformed_text").alias("text"))
             write_batch(errors.unionByName(broken, allowMissingColumns=True), tables.errors, batch)
-            good = rows.filter("parse_error is null")
-        (publish or tables.publish)(to_topic_rows(build_event_message(good)), batch)
-        write_events(to_stored_event(good), tables.events, batch)
-        save_progress(progress_row(good, previous), tables.progress, batch)
+            topic = topic.unionByName(rejection_rows(bad))
+        (publish or tables.publish)(topic, batch)
+        write_events(to_stored_event(latest_by_key(good, EVENT_KEY, "msg_seq", "pos")), tables.events, batch)
+        save_progress(progress_row(rows, previous), tables.progress, batch)
     finally:
         rows.unpersist()
         parsed.unpersist()
 
 
+def with_numbers(messages: DataFrame) -> DataFrame:
+    """Messages that came without a place (not from a file or topic) are numbered by ``monotonically_increasing_id``: in the
+    order of the frame."""
+    return messages if "msg_seq" in messages.columns else messages.withColumn("msg_seq", F.monotonically_increasing_id())
+
+
 def run_bridge(
     messages: DataFrame,
     root: str,
     checkpoint: str,
+    method: str,
     interval: str | None = None,
     **options,
 ) -> StreamingQuery:
-    """Start the bridge over a stream of message text (``value``, and ``msg_seq`` where the source has an order).
+    """Start the bridge over a stream of message text (``value`` and the place it stands in) of the subscription ``method``.
 
     Without ``interval`` the job takes what is there and ends.
     """
     tables = BridgeTables(root)
     writer = messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda df, batch: process_bridge_batch(df, batch, tables, **options)
+        lambda df, batch: process_bridge_batch(df, batch, tables, method, **options)
     )
     return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()
 
