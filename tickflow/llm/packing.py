@@ -18,50 +18,99 @@ shared folder, so that a lost executor's tasks run again over the same rows.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickflow.llm.bpe import SPACE
 from tickflow.llm.common import runs, small_batches, written
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
-_SPACES = regex.compile(f"[{SPACE}]+")
-#: Python takes these for white space, the vocabulary file does not.
-_CONTROLS = regex.compile("[\x1c-\x1f]")
+#: The word pattern of the vocabulary file, for printable ASCII in lower case.
+_ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+").findall
+#: Bytes of text that are encoded together, and stretches whose ids are put in place together.
+_TEXT_BYTES, _GATHERED = 8 << 20, 1 << 20
 _OUT_ROWS = 4096
 
 
 class LibraryIds:
-    """Ids by the tokenizers library of texts that part at white space; what was encoded is remembered, up to ``remembered`` stretches."""
+    """Ids by the tokenizers library, at most ``remembered`` stretches between white space kept for the next texts.
 
-    def __init__(self, spec: str, remembered: int = 200_000):
+    Texts part at ASCII white space, where no rule of the vocabulary file looks across; each different stretch of a batch is
+    encoded once. Of printable ASCII the words are found here and go to the library's model, which is all that the
+    file's other steps leave to do for them; any other stretch goes through the whole of the library.
+    """
+
+    def __init__(self, spec: str, remembered: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
         self.remembered = remembered
         self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    def _encode(self, chunks: list[str]) -> None:
+        """Add the ids of new stretches to the known ones."""
+        known, words, model = self.known, self.words, self.model
+        odd = []
+        for chunk in chunks:
+            if not chunk.isascii() or not chunk.isprintable() or "<|" in chunk:
+                odd.append(chunk)
+                continue
+            parts = []
+            for word in _ASCII_WORDS(chunk.lower()):
+                ids = words.get(word)
+                if ids is None:
+                    ids = words[word] = array("I", [t.id for t in model.tokenize(word)]).tobytes()
+                parts.append(ids)
+            known[chunk] = parts[0] if len(parts) == 1 else b"".join(parts)
+        for start in range(0, len(odd), 4096):
+            some = odd[start : start + 4096]
+            for chunk, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                known[chunk] = array("I", found.ids).tobytes()
 
-    def encode(self, texts: Iterable[str | None]) -> list[bytes]:
-        """Ids of each text, 32 bits each."""
-        parted = [_SPACES.split(t) if _CONTROLS.search(t) else t.split() for t in (t or "" for t in texts)]
-        new = {chunk for chunks in parted for chunk in chunks}
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, one text after another, and where each text begins (and the last one ends)."""
+        parted = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        coded = parted.flatten().dictionary_encode()
+        chunks, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
         if len(self.known) > self.remembered:
-            self.known = {chunk: self.known[chunk] for chunk in new if chunk in self.known}
-        new = [chunk for chunk in new if chunk not in self.known]
-        for start in range(0, len(new), 4096):
-            some = new[start : start + 4096]
-            for chunk, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.known[chunk] = np.array(found.ids, "<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, chunks)) for chunks in parted]
+            self.known = {chunk: self.known[chunk] for chunk in chunks if chunk in self.known}
+        if len(self.words) > self.remembered:
+            self.words.clear()
+        self._encode([chunk for chunk in chunks if chunk not in self.known])
+        found = [self.known[chunk] for chunk in chunks]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat, first = np.frombuffer(b"".join(found), np.uint32), np.cumsum(sizes) - sizes
+        ends = np.concatenate([[0], np.cumsum(sizes[codes])])
+        ids = np.empty(ends[-1], np.uint32)
+        for at in range(0, len(codes), _GATHERED):
+            some = codes[at : at + _GATHERED]
+            place = np.arange(ends[at], ends[at + len(some)])
+            ids[ends[at] : ends[at + len(some)]] = flat[place + np.repeat(first[some] - ends[at : at + len(some)], sizes[some])]
+        return ids, ends[parted.offsets.to_numpy() - parted.offsets[0].as_py()]
+
+
+def text_batches(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut so that their texts have about ``size`` bytes; a longer text is a batch of its own."""
+    for batch in batches:
+        total = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            end = int(np.searchsorted(total, (total[at - 1] if at else 0) + size, "right"))
+            end = max(end, at + 1)
+            yield batch.slice(at, end - at)
+            at = end
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = 2048, end: int = 0, with_ids: bool = False) -> DataFrame:
@@ -71,17 +120,20 @@ def pieces(docs: DataFrame, path: str, capacity: int = 2048, end: int = 0, with_
     """
     with open(path, encoding="utf-8") as file:
         spec = docs.sparkSession.sparkContext.broadcast(file.read())
-    last = np.array([end], "<u4").tobytes()
+    last = np.array([end], np.uint32)
 
     def cut(batches):
         library = LibraryIds(spec.value)
-        for batch in small_batches(batches, 256):
+        for batch in text_batches(batches, _TEXT_BYTES):
+            ids, begins = library.encode(batch.column("text"))
             rows = []
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), library.encode(batch.column("text").to_pylist())):
-                ids += last
-                for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[at : at + 4 * capacity]
-                    rows.append((doc, piece, at // 4, len(part) // 4, zlib.crc32(part), *([np.frombuffer(part, np.int32)] if with_ids else [])))
+            for doc, begin, stop in zip(batch.column("doc_id").to_pylist(), begins, begins[1:]):
+                n = int(stop - begin) + 1
+                for piece, at in enumerate(range(0, n, capacity)):
+                    part = ids[begin + at : min(begin + at + capacity, stop)]
+                    if len(part) < capacity:
+                        part = np.concatenate([part, last])
+                    rows.append((doc, piece, at, len(part), zlib.crc32(part), *([part.view(np.int32)] if with_ids else [])))
             yield _batch(rows, _arrow(with_ids))
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
