@@ -57,23 +57,21 @@ class LibraryIds:
         self.model = self.tokenizer.model
         self.remembered = remembered
         self.known: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
 
-    def _encode(self, chunks: list[str]) -> None:
-        """Add the ids of new stretches to the known ones."""
-        known, words, model = self.known, self.words, self.model
-        odd = []
+    def _word(self, word: str) -> bytes:
+        ids = self.known[word] = array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+        return ids
+
+    def _new(self, chunks: list[str]) -> None:
+        """Add the ids of new stretches to the known ones. A word is a stretch too."""
+        known, odd = self.known, []
         for chunk in chunks:
             if not chunk.isascii() or not chunk.isprintable() or "<|" in chunk:
                 odd.append(chunk)
-                continue
-            parts = []
-            for word in _ASCII_WORDS(chunk.lower()):
-                ids = words.get(word)
-                if ids is None:
-                    ids = words[word] = array("I", [t.id for t in model.tokenize(word)]).tobytes()
-                parts.append(ids)
-            known[chunk] = parts[0] if len(parts) == 1 else b"".join(parts)
+            elif chunk.isalpha():
+                known[chunk] = self._word(chunk.lower())
+            else:
+                known[chunk] = b"".join([known.get(word) or self._word(word) for word in _ASCII_WORDS(chunk.lower())])
         for start in range(0, len(odd), 4096):
             some = odd[start : start + 4096]
             for chunk, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
@@ -84,12 +82,13 @@ class LibraryIds:
         parted = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         coded = parted.flatten().dictionary_encode()
         chunks, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        found = list(map(self.known.get, chunks))
         if len(self.known) > self.remembered:
-            self.known = {chunk: self.known[chunk] for chunk in chunks if chunk in self.known}
-        if len(self.words) > self.remembered:
-            self.words.clear()
-        self._encode([chunk for chunk in chunks if chunk not in self.known])
-        found = [self.known[chunk] for chunk in chunks]
+            self.known = {chunk: ids for chunk, ids in zip(chunks, found) if ids is not None}
+        new = [i for i, ids in enumerate(found) if ids is None]
+        self._new([chunks[i] for i in new])
+        for i in new:
+            found[i] = self.known[chunks[i]]
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         flat, first = np.frombuffer(b"".join(found), np.uint32), np.cumsum(sizes) - sizes
         ends = np.concatenate([[0], np.cumsum(sizes[codes])])
