@@ -36,7 +36,7 @@ PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: The word pattern of the vocabulary file, for printable ASCII in lower case.
 _ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+").findall
 #: Bytes of text that are encoded together, and stretches whose ids are put in place together.
-_TEXT_BYTES, _GATHERED = 8 << 20, 1 << 20
+_TEXT_BYTES, _GATHERED = 8 << 20, 1 << 18
 _OUT_ROWS = 4096
 
 
@@ -48,7 +48,7 @@ class LibraryIds:
     file's other steps leave to do for them; any other stretch goes through the whole of the library.
     """
 
-    def __init__(self, spec: str, remembered: int = 400_000):
+    def __init__(self, spec: str, remembered: int = 150_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
