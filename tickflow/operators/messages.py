@@ -110,8 +110,8 @@ def rejection_rows(rejected: DataFrame) -> DataFrame:
     )
 
 
-def to_stored_event(enriched: DataFrame) -> DataFrame:
-    """Enriched, parsed log rows -> the stored columns; the body keeps its source keys."""
+def to_stored_event(enriched: DataFrame, *arrival: str) -> DataFrame:
+    """Enriched, parsed log rows -> the stored columns (and ``arrival``); the body keeps its source keys."""
     columns = {
         "log_id": "cast(log_id as decimal(20,0))",
         "event_type": "coalesce(type, 0)",
@@ -120,4 +120,4 @@ def to_stored_event(enriched: DataFrame) -> DataFrame:
         "body": source_body_json(),
         "log_digest": "coalesce(log_digest, '')",
     }
-    return enriched.selectExpr(*[f"{columns.get(c, c)} {c}" for c in STORED_COLUMNS])
+    return enriched.selectExpr(*[f"{columns.get(c, c)} {c}" for c in STORED_COLUMNS], *arrival)

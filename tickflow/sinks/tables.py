@@ -1,11 +1,10 @@
-"""Keyed tables on plain parquet, for jobs that may run a batch twice.
-
-* Rows are appended under ``batch=<id>``, and a batch that runs again replaces
-  exactly its own folder. Readers take the row of the newest batch per key,
-  so no micro-batch rewrites what earlier ones stored. ``compact`` rewrites a
-  table without superseded rows.
-* Small state lives in two slots: batch b reads slot (b - 1) % 2 and writes
-  slot b % 2, so a rerun starts from the state it started from before.
+"""Tables that jobs keep and that may see a batch twice.
+
+* Events and documents are run tables (``runs.py``): a batch adds a run, runs are merged as they pile up, and a list that is
+  switched last says what counts.
+* Errors lie under ``batch=<id>``; a batch that runs again replaces its folder, also by an empty one.
+* Small state lives in two slots: batch b reads slot (b - 1) % 2 and writes slot b % 2, so a rerun starts from the
+  state it started from before.
 """
 
 from __future__ import annotations
@@ -16,8 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tickflow.operators.documents import route_records
-from tickflow.operators.events import EVENT_KEY, latest_by_key
+from tickflow.operators.events import EVENT_KEY
 from tickflow.schemas import DOCUMENT_COLUMNS, STORED_SCHEMA
+from tickflow.sinks.runs import RunTable
 
 PROGRESS_SCHEMA = (
     "epoch BIGINT, last_log_id DECIMAL(20,0), last_tick BIGINT, next_index BIGINT, section_open BOOLEAN, batch BIGINT"
@@ -25,44 +25,36 @@ PROGRESS_SCHEMA = (
 COUNTER_SCHEMA = "tick DECIMAL(20,0), processed BIGINT, skipped BIGINT, total DECIMAL(20,0), batch BIGINT"
 
 
-def write_batch(rows: DataFrame, path: str, batch: int, partition: list[str] = ()) -> None:
-    (
-        rows.withColumn("batch", F.lit(batch).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition, "batch")
-        .parquet(path)
-    )
+def write_batch(rows: DataFrame, path: str, batch: int) -> None:
+    """Rows of one batch in a folder of their own."""
+    rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
 
 
-def write_events(events: DataFrame, path: str, batch: int) -> None:
-    """Stored events of one batch, one row per key (the last index wins), sorted for tick lookups."""
-    rows = latest_by_key(events, EVENT_KEY, "index_in_tick")
-    ordered = rows.repartitionByRange("epoch", "tick", "log_id").sortWithinPartitions("epoch", "tick", "log_id")
-    write_batch(ordered, path, batch, ["epoch"])
+def events_table(spark: SparkSession, path: str) -> RunTable:
+    """Stored events."""
+    return RunTable(spark, path, STORED_SCHEMA, tuple(EVENT_KEY), lookup="log_id")
 
 
-def read_events(spark: SparkSession, path: str) -> DataFrame:
-    """All stored events, newest batch per key. Filters on epoch and tick reach the files."""
-    rows = _read(spark, path, STORED_SCHEMA + ", batch BIGINT")
-    return latest_by_key(rows, EVENT_KEY, "batch").drop("batch")
+def read_events(spark: SparkSession, path: str, epoch: int | None = None, first: int | None = None, last: int | None = None) -> DataFrame:
+    """Stored events, the newest row per key; of an epoch and tick range only the runs that can hold it are opened."""
+    return events_table(spark, path).read(epoch, first, last)
 
 
 def compact_events(spark: SparkSession, path: str, out: str) -> None:
-    """A copy of the table that holds every key once, in key order."""
-    write_events(read_events(spark, path), out, batch=0)
+    """A copy of the table in one run, which holds every key once."""
+    events_table(spark, out).append(read_events(spark, path), 0, "index_in_tick")
 
 
-def write_documents(documents: DataFrame, path: str, batch: int, *arrival: str) -> None:
-    """Documents of one batch with their ``doc_id``, one row per id."""
-    write_batch(latest_by_key(documents, ["doc_id"], *arrival), path, batch)
+def documents_table(spark: SparkSession, path: str) -> RunTable:
+    """Documents by ``doc_id``."""
+    empty = route_records(spark.createDataFrame([], "value string"))
+    schema = empty.selectExpr("'' doc_id", *[f"`{c}`" for c in DOCUMENT_COLUMNS]).schema
+    return RunTable(spark, path, schema, ("doc_id",), tick="tickNumber", lookup="doc_id")
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """All documents, newest batch per id; none if no batch wrote one."""
-    empty = route_records(spark.createDataFrame([], "value string"))
-    schema = empty.selectExpr("'' doc_id", *[f"`{c}`" for c in DOCUMENT_COLUMNS], "0L batch").schema
-    return latest_by_key(_read(spark, path, schema), ["doc_id"], "batch").drop("batch")
+    """All documents, the newest per id; none if no batch wrote one."""
+    return documents_table(spark, path).read()
 
 
 def _read(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:

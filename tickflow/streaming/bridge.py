@@ -16,15 +16,18 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tickflow.operators.bodies import parse_body
 from tickflow.operators.enrich import enrich, ok_logs, tick_runs
-from tickflow.operators.events import EVENT_KEY, latest_by_key
+from tickflow.operators.events import EpochOutOfScope
 from tickflow.operators.messages import build_event_message, rejection_rows, to_stored_event, to_topic_rows
 from tickflow.operators.status import resume_from
 from tickflow.operators.validate import BadRecords
 from tickflow.schemas import DIVIDENDS_START
 from tickflow.sinks.files import publish_ndjson
-from tickflow.sinks.tables import PROGRESS_SCHEMA, newest_state, read_state, save_progress, write_batch, write_events
+from tickflow.sinks.tables import PROGRESS_SCHEMA, events_table, newest_state, read_state, save_progress, write_batch
 from tickflow.sources.tick_stream import arrival_numbers, explode_logs, parse_messages, with_place
 
+#: Why a log of a dropped epoch is rejected.
+OUT_OF_SCOPE = "epoch out of scope"
+
 #: Takes topic rows and the batch id.
 Publisher = Callable[[DataFrame, int], None]
 
@@ -87,16 +90,22 @@ def process_bridge_batch(
     publish: Publisher | None = None,
     start_tick: int | None = None,
     mode: str = "strict",
+    keep_epochs: int = 0,
 ) -> None:
     """One micro-batch of message text.
 
-    A log that cannot be read or has a bad body fails the batch before anything is written (``strict``). In
+    With ``keep_epochs`` only the newest epochs stay in the table of events; logs of an epoch at or below the highest that
+    was dropped by an earlier batch are rejected as out of scope.
+
+    A log that cannot be read, has a bad body or is out of scope fails the batch before anything is written (``strict``). In
     ``quarantine`` mode it goes to the error table, with its text and its place; a record of ``REJECTED_TYPE`` stands
     for it in the topic, so that its tick completes. So every log that is not marked as bad by
     the node is either published or an error. A message that cannot be read at all is an error as a whole.
     """
     spark = messages.sparkSession
     previous = read_state(spark, tables.progress, batch - 1, PROGRESS_SCHEMA)
+    events = events_table(spark, tables.events)
+    dropped = events.version(batch - 1).dropped if keep_epochs else -1
     # The messages are parsed once: for their numbers, their runs, their logs, and the strict check.
     parsed = parse_messages(with_place(messages), method).persist()
     numbered = tick_runs(with_numbers(arrival_numbers(parsed.filter("kind = 'ticks'"))))
@@ -104,7 +113,8 @@ def process_bridge_batch(
     if start_tick is not None:
         logs = logs.filter(F.col("tick") >= start_tick)
     rows = parse_body(enrich(logs, carry_tick_state(previous)))
-    rows = rows.withColumn("reason", F.coalesce("log_error", "parse_error")).persist()
+    gone = F.when(F.col("epoch") <= dropped, F.lit(OUT_OF_SCOPE))
+    rows = rows.withColumn("reason", F.coalesce("log_error", "parse_error", gone)).persist()
     try:
         bad, good = rows.filter("reason is not null"), rows.filter("reason is null")
         topic = to_topic_rows(build_event_message(good))
@@ -112,6 +122,8 @@ def process_bridge_batch(
             if not parsed.filter("kind = 'malformed'").select("kind").isEmpty():
                 raise BadRecords("malformed message")
             failed = bad.select("type", "reason").take(1)
+            if failed and failed[0]["reason"] == OUT_OF_SCOPE:
+                raise EpochOutOfScope(f"epochs up to {dropped} are out of scope")
             if failed:
                 raise BadRecords(f"log of type {failed[0]['type']}: {failed[0]['reason']}")
         else:
@@ -121,7 +133,8 @@ def process_bridge_batch(
             write_batch(errors.unionByName(broken, allowMissingColumns=True), tables.errors, batch)
             topic = topic.unionByName(rejection_rows(bad))
         (publish or tables.publish)(topic, batch)
-        write_events(to_stored_event(latest_by_key(good, EVENT_KEY, "msg_seq", "pos")), tables.events, batch)
+        stored = to_stored_event(good, "msg_seq", "pos")
+        events.append(stored, batch, "msg_seq", "pos", keep_epochs=keep_epochs)
         save_progress(progress_row(rows, previous), tables.progress, batch)
     finally:
         rows.unpersist()

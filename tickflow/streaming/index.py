@@ -13,7 +13,7 @@ from tickflow.operators import ticks
 from tickflow.operators.documents import doc_id, route_records
 from tickflow.operators.validate import error_policy
 from tickflow.schemas import DEFAULT_SUPPORTED_TYPES, DOCUMENT_COLUMNS
-from tickflow.sinks.tables import COUNTER_SCHEMA, newest_state, read_state, write_batch, write_documents, write_state
+from tickflow.sinks.tables import COUNTER_SCHEMA, documents_table, newest_state, read_state, write_batch, write_state
 
 
 @dataclass(frozen=True)
@@ -62,16 +62,19 @@ def process_index_batch(
     tick_status: bool = True,
 ) -> None:
     """One micro-batch of topic records: documents first, counters second."""
-    routed = route_records(records, types).persist()
+    # A failed record keeps its text.
+    routed = route_records(records.withColumn("text", F.col("value")), types)
+    routed = routed.withColumn("text", F.when(F.col("status") == "failed", F.col("text"))).persist()
+    spark = records.sparkSession
     try:
         error_policy(routed, mode)
         if mode == "quarantine":
-            write_batch(routed.filter("status = 'failed'").select("epoch", "logId", "reason"), tables.errors, batch)
+            write_batch(routed.filter("status = 'failed'").select("epoch", "logId", "reason", "text"), tables.errors, batch)
         arrival = [c for c in ("offset", "index", "logDigest") if c in routed.columns]
         documents = routed.filter("status = 'processed'").select(
             doc_id(F.col("epoch"), F.col("logId")).alias("doc_id"), *dict.fromkeys([*DOCUMENT_COLUMNS, *arrival])
         )
-        write_documents(documents, tables.documents, batch, *arrival)
+        documents_table(spark, tables.documents).append(documents, batch, *arrival)
         if tick_status:
             update_tick_height(routed, tables, batch)
     finally:
