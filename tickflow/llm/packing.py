@@ -36,19 +36,19 @@ PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: The word pattern of the vocabulary file, for printable ASCII in lower case.
 _ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+").findall
 #: Bytes of text that are encoded together, and stretches whose ids are put in place together.
-_TEXT_BYTES, _GATHERED = 8 << 20, 1 << 18
+_TEXT_BYTES, _GATHERED = 6 << 20, 1 << 18
 _OUT_ROWS = 4096
 
 
 class LibraryIds:
-    """Ids by the tokenizers library, at most ``remembered`` stretches between white space kept for the next texts.
+    """Ids by the tokenizers library. Some ``remembered`` stretches between white space that stood in a batch twice are kept for the next texts.
 
     Texts part at ASCII white space, where no rule of the vocabulary file looks across; each different stretch of a batch is
     encoded once. Of printable ASCII the words are found here and go to the library's model, which is all that the
     file's other steps leave to do for them; any other stretch goes through the whole of the library.
     """
 
-    def __init__(self, spec: str, remembered: int = 150_000):
+    def __init__(self, spec: str, remembered: int = 80_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
@@ -58,37 +58,46 @@ class LibraryIds:
         self.remembered = remembered
         self.known: dict[str, bytes] = {}
 
-    def _word(self, word: str) -> bytes:
-        ids = self.known[word] = array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
-        return ids
-
-    def _new(self, chunks: list[str]) -> None:
-        """Add the ids of new stretches to the known ones. A word is a stretch too."""
-        known, odd = self.known, []
+    def _new(self, chunks: list[str]) -> list[bytes]:
+        """Ids of stretches that are not known."""
+        known, tokenize = self.known, self.model.tokenize
+        out, odd = [], []
         for chunk in chunks:
-            if not chunk.isascii() or not chunk.isprintable() or "<|" in chunk:
-                odd.append(chunk)
-            elif chunk.isalpha():
-                known[chunk] = self._word(chunk.lower())
+            if chunk.isascii() and chunk.isalpha():
+                out.append(array("I", [t.id for t in tokenize(chunk.lower())]).tobytes())
+            elif chunk.isascii() and chunk.isprintable() and "<|" not in chunk:
+                # A word is a stretch too, so it may be known.
+                parts = [known.get(word) or array("I", [t.id for t in tokenize(word)]).tobytes() for word in _ASCII_WORDS(chunk.lower())]
+                out.append(b"".join(parts))
             else:
-                known[chunk] = b"".join([known.get(word) or self._word(word) for word in _ASCII_WORDS(chunk.lower())])
-        for start in range(0, len(odd), 4096):
-            some = odd[start : start + 4096]
-            for chunk, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                known[chunk] = array("I", found.ids).tobytes()
+                odd.append(len(out))
+                out.append(b"")
+        for start in range(0, len(odd), 1024):
+            some = odd[start : start + 1024]
+            asked = self.at(chunks, some)
+            for i, found in zip(some, self.tokenizer.encode_batch_fast(asked, add_special_tokens=False)):
+                out[i] = array("I", found.ids).tobytes()
+        return out
+
+    @staticmethod
+    def at(chunks: list[str], places: list[int]) -> list[str]:
+        return [chunks[i] for i in places]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, one text after another, and where each text begins (and the last one ends)."""
         parted = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         coded = parted.flatten().dictionary_encode()
-        chunks, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        chunks, codes = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
         found = list(map(self.known.get, chunks))
+        new = [i for i, ids in enumerate(found) if ids is None]
+        often = np.bincount(codes, minlength=len(chunks)) > 1
         if len(self.known) > self.remembered:
             self.known = {chunk: ids for chunk, ids in zip(chunks, found) if ids is not None}
-        new = [i for i, ids in enumerate(found) if ids is None]
-        self._new([chunks[i] for i in new])
-        for i in new:
-            found[i] = self.known[chunks[i]]
+        for i, ids in zip(new, self._new(self.at(chunks, new))):
+            found[i] = ids
+            if often[i]:
+                self.known[chunks[i]] = ids
+        del chunks, new
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         flat, first = np.frombuffer(b"".join(found), np.uint32), np.cumsum(sizes) - sizes
         ends = np.concatenate([[0], np.cumsum(sizes[codes])])
