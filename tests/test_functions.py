@@ -92,6 +92,22 @@ def test_date_time_fields_carry_over(value):
         assert got(bad) is None, bad
 
 
+@pytest.mark.parametrize(
+    ("year", "month", "day"),
+    [(12025, 2, 29), (123456789, 12, 31), (0, 3, 1), (-1, 1, 1), (-400, 2, 29), (2_147_483_648, 7, 4), (1900, 2, 28), (10000, 14, 35), (292277026596, 12, 4), (2**63 - 1, 1, 1)],
+)
+def test_any_year(value, year, month, day):
+    """Four hundred years are a whole number of days: the same day in a year that the standard library knows, and the eras between."""
+    near = 2000 + year % 400
+    eras = (year - near) // 400
+    expected = (_millis(near + (month - 1) // 12, (month - 1) % 12 + 1, 1) + (day - 1) * 86_400_000 + eras * 146_097 * 86_400_000 + 3_723_004) % 2**64
+    assert int(value(parse_utc_millis("s"), s=f"'{year}-{month}-{day} 01:02:03.004\\'005'")) == expected
+
+
+def test_years_beyond_64_bits_are_not_valid(value):
+    assert value(parse_utc_millis("s"), s=f"'{2**63}-01-01 00:00:00.000\\'000'") is None
+
+
 def test_text_conversions(value):
     def hexed(s):
         return value(hex_to_binary("s"), s=f"'{s}'")
