@@ -18,6 +18,7 @@ shared folder, so that a lost executor's tasks run again over the same rows.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from array import array
@@ -36,7 +37,7 @@ PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: The word pattern of the vocabulary file, for printable ASCII in lower case.
 _ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+").findall
 #: Bytes of text that are encoded together, and stretches whose ids are put in place together.
-_TEXT_BYTES, _GATHERED = 6 << 20, 1 << 18
+_TEXT_BYTES, _GATHERED = 4 << 20, 1 << 18
 _OUT_ROWS = 4096
 
 
@@ -48,7 +49,9 @@ class LibraryIds:
     file's other steps leave to do for them; any other stretch goes through the whole of the library.
     """
 
-    def __init__(self, spec: str, remembered: int = 80_000):
+    def __init__(self, spec: str, remembered: int = 50_000):
+        # A task has one core; the library would start a thread, with memory of its own, for every core of the machine.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
@@ -109,6 +112,18 @@ class LibraryIds:
         return ids, ends[parted.offsets.to_numpy() - parted.offsets[0].as_py()]
 
 
+_LOADED: dict[int, LibraryIds] = {}
+
+
+def _library(spec: str) -> LibraryIds:
+    """One for a Python worker, which runs many tasks."""
+    key = hash(spec)
+    if key not in _LOADED:
+        _LOADED.clear()
+        _LOADED[key] = LibraryIds(spec)
+    return _LOADED[key]
+
+
 def text_batches(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut so that their texts have about ``size`` bytes; a longer text is a batch of its own."""
     for batch in batches:
@@ -131,7 +146,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = 2048, end: int = 0, with_
     last = np.array([end], np.uint32)
 
     def cut(batches):
-        library = LibraryIds(spec.value)
+        library = _library(spec.value)
         for batch in text_batches(batches, _TEXT_BYTES):
             ids, begins = library.encode(batch.column("text"))
             rows = []
