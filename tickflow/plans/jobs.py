@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickflow.operators import events
 from tickflow.plans import catalog, feeds
 from tickflow.scratch import scratch_dir
 from tickflow.schemas import DOCUMENT_COLUMNS
-from tickflow.sinks.tables import read_documents, read_events
+from tickflow.sinks.tables import events_table, read_documents, read_events
 from tickflow.sources.tick_stream import read_tick_stream
 from tickflow.sources.topic import read_event_ndjson
-from tickflow.streaming.bridge import BridgeTables, run_bridge
-from tickflow.streaming.index import IndexTables, read_highest_tick, run_index
+from tickflow.streaming.bridge import OUT_OF_SCOPE, BridgeTables, run_bridge
+from tickflow.streaming.index import IndexTables, read_height, read_highest_tick, run_index, run_tick_height
 
 
 #: Messages per file of the written feeds.
@@ -41,11 +42,21 @@ def _bridge(spark, sf_dir, messages: DataFrame | None = None, **options) -> Brid
     return BridgeTables(root)
 
 
+def _records(spark, sf_dir, root: str) -> str:
+    """The feed's topic records in files that arrive one after another. Ticks are dealt in three parts; of each, the records that say
+    how large a tick is come later than the others, so most ticks are completed after others above them."""
+    rows = feeds.topic_e(spark, sf_dir).selectExpr("value", "pmod(xxhash64(tick), 3) part", "contains(value, '\"lastLogForTick\":true') ends").persist()
+    for part, ends in ((0, False), (1, False), (0, True), (2, False), (1, True), (2, True)):
+        step = rows.filter((F.col("part") == part) & (F.col("ends") == ends)).select("value")
+        step.coalesce(1 + step.count() // _FILE_MESSAGES).write.mode("append").text(f"{root}/records")
+    rows.unpersist()
+    return f"{root}/records"
+
+
 def _index(spark, sf_dir, max_files: int | None = None) -> IndexTables:
     """Index the feed, in micro-batches of ``max_files`` files; bad records go to the error table."""
     root = scratch_dir(spark, "index")
-    feeds.topic_e(spark, sf_dir).select("value").repartition(4).write.text(f"{root}/records")
-    records = read_event_ndjson(spark, f"{root}/records", streaming=True, max_files=max_files)
+    records = read_event_ndjson(spark, _records(spark, sf_dir, root), streaming=True, max_files=max_files)
     run_index(records, root, f"{root}/checkpoint", mode="quarantine").awaitTermination()
     return IndexTables(root)
 
@@ -79,7 +90,75 @@ def stream_documents(spark, sf_dir):
 
 @catalog.query(catalog.ORACLES["highest_tick"])
 def stream_tick_height(spark, sf_dir):
-    return read_highest_tick(spark, _index(spark, sf_dir)).select("tick", F.col("processed"))
+    """Counters as streaming state, over six micro-batches."""
+    root = scratch_dir(spark, "height")
+    records = read_event_ndjson(spark, _records(spark, sf_dir, root), streaming=True, max_files=1)
+    run_tick_height(records, root, f"{root}/checkpoint").awaitTermination()
+    return read_height(spark, IndexTables(root))
+
+
+@catalog.query(catalog.ORACLES["highest_tick"])
+def stream_pruned_height(spark, sf_dir):
+    """Counters of the index job, which drops those below the height, over three micro-batches."""
+    return read_highest_tick(spark, _index(spark, sf_dir, max_files=2)).select("tick", F.col("processed"))
+
+
+def _resent_part(spark, sf_dir, **options) -> BridgeTables:
+    """The feed in order, and then every tenth message once more."""
+    root = scratch_dir(spark, "bridge")
+    messages = feeds.feed_messages(spark, sf_dir).withColumn("copy", F.lit(0))
+    write_in_order(messages, f"{root}/messages", files=3)
+    write_in_order(messages.filter("msg_seq % 10 = 0"), f"{root}/messages", files=2)
+    stream = read_tick_stream(spark, f"{root}/messages", streaming=True, max_files=1)
+    run_bridge(stream, root, f"{root}/checkpoint", feeds.METHOD, **options).awaitTermination()
+    return BridgeTables(root)
+
+
+@catalog.query(
+    catalog.with_ctes(
+        feeds.SQL_ENRICHED_E,
+        """, marks as (select epoch, row_number() over (order by epoch desc) > 2 as gone from (select distinct epoch from enr))
+           select epoch, case when gone then null else count(*) end as events,
+             case when gone then count(*) filter (msg_seq % 10 = 0) end as rejected
+           from enr join marks using (epoch) group by epoch, gone
+           having not gone or count(*) filter (msg_seq % 10 = 0) > 0""",
+    )
+)
+def stream_retention(spark, sf_dir):
+    """Two epochs are kept; what is sent again of the others is rejected."""
+    tables = _resent_part(spark, sf_dir, mode="quarantine", keep_epochs=2)
+    stored = read_events(spark, tables.events).groupBy("epoch").agg(F.count(F.lit(1)).alias("events"))
+    errors = spark.read.parquet(tables.errors).filter(F.col("reason") == OUT_OF_SCOPE)
+    return stored.join(errors.groupBy("epoch").agg(F.count(F.lit(1)).alias("rejected")), "epoch", "full")
+
+
+@catalog.query(
+    catalog.with_ctes(
+        feeds.SQL_ENRICHED_E,
+        """select epoch, min(tick) as first_tick, max(tick) as last_tick, count(*) as total_events,
+             count(*) + count(*) filter (msg_seq % 10 = 0) as deliveries from enr group by epoch""",
+    )
+)
+def stream_status(spark, sf_dir):
+    """Status as the bridge keeps it, without a look at the events; resent ones count once, and as deliveries."""
+    events = events_table(spark, _resent_part(spark, sf_dir).events)
+    delivered = events.status(delivered=True).select("epoch", F.col("total_events").alias("deliveries"))
+    return events.status().join(delivered, "epoch")
+
+
+@catalog.query(
+    catalog.with_ctes(
+        feeds.SQL_ENRICHED_E,
+        """, wanted as (select distinct tick from enr where tick % 50 = 0 union select min(tick) - 1 from enr)
+           select w.tick, coalesce(e.epoch, 0) as epoch, e.log_id from wanted w left join enr e on w.tick = e.tick""",
+    )
+)
+def stream_lookup(spark, sf_dir):
+    """Ticks looked up in the bridge's table; only runs that can hold them are opened."""
+    table = events_table(spark, _resent_part(spark, sf_dir).events)
+    logs = feeds.feed_e(spark, sf_dir).filter("ok")
+    wanted = logs.filter("tick % 50 = 0").select("tick").union(logs.agg(F.min("tick") - 1)).distinct()
+    return events.events_for_ticks(table.read_for(wanted), wanted).select("tick", "epoch", "log_id")
 
 
 @catalog.query(catalog.with_ctes(feeds.SQL_BROKEN_E, "select epoch, tick, index_in_tick, log_id, type, reason from rejected"))

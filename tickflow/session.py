@@ -12,6 +12,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A repeated JSON key is not an error; the last one wins.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # Streaming state lies in RocksDB; a batch writes what it changed.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # The JVM does not compile methods beyond this size; a plan step that would need one runs as
     # a split projection instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",

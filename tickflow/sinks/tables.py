@@ -22,6 +22,7 @@ from tickflow.sinks.runs import RunTable
 PROGRESS_SCHEMA = (
     "epoch BIGINT, last_log_id DECIMAL(20,0), last_tick BIGINT, next_index BIGINT, section_open BOOLEAN, batch BIGINT"
 )
+HEIGHT_SCHEMA = "tick DECIMAL(20,0), processed BIGINT, batch BIGINT"
 COUNTER_SCHEMA = "tick DECIMAL(20,0), processed BIGINT, skipped BIGINT, total DECIMAL(20,0), batch BIGINT"
 
 

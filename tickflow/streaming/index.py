@@ -13,7 +13,8 @@ from tickflow.operators import ticks
 from tickflow.operators.documents import doc_id, route_records
 from tickflow.operators.validate import error_policy
 from tickflow.schemas import DEFAULT_SUPPORTED_TYPES, DOCUMENT_COLUMNS
-from tickflow.sinks.tables import COUNTER_SCHEMA, documents_table, newest_state, read_state, write_batch, write_state
+from tickflow.session import configure
+from tickflow.sinks.tables import COUNTER_SCHEMA, HEIGHT_SCHEMA, documents_table, newest_state, read_state, write_batch, write_state
 
 
 @dataclass(frozen=True)
@@ -30,6 +31,10 @@ class IndexTables:
     def counters(self) -> str:
         return f"{self.root}/counters"
 
+    @property
+    def height(self) -> str:
+        return f"{self.root}/height"
+
     @property
     def errors(self) -> str:
         return f"{self.root}/errors"
@@ -92,6 +97,43 @@ def run_index(
     return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()
 
 
+def raise_height(changed: DataFrame, batch: int, tables: IndexTables) -> None:
+    """Of the ticks whose counters a batch changed, the highest complete one above the stored one becomes the new one."""
+    spark = changed.sparkSession
+    before = read_state(spark, tables.height, batch - 1, HEIGHT_SCHEMA).select("tick", "processed")
+    new = ticks.highest_tick(ticks.above(changed, _highest_stored(before)))
+    # One row or none on either side; a new one is the higher one.
+    both = new.unionByName(before).orderBy(F.desc("tick")).limit(1)
+    write_state(both.coalesce(1), tables.height, batch)
+
+
+def _highest_stored(state: DataFrame) -> int | None:
+    row = state.first()
+    return None if row is None else row["tick"]
+
+
+def run_tick_height(
+    records: DataFrame, root: str, checkpoint: str, types: Sequence[int] = DEFAULT_SUPPORTED_TYPES, interval: str | None = None
+) -> StreamingQuery:
+    """Start the tick counters as streaming state: counters per tick in update mode, kept and checkpointed by the state
+    store, so that a batch reads and writes only the ticks it meets. A batch looks at those for the highest complete tick.
+
+    Ticks at or below the highest one change nothing any more. The store keeps a row of four numbers for every tick.
+    """
+    tables = IndexTables(root)
+    configure(records.sparkSession)
+    counters = ticks.tick_counters(route_records(records, types))
+    writer = counters.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(
+        lambda df, batch: raise_height(df, batch, tables)
+    )
+    return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()
+
+
+def read_height(spark: SparkSession, tables: IndexTables) -> DataFrame:
+    """The highest complete tick of ``run_tick_height`` and its processed count (one row or none)."""
+    return newest_state(spark, tables.height, HEIGHT_SCHEMA).select("tick", "processed")
+
+
 def read_highest_tick(spark: SparkSession, tables: IndexTables) -> DataFrame:
     """The stored highest complete tick and its processed count (one row or none)."""
     return ticks.highest_tick(newest_state(spark, tables.counters, COUNTER_SCHEMA))
