@@ -19,37 +19,32 @@ shared folder, so that a lost executor's tasks run again over the same rows.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickflow.llm.common import runs, small_batches, written
+from tickflow.llm.stretches import ASCII_WORDS, StretchIds, text_batches
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
-#: The word pattern of the vocabulary file, for printable ASCII in lower case.
-_ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+").findall
-#: Bytes of text that are encoded together, and stretches whose ids are put in place together.
-_TEXT_BYTES, _GATHERED = 4 << 20, 1 << 18
 _OUT_ROWS = 4096
 
 
-class LibraryIds:
-    """Ids by the tokenizers library. Some ``remembered`` stretches between white space that stood in a batch twice are kept for the next texts.
+class LibraryIds(StretchIds):
+    """Ids by the tokenizers library.
 
-    Texts part at ASCII white space, where no rule of the vocabulary file looks across; each different stretch of a batch is
-    encoded once. Of printable ASCII the words are found here and go to the library's model, which is all that the
+    Of stretches of printable ASCII the words are found here and go to the library's model, which is all that the
     file's other steps leave to do for them; any other stretch goes through the whole of the library.
     """
 
     def __init__(self, spec: str, remembered: int = 50_000):
+        super().__init__(remembered)
         # A task has one core; the library would start a thread, with memory of its own, for every core of the machine.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -58,11 +53,8 @@ class LibraryIds:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model
-        self.remembered = remembered
-        self.known: dict[str, bytes] = {}
 
-    def _new(self, chunks: list[str]) -> list[bytes]:
-        """Ids of stretches that are not known."""
+    def new(self, chunks: list[str]) -> list[bytes]:
         known, tokenize = self.known, self.model.tokenize
         out, odd = [], []
         for chunk in chunks:
@@ -70,47 +62,18 @@ class LibraryIds:
                 out.append(array("I", [t.id for t in tokenize(chunk.lower())]).tobytes())
             elif chunk.isascii() and chunk.isprintable() and "<|" not in chunk:
                 # A word is a stretch too, so it may be known.
-                parts = [known.get(word) or array("I", [t.id for t in tokenize(word)]).tobytes() for word in _ASCII_WORDS(chunk.lower())]
+                parts = [known.get(word) or array("I", [t.id for t in tokenize(word)]).tobytes() for word in ASCII_WORDS(chunk.lower())]
                 out.append(b"".join(parts))
             else:
                 odd.append(len(out))
                 out.append(b"")
         for start in range(0, len(odd), 1024):
             some = odd[start : start + 1024]
-            asked = self.at(chunks, some)
+            asked = [chunks[i] for i in some]
             for i, found in zip(some, self.tokenizer.encode_batch_fast(asked, add_special_tokens=False)):
                 out[i] = array("I", found.ids).tobytes()
         return out
 
-    @staticmethod
-    def at(chunks: list[str], places: list[int]) -> list[str]:
-        return [chunks[i] for i in places]
-
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts, one text after another, and where each text begins (and the last one ends)."""
-        parted = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
-        coded = parted.flatten().dictionary_encode()
-        chunks, codes = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
-        found = list(map(self.known.get, chunks))
-        new = [i for i, ids in enumerate(found) if ids is None]
-        often = np.bincount(codes, minlength=len(chunks)) > 1
-        if len(self.known) > self.remembered:
-            self.known = {chunk: ids for chunk, ids in zip(chunks, found) if ids is not None}
-        for i, ids in zip(new, self._new(self.at(chunks, new))):
-            found[i] = ids
-            if often[i]:
-                self.known[chunks[i]] = ids
-        del chunks, new
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        flat, first = np.frombuffer(b"".join(found), np.uint32), np.cumsum(sizes) - sizes
-        ends = np.concatenate([[0], np.cumsum(sizes[codes])])
-        ids = np.empty(ends[-1], np.uint32)
-        for at in range(0, len(codes), _GATHERED):
-            some = codes[at : at + _GATHERED]
-            place = np.arange(ends[at], ends[at + len(some)])
-            ids[ends[at] : ends[at + len(some)]] = flat[place + np.repeat(first[some] - ends[at : at + len(some)], sizes[some])]
-        return ids, ends[parted.offsets.to_numpy() - parted.offsets[0].as_py()]
-
 
 _LOADED: dict[int, LibraryIds] = {}
 
@@ -124,18 +87,6 @@ def _library(spec: str) -> LibraryIds:
     return _LOADED[key]
 
 
-def text_batches(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """Arrow batches cut so that their texts have about ``size`` bytes; a longer text is a batch of its own."""
-    for batch in batches:
-        total = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-        at = 0
-        while at < batch.num_rows:
-            end = int(np.searchsorted(total, (total[at - 1] if at else 0) + size, "right"))
-            end = max(end, at + 1)
-            yield batch.slice(at, end - at)
-            at = end
-
-
 def pieces(docs: DataFrame, path: str, capacity: int = 2048, end: int = 0, with_ids: bool = False) -> DataFrame:
     """(doc_id, text) -> the pieces of every row: doc_id, piece, start, length, ids_crc32, and ``ids`` where wanted.
 
@@ -147,7 +98,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = 2048, end: int = 0, with_
 
     def cut(batches):
         library = _library(spec.value)
-        for batch in text_batches(batches, _TEXT_BYTES):
+        for batch in text_batches(batches):
             ids, begins = library.encode(batch.column("text"))
             rows = []
             for doc, begin, stop in zip(batch.column("doc_id").to_pylist(), begins, begins[1:]):
