@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer as Reference
 
@@ -17,8 +18,8 @@ def pair():
 def _same(pair, text):
     ours, reference = pair
     ids = reference.encode(text, add_special_tokens=False).ids
-    assert ours.encode(text) == ids, repr(text)
-    assert ours.decode(ids) == reference.decode(ids, skip_special_tokens=False)
+    assert ours.encode(pa.array([text]))[0].tolist() == ids, repr(text)
+    assert ours.decode(pa.array([ids], pa.list_(pa.int32()))).to_pylist() == [reference.decode(ids, skip_special_tokens=False)]
 
 
 def test_random_texts_encode_as_the_library_does(pair):
@@ -28,6 +29,26 @@ def test_random_texts_encode_as_the_library_does(pair):
         _same(pair, "".join(chance.choices(letters, k=chance.randrange(40))))
 
 
+def test_many_texts_at_once(pair):
+    """Words that share a batch, and answers about pairs whose places in the table collide."""
+    ours, reference = pair
+    chance = random.Random(6)
+    words = ["".join(chance.choices("aeiounrstlmé", k=chance.randint(1, 14))) + chance.choice(["", "", "!!", "'s", "1,2", "\u00a0x", "Ü"]) for _ in range(20_000)]
+    texts = [None, *(" ".join(chance.choices(words, k=chance.randrange(60))) for _ in range(700)), "", " a  b\x1cc\t"]
+    for some in (texts, texts[:300], texts[200:]):
+        made = ours.encode_texts(pa.array(some))
+        expected = [reference.encode(t or "", add_special_tokens=False).ids for t in some]
+        assert made.to_pylist() == expected
+        assert ours.decode(made).to_pylist() == [reference.decode(ids, skip_special_tokens=False) for ids in expected]
+
+
+def test_unknown_ids_and_nulls_decode_to_nothing(pair):
+    lists = pa.array([[320, 99_999, 321], None, [], [-1, None, 320]], pa.list_(pa.int32()))
+    one = pair[1].id_to_token
+    assert [x or "" for x in pair[0].decode(lists).to_pylist()] == [f"{one(320)} {one(321)}", "", "", one(320)]
+    assert pair[0].decode(lists.slice(2)).to_pylist() == ["", one(320)]
+
+
 def test_every_code_point(pair):
     for start in range(0, 0x30000, 64):
         _same(pair, "a" + "b".join(chr(c) for c in range(start, start + 64) if not 0xD800 <= c < 0xE000))

@@ -21,10 +21,13 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from tickflow.llm.stretches import StretchIds, text_batches
+
 #: Unicode white space, and the words of the file's split pattern.
 SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 _SPACES = regex.compile(f"[{SPACE}]+")
@@ -33,7 +36,11 @@ NEWER_LOWER = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7DA: 0xA7DB, 0x
 NEWER_LOWER |= {0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5}
 NEWER_LOWER |= {c: c + 0x20 for c in range(0x10D50, 0x10D66)} | {c: c + 0x1B for c in range(0x16EA0, 0x16EB9)}
 _NEWER = regex.compile("[" + "".join(map(chr, NEWER_LOWER)) + "]")
-_END = "\0"  # closes a word; not in the byte alphabet
+#: Closes a word, as a letter after the 256 bytes.
+_END = 256
+_ASKED_BITS = 18
+#: Letters of words that are worked on together.
+_LETTERS = 1 << 20
 
 
 def byte_alphabet() -> list[str]:
@@ -59,35 +66,16 @@ def _ranges(letters: str) -> list[str]:
     return ["".join(map(chr, part)) for part in np.split(points, np.flatnonzero(np.diff(points) != 1) + 1)]
 
 
-class _Known(dict):
-    """Ids of stretches of text. A full generation is kept for one more, so that what is frequent stays known."""
-
-    def __init__(self, bpe: Bpe):
-        self.bpe = bpe
-
-    def __missing__(self, chunk: str) -> bytes:
-        older = self.bpe.older
-        ids = older.get(chunk)
-        if ids is None:
-            ids = self.bpe.chunk(chunk) if chunk else b""
-        if len(self) >= self.bpe.remembered:
-            self.bpe.older = dict(self)
-            self.clear()
-        self[chunk] = ids
-        return ids
-
+class Bpe(StretchIds):
+    """One vocabulary; ``newer`` is ``newer_letters()``; ``whole`` says which tokens their own text is encoded as (found out if not given)."""
 
-class Bpe:
-    """One vocabulary; ``newer`` is ``newer_letters()``; ``remembered`` bounds each of the caches."""
-
-    def __init__(self, spec: str, newer: str, remembered: int = 200_000):
+    def __init__(self, spec: str, newer: str, whole: np.ndarray | None = None, remembered: int = 50_000):
+        super().__init__(remembered)
         file = json.loads(spec)
         model = file["model"]
         self.suffix = model["end_of_word_suffix"]
-        self.vocab: dict[str, int] = model["vocab"]
         self.rank = {tuple(m) if isinstance(m, list) else tuple(m.split(" ")): i for i, m in enumerate(model["merges"])}
         self.added = {t["content"]: t["id"] for t in file["added_tokens"]}
-        self.pieces = {i: t for t, i in chain(self.vocab.items(), self.added.items())}
         pattern = file["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         # ``newer`` are no letters or digits to the tokenizers library.
         newer = newer or "\0"
@@ -95,74 +83,73 @@ class Bpe:
         pattern = pattern.replace(rf"[^{SPACE}\p{{L}}\p{{N}}]", rf"[^{SPACE}[\p{{L}}\p{{N}}--[{newer}]]]")
         self.pattern = regex.compile(pattern, regex.V1)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")")
-        self.letters = byte_alphabet()
-        self.remembered = remembered
-        self.known, self.older = _Known(self), {}
-        self.pairs: dict[int, bool] = {}
-        # Tokens by number: base letters first, then by the rank of the merge that makes them.
-        keys = [t[: -len(self.suffix)] + _END if t.endswith(self.suffix) else t for t in self.vocab]
-        number = {t: n for n, t in enumerate(self.vocab)}
-        self.ids = [*self.vocab.values()]
-        self.made_at = [-1] * len(keys)
-        self.parts: list[tuple[int, int]] = [(-1, -1)] * len(keys)
-        self.pair_rank: dict[int, int] = {}
+
+        tokens = [*model["vocab"]]
+        self.ids = np.array([*model["vocab"].values()], np.uint32)
+        number = {t: n for n, t in enumerate(tokens)}
+        pieces = [None] * (max(*model["vocab"].values(), *self.added.values(), 0) + 1)
+        for token, i in chain(model["vocab"].items(), self.added.items()):
+            pieces[i] = token
+        self.pieces = pa.array(pieces, pa.string())
+        # The merge that makes a token, the two tokens it joins, and the merges by pair.
+        self.made = np.full(len(tokens), -1, np.int32)
+        self.left, self.right = np.zeros((2, len(tokens)), np.int32)
+        pairs = np.empty((3, len(self.rank)), np.int64)
         for (left, right), rank in self.rank.items():
-            whole = number[left + right]
-            self.pair_rank[number[left] << 20 | number[right]] = rank
-            if self.made_at[whole] < 0:
-                self.made_at[whole], self.parts[whole] = rank, (number[left], number[right])
-        self._automaton([(n, key) for n, key in enumerate(keys) if self._merged(key) == [key[:-1] + self.suffix if key[-1] == _END else key]])
-
-    def _automaton(self, tokens: list[tuple[int, str]]) -> None:
-        """States are prefixes of tokens, with links to their longest suffix that is one; ``longest`` is the longest
-        token that ends in a state, ``shorter`` the next one that ends a token."""
-        self.size = [0] * len(self.ids)
-        goes: list[dict[str, int]] = [{}]
-        own = [-1]
+            joined = number[left + right]
+            pairs[:, rank] = number[left], number[right], rank
+            if self.made[joined] < 0:
+                self.made[joined], self.left[joined], self.right[joined] = rank, number[left], number[right]
+        order = np.argsort(pairs[0] << 20 | pairs[1])
+        self.pair_keys, self.pair_ranks = (pairs[0] << 20 | pairs[1])[order], pairs[2][order].astype(np.int32)
+        # Answers about pairs, each in the one place its hash gives; a place is taken over by the next pair.
+        self.asked, self.answered = np.full(1 << _ASKED_BITS, -1, np.int64), np.zeros(1 << _ASKED_BITS, bool)
+
+        byte_of = {letter: i for i, letter in enumerate(byte_alphabet())}
+        ends = [t.endswith(self.suffix) for t in tokens]
+        texts = [t.removesuffix(self.suffix) if end else t for t, end in zip(tokens, ends)]
+        if whole is None:
+            whole = np.array([self._merged([*t[:-1], t[-1] + self.suffix] if end else [*t]) == [token] for token, t, end in zip(tokens, texts, ends)])
+        self.whole = whole
+        self._automaton([(n, [*map(byte_of.__getitem__, t)] + [_END] * end) for n, (t, end) in enumerate(zip(texts, ends)) if whole[n]])
+
+    def _automaton(self, tokens: list[tuple[int, list[int]]]) -> None:
+        """States are prefixes of tokens. ``goes`` has for every state and byte (or word end) the state of the longest prefix that
+        ends there; ``longest`` is the longest token that ends in a state, ``shorter`` the next one that ends a token."""
+        self.size = np.zeros(len(self.ids), np.int32)
+        goes: dict[tuple[int, int], int] = {}
+        depth, own = [0], [-1]
         for n, key in tokens:
             self.size[n] = len(key)
             state = 0
             for letter in key:
-                then = goes[state].get(letter)
-                if then is None:
-                    then = goes[state][letter] = len(goes)
-                    goes.append({})
+                state = goes.setdefault((state, letter), len(own))
+                if state == len(own):
                     own.append(-1)
-                state = then
+                    depth.append(0)
             own[state] = n
-        link = [0] * len(goes)
-        longest = list(own)
-        self.shorter = [-1] * len(self.ids)
-        level = [0]
-        while level:
-            below = []
-            for state in level:
-                if own[state] >= 0:
-                    self.shorter[own[state]] = longest[link[state]] if state else -1
-                else:
-                    longest[state] = longest[link[state]]
-                for letter, then in goes[state].items():
-                    at = link[state]
-                    while at and letter not in goes[at]:
-                        at = link[at]
-                    found = goes[at].get(letter, 0)
-                    link[then] = found if found != then else 0
-                    below.append(then)
-            level = below
-        self.goes, self.link, self.longest = goes, link, longest
-        self.step: dict[int, int] = {}
-
-    def _move(self, state: int, letter: str) -> int:
-        """The longest prefix of a token that ends here after one more letter."""
-        while state and letter not in self.goes[state]:
-            state = self.link[state]
-        return self.goes[state].get(letter, 0)
-
-    def _merged(self, key: str) -> list[str]:
-        """The symbols of ``key`` merged by rank, lowest first, leftmost first."""
-        symbols = [*key]
-        if symbols[-1] == _END:
-            symbols[-2:] = [symbols[-2] + self.suffix]
+        edges = np.array([(s, c, then) for (s, c), then in goes.items()], np.int32)
+        link, own = np.zeros(len(own), np.int32), np.array(own, np.int32)
+        self.goes = np.zeros((len(own), _END + 1), np.int32)
+        self.longest, self.shorter = own.copy(), np.full(len(self.ids), -1, np.int32)
+        level = np.array([0])
+        by_state = np.argsort(edges[:, 0], kind="stable")
+        edges = edges[by_state]
+        while len(level):
+            self.goes[level] = self.goes[link[level]] if level[0] else 0
+            ending = level[own[level] >= 0]
+            self.shorter[own[ending]] = self.longest[link[ending]]
+            others = level[own[level] < 0]
+            self.longest[others] = self.longest[link[others]]
+            first, last = np.searchsorted(edges[:, 0], level, "left"), np.searchsorted(edges[:, 0], level, "right")
+            here = edges[np.repeat(first - np.cumsum(last - first) + (last - first), last - first) + np.arange((last - first).sum())]
+            # A letter's fallback is where its parent's fallback goes with it; from the start that is the start.
+            link[here[:, 2]] = np.where(here[:, 0] == 0, 0, self.goes[here[:, 0], here[:, 1]])
+            self.goes[here[:, 0], here[:, 1]] = here[:, 2]
+            level = np.sort(here[:, 2])
+
+    def _merged(self, symbols: list[str]) -> list[str]:
+        """``symbols`` merged by rank, lowest first, leftmost first."""
         while len(symbols) > 1:
             ranked = [(self.rank.get(p, 1 << 30), i) for i, p in enumerate(zip(symbols, symbols[1:]))]
             best = min(ranked)[0]
@@ -179,93 +166,153 @@ class Bpe:
             symbols = out
         return symbols
 
-    def _stable(self, left: int, right: int) -> bool:
-        """Whether the joint text of two tokens is encoded as just these two.
+    def _stable(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether the joint text of two tokens is encoded as just these two, for many pairs."""
+        pair = left.astype(np.int64) << 20 | right
+        place = (pair * 0x9E3779B97F4A7C1 & (1 << 62) - 1) >> 62 - _ASKED_BITS
+        out = self.answered[place]
+        new = np.flatnonzero(self.asked[place] != pair)
+        if len(new):
+            out[new] = self._look(left[new], right[new])
+            # Where two new pairs meet in a place, the same one must win in both arrays.
+            last = np.full(1 << _ASKED_BITS, -1, np.int32) if len(new) > 1 << 16 else {}
+            if isinstance(last, dict):
+                new = new[np.unique(place[new], return_index=True)[1]]
+            else:
+                last[place[new]] = new
+                new = last[last >= 0]
+            self.asked[place[new]], self.answered[place[new]] = pair[new], out[new]
+        return out
+
+    def _look(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Goes back in time along the border: of the two pieces that touch there, the one made last is undone.
 
-        Goes back in time along the border: of the two pieces that touch there, the one made last is
-        undone. The border was crossed if the touching pieces merge before either was used up.
+        The border was crossed if the touching pieces merge before either was used up.
         """
-        made, parts, rank = self.made_at, self.parts, self.pair_rank
-        left_used = right_used = 1 << 30
-        while True:
-            merge = rank.get(left << 20 | right)
-            if merge is not None and merge < left_used and merge <= right_used:
-                return False
-            a, b = made[left], made[right]
-            if a > b:
-                left_used, left = a, parts[left][1]
-            elif b >= 0:
-                right_used, right = b, parts[right][0]
-            else:
-                return True
-
-    def word(self, letters: str) -> list[int]:
-        """Ids of one word, given in the byte alphabet."""
-        text = letters + _END
-        last = [-1] * (len(text) + 1)
-        begins = [0] * (len(text) + 1)
-        pairs, longest, shorter, size = self.pairs, self.longest, self.shorter, self.size
-        step, state = self.step, 0
-        for end, letter in enumerate(text, 1):
-            move = state << 10 | ord(letter)
-            state = step.get(move, -1)
-            if state < 0:
-                state = step[move] = self._move(move >> 10, letter)
-            token = longest[state]  # the longest match is right most of the time
-            while token >= 0:
-                start = end - size[token]
-                if not start:
-                    break
-                before = last[start]
-                if before >= 0:
-                    pair = before << 20 | token
-                    known = pairs.get(pair)
-                    if known is None:
-                        if len(pairs) >= self.remembered:
-                            pairs.clear()
-                        known = pairs[pair] = self._stable(before, token)
-                    if known:
-                        break
-                token = shorter[token]
-            last[end], begins[end] = token, end - size[token] if token >= 0 else 0
-        ids, end = [], len(text)
-        while end:
-            ids.append(self.ids[last[end]])
-            end = begins[end]
-        return ids[::-1]
-
-    def chunk(self, chunk: str) -> bytes:
-        """Ids (32 bits each) of a stretch of normalised text without white space."""
-        words = self.pattern.findall(chunk)
-        if len(words) == 1:
-            return np.array(self.word("".join(map(self.letters.__getitem__, words[0].encode()))), np.int32).tobytes()
-        return b"".join(map(self.known.__getitem__, words))
-
-    def ids_of(self, text: str | None) -> bytes:
-        """Ids of a text, 32 bits each."""
-        if not text:
-            return b""
-        out = []
-        for part in self.cut.split(text) if "<|" in text else (text,):
+        out = np.ones(len(left), bool)
+        at = np.arange(len(left))
+        left_used = right_used = np.full(len(left), 1 << 30)
+        while len(at):
+            pair = left.astype(np.int64) << 20 | right
+            k = np.minimum(np.searchsorted(self.pair_keys, pair), len(self.pair_keys) - 1)
+            merge = np.where(self.pair_keys[k] == pair, self.pair_ranks[k], 1 << 30)
+            crossed = (merge < left_used) & (merge <= right_used)
+            out[at[crossed]] = False
+            a, b = self.made[left], self.made[right]
+            back_left = a > b
+            going = ~crossed & (back_left | (b >= 0))
+            left_used, right_used = np.where(back_left, a, left_used)[going], np.where(back_left, right_used, b)[going]
+            left, right = np.where(back_left, self.right[left], left)[going], np.where(back_left, right, self.left[right])[going]
+            at = at[going]
+        return out
+
+    def words(self, words: list[bytes]) -> list[bytes]:
+        """Ids (32 bits each) of words in UTF-8."""
+        out: list[bytes] = [b""] * len(words)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        order = np.argsort(-sizes, kind="stable")
+        start = 0
+        while start < len(words):
+            # Words of like length together, within a bounded number of letters.
+            end = start + max(1, int(_LETTERS // (sizes[order[start]] + 2)))
+            some = order[start:end]
+            ids, ends = self._words([words[i] for i in some], sizes[some])
+            data = ids.tobytes()
+            for i, first, last in zip(some.tolist(), [0, *(4 * ends).tolist()], (4 * ends).tolist()):
+                out[i] = data[first:last]
+            start = end
+        return out
+
+    def _words(self, words: list[bytes], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, and where those of each end. The longest word is the first. All words go on by one letter at a time."""
+        n, longest = len(words), int(sizes[0])
+        letters = np.full((longest + 1, n), _END, np.int16)
+        flat = np.frombuffer(b"".join(words), np.uint8)
+        column = np.repeat(np.arange(n), sizes)
+        letters[np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes), column] = flat
+        last = np.full((longest + 2, n), -1, np.int32)
+        state = np.zeros(n, np.int32)
+        # How many words have a letter, or their end, at each place.
+        open_ = np.searchsorted(-sizes, -np.arange(longest + 1), "right")
+        for place in range(1, longest + 2):
+            k = int(open_[place - 1])
+            state = self.goes[state[:k], letters[place - 1, :k]]
+            token = self.longest[state]
+            # The longest match is right most of the time.
+            todo = np.flatnonzero(self.size[token] < place)
+            while len(todo):
+                asked = token[todo]
+                wrong = ~self._stable(last[place - self.size[asked], todo], asked)
+                todo = todo[wrong]
+                token[todo] = self.shorter[token[todo]]
+                todo = todo[self.size[token[todo]] < place]
+            last[place, :k] = token
+        found, words_of, end = [], [], sizes + 1
+        at = np.arange(n)
+        while len(at):
+            token = last[end[at], at]
+            found.append(token)
+            words_of.append(at)
+            end[at] -= self.size[token]
+            at = at[end[at] > 0]
+        counts = np.bincount(np.concatenate(words_of), minlength=n)
+        ends = np.cumsum(counts)
+        ids = np.empty(ends[-1], np.uint32)
+        for back, (token, at) in enumerate(zip(found, words_of)):
+            ids[ends[at] - 1 - back] = self.ids[token]
+        return ids, ends
+
+    def _parts(self, chunk: str) -> list[str | int]:
+        """Normalised words, and ids of added tokens, of a stretch that is not printable ASCII."""
+        out: list[str | int] = []
+        for part in self.cut.split(chunk) if "<|" in chunk else (chunk,):
             if part in self.added:
-                out.append(np.int32(self.added[part]).tobytes())
+                out.append(self.added[part])
                 continue
             # One letter at a time: the final form of sigma is not used.
             if not part.isascii():
                 part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
                 if _NEWER.search(part):
                     part = part.translate(NEWER_LOWER)
-            # Python counts four controls as white space that are none here.
             part = part.lower()
-            out.extend(map(self.known.__getitem__, _SPACES.split(part) if any(map(part.__contains__, "\x1c\x1d\x1e\x1f")) else part.split()))
-        return b"".join(out)
-
-    def encode(self, text: str | None) -> list[int]:
-        return np.frombuffer(self.ids_of(text), np.int32).tolist()
-
-    def decode(self, ids) -> str:
-        """The tokens of the ids with a space between two; unknown ids have none."""
-        return " ".join([p for p in map(self.pieces.get, ids) if p is not None])
+            for piece in _SPACES.split(part):
+                out.extend(self.pattern.findall(piece))
+        return out
+
+    def new(self, chunks: list[str]) -> list[bytes]:
+        known, words_of = self.known, self.words_of
+        number: dict[str, int] = {}
+        out: list = []
+        for chunk in chunks:
+            words = words_of(chunk)
+            if words is None:
+                words = self._parts(chunk)
+            if len(words) == 1 and not isinstance(words[0], int):
+                out.append(number.setdefault(words[0], len(number)))
+            else:
+                # A word is a stretch too, so it may be known.
+                out.append([np.uint32(w).tobytes() if isinstance(w, int) else known.get(w) or number.setdefault(w, len(number)) for w in words])
+        ids = self.words([w.encode() for w in number])
+        return [ids[p] if isinstance(p, int) else b"".join([ids[x] if isinstance(x, int) else x for x in p]) for p in out]
+
+    def encode_texts(self, texts: pa.Array) -> pa.ListArray:
+        """Ids of each text."""
+        ids, ends = self.encode(texts)
+        return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.view(np.int32)))
+
+    def decode(self, lists: pa.ListArray) -> pa.Array:
+        """The tokens of the ids with a space between two; unknown ids have none. Empty for null."""
+        ids = lists.flatten()
+        known = pc.and_kleene(pc.greater_equal(ids, 0), pc.less(ids, len(self.pieces)))
+        tokens = self.pieces.take(pc.if_else(pc.fill_null(known, False), ids, None))
+        if tokens.null_count:
+            kept = tokens.is_valid().to_numpy(zero_copy_only=False)
+            ends = np.concatenate([[0], np.cumsum(kept)])[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+            tokens = tokens.drop_null()
+        else:
+            ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        parted = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), tokens)
+        return pc.fill_null(pc.binary_join(parted, " "), "")
 
 
 _LOADED: dict[int, Bpe] = {}
@@ -277,7 +324,8 @@ class Tokenizer:
     def __init__(self, spark: SparkSession, path: str):
         with open(path, encoding="utf-8") as file:
             spec = file.read()
-        self._spec = spark.sparkContext.broadcast((spec, newer_letters()))
+        newer = newer_letters()
+        self._spec = spark.sparkContext.broadcast((spec, newer, Bpe(spec, newer).whole))
 
     def encode(self, text: Column | str) -> Column:
         """array<int> of the ids of a text; empty for null."""
@@ -286,9 +334,8 @@ class Tokenizer:
         @F.arrow_udf("array<int>")
         def ids(texts: pa.Array) -> pa.Array:
             bpe = model()
-            parts = [bpe.ids_of(t.as_py()) for t in texts]
-            ends = np.cumsum([0] + [len(p) // 4 for p in parts]).astype(np.int32)
-            return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(parts), np.int32)))
+            parts = [bpe.encode_texts(b.column("text")) for b in text_batches([pa.RecordBatch.from_arrays([texts], ["text"])])]
+            return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
 
         return ids(text)
 
@@ -298,15 +345,14 @@ class Tokenizer:
 
         @F.arrow_udf("string")
         def text(lists: pa.Array) -> pa.Array:
-            bpe = model()
-            return pa.array([bpe.decode(x.as_py() or ()) for x in lists], pa.string())
+            return model().decode(lists)
 
         return text(ids)
 
 
 def _loader(spec):
     def model() -> Bpe:
-        key = hash(spec.value)
+        key = hash(spec.value[0])
         if key not in _LOADED:
             _LOADED.clear()
             _LOADED[key] = Bpe(*spec.value)

@@ -29,8 +29,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickflow.llm.bpe import byte_alphabet
 from tickflow.llm.common import runs, small_batches, written
-from tickflow.llm.stretches import ASCII_WORDS, StretchIds, text_batches
+from tickflow.llm.stretches import StretchIds, text_batches
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _OUT_ROWS = 4096
@@ -39,8 +40,8 @@ _OUT_ROWS = 4096
 class LibraryIds(StretchIds):
     """Ids by the tokenizers library.
 
-    Of stretches of printable ASCII the words are found here and go to the library's model, which is all that the
-    file's other steps leave to do for them; any other stretch goes through the whole of the library.
+    Of plain stretches the words are found here and go to the library's model, which is all that the file's other steps
+    leave to do for them; any other stretch goes through the whole of the library.
     """
 
     def __init__(self, spec: str, remembered: int = 50_000):
@@ -53,20 +54,28 @@ class LibraryIds(StretchIds):
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model
+        # The letters that stand for bytes.
+        self.letters = {byte: letter for byte, letter in enumerate(byte_alphabet()) if chr(byte) != letter}
 
     def new(self, chunks: list[str]) -> list[bytes]:
-        known, tokenize = self.known, self.model.tokenize
+        known, tokenize, letters = self.known, self.model.tokenize, self.letters
         out, odd = [], []
+
+        def ids(word: str) -> bytes:
+            if not word.isascii():
+                word = word.encode().decode("latin-1").translate(letters)
+            return array("I", [t.id for t in tokenize(word)]).tobytes()
+
         for chunk in chunks:
-            if chunk.isascii() and chunk.isalpha():
-                out.append(array("I", [t.id for t in tokenize(chunk.lower())]).tobytes())
-            elif chunk.isascii() and chunk.isprintable() and "<|" not in chunk:
-                # A word is a stretch too, so it may be known.
-                parts = [known.get(word) or array("I", [t.id for t in tokenize(word)]).tobytes() for word in ASCII_WORDS(chunk.lower())]
-                out.append(b"".join(parts))
-            else:
+            words = self.words_of(chunk)
+            if words is None:
                 odd.append(len(out))
                 out.append(b"")
+            elif len(words) == 1:
+                out.append(ids(words[0]))
+            else:
+                # A word is a stretch too, so it may be known.
+                out.append(b"".join([known.get(word) or ids(word) for word in words]))
         for start in range(0, len(odd), 1024):
             some = odd[start : start + 1024]
             asked = [chunks[i] for i in some]

@@ -9,8 +9,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: The word pattern of the vocabulary file, for printable ASCII in lower case.
-ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+").findall
+_LETTERS = "a-z\u00df-\u00f6\u00f8-\u00ff"
+#: Lower-cased stretches of printable ASCII and Latin letters of the first 256 code points. These are as any normal form has them.
+plain = re.compile(f"[!-~{_LETTERS}]+").fullmatch
+#: The word pattern of the vocabulary file, for plain stretches.
+plain_words = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9]+").findall
 #: Bytes of text that are encoded together, and stretches whose ids are put in place together.
 TEXT_BYTES, GATHERED = 4 << 20, 1 << 18
 
@@ -27,6 +30,14 @@ class StretchIds:
         """Ids (32 bits each) of stretches that are not known."""
         raise NotImplementedError
 
+    @staticmethod
+    def words_of(chunk: str) -> list[str] | tuple[str] | None:
+        """The normalised words of a stretch that is plain (and holds no added token), else None."""
+        low = chunk.lower()
+        if not plain(low) or "<|" in low:
+            return None
+        return (low,) if low.isalpha() else plain_words(low)
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, one text after another, and where each text begins (and the last one ends)."""
         parted = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
