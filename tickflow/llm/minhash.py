@@ -7,11 +7,14 @@
    as members. A pair's signatures are compared batch by batch, and it is dropped
    as soon as the posterior probability that its likeness reaches the threshold
    falls below ``miss``. Survivors are verified on their full sets.
-3. In buckets whose members are still in different components, the members outside
-   the largest component meet all others, in tiles of bounded size. Each hands on the
+3. Where many members of a bucket are outside its largest component, they are paired with the member
+   that is most like their consensus (each byte of a signature as most of some ``_PROBES`` of them have it): copies of one text
+   are most like that text. Again as many pairs as members; that goes on as long as it links anything.
+4. In buckets whose members are still in different components, the members outside
+   the largest component, now few, meet all others, in tiles of bounded size. Each hands on the
    one partner in another component whose signature is most alike, which is
    verified; that goes on as long as it links anything, and joins groups around whatever text they were copied from.
-4. What is then still apart meets a last time, and all pairs across components
+5. What is then still apart meets a last time, and all pairs across components
    that pass the test are verified. Pairs inside a component need no look, as they change nothing.
 
 Results are components, so this loses no link between different texts that a
@@ -32,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, IntegerType
 
 from tickflow.llm.common import WordIds, mix, runs, small_batches, written
 from tickflow.llm.components import components
@@ -39,6 +43,7 @@ from tickflow.llm.components import components
 HASHES, BAND_ROWS, BATCH = 128, 5, 16
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _ROWS, _COLUMNS = 128, 4096
+_PROBES = 64
 #: Ids of texts to be verified are broadcast up to this many (some 10 MB), and joined by a shuffle beyond.
 _BROADCAST_IDS = 500_000
 
@@ -171,6 +176,24 @@ def _tiles(threshold: float, miss: float, best: bool):
     return test
 
 
+@F.arrow_udf(BinaryType())
+def _consensus(groups: pa.Array) -> pa.Array:
+    """At each place the byte that most signatures of a list have."""
+    out = []
+    for signatures in groups:
+        rows = _matrix(signatures.values)
+        counts = np.zeros((HASHES, 256), np.int32)
+        np.add.at(counts, (np.arange(HASHES)[None, :], rows), 1)
+        out.append(counts.argmax(axis=1).astype(np.uint8).tobytes())
+    return pa.array(out, pa.binary())
+
+
+@F.arrow_udf(IntegerType())
+def _likeness(left: pa.Array, right: pa.Array) -> pa.Array:
+    """How many bytes of two signatures agree."""
+    return pa.array((_matrix(left) == _matrix(right)).sum(axis=1), pa.int32())
+
+
 def _verify(size: int, percent: int):
     """Exact likeness of pairs, on the full sets; the last texts' sets are remembered."""
 
@@ -237,15 +260,30 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
         both = pairs.join(needed.toDF("b", "right"), "b").join(needed.toDF("a", "left"), "a")
         return written(both.select("a", "b", "left", "right").mapInArrow(_verify(shingle, percent), "a long, b long"), f"{name}-links")
 
-    def apart(classes: DataFrame, best: bool) -> DataFrame:
-        """Likely pairs across components; the centre of a bucket has met all others and takes no part."""
+    def mixed_buckets(classes: DataFrame) -> DataFrame:
+        """Members of the buckets that hold several components; the centre of a bucket has met all others and takes no part."""
         placed = shared.filter("node <> centre").join(classes, "node", "left")
         placed = placed.select("bucket", "node", F.coalesce("component", "node").alias("component"))
         mixed = placed.groupBy("bucket", "component").count().groupBy("bucket").agg(
             F.max_by("component", "count").alias("largest"), F.max("count").alias("most"), F.sum("count").alias("n")
         )
         mixed = mixed.filter("most < n").selectExpr("bucket", "largest", f"ceil((n - most) / {_ROWS}) as across", f"ceil(n / {_COLUMNS}) as down")
-        placed = placed.join(mixed, "bucket").withColumn("minor", F.col("component") != F.col("largest"))
+        return placed.join(mixed, "bucket").withColumn("minor", F.col("component") != F.col("largest"))
+
+    def around_consensus(classes: DataFrame) -> DataFrame:
+        """Pairs of members with the one most like the consensus of those outside the largest component, where these are many."""
+        many = written(mixed_buckets(classes).filter("across > 1").join(marks.select("node", "signature"), "node"), "many")
+        probes = many.filter("minor").selectExpr("bucket", "signature", "row_number() over (partition by bucket order by xxhash64(node)) as nth")
+        probes = probes.filter(F.col("nth") <= _PROBES).groupBy("bucket").agg(F.collect_list("signature").alias("some"))
+        scored = many.join(probes.select("bucket", _consensus("some").alias("middle")), "bucket")
+        scored = scored.select("bucket", "node", "component", _likeness("signature", "middle").alias("like"))
+        middle = scored.groupBy("bucket").agg(F.max(F.struct("like", "node", "component")).alias("m")).select("bucket", "m.node", "m.component").toDF("bucket", "middle", "own")
+        pairs = many.join(middle, "bucket").filter("component <> own")
+        return pairs.select(F.least("node", "middle").alias("a"), F.greatest("node", "middle").alias("b")).distinct()
+
+    def apart(classes: DataFrame, best: bool) -> DataFrame:
+        """Likely pairs across components."""
+        placed = mixed_buckets(classes)
         place = lambda of: F.pmod(F.xxhash64("node"), F.col(of))
         each = lambda of: F.explode(F.sequence(F.lit(0).cast("long"), F.col(of) - 1))
         columns = placed.select("bucket", "node", "component", "minor", F.lit(False).alias("row"), each("across").alias("first"), place("down").alias("second"))
@@ -259,6 +297,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
 
     stars = shared.filter("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
     whole = components(linked(likely(stars), "star"))
+    while True:
+        links = linked(likely(around_consensus(whole)), "consensus")
+        if links.isEmpty():
+            break
+        whole = joined(whole, links)
     while True:
         links = linked(apart(whole, best=True), "best")
         if links.isEmpty():
