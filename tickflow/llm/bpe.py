@@ -26,6 +26,7 @@ import regex
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from tickflow.llm.common import small_arrow_batches
 from tickflow.llm.stretches import StretchIds, text_batches
 
 #: Unicode white space, and the words of the file's split pattern.
@@ -322,6 +323,7 @@ class Tokenizer:
     """Spark columns over one vocabulary file. The file (fixed size) is read on the driver and broadcast."""
 
     def __init__(self, spark: SparkSession, path: str):
+        small_arrow_batches(spark)
         with open(path, encoding="utf-8") as file:
             spec = file.read()
         newer = newer_letters()

@@ -35,6 +35,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_arrow_batches(spark: SparkSession) -> None:
+    """Rows go to Python at most 1,024 and about 8 MB at a time from here on in this session: texts may be long, and the JVM holds a
+    batch several times beside its heap."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
 def held_out(doc_id: Column) -> Column:
     """Whether a row's labels are kept from training: crc32 of its id as text, modulo 3, is 1."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))

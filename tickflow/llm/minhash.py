@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType
 
-from tickflow.llm.common import WordIds, mix, runs, small_batches, written
+from tickflow.llm.common import WordIds, mix, runs, small_arrow_batches, small_batches, written
 from tickflow.llm.components import components
 
 HASHES, BAND_ROWS, BATCH = 128, 5, 16
@@ -224,6 +224,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
 
     Two texts are linked if 100 * shared shingles >= percent * all their shingles.
     """
+    small_arrow_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     texts = texts.withColumn("mark", F.xxhash64("text"))
     sketches = written(

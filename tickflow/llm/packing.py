@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickflow.llm.bpe import byte_alphabet
-from tickflow.llm.common import runs, small_batches, written
+from tickflow.llm.common import runs, small_arrow_batches, small_batches, written
 from tickflow.llm.stretches import StretchIds, text_batches
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -101,6 +101,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = 2048, end: int = 0, with_
 
     A row's ids are those of the vocabulary file at ``path`` (read on the driver, broadcast) and then ``end``.
     """
+    small_arrow_batches(docs.sparkSession)
     with open(path, encoding="utf-8") as file:
         spec = docs.sparkSession.sparkContext.broadcast(file.read())
     last = np.array([end], np.uint32)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickflow.llm.common import in_fold, written
+from tickflow.llm.common import in_fold, small_arrow_batches, written
 
 ORDERS = (3, 4, 5, 6)
 BITS = 18
@@ -96,6 +96,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 3000) -> Model |
     Of rows that share an id one is learned from. N-grams are counted where the texts lie; only counts (2^18 at most) come to the
     driver, and only those n-grams that tell the classes apart go to the task that fits.
     """
+    small_arrow_batches(docs.sparkSession)
     known = labels.filter(in_fold(F.col("doc_id")) & F.col("toxic").isNotNull()).groupBy("doc_id").agg((F.max("toxic") > 0).alias("__toxic"))
     counts = {r["__toxic"]: r["n"] for r in known.groupBy("__toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(counts) < 2:
@@ -161,6 +162,7 @@ def toxicity(docs: DataFrame, model: Model | None, text: str = "text") -> Column
     """Score between 0 and 1 of a text column, to be used on ``docs``."""
     if model is None:
         return F.lit(0.0)
+    small_arrow_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
 
     @F.arrow_udf("double")
