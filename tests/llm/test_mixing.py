@@ -67,7 +67,6 @@ def test_edges(spark):
     out = mixing.mix(docs).collect()
     assert len(out) == len(rows)
     assert all(r.copies == 0 for r in out if r["size"] == 0)
-    assert len({r.copies for r in out if r.doc_id == 6}) == 1
     sizes = defaultdict(int)
     for r in out:
         sizes[r.source] += r["size"]
@@ -80,6 +79,30 @@ def test_edges(spark):
     assert {r.target for r in mixing.mix(docs.filter("doc_id in (2, 3)")).collect()} == {0.0}
 
 
+def test_rows_that_repeat_are_taken_singly(spark, monkeypatch):
+    """A source of one document sent 200 times, and one of two: targets are met to a row, and the rows taken are whole rows."""
+    monkeypatch.setattr(mixing, "_ROWS_AT_ONCE", 16)
+    rows = [(1, "five words stand right here", "a")] * 200 + [(2, "other five words stand here", "b")] * 100 + [(3, "x y z", "b"), (None, "n n", "b"), (None, "n n", "b")]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, source string, row long").repartition(6)
+    out = mixing.mix(docs).collect()
+    assert len(out) == len(rows)
+    sizes, taken = defaultdict(int), defaultdict(int)
+    for r in out:
+        sizes[r.source] += r["size"]
+        taken[r.source] += r["size"] * r.copies
+    goal = water(sizes)
+    for source in sizes:
+        assert abs(taken[source] - goal[source]) <= 5
+    kept = mixing.repeated(docs).collect()
+    copies = defaultdict(int)
+    for r in kept:
+        copies[r.row] += 1
+        assert tuple(r)[:3] == rows[r.row]
+    assert sorted(copies.values()) == sorted(r.copies for r in out if r.copies)
+    again = mixing.repeated(docs).collect()
+    assert len(again) == len(kept)
+
+
 def test_no_python_on_the_way(spark):
     plan = queries.QUERIES["op2_mixing"](spark, SF)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan

@@ -17,7 +17,8 @@ counts they might have had.
 
 Chance comes from hashes of ids and the seed: reruns agree. Null is a source of its
 own, the last one. Documents without words (null or blank text) are never taken.
-Rows equal in id, source and size are decided together, each gets the same copies.
+Rows equal in id, source and size are a unit: of those that are due a fraction each, as many as they are due together are taken for
+certain, and the rest of less than one row is rounded by chance.
 With no words at all every target is 0.
 """
 
@@ -132,6 +133,30 @@ def pivotal(rows: DataFrame, seed: int = 17, bucket: int = 64) -> DataFrame:
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, seed: int = 17, closing: int = 4) -> DataFrame:
     """(doc_id, text, source) -> doc_id, source, size, source_size, target, copies; a row for every row of ``docs``."""
+    plan = _plan(docs, weights, cap, seed, closing)
+    some = plan.filter("rows > 1").withColumn("step", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(rows - 1) div {_ROWS_AT_ONCE}"))))
+    # Rows of a unit that stands there very often are made in many tasks, some thousand by each.
+    some = some.repartition("id", "source", "size", "step")
+    some = some.withColumn("nth", F.explode(F.expr(f"sequence(step * {_ROWS_AT_ONCE}, least(rows, (step + 1) * {_ROWS_AT_ONCE}) - 1)")))
+    rows = plan.filter("rows = 1").withColumn("nth", F.lit(0).cast("long")).unionByName(some.drop("step"))
+    return rows.select(F.col("id").alias("doc_id"), "source", "size", "source_size", "target", _copies().alias("copies"))
+
+
+#: Rows of a unit that one task makes.
+_ROWS_AT_ONCE = 4096
+
+
+def _copies() -> Column:
+    """Copies of the nth row (from 0) of a unit."""
+    return (F.col("whole") + (F.col("nth") < F.col("more")).cast("int")).cast("int")
+
+
+def _plan(docs: DataFrame, weights: tuple[int, ...], cap: int, seed: int, closing: int) -> DataFrame:
+    """One row per unit (id, source, size) with its number of ``rows``: each is taken ``whole`` times, ``more`` of them once more.
+
+    Of rows due 0.3 copies each, ten are due 3 copies together: three rows are taken for certain. Only what is left below one row is
+    rounded by chance, as one row of that fraction.
+    """
     sized = docs.select(F.col("doc_id").cast("long").alias("id"), "source", word_count("text").alias("size"))
     units = written(sized.groupBy("id", "source", "size").agg(F.count(F.lit(1)).alias("rows")), "units")
     goals = written(targets(units.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size")), weights, cap), "targets")
@@ -140,20 +165,20 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, see
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     # A rate that is whole but for rounding is whole.
     rate = F.when(F.abs(rate - F.round(rate)) < 1e-12, F.round(rate)).otherwise(rate)
-    due = due.withColumn("rate", rate).withColumn("whole", F.floor("rate").cast("int"))
-    # Rows decided together weigh together.
-    worded = due.filter("size > 0").select("source", "id", (F.col("size") * F.col("rows")).alias("size"), "whole", (F.col("rate") - F.col("whole")).alias("p"))
+    due = due.withColumn("rate", rate).withColumn("whole", F.when(F.col("size") > 0, F.floor("rate")).otherwise(0).cast("int"))
+    due = due.withColumn("share", F.when(F.col("size") > 0, (F.col("rate") - F.col("whole")) * F.col("rows")).otherwise(0.0))
+    due = due.withColumn("sure", F.floor("share"))
+    worded = due.filter("size > 0").select("source", "id", "size", F.lit(0).alias("whole"), (F.col("share") - F.col("sure")).alias("p"))
     copies = written(pivotal(worded, seed), "copies")
-    low = due.filter("size > 0").select("source", (F.col("whole")).alias("whole"), (F.col("rate") > F.col("whole")).alias("open")).distinct()
-    low = written(low, "low").toDF("__source", "whole", "open")
+    # Words that are taken for certain, and whether chance has a say in a source.
+    certain = due.groupBy("source").agg(F.sum(F.expr("size * (rows * whole + sure)")).alias("certain"), F.max("target").alias("target"), F.max(F.expr("rate > floor(rate)")).alias("open"))
+    certain = written(certain, "certain").withColumnRenamed("source", "__source")
     for _ in range(closing):
         taken = copies.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("taken"))
-        off = taken.join(goal, F.col("source").eqNullSafe(F.col("__source"))).select("__source", (F.col("taken") - F.col("target")).alias("off"))
-        off = off.join(low.withColumnRenamed("__source", "__s"), F.col("__source").eqNullSafe(F.col("__s"))).filter("open").drop("__s")
+        off = taken.join(certain, F.col("source").eqNullSafe(F.col("__source"))).filter("open")
+        off = off.select("__source", (F.col("certain") + F.col("taken") - F.col("target")).alias("off"))
         # A document that can switch and leaves less of the gap than any other.
-        can = copies.join(off, F.col("source").eqNullSafe(F.col("__source"))).filter(
-            F.when(F.col("off") > 0, F.col("copies") > F.col("whole")).otherwise(F.col("copies") == F.col("whole"))
-        )
+        can = copies.join(off, F.col("source").eqNullSafe(F.col("__source"))).filter(F.when(F.col("off") > 0, F.col("copies") > 0).otherwise(F.col("copies") == 0))
         left = F.abs(F.abs("off") - F.col("size"))
         best = can.filter(left < F.abs("off")).groupBy("source").agg(F.min(F.struct(left.alias("left"), "id", "size")).alias("b"), F.first("off").alias("off"))
         best = best.select(F.col("source").alias("__source"), F.col("b.id").alias("__id"), F.col("b.size").alias("__size"), F.signum("off").cast("int").alias("by"))
@@ -162,17 +187,31 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, see
             copies.join(best, same, "left").select("source", "id", "size", (F.col("copies") - F.coalesce("by", F.lit(0))).alias("copies")), "copies"
         )
     made = copies.select(F.col("source").alias("__source"), F.col("id").alias("__id"), F.col("size").alias("__size"), "copies")
-    weighs = F.col("size") * F.col("rows")
-    same = F.col("source").eqNullSafe(F.col("__source")) & F.col("id").eqNullSafe(F.col("__id")) & (weighs == F.col("__size"))
-    out = due.join(made, same, "left").withColumn("copies", F.coalesce("copies", F.lit(0)))
-    out = out.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
-    return out.select(F.col("id").alias("doc_id"), "source", "size", "source_size", "target", "copies")
+    same = F.col("source").eqNullSafe(F.col("__source")) & F.col("id").eqNullSafe(F.col("__id")) & (F.col("size") == F.col("__size"))
+    out = due.join(made, same, "left").withColumn("more", F.col("sure") + F.coalesce("copies", F.lit(0)))
+    return out.select("id", "source", "size", "rows", "source_size", "target", "whole", "more")
+
+
+def numbered(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Add ``nth``, a number from 0 among the rows with equal ``keys``, though no task sees all of these: rows are numbered inside
+    the partition they lie in, and one row per key and partition says what lies before. Keys have no nulls."""
+    placed = written(rows.withColumn("__part", F.spark_partition_id()).withColumn("__place", F.monotonically_increasing_id()), "placed")
+    by = ", ".join(keys)
+    inside = placed.selectExpr("*", f"row_number() over (partition by {by}, __part order by __place) - 1 as __inside")
+    counts = placed.groupBy(*keys, "__part").agg(F.count(F.lit(1)).alias("n"))
+    before = counts.selectExpr(*keys, "__part", f"sum(n) over (partition by {by} order by __part) - n as __before")
+    return inside.join(before, [*keys, "__part"]).withColumn("nth", F.col("__inside") + F.col("__before")).drop("__part", "__place", "__inside", "__before")
 
 
-def repeated(docs: DataFrame, **options) -> DataFrame:
+def repeated(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, seed: int = 17, closing: int = 4) -> DataFrame:
     """``docs`` as the mix takes them: each row as often as its copies say, not at all for none."""
-    plan = mix(docs, **options).filter("copies > 0").distinct()
-    plan = plan.select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"), F.col("copies").alias("__copies"))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source")) & (F.col("__words") == F.col("__size"))
-    joined = docs.withColumn("__words", word_count("text")).join(plan, same)
-    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    plan = _plan(docs, weights, cap, seed, closing).filter("whole > 0 or more > 0")
+    # A key without nulls: JSON leaves them out.
+    plan = written(plan.select(F.to_json(F.struct("id", "source", "size")).alias("__unit"), "rows", "whole", "more"), "plan")
+    unit = F.to_json(F.struct(F.col("doc_id").cast("long").alias("id"), F.col("source").alias("source"), word_count("text").alias("size")))
+    joined = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), unit.alias("__unit")).join(plan, "__unit")
+    even = joined.filter("more = 0 or more = rows").withColumn("nth", F.lit(0).cast("long"))
+    # Which of a unit's rows are taken once more matters only where not all or none are.
+    uneven = numbered(joined.filter("more > 0 and more < rows"), ["__unit"])
+    copies = even.unionByName(uneven).withColumn("__copies", _copies()).filter("__copies > 0")
+    return copies.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select("__row.*")
