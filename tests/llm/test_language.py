@@ -33,12 +33,12 @@ def test_gradients_and_lookup():
 def test_edges(spark):
     words = {"x": "abra kadabra ", "y": "öüß längs "}
     data = [(i, words[k] * 20, k, "z") for i in range(40) for k in ("x" if i % 2 else "y",)]
-    data += [(90, None, "x", "z"), (91, "", "y", "z"), (92, "123 456 --", None, "z"), (None, "abra kadabra " * 30, None, "z"), (93, words["x"] * 9000, None, "z"), (90, None, "x", "z")]
+    data += [(90, None, "x", "z"), (91, "", "y", "z"), (92, "123 456 --", None, "z"), (94, "½ ² ① Ⅷ", None, "z"), (None, "abra kadabra " * 30, None, "z"), (93, words["x"] * 9000, None, "z"), (90, None, "x", "z")]
     docs = spark.createDataFrame(data, "doc_id long, text string, lang string, score string")
     net = language.train(docs)
     out = {r.doc_id: r.f for r in docs.select("doc_id", language.language(docs, net).alias("f")).collect()}
     assert all(out[i].lang == ("x" if i % 2 else "y") for i in range(40))
-    assert [out[i].lang for i in (90, 91, 92, None, 93)] == ["und", "und", "und", "x", "x"]
+    assert [out[i].lang for i in (90, 91, 92, 94, None, 93)] == ["und", "und", "und", "und", "x", "x"]
     assert out[90].score == 0
     assert language.train(docs.filter("doc_id < 0")) is None
     assert docs.select(language.language(docs, None).lang.alias("l")).distinct().collect() == [("und",)]

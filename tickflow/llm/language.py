@@ -16,18 +16,18 @@ from. Repeated rows are predicted alike; other columns pass through.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickflow.llm.common import in_fold
 
 WINDOW, EMBEDDING, WIDTHS, FILTERS = 256, 8, (2, 3, 4), 16
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def windows(text: str) -> np.ndarray:
