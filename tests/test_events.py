@@ -1,9 +1,12 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from tickflow.operators import events as ev
 from tickflow.operators import status as st
 from tickflow.operators.metrics import replay_progress, replay_totals
+from tickflow.sinks.files import in_topic_order
 
 
 @pytest.fixture(scope="module")
@@ -38,6 +41,56 @@ def test_tick_lookup(spark, stored):
     assert got == [(10, 1, 1), (10, 1, 2), (12, 1, 0), (20, 2, 1), (25, 3, 0), (99, 0, 0)]
 
 
+def _lowest(ranges, tick):
+    return min((e for e, first, last in ranges if first <= tick <= last), default=None)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_covering_ranges_against_a_scan(spark, seed):
+    chance = random.Random(seed)
+    ranges = []
+    for epoch in chance.sample(range(1000), 40):
+        first = chance.randrange(60_000)
+        ranges.append((epoch, first, first + chance.choice([0, 5, 3000, 20_000])))
+    ticks = sorted({t for _, a, b in ranges for t in (a - 1, a, b, b + 1)} | set(chance.sample(range(90_000), 500)))
+    frame = spark.createDataFrame(ranges, "epoch bigint, first_tick bigint, last_tick bigint")
+    got = {r["tick"]: r["epoch"] for r in ev.covering(frame, spark.createDataFrame([(t,) for t in ticks], "tick bigint")).collect()}
+    assert got == {t: e for t in ticks if (e := _lowest(ranges, t)) is not None}
+    segments = sorted(tuple(r) for r in ev.range_segments(frame).collect())
+    assert all(a[1] < b[0] for a, b in zip(segments, segments[1:]))
+    assert len(segments) <= 2 * len(ranges)
+
+
+def test_overlapping_epochs_do_not_multiply_rows(spark):
+    """300 epochs over the same 10,000 ticks: a tick meets one segment, not 300."""
+    ranges = spark.range(300).selectExpr("id epoch", "id first_tick", "10000 + id last_tick")
+    wanted = spark.range(9000).selectExpr("id + 500 tick")
+    assert ev.range_segments(ranges).count() <= 600
+    found = ev.covering(ranges, wanted)
+    assert found.filter("epoch = 0").count() == 9000
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+    empty = ranges.limit(0)
+    assert ev.covering(empty, wanted).count() == 0 and ev.range_segments(empty).count() == 0
+
+
+def test_topic_order_keeps_ticks_whole(spark):
+    """300 ordinary ticks and one hot one over eight tasks: only the hot one lies in several."""
+    rows = spark.range(300).selectExpr("id tick", "explode(sequence(0L, 5 + id % 40)) index")
+    rows = rows.union(spark.range(6000).selectExpr("150L tick", "id + 100 index")).repartition(7)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        placed = in_topic_order(rows, tick_rows=1000).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    tasks = {}
+    for r in placed:
+        tasks.setdefault(r["tick"], set()).add(r["task"])
+    assert all(len(t) == 1 for tick, t in tasks.items() if tick != 150) and len(tasks[150]) > 1
+    assert len({r["task"] for r in placed}) == 4
+    order = [(r["task"], r["tick"], r["index"]) for r in placed]
+    assert order == sorted(order) and [x[1:] for x in order] == sorted(x[1:] for x in order)
+
+
 def test_existence_and_counts(spark, stored):
     keys = spark.createDataFrame([(1, 10, 1), (1, 10, 3), (9, 10, 1), (1, 10, 1)], "epoch bigint, tick bigint, log_id bigint")
     got = sorted((r["epoch"], r["log_id"], r["present"]) for r in ev.has_events(stored, keys).collect())

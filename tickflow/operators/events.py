@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import heapq
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tickflow.scratch import written
+
 EVENT_KEY = ["epoch", "tick", "log_id"]
-#: Ticks per bucket when a tick range is joined to single ticks (as a power of two).
+#: Ticks per bucket when single ticks are looked up in tick ranges (as a power of two).
 RANGE_BITS = 12
 
 
@@ -65,8 +71,7 @@ def tick_to_epoch(events: DataFrame, ticks: DataFrame) -> DataFrame:
     """Distinct ``tick`` values -> the lowest ``epoch`` that holds events of the tick.
 
     Ticks without events take the lowest epoch whose tick range covers them;
-    other ticks get no row. Ranges are cut into buckets of 2^12 ticks, so the
-    range lookup is an equi-join too.
+    other ticks get no row.
     """
     exact, covered = _epochs_of(events, ticks.select("tick").distinct())
     return exact.unionByName(covered)
@@ -77,24 +82,58 @@ def _epochs_of(events: DataFrame, wanted: DataFrame) -> tuple[DataFrame, DataFra
 
     Events are reduced to one row per epoch and tick before anything else looks at them.
     """
-    held = events.groupBy("epoch", "tick").agg(F.count(F.lit(1)).alias("n")).select("epoch", "tick")
+    held = written(events.groupBy("epoch", "tick").agg(F.count(F.lit(1)).alias("n")).select("epoch", "tick"), "held")
     exact = held.groupBy("tick").agg(F.min("epoch").alias("epoch")).join(wanted, "tick").select("tick", "epoch")
-    ranges = epoch_ranges(held).select(
-        F.col("epoch"),
-        "first_tick",
-        "last_tick",
-        F.explode(
-            F.sequence(F.shiftright("first_tick", RANGE_BITS), F.shiftright("last_tick", RANGE_BITS))
-        ).alias("bucket"),
+    rest = wanted.join(exact, "tick", "left_anti")
+    return exact, covering(epoch_ranges(held), rest)
+
+
+def range_segments(ranges: DataFrame) -> DataFrame:
+    """Ranges (epoch, first_tick, last_tick) that may overlap -> disjoint segments (start, end, epoch) with the lowest epoch
+    that covers them. Epochs are 16-bit numbers, so one task sweeps over 65,536 ranges at most."""
+    schema = "start BIGINT, end BIGINT, epoch BIGINT"
+    return ranges.select("first_tick", "last_tick", "epoch").repartition(1).mapInArrow(_sweep, schema)
+
+
+def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From the left to the right over all ends of ranges, with the ranges begun so far in a heap by epoch."""
+    ranges = sorted(row for b in batches for row in zip(*(b.column(c).to_pylist() for c in ("first_tick", "last_tick", "epoch"))))
+    cuts = sorted({cut for first, last, _ in ranges for cut in (first, last + 1)})
+    begun: list[tuple[int, int]] = []
+    out: list[tuple[int, int, int]] = []
+    at = 0
+    for start, after in zip(cuts, cuts[1:]):
+        while at < len(ranges) and ranges[at][0] <= start:
+            heapq.heappush(begun, (ranges[at][2], ranges[at][1]))
+            at += 1
+        while begun and begun[0][1] < start:
+            heapq.heappop(begun)
+        if begun:
+            epoch = begun[0][0]
+            if out and out[-1][2] == epoch and out[-1][1] == start - 1:
+                out[-1] = (out[-1][0], after - 1, epoch)
+            else:
+                out.append((start, after - 1, epoch))
+    columns = zip(*out) if out else ([], [], [])
+    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["start", "end", "epoch"])
+
+
+def covering(ranges: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Distinct ``tick`` values -> the lowest ``epoch`` whose range covers them; ticks outside all ranges get no row.
+
+    Segments are cut at every 2^12 ticks. Inside such a bucket, ticks and the starts of segments stand in one order, and a tick
+    takes the last segment before it: rows grow with the ticks and the segments, however many ranges overlap.
+    """
+    segments = range_segments(ranges).withColumn(
+        "bucket", F.explode(F.sequence(F.shiftright("start", RANGE_BITS), F.shiftright("end", RANGE_BITS)))
     )
-    rest = wanted.join(exact, "tick", "left_anti").withColumn("bucket", F.shiftright("tick", RANGE_BITS))
-    covered = (
-        rest.join(ranges, "bucket")
-        .filter(F.col("tick").between(F.col("first_tick"), F.col("last_tick")))
-        .groupBy("tick")
-        .agg(F.min("epoch").alias("epoch"))
+    starts = segments.select(
+        "bucket", F.greatest("start", F.shiftleft("bucket", RANGE_BITS)).alias("tick"), F.struct("end", "epoch").alias("segment")
     )
-    return exact, covered
+    asked = wanted.select(F.shiftright("tick", RANGE_BITS).alias("bucket"), "tick", F.lit(None).cast("struct<end: bigint, epoch: bigint>").alias("segment"))
+    both = starts.withColumn("wanted", F.lit(0)).unionByName(asked.withColumn("wanted", F.lit(1)))
+    before = "last(segment, true) over (partition by bucket order by tick, wanted rows between unbounded preceding and current row)"
+    return both.selectExpr("tick", "wanted", f"{before} found").filter("wanted = 1 and tick <= found.end").selectExpr("tick", "found.epoch epoch")
 
 
 def events_for_tick(events: DataFrame, tick: int) -> DataFrame:

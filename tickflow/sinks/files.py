@@ -3,18 +3,24 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tickflow.operators.documents import bulk_ndjson
 from tickflow.operators.messages import message_json
 
 
-def in_topic_order(topic_rows: DataFrame) -> DataFrame:
-    """Rows in (tick, index) order over the partitions.
+#: Rows of a tick that stay together.
+TICK_ROWS = 1 << 17
 
-    The range is cut by (tick, index), so a tick that is larger than a
-    partition is spread over several; its rows carry their index.
+
+def in_topic_order(topic_rows: DataFrame, tick_rows: int = TICK_ROWS) -> DataFrame:
+    """Rows in (tick, index) order over the partitions, a tick in one of them.
+
+    Ranges are cut between ticks, by the sizes that sampling finds. Only a tick of more than ``tick_rows`` rows, which its indices
+    tell, may be cut, after every so many; its rows carry their index.
     """
-    return topic_rows.repartitionByRange("tick", "index").sortWithinPartitions("tick", "index")
+    piece = F.floor(F.col("index") / tick_rows)
+    return topic_rows.repartitionByRange("tick", piece).sortWithinPartitions("tick", "index")
 
 
 def publish_kafka(topic_rows: DataFrame, servers: str, topic: str, **options) -> None:
