@@ -94,6 +94,20 @@ def valid_digests(digests: np.ndarray) -> np.ndarray:
     return ok
 
 
+def digest_of(key: np.ndarray) -> list[str]:
+    """Digests of (n, 4) key words, with their checksums."""
+    letters = np.zeros((len(key), 60), dtype=np.uint8)
+    rest, check = key.copy(), _checksum(key)
+    for i in range(14):
+        for group in range(4):
+            letters[:, 14 * group + i] = rest[:, group] % _LETTERS
+        rest //= _LETTERS
+    for i in range(4):
+        letters[:, 56 + i] = check % _LETTERS
+        check = check // _LETTERS
+    return [bytes(row + ord("a")).decode("ascii") for row in letters]
+
+
 @F.pandas_udf(T.BooleanType())
 def _verdict(digest: pd.Series) -> pd.Series:
     codes, distinct = pd.factorize(digest)

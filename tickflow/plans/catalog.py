@@ -720,3 +720,58 @@ def consumer_gauges(spark, sf_dir):
 )
 def metric_balance(spark, sf_dir):
     return metrics.metric_balance(feeds.parsed_e(spark, sf_dir))
+
+
+# ------------------------------------------------------------ all types
+
+
+@query(
+    with_ctes(
+        feeds.SQL_FEED_T, "select log_id, type, case when parse_error is null then body end as body, parse_error from typed"
+    )
+)
+def typed_bodies(spark, sf_dir):
+    """Bodies of all 17 types, some of which do not fit their type."""
+    rows = feeds.parsed_t(spark, sf_dir)
+    return rows.select("log_id", "type", F.expr(f"case when parse_error is null then {source_body_json()} end").alias("body"), "parse_error")
+
+
+@query(with_ctes(feeds.SQL_ROUTED_T, f"select {_ROUTED} from routed where status = 'processed'"))
+def typed_documents(spark, sf_dir):
+    """Documents of all types that give one."""
+    return feeds.routed_t(spark, sf_dir).filter("status = 'processed'").select(*DOCUMENT_COLUMNS)
+
+
+@query(with_ctes(feeds.SQL_ROUTED_T, "select logId, logType, status, reason from routed"))
+def typed_routes(spark, sf_dir):
+    """What becomes of each record of all types, and why."""
+    return feeds.routed_t(spark, sf_dir).select("logId", "logType", "status", "reason")
+
+
+@query(with_ctes(feeds.SQL_FEED_T, "select tx_hash, good_hash as valid, count(*) as logs from typed where ok group by tx_hash, good_hash"))
+def digest_verdicts(spark, sf_dir):
+    """Sixty hashes, a third of them spoiled in their key, their checksum or their length."""
+    return documents.identity_verdicts(enrich.ok_logs(feeds.feed_t(spark, sf_dir)))
+
+
+@query(
+    with_ctes(
+        feeds.SQL_FEED_T,
+        f"""select type, {_TYPE_NAME_SQL} as type_name, 'parse_error' as failure_reason, count(*) as failed
+            from typed where ok and parse_error is not null group by type""",
+    )
+)
+def typed_failures(spark, sf_dir):
+    return metrics.failures_by_reason(metrics.bridge_failures(feeds.parsed_t(spark, sf_dir)))
+
+
+@query(
+    with_ctes(
+        feeds.SQL_FEED_T,
+        """select count(*) filter (ok) as received, count(*) filter (ok and parse_error is null) as processed, cast(0 as bigint) as deduplicated,
+             count(*) filter (ok and parse_error is not null) as failed, cast(0 as bigint) as pending, true as balanced from typed""",
+    )
+)
+def typed_balance(spark, sf_dir):
+    """Received is processed and failed together, with failures among them."""
+    return metrics.metric_balance(feeds.parsed_t(spark, sf_dir))

@@ -10,16 +10,19 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickflow.functions.identity import digest_of
 from tickflow.operators.bodies import parse_body
 from tickflow.operators.documents import route_records
 from tickflow.operators.enrich import enrich, ok_logs
 from tickflow.operators.messages import build_event_message, to_stored_event, to_topic_rows
 
-#: A digest with a right checksum.
-DIGEST = "dkzxuegxfbbeeanspaourlzbmtdbhakfarbybmkiygegoavqugvfjxqfdspn"
+#: Digests with a right checksum.
+DIGESTS = digest_of(np.arange(1, 4 * 60 + 1, dtype=np.uint64).reshape(60, 4) * np.uint64(0x9E3779B97F4A7C15))
+DIGEST = DIGESTS[0]
 
 #: Log ids, modulo 100, whose text is changed: pattern, replacement, and the reason for which the log is rejected.
 BROKEN_LOGS = {
@@ -75,6 +78,46 @@ def _spark_hex(columns: str) -> str:
     return re.sub(r"printf\('%016x', ([^)]*)\)", r"lpad(lower(hex(\1)), 16, '0')", columns)
 
 
+def _hash(digest: str, i: int) -> str:
+    """Every third digest is spoiled: a letter of the key, a letter of the checksum, or its length."""
+    if i % 3:
+        return digest
+    spoiled = {0: digest[:20] + chr((ord(digest[20]) - 96) % 26 + 97) + digest[21:], 1: digest[:-1] + chr((ord(digest[-1]) - 96) % 26 + 97), 2: digest[:-1]}
+    return spoiled[i // 3 % 3]
+
+
+#: Transaction hashes of feed T, by log id.
+HASHES = [_hash(d, i) for i, d in enumerate(DIGESTS)]
+
+#: Feed T is feed E with the 17 types in turn; ``n`` counts the rounds. Of every ten logs of a type some have a body that does not fit
+#: the type, or that gives no document. Keys are in order, so that a body is its own canonical text.
+_T_TYPE = "case log_id % 17 when 16 then 255 else log_id % 17 end"
+_T_N = "cast(floor(log_id / 17) as bigint) % 1000"
+_T_HASH = "case " + " ".join(f"when log_id % {len(HASHES)} = {i} then '{h}'" for i, h in enumerate(HASHES)) + " end"
+_T_ASSET = """concat('"assetName":"A', n, '","destinationPublicKey":"D', log_id, '","issuerPublicKey":"I', n, '","numberOfShares":',
+    case when n % 10 = 0 then -5 else n * 1000 end, ',"sourcePublicKey":"S', n, '"}')"""
+_T_MANAGED = """concat('"assetName":"A', n, '","destinationContractIndex":', n % 31, ',"issuerPublicKey":"I', n, '","numberOfShares":', n,
+    ',"ownershipPublicKey":"O', log_id, '",', case when type = 12 then concat('"possessionPublicKey":"P', n, '",') else '' end,
+    '"sourceContractIndex":', case when n % 10 = 3 then 4294967296 else n % 30 end, '}')"""
+_T_BODY = f"""concat('{{', case
+  when type = 0 then concat('"amount":', case when n % 10 = 8 then '"many"' when n % 10 = 9 then '0' else concat('', n) end,
+    ',"from":"F', n, '","to":"T', log_id, '"}}')
+  when type = 1 then concat('"issuerPublicKey":"I', n, '","managingContractIndex":', n % 7, ',"name":"N', n, '","numberOfDecimalPlaces":',
+    case when n % 10 = 1 then 300 else n % 9 end, ',"numberOfShares":', n, ',"unitOfMeasurement":"0000000"}}')
+  when type in (2, 3) then {_T_ASSET}
+  when type in (4, 5, 6, 7) then concat('"content":"', case when n % 10 = 1 then 'abc' else concat('aB', lpad(concat('', n), 6, '0')) end,
+    '","scIndex":', n % 20, ',"scLogType":', n % 5, '}}')
+  when type = 8 then concat('"amount":', n, ',"contractIndexBurnedFor":', case when n % 10 = 4 then -1 else n % 20 end, ',"publicKey":"K', n, '"}}')
+  when type in (9, 10) then concat('"hex":"', case when n % 10 = 2 then 'zz' else lpad(concat('', n), 4, '0') end, '"}}')
+  when type in (11, 12) then {_T_MANAGED}
+  when type = 13 then concat('"contractIndex":', n % 20, ',"deductedAmount":', case when n % 10 = 4 then '18446744073709551616' else '9007199254740992' end,
+    ',"remainingAmount":', n - 500, '}}')
+  when type = 14 then concat('"interfaceIndex":', n % 7, ',"queryId":', n - 3, ',"queryingEntity":"Q', n, '","status":"',
+    case when n % 10 = 5 then 'lost' when n % 10 < 5 then 'success' else 'pending' end, '","type":', n % 40, '}}')
+  when type = 15 then concat('"contractIndex":', n, ',"firstQueryDateAndTime":"', case when n % 10 = 7 then '12025' else '2024' end,
+    '-02-29 10:20:30.045''678","interfaceIndex":', n % 5, ',"periodInMilliseconds":', n * 10, ',"subscriptionId":', case when n % 10 = 6 then -1 else n end, '}}')
+  else concat('"customMessage":"', case when n % 10 = 8 then 'x1' else concat('', n) end, '"}}') end)"""
+
 _FEED_L_COLUMNS = """
   epoch, tick, l_orderkey * 8 + l_linenumber log_id,
   l_linestatus = 'O' or l_returnflag <> 'A' ok,
@@ -164,6 +207,28 @@ def _as_messages(texts: DataFrame) -> DataFrame:
     )
 
 
+def feed_t(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed E's logs with all types, many digests, and bodies that fit or not."""
+    rows = feed_e(spark, sf_dir).drop("type", "tx_hash", "body")
+    rows = rows.selectExpr("*", f"cast({_T_TYPE} as bigint) type", f"{_T_HASH} tx_hash", f"{_T_N} n")
+    return rows.selectExpr("*", f"{_spark_quotes(_T_BODY)} body").drop("n")
+
+
+def _spark_quotes(text: str) -> str:
+    """A quote inside a text, as Spark writes it."""
+    return text.replace("''678", "\\'678")
+
+
+def parsed_t(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse_body(feed_t(spark, sf_dir))
+
+
+def routed_t(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of the logs of feed T whose bodies fit."""
+    rows = parse_body(enrich(ok_logs(feed_t(spark, sf_dir)))).filter("parse_error is null")
+    return route_records(to_topic_rows(build_event_message(rows)).select("value"))
+
+
 def parsed_e(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Logs of feed E with typed bodies."""
     return parse_body(feed_e(spark, sf_dir))
@@ -346,3 +411,65 @@ SQL_FEED_L = f"""
 a as (
   select *, cast(epoch_us(l_shipdate) // 86400000000 as bigint) tick, cast(year(l_shipdate) as bigint) epoch from lineitem),
 deliveries as (select {_FEED_L_COLUMNS} from a)"""
+
+
+SQL_FEED_T = (
+    SQL_FEED_E
+    + f""",
+t1 as (select * replace (cast({_T_TYPE} as bigint) as type, {_T_HASH} as tx_hash), cast({_T_N} as bigint) as n from logs),
+t2 as (select * replace ({_T_BODY} as body) from t1),
+typed as (select *, case when type = 0 and n % 10 = 8 then 'amount' when type = 8 and n % 10 = 4 then 'contractIndexBurnedFor'
+    when type in (11, 12) and n % 10 = 3 then 'sourceContractIndex' when type = 13 and n % 10 = 4 then 'deductedAmount' end as parse_error,
+    log_id % {len(HASHES)} % 3 <> 0 as good_hash from t2)"""
+)
+
+_STAMP = "epoch_ms(timestamp '2024-02-29 10:20:30.045')"
+#: 10,001 years later: 25 eras of 146,097 days and one year, whose day after 28 February is 1 March.
+_LATER = "25 * 146097 * 86400000::bigint + epoch_ms(timestamp '2025-03-01 10:20:30.045')"
+SQL_ROUTED_T = (
+    SQL_FEED_T
+    + f""",
+judged as (
+  select *, case when log_digest = '' then 'zero logDigest' when coalesce("timestamp", 0) = 0 then 'zero timestamp' end as early,
+    case when type in (2, 3) and n % 10 = 0 then 'numberOfShares' when type = 1 and n % 10 = 1 then 'numberOfDecimalPlaces'
+      when type in (4, 5, 6) and n % 10 = 1 then 'content' when type in (9, 10) and n % 10 = 2 then 'hex'
+      when type = 14 and n < 3 then 'queryId' when type = 14 and n % 10 = 5 then 'status'
+      when type = 15 and n % 10 = 6 then 'subscriptionId' when type = 255 and n % 10 = 8 then 'customMessage' end as misfit,
+    type in (0, 8) and {_n("amount")} = 0 as no_amount
+  from typed where ok and parse_error is null),
+routed as (
+  select epoch, tick tickNumber, "timestamp" * 1000 "timestamp", tx_hash transactionHash, log_id logId, log_digest logDigest, type logType,
+    cast(null as varchar) categories,
+    case when type in (4, 5, 6) then {_n("scIndex")} when type = 8 then {_n("contractIndexBurnedFor")} when type in (13, 15) then {_n("contractIndex")} end contractIndex,
+    case when type in (4, 5, 6) then {_n("scLogType")} end contractMessageType,
+    case when type = 0 then {_j("from")} when type in (2, 3) then {_j("sourcePublicKey")} when type = 8 then {_j("publicKey")} end source,
+    case when type = 0 then {_j("to")} when type in (2, 3) then {_j("destinationPublicKey")} end destination,
+    case when type in (0, 8) then {_n("amount")} end amount,
+    case when type = 1 then {_j("name")} when type in (2, 3, 11, 12) then {_j("assetName")} end assetName,
+    case when type in (1, 2, 3, 11, 12) then {_j("issuerPublicKey")} end assetIssuer,
+    case when type in (1, 2, 3, 11, 12) then {_n("numberOfShares")} end numberOfShares,
+    case when type = 1 then {_n("managingContractIndex")} end managingContractIndex,
+    case when type = 1 then '00000000000000' end unitOfMeasurement,
+    case when type = 1 then {_n("numberOfDecimalPlaces")} end numberOfDecimalPlaces,
+    case when type = 13 then {_n("deductedAmount")} end deductedAmount,
+    case when type = 13 then {_n("remainingAmount")} end remainingAmount,
+    case when type in (11, 12) then {_j("ownershipPublicKey")} end "owner",
+    case when type = 12 then {_j("possessionPublicKey")} end possessor,
+    case when type in (11, 12) then {_n("sourceContractIndex")} end sourceContractIndex,
+    case when type in (11, 12) then {_n("destinationContractIndex")} end destinationContractIndex,
+    case when type = 255 and n % 10 <> 8 then {_n("customMessage")} end customMessage,
+    case when type in (4, 5, 6) then upper({_j("content")}) when type in (9, 10) then {_j("hex")} end rawPayload,
+    case when type = 14 then {_j("queryingEntity")} end queryingEntity,
+    case when type = 14 then {_n("queryId")} end queryId,
+    case when type = 14 then {_n("type")} end queryType,
+    case when type = 14 then case {_j("status")} when 'success' then 3 else 1 end end queryStatus,
+    case when type = 15 then {_n("subscriptionId")} end subscriptionId,
+    case when type in (14, 15) then {_n("interfaceIndex")} end interfaceIndex,
+    case when type = 15 then {_n("periodInMilliseconds")} end periodMillis,
+    case when type = 15 then case when n % 10 = 7 then {_LATER} else {_STAMP} end end firstQueryTimestamp,
+    case when early is not null then 'failed' when type = 7 then 'skipped' when not good_hash or misfit is not null then 'failed'
+      when no_amount then 'skipped' else 'processed' end status,
+    case when early is not null then early when type = 7 then 'unsupported type' when not good_hash then 'unexpected transaction hash'
+      when misfit is not null then concat('body field ', misfit) when no_amount then 'zero amount' end reason
+  from judged)"""
+)
