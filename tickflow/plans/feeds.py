@@ -157,10 +157,10 @@ def feed_l(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def feed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feed E as message text, one row per message (a group of at most 8 logs)."""
-    return _as_messages(_texts(spark, sf_dir))
+    return _as_messages(log_texts(spark, sf_dir))
 
 
-def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def log_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON text of every log of feed E."""
     log = F.struct(
         "pos",
@@ -180,7 +180,7 @@ def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def broken_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feed E with logs that do not fit (by their log id), and with messages that end early (by their number)."""
-    texts = _texts(spark, sf_dir)
+    texts = log_texts(spark, sf_dir)
     log = F.col("log")
     for rest, (pattern, by, _) in BROKEN_LOGS.items():
         log = F.when(F.col("log_id") % 100 == rest, F.regexp_replace("log", pattern, by)).otherwise(log)

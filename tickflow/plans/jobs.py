@@ -5,15 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickflow.operators import events
+from tickflow.operators import events, metrics, status
+from tickflow.operators.documents import route_records
+from tickflow.operators.messages import build_event_message
+from tickflow.operators.validate import parse_supported
 from tickflow.plans import catalog, feeds
 from tickflow.scratch import scratch_dir
 from tickflow.schemas import DOCUMENT_COLUMNS
-from tickflow.sinks.tables import events_table, read_documents, read_events
-from tickflow.sources.tick_stream import read_tick_stream
+from tickflow.sinks.files import publish_ndjson, write_event_ndjson
+from tickflow.sinks.tables import PROGRESS_SCHEMA, events_table, newest_state, read_documents, read_events
+from tickflow.sources.tick_stream import parse_messages, read_rpc_logs, read_tick_stream
 from tickflow.sources.topic import read_event_ndjson
-from tickflow.streaming.bridge import OUT_OF_SCOPE, BridgeTables, run_bridge
+from tickflow.streaming.bridge import OUT_OF_SCOPE, BridgeTables, run_bridge, start_position
 from tickflow.streaming.index import IndexTables, read_height, read_highest_tick, run_index, run_tick_height
+from tickflow.streaming.replay import run_replay
 
 
 #: Messages per file of the written feeds.
@@ -226,3 +231,107 @@ def resent_feed(spark, sf_dir):
     rows = rows.select(F.from_json("value", "tickNumber LONG, logId LONG, index LONG, lastLogForTick BOOLEAN").alias("r")).select("r.*")
     rows = rows.selectExpr("tickNumber tick", "logId log_id", "`index`", "coalesce(lastLogForTick, false) last_log_for_tick")
     return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("times"))
+
+
+_RPC_MESSAGES = 128
+
+
+@catalog.query(
+    catalog.with_ctes(
+        feeds.SQL_FEED_E,
+        f"""select msg_seq // {_RPC_MESSAGES} as response, row_number() over (partition by msg_seq // {_RPC_MESSAGES} order by msg_seq, tick, pos) - 1 as pos,
+              ok, epoch, tick, type, log_id, log_digest, body_size, coalesce("timestamp", 0) as "timestamp", tx_hash, {feeds.SQL_SOURCE_BODY} as body from logs""",
+    )
+)
+def rpc_logs(spark, sf_dir):
+    """Logs out of files of one RPC response each, with up to some thousand logs."""
+    path = scratch_dir(spark, "rpc")
+    logs = feeds.log_texts(spark, sf_dir).withColumn("response", F.expr(f"msg_seq div {_RPC_MESSAGES}"))
+    parts = F.sort_array(F.collect_list(F.struct("msg_seq", "tick", "pos", "log")))
+    texts = logs.groupBy("response").agg(F.array_join(F.transform(parts, lambda x: x["log"]), ",").alias("logs"))
+    texts = texts.select("response", F.concat(F.lit('{"result":['), "logs", F.lit("]}")).alias("value"))
+    texts.repartition("response").write.partitionBy("response").text(path)
+    rows = read_rpc_logs(spark, f"{path}/response=*")
+    names = ["ok", "epoch", "tick", "type", "log_id", "log_digest", "body_size", "timestamp", "tx_hash"]
+    return rows.select(F.regexp_extract("file", "response=([0-9]+)", 1).cast("bigint").alias("response"), "pos", *names, "body")
+
+
+@catalog.query(catalog.with_ctes(feeds.SQL_MESSAGES_E, f'select {feeds.SQL_TOPIC_VALUE} as "value" from messages'))
+def event_ndjson(spark, sf_dir):
+    """Event messages written as lines and read again."""
+    path = scratch_dir(spark, "ndjson")
+    write_event_ndjson(build_event_message(feeds.enriched_e(spark, sf_dir)), path)
+    return read_event_ndjson(spark, path)
+
+
+@catalog.query(
+    catalog.with_ctes(
+        feeds.SQL_ENRICHED_E,
+        """select epoch, log_id as last_log_id, tick as last_tick, index_in_tick + 1 as next_index, tick + 1 as start_tick
+           from enr order by tick desc, index_in_tick desc limit 1""",
+    )
+)
+def saved_progress(spark, sf_dir):
+    """What the bridge has saved after its last batch, and the tick from which it would go on."""
+    tables = _bridge(spark, sf_dir)
+    saved = newest_state(spark, tables.progress, PROGRESS_SCHEMA).select("epoch", "last_log_id", "last_tick", "next_index")
+    return saved.withColumn("start_tick", start_position(spark, tables, initial_tick=1).scalar())
+
+
+@catalog.query(
+    catalog.with_ctes(
+        feeds.SQL_ROUTED_E,
+        """select logType, case when reason like 'zero %' and reason <> 'zero amount' then 'failed' when logType not in (1, 6, 8) then 'skipped' else status end as status,
+             count(*) as records from routed group by all""",
+    )
+)
+def configured_types(spark, sf_dir):
+    """Routing with the supported types read from their configured text."""
+    types = parse_supported('{"0": [1, 6, 8], "1": [0]}')
+    routed = route_records(feeds.topic_e(spark, sf_dir).select("value"), types)
+    return routed.groupBy("logType", "status").agg(F.count(F.lit(1)).alias("records"))
+
+
+@catalog.query(
+    catalog.with_ctes(
+        feeds.SQL_FEED_E,
+        """select concat('jsonrpc_', -32000 - msg_seq % 3) as error_code, count(distinct (msg_seq, tick)) as errors from logs where msg_seq % 20 = 4 group by all""",
+    )
+)
+def rpc_errors(spark, sf_dir):
+    """Error responses among the messages, by code."""
+    error = F.expr("""concat('{"jsonrpc":"2.0","id":7,"error":{"code":', -32000 - msg_seq % 3, ',"message":"no"}}')""")
+    messages = feeds.feed_messages(spark, sf_dir).withColumn("value", F.when(F.expr("msg_seq % 20 = 4"), error).otherwise(F.col("value")))
+    return metrics.rpc_errors(parse_messages(messages, feeds.METHOD))
+
+
+@catalog.query(
+    catalog.with_ctes(
+        feeds.SQL_STORED_E,
+        f"""select s.tick, s.log_id, s.index_in_tick as "index", m.body from stored s join (select log_id, {feeds.SQL_TOPIC_BODY} body from logs) m using (log_id)
+            where epoch = 2 and s.tick % 2 = 0""",
+    )
+)
+def replayed_topic(spark, sf_dir):
+    """Epoch 2 replayed out of the bridge's table into a topic of its own, and read there."""
+    tables = _bridge(spark, sf_dir)
+    path = scratch_dir(spark, "replay")
+    run_replay(read_events(spark, tables.events, epoch=2), lambda rows, batch: publish_ndjson(rows, path), epoch=2)
+    fields = ["tickNumber", "logId", "index", "body"]
+    rows = spark.read.text(path).select(F.json_tuple("value", *fields).alias("tick", "log_id", "index", "body"))
+    return rows.selectExpr("cast(tick as bigint) tick", "cast(log_id as bigint) log_id", "cast(`index` as bigint) `index`", "body").filter("tick % 2 = 0")
+
+
+@catalog.query(
+    catalog.with_ctes(
+        feeds.SQL_ENRICHED_E,
+        """select epoch, min(tick) as first_tick, max(tick) as last_tick, (select count(*) from enr e where e.epoch = 2 and e.tick = (select min(tick) from enr where epoch = 2)) as events
+           from enr where epoch = 2 group by epoch""",
+    )
+)
+def epoch_tick_range(spark, sf_dir):
+    """Tick range of an epoch, and the number of events of its first tick."""
+    stored = feeds.stored_e(spark, sf_dir)
+    one = status.epoch_tick_range(stored, 2)
+    first = one.select("first_tick").first()
+    return one.withColumn("events", status.count_events_for_tick(stored, 2, first["first_tick"] if first else 1).scalar())
