@@ -88,10 +88,6 @@ class Bpe(StretchIds):
         tokens = [*model["vocab"]]
         self.ids = np.array([*model["vocab"].values()], np.uint32)
         number = {t: n for n, t in enumerate(tokens)}
-        pieces = [None] * (max(*model["vocab"].values(), *self.added.values(), 0) + 1)
-        for token, i in chain(model["vocab"].items(), self.added.items()):
-            pieces[i] = token
-        self.pieces = pa.array(pieces, pa.string())
         # The merge that makes a token, the two tokens it joins, and the merges by pair.
         self.made = np.full(len(tokens), -1, np.int32)
         self.left, self.right = np.zeros((2, len(tokens)), np.int32)
@@ -115,39 +111,65 @@ class Bpe(StretchIds):
         self._automaton([(n, [*map(byte_of.__getitem__, t)] + [_END] * end) for n, (t, end) in enumerate(zip(texts, ends)) if whole[n]])
 
     def _automaton(self, tokens: list[tuple[int, list[int]]]) -> None:
-        """States are prefixes of tokens. ``goes`` has for every state and byte (or word end) the state of the longest prefix that
-        ends there; ``longest`` is the longest token that ends in a state, ``shorter`` the next one that ends a token."""
+        """States are prefixes of tokens, with links to their longest suffix that is one. Most states go on with one letter only
+        (``only``, ``one``); the others have a row in ``many``, where -1 is no way on. ``longest`` is the longest token that ends
+        in a state, ``shorter`` the next one that ends a token."""
         self.size = np.zeros(len(self.ids), np.int32)
-        goes: dict[tuple[int, int], int] = {}
-        depth, own = [0], [-1]
+        goes: dict[int, int] = {}
+        own = [-1]
         for n, key in tokens:
             self.size[n] = len(key)
             state = 0
             for letter in key:
-                state = goes.setdefault((state, letter), len(own))
+                state = goes.setdefault(state << 9 | letter, len(own))
                 if state == len(own):
                     own.append(-1)
-                    depth.append(0)
             own[state] = n
-        edges = np.array([(s, c, then) for (s, c), then in goes.items()], np.int32)
-        link, own = np.zeros(len(own), np.int32), np.array(own, np.int32)
-        self.goes = np.zeros((len(own), _END + 1), np.int32)
+        own = np.array(own, np.int32)
+        keys = np.fromiter(goes.keys(), np.int64, len(goes))
+        order = np.argsort(keys)
+        begin, letter = (keys[order] >> 9).astype(np.int32), (keys[order] & 511).astype(np.int16)
+        end = np.fromiter(goes.values(), np.int32, len(goes))[order]
+        count = np.bincount(begin, minlength=len(own))
+        self.only, self.one = np.full(len(own), -1, np.int16), np.zeros(len(own), np.int32)
+        single = count[begin] == 1
+        self.only[begin[single]], self.one[begin[single]] = letter[single], end[single]
+        wide = count > 1
+        wide[0] = True
+        # Row 0 is for states without a row; it leads nowhere.
+        self.row = np.where(wide, np.cumsum(wide), 0).astype(np.int32)
+        self.many = np.full((wide.sum() + 1, _END + 1), -1, np.int32)
+        self.many[self.row[0]] = 0  # from the start there is always a way, if only back to it
+        self.many[self.row[begin[~single]], letter[~single]] = end[~single]
+        self.link = np.zeros(len(own), np.int32)
         self.longest, self.shorter = own.copy(), np.full(len(self.ids), -1, np.int32)
         level = np.array([0])
-        by_state = np.argsort(edges[:, 0], kind="stable")
-        edges = edges[by_state]
         while len(level):
-            self.goes[level] = self.goes[link[level]] if level[0] else 0
             ending = level[own[level] >= 0]
-            self.shorter[own[ending]] = self.longest[link[ending]]
+            self.shorter[own[ending]] = self.longest[self.link[ending]]
             others = level[own[level] < 0]
-            self.longest[others] = self.longest[link[others]]
-            first, last = np.searchsorted(edges[:, 0], level, "left"), np.searchsorted(edges[:, 0], level, "right")
-            here = edges[np.repeat(first - np.cumsum(last - first) + (last - first), last - first) + np.arange((last - first).sum())]
-            # A letter's fallback is where its parent's fallback goes with it; from the start that is the start.
-            link[here[:, 2]] = np.where(here[:, 0] == 0, 0, self.goes[here[:, 0], here[:, 1]])
-            self.goes[here[:, 0], here[:, 1]] = here[:, 2]
-            level = np.sort(here[:, 2])
+            self.longest[others] = self.longest[self.link[others]]
+            first, last = np.searchsorted(begin, level, "left"), np.searchsorted(begin, level, "right")
+            here = np.repeat(first - np.cumsum(last - first) + (last - first), last - first) + np.arange((last - first).sum())
+            inner = here[begin[here] > 0]
+            self.link[end[inner]] = self._go(self.link[begin[inner]], letter[inner])
+            level = np.sort(end[here])
+
+    def _child(self, state: np.ndarray, letter: np.ndarray) -> np.ndarray:
+        return np.where(self.only[state] == letter, self.one[state], self.many[self.row[state], letter])
+
+    def _go(self, state: np.ndarray, letter: np.ndarray) -> np.ndarray:
+        """The longest prefixes of a token that end after one more letter."""
+        out = self._child(state, letter)
+        todo = np.flatnonzero(out < 0)
+        state, letter = state[todo], letter[todo]
+        while len(todo):
+            state = self.link[state]
+            then = self._child(state, letter)
+            out[todo] = then
+            still = then < 0
+            todo, state, letter = todo[still], state[still], letter[still]
+        return out
 
     def _merged(self, symbols: list[str]) -> list[str]:
         """``symbols`` merged by rank, lowest first, leftmost first."""
@@ -237,7 +259,7 @@ class Bpe(StretchIds):
         open_ = np.searchsorted(-sizes, -np.arange(longest + 1), "right")
         for place in range(1, longest + 2):
             k = int(open_[place - 1])
-            state = self.goes[state[:k], letters[place - 1, :k]]
+            state = self._go(state[:k], letters[place - 1, :k])
             token = self.longest[state]
             # The longest match is right most of the time.
             todo = np.flatnonzero(self.size[token] < place)
@@ -301,19 +323,29 @@ class Bpe(StretchIds):
         ids, ends = self.encode(texts)
         return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.view(np.int32)))
 
-    def decode(self, lists: pa.ListArray) -> pa.Array:
-        """The tokens of the ids with a space between two; unknown ids have none. Empty for null."""
-        ids = lists.flatten()
-        known = pc.and_kleene(pc.greater_equal(ids, 0), pc.less(ids, len(self.pieces)))
-        tokens = self.pieces.take(pc.if_else(pc.fill_null(known, False), ids, None))
-        if tokens.null_count:
-            kept = tokens.is_valid().to_numpy(zero_copy_only=False)
-            ends = np.concatenate([[0], np.cumsum(kept)])[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
-            tokens = tokens.drop_null()
-        else:
-            ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-        parted = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), tokens)
-        return pc.fill_null(pc.binary_join(parted, " "), "")
+
+def pieces_of(spec: str) -> pa.Array:
+    """The text of each id; null for numbers that are none."""
+    file = json.loads(spec)
+    named = file["model"]["vocab"] | {t["content"]: t["id"] for t in file["added_tokens"]}
+    pieces = [None] * (max(named.values(), default=-1) + 1)
+    for token, i in named.items():
+        pieces[i] = token
+    return pa.array(pieces, pa.string())
+
+
+def decode(lists: pa.ListArray, pieces: pa.Array) -> pa.Array:
+    """The tokens of the ids with a space between two; unknown ids have none. Empty for null."""
+    ids = lists.flatten()
+    known = pc.and_kleene(pc.greater_equal(ids, 0), pc.less(ids, len(pieces)))
+    tokens = pieces.take(pc.if_else(pc.fill_null(known, False), ids, None))
+    ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    if tokens.null_count:
+        kept = tokens.is_valid().to_numpy(zero_copy_only=False)
+        ends = np.concatenate([[0], np.cumsum(kept)])[ends]
+        tokens = tokens.drop_null()
+    parted = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), tokens)
+    return pc.fill_null(pc.binary_join(parted, " "), "")
 
 
 _LOADED: dict[int, Bpe] = {}
@@ -328,6 +360,7 @@ class Tokenizer:
             spec = file.read()
         newer = newer_letters()
         self._spec = spark.sparkContext.broadcast((spec, newer, Bpe(spec, newer).whole))
+        self._pieces = spark.sparkContext.broadcast(pieces_of(spec))
 
     def encode(self, text: Column | str) -> Column:
         """array<int> of the ids of a text; empty for null."""
@@ -343,11 +376,11 @@ class Tokenizer:
 
     def decode(self, ids: Column | str) -> Column:
         """Text of an array of ids; empty for null."""
-        model = _loader(self._spec)
+        pieces = self._pieces
 
         @F.arrow_udf("string")
         def text(lists: pa.Array) -> pa.Array:
-            return model().decode(lists)
+            return decode(lists, pieces.value)
 
         return text(ids)
 
