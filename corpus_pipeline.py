@@ -28,10 +28,24 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def minhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group, as one row; rows without id stay."""
-    kept = minhash.near_duplicates(docs).filter("kept and doc_id is not null").select(F.col("doc_id").alias("__id")).distinct()
+    """One document of each group, as one row; rows without id stay.
+
+    Rows that share an id but not the text are documents of their own. The text with the smallest hash goes by the id, the
+    others by numbers above all ids, so they stay only if their group has no other document. Of equal documents the first
+    row in the order of the other columns stays.
+    """
     unknown = docs.filter("doc_id is null")
-    return docs.join(kept, F.col("doc_id") == F.col("__id"), "left_semi").dropDuplicates(["doc_id"]).union(unknown)
+    known = docs.filter("doc_id is not null").withColumn("__mark", F.xxhash64("text"))
+    several = known.groupBy("doc_id").agg(F.min("__mark").alias("__first"), F.max("__mark").alias("__last")).filter("__first < __last")
+    known = known.join(several.select(F.col("doc_id").alias("__id"), "__first"), F.col("doc_id") == F.col("__id"), "left")
+    other = F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    node = F.when(F.col("__mark") == F.coalesce("__first", "__mark"), F.col("doc_id").cast("long")).otherwise(other)
+    known = known.select(*docs.columns, node.alias("__node"))
+    kept = minhash.near_duplicates(known.select(F.col("__node").alias("doc_id"), "text")).filter("kept").select(F.col("doc_id").alias("__kept")).distinct()
+    rest = ", ".join(f"`{c}`" for c in docs.columns if c not in ("doc_id", "text")) or "doc_id"
+    known = known.join(kept, F.col("__node") == F.col("__kept"), "left_semi")
+    first = known.selectExpr("*", f"row_number() over (partition by __node order by {rest}) __nth").filter("__nth = 1")
+    return first.select(*docs.columns).union(unknown)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
