@@ -55,3 +55,15 @@ def test_odd_rows_pass_every_stage(spark):
             frame = spark.createDataFrame(stage(spark, frame, SF).collect(), frame.schema) if name != "bpe" else stage(spark, frame, SF)
         assert frame.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
         frame.count()
+
+
+def test_texts_that_share_an_id_are_documents_of_their_own(spark):
+    """Both texts of id 5 stay, once each; id 7 is a copy of one of them and goes by the smaller id; equal rows are one."""
+    one, two = " ".join(f"w{i}" for i in range(40)), " ".join(f"v{i}" for i in range(40))
+    rows = [(5, one, "en", "s"), (5, two, "en", "s"), (5, one, "de", "a"), (7, two, "en", "s"), (7, two, "en", "s"), (9, "alone here", None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = Counter(tuple(r) for r in corpus_pipeline.minhash_stage(spark, docs, SF).collect())
+    # Which of the two texts goes by the id 5 is up to their hashes; the other one loses against id 7 if that is its copy.
+    assert kept[(9, "alone here", None, None)] == 1 and sum(kept.values()) == 3
+    assert {t for _, t, _, _ in kept} == {one, two, "alone here"}
+    assert (5, one, "de", "a") in kept  # the first of two rows that differ in other columns only
