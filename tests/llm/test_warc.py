@@ -1,3 +1,6 @@
+import base64
+import gzip
+import os
 import random
 import zlib
 from hashlib import sha1
@@ -56,8 +59,53 @@ def test_loser_tree(k):
     assert got == sorted((x, i, j) for i, own in enumerate(lists) for j, x in enumerate(own))
 
 
-def test_damage_is_found(spark):
-    record = "WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 9\r\n\r\nno head\r\n\r\n"
-    with pytest.raises((ValueError, StopIteration, RuntimeError)):
-        list(warc.parse(record.encode()))
-    assert zlib.decompress(zlib.compress(b"x", wbits=31), 47) == b"x"
+def test_damage_is_found():
+    record = b"WARC/1.1\r\nWARC-Type: response\r\nContent-Type: application/http;msgtype=response\r\nContent-Length: 9\r\n\r\n"
+    with pytest.raises(ValueError):
+        list(warc.parse([record + b"no head..\r\n\r\n"]))
+    for cut in (record[:20], record + b"short"):
+        with pytest.raises(ValueError):
+            list(warc.parse([cut]))
+    whole = gzip.compress(record)
+    assert b"".join(warc.unpacked(whole)) == record and list(warc.unpacked(b"")) == []
+    with pytest.raises((ValueError, zlib.error)):
+        list(warc.unpacked(whole + whole[:15]))
+
+
+def _record(kind, block, **more):
+    head = [f"WARC-Type: {kind}", f"Content-Length: {len(block)}", *(f"{k.replace('_', '-')}: {v}" for k, v in more.items())]
+    return ("WARC/1.0\r\n" + "\r\n".join(head) + "\r\n\r\n").encode() + block + b"\r\n\r\n"
+
+
+def test_archives_of_others(spark, tmp_path):
+    """One member per record, other record types, digests in base 32, ids that are not ours."""
+    body = b"<p>" + b"x" * 200_000 + b"</p>"
+    http = b"HTTP/1.1 200 OK\r\ncontent-length: %d\r\n\r\n" % len(body) + body
+    digest = base64.b32encode(sha1(body).digest()).decode()
+    kinds = [
+        _record("warcinfo", b"software: y\r\n", WARC_Record_ID="<urn:uuid:1>", WARC_Date="2024-01-01T00:00:00Z"),
+        _record("response", http, WARC_Record_ID="<urn:uuid:2>", WARC_Target_URI="http://a.b/", WARC_Date="2024-01-02T00:00:00Z",
+                WARC_Payload_Digest=f"sha1:{digest}", Content_Type="application/http; msgtype=response"),
+        _record("request", b"GET / HTTP/1.1\r\n\r\n", WARC_Target_URI="http://a.b/", Content_Type="application/http;msgtype=request"),
+    ] * 40
+    for name, data in (("members.gz", b"".join(map(gzip.compress, kinds))), ("one.gz", gzip.compress(b"".join(kinds)))):
+        (tmp_path / name).write_bytes(data)
+    rows = warc.read_archives(spark, str(tmp_path)).collect()
+    for name in ("members.gz", "one.gz"):
+        own = sorted((r for r in rows if r.run.endswith(name)), key=lambda r: r.place)
+        assert [r.record_type for r in own] == ["warcinfo", "response", "request"] * 40
+        assert {(r.payload_bytes, r.payload_digest, r.key, r.page_id) for r in own if r.record_type == "response"} == {(len(body), sha1(body).hexdigest(), "b,a)/", None)}
+        sizes = [len(k) for k in kinds]
+        assert [r.offset for r in own] == [sum(sizes[:i]) for i in range(len(sizes))]
+
+
+def test_large_pages_have_files_of_their_own(spark, tmp_path):
+    sizes = [10] * 60 + [300] * 9 + [5000] * 3
+    pages = spark.createDataFrame([(i, f"http://h/{i}", chr(97 + i % 26) * n) for i, n in enumerate(sizes)], "page_id long, url string, html string").repartition(1)
+    path = str(tmp_path / "archive")
+    warc.write_archives(pages, path, files=((100, 25), (1000, 4), (None, 1)))
+    packed = [gzip.decompress((tmp_path / "archive" / f).read_bytes()) for f in os.listdir(path) if f.endswith(".gz")]
+    assert sorted(len(list(warc.parse([p]))) for p in packed) == sorted([25, 25, 10, 4, 4, 1, 1, 1, 1])
+    assert max(map(len, packed)) < 25 * 1000
+    out = warc.read_archives(spark, path).collect()
+    assert sorted((r.page_id, r.payload_bytes) for r in out) == list(enumerate(sizes))

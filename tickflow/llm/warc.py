@@ -2,11 +2,14 @@
 
 Pages become WARC records: a ``response`` with its payload, or, for payloads of at
 least ``REVISIT_FROM`` bytes that a page with a larger id also has, a ``revisit`` that refers to the
-largest such id. Spark's text writer puts them in gzip files of some thousand records; each file is a capture run,
-sorted by URL key and time. A record's block is an HTTP head and the payload, so
+largest such id. Spark's text writer puts them in gzip files; each file is a capture run,
+sorted by URL key and time. Pages are written by size, larger ones fewer to a file, so that a file's records have at
+most about 64 MB, or are one. A record's block is an HTTP head and the payload, so
 a revisit still tells the length, and its header the digest, of the payload it stands for.
 
-``read_archives`` parses the files back by their lengths and checks digests.
+``read_archives`` unpacks the files piece by piece, whether they are one gzip member or one for each record, parses them back by
+their lengths, a record at a time, and checks digests. It also reads archives of others: records of other types have their block as
+payload, ids that are not ours are null, and digests may be written in base 32.
 ``merged`` deals the runs' entries to ranges of (URL key, time, page) and merges the
 stretches that the runs have in a range with a loser tree; ranges follow each other, so the index is globally
 ordered, and a URL with very many captures is spread over several ranges. A task
@@ -19,9 +22,10 @@ refer to themselves, so all rows with the largest id are responses. A single pag
 
 from __future__ import annotations
 
+import base64
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from hashlib import sha1
 
 import pyarrow as pa
@@ -31,7 +35,9 @@ from pyspark.sql import functions as F
 from tickflow.llm.common import shared_dir, written
 
 REVISIT_FROM = 1000
-_RECORDS = 1024
+#: Pages of up to so many bytes (the last: of any size), and how many of them make a file.
+FILES = ((1 << 16, 1024), (1 << 20, 64), (1 << 24, 4), (None, 1))
+_PIECE = 1 << 16
 #: The format's line end, version, and the profile of revisits.
 END, VERSION = "\r\n", "WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -45,14 +51,18 @@ def url_key(url: Column) -> Column:
     return F.coalesce(F.when(url.rlike(parts), F.concat(host, F.lit(")"), F.when(path == "", "/").otherwise(path))).otherwise(url), F.lit(""))
 
 
-def records(pages: DataFrame, epoch: int = 1_704_067_200) -> DataFrame:
-    """(page_id, url, html) -> key, stamp, record (text). Pages have no time of their own: it is ``epoch`` plus the id, in seconds."""
+def records(pages: DataFrame, epoch: int = 1_704_067_200, over: int = -1, upto: int | None = None) -> DataFrame:
+    """(page_id, url, html) -> key, stamp, record (text), of pages with more than ``over`` and up to ``upto`` bytes.
+
+    Pages have no time of their own: it is ``epoch`` plus the id, in seconds.
+    """
     page = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.regexp_replace("url", r"[\x00-\x20\x7f]", "%20").alias("url"), F.coalesce("html", F.lit("")).alias("html")
     )
     page = page.withColumn("bytes", F.octet_length("html").cast("long")).withColumn("digest", F.sha1(F.col("html").cast("binary")))
     copies = page.filter(F.col("bytes") >= REVISIT_FROM).groupBy("digest").agg(F.max("page_id").alias("original"), F.min("page_id").alias("least"))
     copies = copies.filter("least < original").select("digest", "original")
+    page = page.filter(F.col("bytes") > over) if upto is None else page.filter((F.col("bytes") > over) & (F.col("bytes") <= upto))
     page = page.join(copies, "digest", "left")
     revisit = F.coalesce((F.col("bytes") >= REVISIT_FROM) & (F.col("page_id") < F.col("original")), F.lit(False))
     stamp = F.timestamp_seconds(F.lit(epoch) + F.coalesce(F.pmod("page_id", F.lit(1_000_000_000)), F.lit(0)))
@@ -76,27 +86,89 @@ def records(pages: DataFrame, epoch: int = 1_704_067_200) -> DataFrame:
     return page.select("key", "stamp", "page_id", F.concat(head, block).alias("record"))
 
 
-def write_archives(pages: DataFrame, path: str) -> None:
+def write_archives(pages: DataFrame, path: str, files: tuple[tuple[int | None, int], ...] = FILES) -> None:
     """One sorted run per file. Records end with two line ends, which is what the writer puts after each."""
-    runs = records(pages).sortWithinPartitions("key", "stamp", "page_id").select("record")
-    runs.write.option("lineSep", END + END).option("compression", "gzip").option("maxRecordsPerFile", _RECORDS).text(path)
-
-
-def parse(data: bytes) -> Iterator[tuple[int, dict[str, str], bytes, int]]:
-    """(offset, headers in lower case, payload, length the HTTP head tells) of the records of an archive."""
-    at, end = 0, END.encode()
-    while at < len(data):
-        stop = data.index(end + end, at)
-        first, *lines = data[at:stop].decode().split(END)
-        if first != VERSION:
+    size = F.coalesce(F.octet_length("html"), F.lit(0))
+    limits = [limit for limit, _ in files if limit is not None]
+    # How many pages are up to each size; a size that no page has is not looked for.
+    row = pages.agg(F.count(F.lit(1)), *[F.count_if(size <= limit) for limit in limits]).first()
+    upto = [*row[1:], row[0]]
+    if not row[0]:
+        records(pages).select("record").write.option("compression", "gzip").text(path)
+    over = -1
+    for k, (limit, per_file) in enumerate(files):
+        if upto[k] > (upto[k - 1] if k else 0):
+            runs = records(pages, over=over, upto=limit).sortWithinPartitions("key", "stamp", "page_id").select("record")
+            runs.write.mode("append").option("lineSep", END + END).option("compression", "gzip").option("maxRecordsPerFile", per_file).text(path)
+        over = limit
+
+
+def unpacked(data: bytes) -> Iterator[bytes]:
+    """The content of a gzip file with any number of members, piece by piece."""
+    member, held, begun = zlib.decompressobj(31), memoryview(data), False
+    for at in range(0, len(held), _PIECE):
+        piece = bytes(held[at : at + _PIECE])
+        while piece:
+            out, begun = member.decompress(piece, 16 * _PIECE), True
+            if out:
+                yield out
+            piece = member.unconsumed_tail
+            if member.eof:
+                piece, member, begun = member.unused_data, zlib.decompressobj(31), False
+    if begun:
+        raise ValueError("the archive ends inside a member")
+
+
+def parse(pieces: Iterable[bytes]) -> Iterator[tuple[int, dict[str, str], bytes, int]]:
+    """(offset, headers in lower case, payload, length of the payload as the HTTP head tells it) of the records of an archive.
+
+    Holds one record at a time. Blocks that are no HTTP response are payloads as they are.
+    """
+    pieces, held, at, end = iter(pieces), bytearray(), 0, END.encode()
+
+    def until(n: int) -> bool:
+        """Have at least ``n`` bytes at hand, if there are so many."""
+        while len(held) < n:
+            piece = next(pieces, None)
+            if piece is None:
+                return False
+            held.extend(piece)
+        return True
+
+    while until(1):
+        stop = held.find(end + end)
+        while stop < 0:
+            before = len(held)
+            if not until(before + 1):
+                raise ValueError(f"no record at {at}")
+            stop = held.find(end + end, max(0, before - 3))
+        first, *lines = held[:stop].decode().split(END)
+        if not first.startswith("WARC/"):
             raise ValueError(f"no record at {at}")
-        headers = {name.lower(): value for name, value in (line.split(": ", 1) for line in lines)}
+        headers = {name.strip().lower(): value.strip() for name, value in (line.split(":", 1) for line in lines)}
         begin = stop + 4
-        block = data[begin : begin + int(headers["content-length"])]
-        http = block.index(end + end)
-        length = next(int(h.split(b":")[1]) for h in block[:http].split(end) if h.lower().startswith(b"content-length:"))
-        yield at, headers, block[http + 4 :], length
-        at = begin + len(block) + 4
+        after = begin + int(headers["content-length"])
+        if not until(after):
+            raise ValueError(f"the record at {at} ends early")
+        block = bytes(held[begin:after])
+        length = len(block)
+        if headers.get("content-type", "").replace(" ", "") == "application/http;msgtype=response":
+            http = block.index(end + end)
+            told = [h.split(b":")[1] for h in block[:http].split(end) if h.lower().startswith(b"content-length:")]
+            block = block[http + 4 :]
+            length = int(told[0]) if told else len(block)
+        yield at, headers, block, length
+        until(after + 4)
+        del held[: after + 4]
+        at += after + 4
+
+
+def _hex_digest(value: str | None) -> str | None:
+    """A SHA-1 digest as lower-case hex, from that or from base 32; other digests are not known here."""
+    name, _, digest = (value or "").partition(":")
+    if name.lower() != "sha1":
+        return None
+    return base64.b32decode(digest.upper()).hex() if len(digest) == 32 else digest.lower()
 
 
 _ENTRY = "key string, stamp string, page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, run string, place long, offset long"
@@ -104,21 +176,25 @@ _NAMES = [c.split()[0] for c in _ENTRY.split(", ")]
 
 
 def _page_of(urn: str | None) -> int | None:
-    number = urn[10:-1] if urn else "none"
-    return None if number == "none" else int(number)
+    """The page of a record id of ours, ``<urn:page:7>``."""
+    number = (urn or "").removeprefix("<urn:page:").removesuffix(">")
+    return int(number) if number.removeprefix("-").isdecimal() else None
 
 
 def _entries(batches):
+    kinds = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
     for batch in batches:
         for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
             rows = []
-            for place, (offset, head, payload, length) in enumerate(parse(zlib.decompress(content.as_py(), 47))):
-                digest = head["warc-payload-digest"].removeprefix("sha1:")
-                if head["warc-type"] == "response" and (sha1(payload).hexdigest() != digest or len(payload) != length):
-                    raise ValueError(f"damaged record at {offset} of {path}")
+            for place, (offset, head, payload, length) in enumerate(parse(unpacked(content.as_buffer()))):
+                kind, digest = head.get("warc-type"), _hex_digest(head.get("warc-payload-digest"))
+                if kind != "revisit":
+                    own = sha1(payload).hexdigest()
+                    if digest not in (None, own) and kind == "response" or len(payload) != length:
+                        raise ValueError(f"damaged record at {offset} of {path}")
+                    digest = digest or own
                 url = head.get("warc-target-uri")
-                rows.append((None, head["warc-date"], _page_of(head["warc-record-id"]), url, head["warc-type"], length, digest, _page_of(head.get("warc-refers-to")), path, place, offset))
-            kinds = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
+                rows.append((None, head.get("warc-date"), _page_of(head.get("warc-record-id")), url, kind, length, digest, _page_of(head.get("warc-refers-to")), path, place, offset))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * len(kinds), kinds)], _NAMES)
 
 
