@@ -9,9 +9,9 @@ from tickflow.llm import queries
 SF = "/root/testdata/sf0.001"
 
 
-def _expected(rows):
+def _expected(rows, tie=lambda text: text):
     """Brute force: sort, edit, and fingerprint one text at a time."""
-    rows = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    rows = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, tie(r[1])))
     out = []
     for k, (i, t) in enumerate(rows):
         after = rows[(k + 1) % len(rows)][1]
@@ -40,6 +40,17 @@ def test_edges(spark):
     assert fp.fingerprint_documents(docs.limit(1)).count() == 1
 
 
+def test_rows_that_share_an_id_are_dealt_to_many_blocks(spark):
+    """300 texts of one id and 100 without an id lie in several blocks, in the order of their hashes."""
+    rows = [(4, f"text number {i} " * 9) for i in range(300)] + [(None, f"no id {i} " * 9) for i in range(100)] + [(5, "last one")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = {r.text: r.mark for r in docs.selectExpr("text", "xxhash64(text) as mark").collect()}
+    dealt = fp.with_next(docs, rows=40)
+    assert dealt.filter("not beyond").groupBy("block").count().count() >= 8
+    got = sorted(map(tuple, dealt.mapInArrow(fp._blocks, fp._SCHEMA).collect()), key=str)
+    assert got == sorted(_expected(rows, marks.__getitem__), key=str)
+
+
 @pytest.mark.parametrize("shift", [1, 7, 50])
 def test_equal_substrings_share_names_at_any_offset(shift):
     chance = np.random.default_rng(4)

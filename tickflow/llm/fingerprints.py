@@ -110,33 +110,43 @@ def edited(text: str, after: str) -> str:
     return text[: len(text) - n] + after[:n]
 
 
-def with_next(docs: DataFrame, rows: int = 1024) -> DataFrame:
-    """(doc_id, text) -> (block, beyond, doc_id, text): blocks of consecutive ids, sorted, each closed by a row
-    ``beyond`` it, the first of the next block."""
+def with_next(docs: DataFrame, rows: int = 1024, most: int = 1 << 16) -> DataFrame:
+    """(doc_id, text) -> (block, beyond, doc_id, text): blocks of consecutive rows by id and then by the hash of the text, sorted,
+    each closed by a row ``beyond`` it, the first of the next block.
+
+    A block has about ``rows`` rows while that gives a few blocks for each shuffle partition, and ``most`` beyond; what
+    works on it takes its rows as a stream. The driver sees where each block begins, two numbers for some ``most`` rows.
+    Rows equal in id and text lie in one block.
+    """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    ids = texts.select("doc_id")
-    n = ids.count()
-    parts = ids.repartitionByRange(max(1, -(-n // rows)), F.col("doc_id").asc_nulls_first())
-    # One number for each block of ``rows`` rows.
-    firsts = [r["first"] for r in parts.groupBy(F.spark_partition_id()).agg(F.min(F.coalesce("doc_id", F.lit(-(1 << 63)))).alias("first")).collect()]
-    bounds = np.array(sorted(firsts), np.int64)
-    sent = docs.sparkSession.sparkContext.broadcast(bounds)
+    texts = texts.withColumn("mark", F.xxhash64("text"))
+    keys = texts.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), "mark")
+    n = keys.count()
+    wanted = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = keys.repartitionByRange(max(1, -(-n // most), min(-(-n // rows), wanted)), "id", "mark")
+    firsts = parts.groupBy(F.spark_partition_id()).agg(F.min(F.struct("id", "mark")).alias("first")).select("first.*").toArrow()
+    ids, marks = firsts.column("id").to_numpy(), firsts.column("mark").to_numpy()
+    order = np.lexsort((marks, ids))
+    sent = docs.sparkSession.sparkContext.broadcast((ids[order], marks[order]))
 
     @F.arrow_udf("array<struct<block: int, beyond: boolean>>")
-    def blocks(values: pa.Array) -> pa.Array:
-        own = sent.value
-        at = values.fill_null(-(1 << 63)).to_numpy(zero_copy_only=False)
-        block = np.maximum(np.searchsorted(own, at, "right") - 1, 0)
+    def blocks(values: pa.Array, marks: pa.Array) -> pa.Array:
+        ids, firsts = sent.value
+        at, mark = values.fill_null(-(1 << 63)).to_numpy(zero_copy_only=False), marks.to_numpy()
+        low, high = np.searchsorted(ids, at, "left"), np.searchsorted(ids, at, "right")
         out = []
-        for b, value in zip(block.tolist(), at.tolist()):
+        for value, own, a, b in zip(at.tolist(), mark.tolist(), low.tolist(), high.tolist()):
+            # Of the blocks that begin with this id, the last one whose first text does not come later.
+            b = max(a + int(np.searchsorted(firsts[a:b], own, "right")) if a < b else b, 1) - 1
             here = [{"block": b, "beyond": False}]
-            out.append(here + [{"block": (b - 1) % len(own), "beyond": True}] if value == own[b] else here)
+            out.append(here + [{"block": (b - 1) % len(ids), "beyond": True}] if value == ids[b] and own == firsts[b] else here)
         return pa.array(out, pa.list_(pa.struct([("block", pa.int32()), ("beyond", pa.bool_())])))
 
-    if not len(bounds):
+    if not len(ids):
         return texts.select(F.lit(0).alias("block"), F.lit(False).alias("beyond"), "doc_id", "text")
-    dealt = texts.withColumn("at", F.explode(blocks("doc_id"))).select("at.block", "at.beyond", "doc_id", "text")
-    return dealt.repartition("block").sortWithinPartitions("block", "beyond", F.col("doc_id").asc_nulls_first(), "text")
+    dealt = texts.withColumn("at", F.explode(blocks("doc_id", "mark"))).select("at.block", "at.beyond", "doc_id", "mark", "text")
+    dealt = dealt.repartition("block").sortWithinPartitions("block", "beyond", F.col("doc_id").asc_nulls_first(), "mark", "text")
+    return dealt.drop("mark")
 
 
 _SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
