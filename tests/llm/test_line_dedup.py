@@ -4,6 +4,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
+from tickflow.llm import line_dedup
 from tickflow.llm.line_dedup import _grow_large, dedup_lines, grow, lines_of
 
 LONG = "this notice stands word by word in very many documents of this corpus"
@@ -115,10 +116,37 @@ def test_groups_do_not_depend_on_the_size_of_a_leaf(spark, leaf_lines):
         assert [of[j][0] for j in grow(codes, n // 5)] == [expected[i] for i, _ in of]
         rows += [(n, i, bytearray(row.tobytes())) for (i, _), row in zip(of, codes)]
     frame = spark.createDataFrame(rows, "leaf long, line long, tokens binary")
-    found = {r.line: r.head for r in _grow_large(frame, 4, 0.8, leaf_lines).collect()}
+    found = {r.line: r.head for r in _grow_large(frame, 0.8, leaf_lines).collect()}
     assert {i: found.get(i, i) for i in expected} == expected
 
 
+@pytest.mark.parametrize("n", [40, 100])
+def test_cells_of_a_large_leaf_stay_few(spark, monkeypatch, n):
+    """5,000 lines of one leaf, two in five places variable, among them alike ones: few cell rows a line, the heads of one pass."""
+    dice = np.random.default_rng(n)
+    variable = np.sort(dice.choice(np.arange(4, n), 2 * n // 5, replace=False))
+    codes = np.tile(np.arange(n, dtype=np.uint64), (5000, 1))
+    codes[:, variable] = dice.integers(1000, 1060, (5000, len(variable)))
+    for i in range(0, 5000, 50):  # every 50th line is one before it, changed in a few places
+        codes[i + 1] = codes[i]
+        codes[i + 1, dice.choice(variable, n // 10, replace=False)] = 7
+    counted = []
+    kept = line_dedup.written
+
+    def counting(df, name):
+        out = kept(df, name)
+        if name == "cells":
+            counted.append(out.count())
+        return out
+
+    monkeypatch.setattr(line_dedup, "written", counting)
+    frame = spark.createDataFrame([(1, i, bytearray(row.tobytes())) for i, row in enumerate(codes)], "leaf long, line long, tokens binary")
+    found = {r.line: r.head for r in _grow_large(frame, 0.8, 500).collect()}
+    assert found == {i: h for i, h in enumerate(grow(codes, n // 5).tolist()) if i != h} and len(found) >= 100
+    # Pieces: one more than alike lines may differ in.
+    assert sum(counted[1:]) <= 5000 * (n // 5 + 1) and len(counted) == 2
+
+
 def test_large_leaves_drop_the_same_lines(spark):
     texts = ["a b c d e f g X", "a b c d e f g h", "a b c d e f Y X", "a b c d e f Y h", "a b c d Z f Y X", "a b c d Z f Y W"]
     rows = [(i, t, None, None) for i, t in enumerate(texts)]

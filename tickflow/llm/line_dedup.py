@@ -16,8 +16,8 @@ What is shuffled is one row of numbers per distinct line of a document, combined
 shuffle; and, for distinct lines that share a leaf with another, once the
 64-bit hashes of their tokens. A leaf with more than ``leaf_lines`` distinct lines is
 worked on in cells: two alike lines differ in k places at most, so of k + 1 pieces of
-the line they have one in common. Each piece is a cell, and cells that are still too large
-are cut again by their other places, until they are small or their lines differ in k
+the places in which any lines of the leaf differ they have one in common. Each piece is a cell, and cells that are still too large
+are cut again by the places in which their lines differ, until they are small or their lines differ in k
 places altogether. The heads are the same as without cells, and no task holds more
 than ``leaf_lines`` lines of a leaf.
 
@@ -163,37 +163,40 @@ def _grow_leaves(likeness: float):
     return work
 
 
-def _differ(likeness: float):
-    """Places where a line differs from its cell's centre; -1 if these are too many."""
-
-    def work(batches):
-        for batch in batches:
-            cells, places, slacks = [], [], []
-            for cell, tokens, centre in zip(*(batch.column(c).to_pylist() for c in ("cell", "tokens", "centre"))):
-                at = np.flatnonzero(np.frombuffer(tokens, np.uint64) != np.frombuffer(centre, np.uint64)).tolist()
-                slack = _slack(len(tokens) // 8, likeness)
-                at = [-1] if len(at) > slack else at
-                cells += [cell] * len(at)
-                places += at
-                slacks += [slack] * len(at)
-            yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int64()), pa.array(places, pa.int32()), pa.array(slacks, pa.int32())], ["cell", "place", "slack"])
-
-    return work
-
-
-def _cut(leading: int, likeness: float):
-    """Each line in the cells of the pieces of its places that are not yet fixed."""
+def _differ(batches):
+    """How many lines of a cell differ from its centre at each place, and in how many places alike lines may differ."""
+    for batch in small_batches(batches):
+        counts: dict[int, np.ndarray] = {}
+        for cell, tokens, centre in zip(*(batch.column(c).to_pylist() for c in ("cell", "tokens", "centre"))):
+            differs = np.frombuffer(tokens, np.uint64) != np.frombuffer(centre, np.uint64)
+            counts[cell] = counts[cell] + differs if cell in counts else differs.astype(np.int64)
+        cells, places, lines = [], [], []
+        for cell, n in counts.items():
+            at = np.flatnonzero(n)
+            cells += [cell] * len(at)
+            places += at.tolist()
+            lines += n[at].tolist()
+        yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int64()), pa.array(places, pa.int32()), pa.array(lines, pa.int64())], ["cell", "place", "n"])
+
+
+def _cut(likeness: float):
+    """Each line in the cells of the pieces of the places in which its cell's lines differ.
+
+    Places that all lines of a cell have alike separate nothing and are left out. Those in which most lines differ go to
+    different pieces.
+    """
 
     def work(batches):
         for batch in small_batches(batches, 128):
             cells, lines, rows, marks = [], [], [], []
-            for leaf, line, row, fixed in zip(*(batch.column(c).to_pylist() for c in ("leaf", "line", "tokens", "fixed"))):
+            for leaf, line, row, fixed, differ in zip(*(batch.column(c).to_pylist() for c in ("leaf", "line", "tokens", "fixed", "differ"))):
                 tokens = np.frombuffer(row, np.uint64)
-                mark = np.arange(len(tokens)) < leading if fixed is None else np.frombuffer(fixed, bool)
-                # More places are free than alike lines may differ in, so no piece is empty.
-                for piece in np.array_split(np.flatnonzero(~mark), _slack(len(tokens), likeness) + 1):
+                mark = np.zeros(len(tokens), bool) if fixed is None else np.frombuffer(fixed, bool)
+                pieces = _slack(len(tokens), likeness) + 1
+                # More places differ than alike lines may differ in, so no piece is empty.
+                for k in range(pieces):
                     inner = mark.copy()
-                    inner[piece] = True
+                    inner[differ[k::pieces]] = True
                     cells.append(hash64(b"%d %s %s" % (leaf, inner.tobytes(), tokens[inner].tobytes())))
                     lines.append((leaf, line))
                     rows.append(row)
@@ -226,7 +229,7 @@ def _lowest(likeness: float):
     return work
 
 
-def _grow_large(rows: DataFrame, leading: int, likeness: float, leaf_lines: int) -> DataFrame:
+def _grow_large(rows: DataFrame, likeness: float, leaf_lines: int) -> DataFrame:
     """As ``_grow_leaves``, for leaves (leaf, line, tokens) that no task should hold."""
     cells = rows.selectExpr("leaf as cell", "leaf", "line", "tokens", "cast(null as binary) as fixed")
     small, alike = [], []
@@ -235,16 +238,19 @@ def _grow_large(rows: DataFrame, leading: int, likeness: float, leaf_lines: int)
         sizes = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("line", "tokens")).alias("first"))
         # Each of these stands ``leaf_lines`` times.
         sizes = written(sizes.filter(F.col("n") > leaf_lines).selectExpr("cell", "first.tokens as centre"), "large-cells")
-        small.append(cells.join(F.broadcast(sizes.select("cell")), "cell", "left_anti").select("cell", "line", "tokens"))
+        small.append(cells.join(sizes.select("cell"), "cell", "left_anti").select("cell", "line", "tokens"))
         if sizes.isEmpty():
             break
-        large = cells.join(F.broadcast(sizes), "cell")
-        differ = large.select("cell", "tokens", "centre").mapInArrow(_differ(likeness), "cell long, place int, slack int")
-        differ = differ.groupBy("cell").agg(F.min("place").alias("least"), F.count_distinct("place").alias("n"), F.max("slack").alias("slack"))
-        near = written(differ.filter("least >= 0 and n <= slack").select("cell"), "near-cells")
-        alike.append(large.join(F.broadcast(near), "cell").select("cell", "line"))
-        rest = large.join(F.broadcast(near), "cell", "left_anti").select("leaf", "line", "tokens", "fixed")
-        cells = rest.mapInArrow(_cut(leading, likeness), "cell long, leaf long, line long, tokens binary, fixed binary").dropDuplicates(["cell", "line"])
+        large = cells.join(sizes, "cell")
+        differ = large.select("cell", "tokens", "centre").mapInArrow(_differ, "cell long, place int, n long")
+        differ = differ.groupBy("cell", "place").agg(F.sum("n").alias("n"))
+        # Places in which lines of the cell differ, those of most lines first; as many at most as a line has tokens.
+        differ = differ.groupBy("cell").agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "place"))).alias("differ"))
+        differ = written(differ.select("cell", F.col("differ.place").alias("differ")), "differing")
+        large = large.join(differ, "cell").withColumn("slack", F.floor(F.octet_length("tokens") / 8 * F.lit(1 - likeness) + F.lit(1e-9)))
+        alike.append(large.filter("size(differ) <= slack").select("cell", "line"))
+        rest = large.filter("size(differ) > slack").select("leaf", "line", "tokens", "fixed", "differ")
+        cells = rest.mapInArrow(_cut(likeness), "cell long, leaf long, line long, tokens binary, fixed binary").dropDuplicates(["cell", "line"])
 
     def together(parts: list[DataFrame], name: str) -> DataFrame:
         whole = parts[0]
@@ -261,7 +267,7 @@ def _grow_large(rows: DataFrame, leading: int, likeness: float, leaf_lines: int)
         lows = inside.mapInArrow(_lowest(likeness), "line long, low long, is_head boolean")
         met = alike.join(pool, "line")
         first = met.groupBy("cell").agg(F.min(F.struct("line", "is_head")).alias("first"))
-        more = met.join(F.broadcast(first), "cell").filter("not is_head and first.line < line").selectExpr("line", "first.line as low", "first.is_head as is_head")
+        more = met.join(first, "cell").filter("not is_head and first.line < line").selectExpr("line", "first.line as low", "first.is_head as is_head")
         lows = lows.union(more).groupBy("line").agg(F.min(F.struct("low", "is_head")).alias("first"))
         now = F.when(F.col("head").isNotNull(), F.col("head")).when(F.col("first").isNull(), F.col("line")).when(F.col("first.is_head"), F.col("first.low"))
         state = written(state.join(lows, "line", "left").select("line", now.alias("head")), "heads")
@@ -279,10 +285,10 @@ def _heads(known: DataFrame, lines: DataFrame, leading: int, likeness: float, le
     found = written(found.dropDuplicates(["line"]), "tokens")
     # Each of these stands ``leaf_lines`` times.
     large = written(found.groupBy("leaf").count().filter(F.col("count") > leaf_lines).select("leaf"), "large-leaves")
-    small = found.join(F.broadcast(large), "leaf", "left_anti").repartition("leaf").sortWithinPartitions("leaf", "line")
+    small = found.join(large, "leaf", "left_anti").repartition("leaf").sortWithinPartitions("leaf", "line")
     heads = small.mapInArrow(_grow_leaves(likeness), "line long, head long")
     if not large.isEmpty():
-        heads = heads.union(_grow_large(found.join(F.broadcast(large), "leaf"), leading, likeness, leaf_lines))
+        heads = heads.union(_grow_large(found.join(large, "leaf"), likeness, leaf_lines))
     return written(heads, "templates")
 
 
