@@ -92,9 +92,11 @@ def _per_type(branches: dict[tuple[int, ...], str]) -> str:
     return f"case {whens} end"
 
 
-def to_document(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+def to_document(events: DataFrame, keep: Sequence[str] = (), judged: str = "true") -> DataFrame:
     """Validated event columns -> document columns plus ``doc_error`` (and the ``keep`` columns).
 
+    Bodies and hashes of rows that are not ``judged`` (SQL) are not looked into; their ``doc_error`` says nothing.
+
     ``doc_error`` names the first thing that is wrong, in this order: the
     timestamp, a zero value, the transaction hash, the type, a body field.
     Every body is parsed once, into one struct over all topic keys; a NULL
@@ -111,13 +113,16 @@ def to_document(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     carried = [f"`{c}`" for c in keep]
     common = ["epoch", "tickNumber", "timestamp", "transactionHash", "logId", "logDigest", "logType"]
 
-    parsed = events.withColumnRenamed("type", "logType").select(
+    named = events.withColumnRenamed("type", "logType")
+    if judged != "true":
+        named = named.withColumn("body", F.expr(f"case when {judged} then body end"))
+    parsed = named.select(
         *[c.strip("`") for c in carried],
         *common,
         "dividend",
         "body",
         F.expr(from_json("body", sql_types)).alias("__j"),
-        is_identity(F.col("transactionHash")).alias("__identity"),
+        is_identity(F.expr(f"case when {judged} then transactionHash end") if judged != "true" else F.col("transactionHash")).alias("__identity"),
         F.expr(tx_category("transactionHash")).alias("__category"),
     )
     # Read, then convert: a conversion names its input several times.
@@ -222,8 +227,8 @@ def route_records(records: DataFrame, types: Sequence[int] = DEFAULT_SUPPORTED_T
     events = apply_defaults(decoded.withColumn("early", F.expr(early)))
     carried = [c for c in records.columns if c != value and c not in DOCUMENT_COLUMNS]
     keep = [*carried, "early", "index", "lastLogForTick"]
-    docs = to_document(events, keep=keep)
     unsupported = f"not logType {_among(types)}" if types else "true"
+    docs = to_document(events, keep=keep, judged=f"early is null and not ({unsupported})")
     zero = "logType in (0, 8) and amount = 0"
     status = f"""case when early is not null then 'failed' when {unsupported} then 'skipped'
         when doc_error is not null then 'failed' when {zero} then 'skipped' else 'processed' end"""

@@ -92,7 +92,7 @@ _MANAGEMENT_CHANGE = [
 _CONTRACT_MESSAGE = _same(("scIndex", "u32"), ("scLogType", "u32"), ("content", "str"))
 _HEX = _same(("hex", "str"))
 
-#: Source body of every known type. Types that are not listed carry ``HEX_BODY``.
+#: Fixed values (keys and types of the protocol): source body of every known type. Types that are not listed carry ``HEX_BODY``.
 SOURCE_BODIES: dict[int, list[BodyField]] = {
     0: [
         BodyField("from", "str", "source"),
@@ -177,7 +177,7 @@ _DOC_CONTRACT_MESSAGE = [
 ]
 _DOC_RAW = [DocField("hex", "rawPayload", "hex")]
 
-#: Topic body -> document, per type, in the order in which fields are checked.
+#: Fixed values (names that readers expect): topic body -> document, per type, in the order in which fields are checked.
 DOCUMENT_BODIES: dict[int, list[DocField]] = {
     0: [
         DocField("source", "source", "text"),
@@ -229,7 +229,7 @@ DOCUMENT_BODIES: dict[int, list[DocField]] = {
     255: [DocField("customMessage", "customMessage", "u64text")],
 }
 
-#: Optional document fields in output order.
+#: Optional document fields in output order.
 DOCUMENT_OPTIONAL = [
     "contractIndex",
     "contractMessageType",
@@ -298,7 +298,7 @@ LOG_RANGES = {
     "timestamp": (0, INT64_MAX),
 }
 
-#: One tick-stream notification (JSON-RPC 2.0) or error response.
+#: Keys of one tick-stream notification (JSON-RPC 2.0) or error response.
 MESSAGE_SCHEMA = (
     "jsonrpc STRING, method STRING,"
     " params STRUCT<subscription: STRING, result: STRUCT<epoch: BIGINT, tick: BIGINT,"
