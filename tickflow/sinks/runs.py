@@ -148,12 +148,13 @@ class RunTable:
 
     # ------------------------------------------------------------ writing
 
-    def append(self, rows: DataFrame, batch: int, *arrival: str, keep_epochs: int = 0) -> Version:
+    def append(self, rows: DataFrame, batch: int, *arrival: str, keep_epochs: int = 0, before: Version | None = None) -> Version:
         """Put a batch's rows over the table; of rows with equal keys the last in ``arrival`` order counts.
 
-        All rows must be in scope. The list is written when everything it names is there.
+        All rows must be in scope. The list is written when everything it names is there. ``before`` is the version before
+        this batch, where the caller has read it already.
         """
-        before = self.version(batch - 1)
+        before = before or self.version(batch - 1)
         delivered = {r["epoch"]: r["n"] for r in rows.groupBy("epoch").agg(F.count(F.lit(1)).alias("n")).collect()}
         runs = list(before.runs)
         if delivered:
@@ -167,7 +168,7 @@ class RunTable:
         runs = self._merged(runs, max((r.epoch for r in before.runs), default=None), 2 * batch + 1)
         version = Version(batch, tuple(runs), dropped)
         self._switch(version)
-        self.clean()
+        self._clean(version, before, False)
         return version
 
     def _write(self, rows: DataFrame, run: int) -> dict[int, tuple[int, int, int]]:
@@ -234,7 +235,9 @@ class RunTable:
         dropped stay unless ``dropped_epochs``.
         """
         newest = self.version()
-        older = self.version(newest.batch - 1)
+        return self._clean(newest, self.version(newest.batch - 1), dropped_epochs)
+
+    def _clean(self, newest: Version, older: Version, dropped_epochs: bool) -> int:
         files = self._files()
         named = {(r.run, r.epoch) for v in (newest, older) for r in v.runs}
         out = 0

@@ -105,7 +105,8 @@ def process_bridge_batch(
     spark = messages.sparkSession
     previous = read_state(spark, tables.progress, batch - 1, PROGRESS_SCHEMA)
     events = events_table(spark, tables.events)
-    dropped = events.version(batch - 1).dropped if keep_epochs else -1
+    before = events.version(batch - 1)
+    dropped = before.dropped if keep_epochs else -1
     # The messages are parsed once: for their numbers, their runs, their logs, and the strict check.
     parsed = parse_messages(with_place(messages), method).persist()
     numbered = tick_runs(with_numbers(arrival_numbers(parsed.filter("kind = 'ticks'"))))
@@ -134,7 +135,7 @@ def process_bridge_batch(
             topic = topic.unionByName(rejection_rows(bad))
         (publish or tables.publish)(topic, batch)
         stored = to_stored_event(good, "msg_seq", "pos")
-        events.append(stored, batch, "msg_seq", "pos", keep_epochs=keep_epochs)
+        events.append(stored, batch, "msg_seq", "pos", keep_epochs=keep_epochs, before=before)
         save_progress(progress_row(rows, previous), tables.progress, batch)
     finally:
         rows.unpersist()
