@@ -1,13 +1,14 @@
 """Secret scans: fixed patterns, and two character Markov models compared by log-likelihood ratio.
 
-The base kinds are patterns. The method adds ``markov`` spans: maximal runs of
-``LEAST`` or more letters of the secret alphabet that a model of random strings
-explains better than a model of ordinary identifiers, by ``MARGIN`` nats at least,
-and that touch no base span. Both models hold the chance of a character after the one before it.
+The base kinds are patterns. The method adds ``markov`` spans: inside the runs of letters of the secret alphabet, as far as no base
+span covers them, the stretches of ``LEAST`` or more letters that a model of random strings
+explains better than a model of ordinary identifiers, by ``MARGIN`` nats at least. A stretch begins and ends where its
+score is best, so ordinary words that are joined to a random string (the path of a URL, the name before a ``=``) neither hide it nor
+belong to it. Both models hold the chance of a character after the one before it.
 
-They are trained on labelled samples: what the base patterns find in a hash-chosen
-sample of about ``sample`` texts is labelled random, other words of these
-texts ordinary. Only counts of character pairs leave the tasks. Scanning is one pass over whole texts.
+They are trained on labelled samples of a hash-chosen part of about ``sample`` texts: what the base patterns find there, and
+values after a ``=`` or ``:`` that mix capitals, small letters and digits, are labelled random, other words of these texts ordinary,
+but for long ones that mix them. Only counts of character pairs leave the tasks. Scanning is one pass over whole texts.
 
 Null texts read as empty ones; without samples of both labels no span is added.
 Repeated rows are scanned alike; other columns pass through.
@@ -34,6 +35,8 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 LEAST, MARGIN = 16, 10.0
 _RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}" % LEAST)
 _WORD = re.compile(r"[A-Za-z0-9+/_=-]{8,}")
+_VALUE = re.compile(r"""[:=]\x20*["']?(?=[a-z0-9+/_-]*[A-Z])(?=[A-Z0-9+/_-]*[a-z])(?=[A-Za-z+/_-]*[0-9])([A-Za-z0-9+/_-]{16,})""")
+_MIXED = re.compile(r"(?=.*[A-Z])(?=.*[a-z])(?=.*[0-9]).{16,}")
 _SIZE = len(ALPHABET) + 1
 _CODES = np.full(256, -1, np.int64)
 _CODES[np.frombuffer(ALPHABET.encode(), np.uint8)] = np.arange(1, _SIZE)
@@ -57,7 +60,14 @@ def labelled(text: str) -> tuple[list[str], list[str]]:
     spans = base_spans(text)
     random = [text[s:e] if kind else ASSIGN.match(text, s)[2] for s, kind, e in spans]
     random = [x for x in ("".join(c for c in r if c in ALPHABET) for r in random) if len(x) >= 8]
-    ordinary = [m[0] for m in _WORD.finditer(text) if not any(s < m.end() and m.start() < e for s, _, e in spans)]
+    covered = [(s, e) for s, _, e in spans]
+    for m in _VALUE.finditer(text):
+        if not any(s < m.end(1) and m.start(1) < e for s, e in covered):
+            random.append(m[1])
+            covered.append(m.span(1))
+    # Words that mix all kinds of letters may hold a secret; they are learned from as neither.
+    words = [m for m in _WORD.finditer(text) if not any(s < m.end() and m.start() < e for s, e in covered)]
+    ordinary = [m[0] for m in words if not _MIXED.fullmatch(m[0])]
     return random, ordinary
 
 
@@ -91,11 +101,42 @@ class Models:
         codes = np.concatenate([[0], _CODES[np.frombuffer(word.encode("ascii"), np.uint8)]])
         return float(self.ratio[codes[:-1], codes[1:]].sum())
 
+    def stretches(self, word: str) -> list[tuple[int, int]]:
+        """(start, end) of the stretches of a run with the best scores, from the left: one goes on while its score is above 0 and
+        not ``MARGIN`` below its best, and ends where that best was."""
+        codes = np.concatenate([[0], _CODES[np.frombuffer(word.encode("ascii"), np.uint8)]])
+        ratios = self.ratio[codes[:-1], codes[1:]]
+        if ratios[ratios > 0].sum() < MARGIN:
+            return []
+        found, start, score, best, end = [], 0, 0.0, 0.0, 0
+        at, ratios = 0, ratios.tolist()
+        while at <= len(ratios):
+            over = at == len(ratios)
+            if not over:
+                score += ratios[at]
+                if score > best:
+                    best, end = score, at + 1
+            if over or score <= 0 or score < best - MARGIN:
+                if best >= MARGIN and end - start >= LEAST:
+                    found.append((start, end))
+                    at = max(end - 1, 0)  # what follows the stretch is looked at anew
+                elif over:
+                    break
+                start, score, best, end = at + 1, 0.0, 0.0, at + 1
+                if over and at + 1 >= len(ratios):
+                    break
+            at += 1
+        return found
+
     def spans(self, text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
         found = []
         for m in _RUN.finditer(text):
-            if not any(s < m.end() and m.start() < e for s, _, e in base) and self.score(m[0]) >= MARGIN:
-                found.append((m.start(), 3, m.end()))
+            free = m.start()
+            # The parts of the run between base spans, which may overlap each other.
+            for s, _, e in [x for x in base if x[0] < m.end() and m.start() < x[2]] + [(m.end(), 0, m.end())]:
+                if s - free >= LEAST:
+                    found += [(free + a, 3, free + b) for a, b in self.stretches(text[free:s])]
+                free = max(free, e)
         return sorted(base + found)
 
 
