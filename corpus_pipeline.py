@@ -35,11 +35,17 @@ def minhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     row in the order of the other columns stays.
     """
     unknown = docs.filter("doc_id is null")
-    known = docs.filter("doc_id is not null").withColumn("__mark", F.xxhash64("text"))
-    several = known.groupBy("doc_id").agg(F.min("__mark").alias("__first"), F.max("__mark").alias("__last")).filter("__first < __last")
-    known = known.join(several.select(F.col("doc_id").alias("__id"), "__first"), F.col("doc_id") == F.col("__id"), "left")
-    other = F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
-    node = F.when(F.col("__mark") == F.coalesce("__first", "__mark"), F.col("doc_id").cast("long")).otherwise(other)
+    known = docs.filter("doc_id is not null")
+    marks = known.select("doc_id", F.xxhash64("text").alias("__mark"))
+    several = marks.groupBy("doc_id").agg(F.min("__mark").alias("__first"), F.max("__mark").alias("__last")).filter("__first < __last")
+    several = written(several.select(F.col("doc_id").alias("__id"), "__first"), "shared-ids")
+    node = F.col("doc_id").cast("long")
+    if not several.isEmpty():
+        known = known.join(several, F.col("doc_id") == F.col("__id"), "left")
+        other = F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+        node = F.when(F.coalesce(F.xxhash64("text") == F.col("__first"), F.lit(True)), node).otherwise(other)
+        known = written(known.select(*docs.columns, node.alias("__node")), "known")
+        node = F.col("__node")
     known = known.select(*docs.columns, node.alias("__node"))
     kept = minhash.near_duplicates(known.select(F.col("__node").alias("doc_id"), "text")).filter("kept").select(F.col("doc_id").alias("__kept")).distinct()
     rest = ", ".join(f"`{c}`" for c in docs.columns if c not in ("doc_id", "text")) or "doc_id"
