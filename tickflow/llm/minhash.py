@@ -115,7 +115,7 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
 
 def _sketch(size: int, bands: int):
     def sketch(batches):
-        ids = WordIds()
+        ids = WordIds(100_000)
         for batch in small_batches(batches):
             counts, ones, twos, signatures, keys = [], [], [], [], []
             for text in batch.column("text").to_pylist():
@@ -198,7 +198,7 @@ def _verify(size: int, percent: int):
     """Exact likeness of pairs, on the full sets; the last texts' sets are remembered."""
 
     def verify(batches):
-        ids, known = WordIds(), {}
+        ids, known = WordIds(100_000), {}
 
         def members(node: int, text: str) -> np.ndarray:
             if node not in known:
@@ -276,7 +276,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
         many = written(mixed_buckets(classes).filter("across > 1").join(marks.select("node", "signature"), "node"), "many")
         probes = many.filter("minor").selectExpr("bucket", "signature", "row_number() over (partition by bucket order by xxhash64(node)) as nth")
         probes = probes.filter(F.col("nth") <= _PROBES).groupBy("bucket").agg(F.collect_list("signature").alias("some"))
-        scored = many.join(probes.select("bucket", _consensus("some").alias("middle")), "bucket")
+        # Written, so that no task asks Python for two things at once, which takes two workers.
+        middles = written(probes.select("bucket", _consensus("some").alias("middle")), "middles")
+        scored = many.join(middles, "bucket")
         scored = scored.select("bucket", "node", "component", _likeness("signature", "middle").alias("like"))
         middle = scored.groupBy("bucket").agg(F.max(F.struct("like", "node", "component")).alias("m")).select("bucket", "m.node", "m.component").toDF("bucket", "middle", "own")
         pairs = many.join(middle, "bucket").filter("component <> own")
