@@ -42,7 +42,7 @@ from tickflow.llm.components import components
 
 HASHES, BAND_ROWS, BATCH = 128, 5, 16
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-_ROWS, _COLUMNS = 128, 4096
+_ROWS, _COLUMNS = 1024, 4096
 _PROBES = 64
 #: Ids of texts to be verified are broadcast up to this many (some 10 MB), and joined by a shuffle beyond.
 _BROADCAST_IDS = 500_000
