@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pytest
 
-from tickflow.llm import queries
+from tickflow.llm import minhash, queries
 from tickflow.llm.components import components
 from tickflow.llm.minhash import least_matches, near_duplicates
 
@@ -109,3 +109,25 @@ def test_components(spark, edges):
             low[a] = low[b] = min(low[a], low[b])
     frame = spark.createDataFrame(edges, "a long, b long").repartition(5)
     assert {r.node: r.component for r in components(frame).collect()} == {n: c for n, c in low.items() if n != c}
+
+
+def test_copies_meet_in_the_text_they_are_like(spark, monkeypatch):
+    """Copies that are only like the text they were made from, whose id is the largest: few tile rows are left after the rounds
+    around a bucket's consensus, and the groups are those of all pairs."""
+    monkeypatch.setattr(minhash, "_ROWS", 3)
+    dice = random.Random(5)
+    rows = []
+    for group in range(3):
+        base = [f"w{group}x{i}" for i in range(120)]
+        for k in range(25):
+            words = list(base)
+            for at in dice.sample(range(120), 1):
+                words[at] = f"edit{group}y{k}z{at}"
+            rows.append((100 * group + k, " ".join(words)))
+        rows.append((100 * group + 99, " ".join(base)))
+    dice.shuffle(rows)
+    expected = classes(sets_of(rows, 3), 93)
+    assert len(set(expected.values())) == 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs, shingle=3, percent=93).collect()}
+    assert got == expected
