@@ -1,5 +1,6 @@
 import os
 import random
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -101,6 +102,34 @@ def test_empty_table(spark, tmp_path):
     assert runs.read().count() == 0 and runs.version().batch == 0
 
 
+def test_runs_of_other_spans_are_not_compared(spark, tmp_path):
+    """Batches that share their ticks but no log id; then one that shares both, and one whose ids are not all known."""
+    runs = replace(table(spark, tmp_path / "t"), span="log_id")
+    runs.append(rows(spark, (1, 1, 1, "a"), (1, 2, 2, "b")), 0, "at")
+    runs.append(rows(spark, (1, 1, 11, "c"), (1, 2, 12, "d")), 1, "at")
+    assert "Window" not in runs.read()._jdf.queryExecution().optimizedPlan().toString()
+    whole = [(1, 1, 1, "a"), (1, 1, 11, "c"), (1, 2, 2, "b"), (1, 2, 12, "d")]
+    assert content(runs.read()) == whole and content(runs.status()) == [(1, 1, 2, 4)]
+    runs.append(rows(spark, (1, 1, 11, "again"), (1, 2, 13, "e")), 2, "at")
+    whole = [(1, 1, 1, "a"), (1, 1, 11, "again"), (1, 2, 2, "b"), (1, 2, 12, "d"), (1, 2, 13, "e")]
+    assert content(runs.read()) == whole and content(runs.status()) == [(1, 1, 2, 5)] and content(runs.status(delivered=True)) == [(1, 1, 2, 6)]
+    runs.append(spark.createDataFrame([(1, 2, None, "f", 0), (1, 2, 2, "last", 1)], SCHEMA + ", at BIGINT"), 3, "at")
+    assert runs.version().runs[-1].first_span is None
+    assert {r["log_id"]: r["text"] for r in runs.read().collect()} == {1: "a", 11: "again", 2: "last", 12: "d", 13: "e", None: "f"}
+    assert content(runs.status()) == [(1, 1, 2, 6)]
+
+
+def test_known_keys_do_not_pass_through_the_driver(spark, tmp_path, monkeypatch):
+    runs, joined = replace(table(spark, tmp_path / "t"), span="log_id"), []
+    frames = type(spark.range(1))
+    join = frames.join
+    runs.append(rows(spark, *[(1, 1, i, "a") for i in range(50)]), 0, "at")
+    monkeypatch.setattr(frames, "join", lambda self, *a, **k: joined.append(join(self, *a, **k)) or joined[-1])
+    runs.append(rows(spark, *[(1, 1, i, "b") for i in range(25, 75)]), 1, "at")
+    assert joined and all("BroadcastHashJoin" not in j._jdf.queryExecution().executedPlan().toString() for j in joined)
+    assert content(runs.status()) == [(1, 1, 1, 75)]
+
+
 def test_lookups_open_a_bounded_share_of_the_files(spark, tmp_path):
     """Of 24 runs over ticks of their own a lookup opens the one that can hold its tick."""
     events = events_table(spark, str(tmp_path / "events"))
