@@ -10,12 +10,13 @@ from tickflow.operators.events import events_in_range
 from tickflow.operators.messages import build_event_message, to_stored_event, to_topic_rows
 from tickflow.operators.metrics import rpc_errors
 from tickflow.operators.validate import BadRecords
-from tickflow.plans import feeds
+from tickflow.plans import feeds, jobs
 from tickflow.schemas import STORED_COLUMNS
 from tickflow.sinks.files import write_bulk_ndjson, write_event_ndjson
 from tickflow.sinks.tables import compact_events, read_documents, read_events
 from tickflow.sources.tick_stream import explode_logs, parse_messages, read_rpc_logs, read_tick_stream
 from tickflow.sources.topic import read_event_ndjson
+from tickflow.streaming import bridge
 from tickflow.streaming.bridge import BridgeTables, process_bridge_batch, run_bridge, start_position
 from tickflow.streaming.index import IndexTables, read_highest_tick, run_index
 from tickflow.streaming.replay import run_replay
@@ -154,6 +155,32 @@ def test_bridge_stream_equals_batch(spark, tmp_path, feed_texts, files):
     assert start_position(spark, tables, initial_tick=1).first()[0] == last + 1
 
 
+def test_feed_arrives_in_even_files_a_batch_at_a_time(spark, tmp_path, monkeypatch):
+    """Numbers with wide gaps: files of equal size all the same, whole batches one after another, every message once and in order."""
+    monkeypatch.setattr(jobs, "_FILE_MESSAGES", 10)
+    monkeypatch.setattr(jobs, "_BATCH_FILES", 2)
+    messages = spark.range(100).selectExpr("id * id * id msg_seq", "0L tick", "explode(array(0, 1)) copy")
+    messages = messages.selectExpr("*", "concat(msg_seq, ' ', copy) value").repartition(7)
+    path, seen = str(tmp_path / "in"), []
+    for _ in jobs.messages_in_order(messages, path, batches=4):
+        seen.append(sorted(f for f in os.listdir(path) if f.endswith(".txt")))
+    assert len(seen) == 10 and all(a == b[: len(a)] for a, b in zip(seen, seen[1:]))
+    texts = [open(f"{path}/{f}").read().splitlines() for f in seen[-1]]
+    assert len(texts) == 20 and all(6 <= len(t) <= 14 for t in texts)
+    assert [tuple(map(int, line.split())) for t in texts for line in t] == [(i**3, copy) for i in range(100) for copy in (0, 1)]
+    assert list(jobs.messages_in_order(messages.filter("false"), path)) == []
+
+
+def test_logs_of_a_batch_are_read_once(spark, tmp_path, monkeypatch):
+    """The plan that numbers the logs of a batch holds their JSON once, and the numbers of their messages."""
+    plans = []
+    monkeypatch.setattr(bridge, "parse_body", lambda rows: plans.append(rows._jdf.queryExecution().withCachedData().toString()) or parse_body(rows))
+    put(str(tmp_path / "in"), "a.txt", message(log(1), log(2)), message(log(3)))
+    process_bridge_batch(read_tick_stream(spark, str(tmp_path / "in")), 0, BridgeTables(str(tmp_path / "out")), METHOD)
+    assert plans and "from_json" not in plans[0].split("InMemoryRelation")[0]
+    assert read_events(spark, BridgeTables(str(tmp_path / "out")).events).count() == 3
+
+
 def test_tick_cut_by_a_batch(spark, tmp_path):
     start = {"customMessage": "6217575821008262227"}
     tables = BridgeTables(str(tmp_path / "out"))
