@@ -131,3 +131,29 @@ def test_copies_meet_in_the_text_they_are_like(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs, shingle=3, percent=93).collect()}
     assert got == expected
+
+
+def test_group_whose_members_nearly_reach_the_threshold(spark, monkeypatch):
+    """Pairs that signatures cannot rule out are verified where they meet: no step hands on more rows than the buckets have members."""
+    rows_of = {}
+
+    def counted(frame, name):
+        out = written(frame, name)
+        rows_of[name] = max(rows_of.get(name, 0), out.count())
+        return out
+
+    written = minhash.written
+    monkeypatch.setattr(minhash, "written", counted)
+    chance = random.Random(11)
+    base = [f"w{i}" for i in range(200)]
+    texts = []
+    for i in range(240):
+        words = list(base)
+        for place in chance.sample(range(0, 200, 4), 4):
+            words[place] = f"x{i}y{place}"
+        texts.append((i, " ".join(words)))
+    expected = classes(sets_of(texts, 3), 85)
+    assert 50 < len(set(expected.values())) < 240
+    out = near_duplicates(spark.createDataFrame(texts, "doc_id long, text string"), shingle=3, percent=85).collect()
+    assert {r.doc_id: r.component_id for r in out} == expected
+    assert max(rows_of.values()) <= rows_of["buckets"]

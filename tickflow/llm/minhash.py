@@ -14,13 +14,14 @@
    the largest component, now few, meet all others, in tiles of bounded size. Each hands on the
    one partner in another component whose signature is most alike, which is
    verified; that goes on as long as it links anything, and joins groups around whatever text they were copied from.
-5. What is then still apart meets a last time, and all pairs across components
-   that pass the test are verified. Pairs inside a component need no look, as they change nothing.
+5. What is then still apart meets a last time. Members with a partner that passes the test take their full sets to tiles,
+   in which all pairs across components that pass it are verified; of the links found, a tile hands on those that join
+   components it did not see joined before. Pairs inside a component need no look, as they change nothing.
 
 Results are components, so this loses no link between different texts that a
 bucket holds. The only errors are of the banding and of ``miss``.
-Signatures and band keys are what is stored and shuffled; texts move only for
-pairs that have passed the test. No bucket is capped.
+Signatures and band keys are what is stored and shuffled; texts, or their sets, move only for
+members of pairs that have passed the test. No bucket is capped, and no step hands on more rows than its buckets or tiles have members.
 
 Null texts and texts without words have no shingles and link with nothing; a text
 with fewer words than a shingle is one shingle. Rows without an id link with nothing.
@@ -43,6 +44,8 @@ from tickflow.llm.components import components
 HASHES, BAND_ROWS, BATCH = 128, 5, 16
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _ROWS, _COLUMNS = 1024, 4096
+#: Shingles that the rows and the columns of a tile bring along where full sets meet (8 bytes each).
+_ROW_SHINGLES, _COLUMN_SHINGLES = 1 << 20, 1 << 22
 _PROBES = 64
 #: Ids of texts to be verified are broadcast up to this many (some 10 MB), and joined by a shuffle beyond.
 _BROADCAST_IDS = 500_000
@@ -155,23 +158,88 @@ def _bayes(threshold: float, miss: float):
     return test
 
 
-def _tiles(threshold: float, miss: float, best: bool):
-    """Pairs across components inside a tile: its few rows with its columns, or with the ``best`` of these only."""
+def _across(tile: pa.Table, node: np.ndarray, own: np.ndarray, least: np.ndarray, each_way: bool):
+    """For each row of a tile, those of its columns in another component that pass the test, and their matches.
+
+    Two members outside the largest component meet from the smaller one's side only, unless ``each_way``. ``own`` may
+    change between the rows.
+    """
+    row, minor = (tile.column(c).to_numpy() for c in ("row", "minor"))
+    marks = _matrix(tile.column("signature"))
+    columns = np.flatnonzero(~row)
+    for i in np.flatnonzero(row):
+        asked = columns[(own[columns] != own[i]) & (~minor[columns] | (node[columns] > node[i]) | each_way)]
+        alive, matches = _survive(np.broadcast_to(marks[i], (len(asked), HASHES)), marks[asked], least)
+        if len(alive):
+            yield i, asked[alive], matches
+
+
+def _best(threshold: float, miss: float):
+    """Pairs across components inside a tile: each of its few rows with the column most like it."""
 
     def test(batches):
         least = least_matches(threshold, miss)
         for tile in runs(batches, ["bucket", "first", "second"]):
-            node, own, row, minor = (tile.column(c).to_numpy() for c in ("node", "component", "row", "minor"))
-            marks = _matrix(tile.column("signature"))
-            columns = np.flatnonzero(~row)
-            for i in np.flatnonzero(row):
-                # two members outside the largest component meet from the smaller one's side only
-                asked = columns[(own[columns] != own[i]) & (~minor[columns] | (node[columns] > node[i]) | best)]
-                alive, matches = _survive(np.broadcast_to(marks[i], (len(asked), HASHES)), marks[asked], least)
-                alive = asked[alive[matches.argmax() :][:1]] if best and len(alive) else asked[alive]
-                if len(alive):
-                    low, high = np.minimum(node[i], node[alive]), np.maximum(node[i], node[alive])
-                    yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["a", "b"])
+            node, own = (tile.column(c).to_numpy() for c in ("node", "component"))
+            for i, alive, matches in _across(tile, node, own, least, True):
+                ends = sorted((node[i], node[alive[matches.argmax()]]))
+                yield pa.RecordBatch.from_arrays([pa.array(ends[:1]), pa.array(ends[1:])], ["a", "b"])
+
+    return test
+
+
+def _partnered(threshold: float, miss: float):
+    """Members of a tile with a partner across components that passes the test."""
+
+    def test(batches):
+        least = least_matches(threshold, miss)
+        for tile in runs(batches, ["bucket", "first", "second"]):
+            node, own = (tile.column(c).to_numpy() for c in ("node", "component"))
+            found = np.zeros(len(node), bool)
+            for i, alive, _ in _across(tile, node, own, least, False):
+                found[i] = True
+                found[alive] = True
+            if found.any():
+                nodes = np.unique(node[found])
+                bucket = np.full(len(nodes), tile.column("bucket")[0].as_py(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(nodes)], ["bucket", "node"])
+
+    return test
+
+
+def _links(threshold: float, miss: float, percent: int):
+    """Links across components inside a tile, verified on the full sets: of all there are, those that join what was not joined before."""
+
+    def test(batches):
+        least = least_matches(threshold, miss)
+        for tile in runs(batches, ["bucket", "first", "second"]):
+            node, own = tile.column("node").to_numpy(), tile.column("component").to_numpy().copy()
+            values = tile.column("members").to_pylist()
+            sizes = np.array([len(v) // 8 for v in values])
+            distinct, flat = np.unique(np.frombuffer(b"".join(values), np.int64), return_inverse=True)
+            flat = flat.astype(np.int32)
+            del values
+            ends = np.cumsum(sizes)
+            begins = ends - sizes
+            held = np.zeros(len(distinct), bool)
+            a, b = [], []
+            for i, alive, _ in _across(tile, node, own, least, False):
+                held[flat[begins[i] : ends[i]]] = True
+                # As many sets at a time as hold some four million shingles, and at least one.
+                for part in np.split(alive, np.flatnonzero(np.diff(np.cumsum(sizes[alive]) >> 22)) + 1):
+                    n = sizes[part]
+                    firsts = np.cumsum(n) - n
+                    common = np.add.reduceat(held[flat[np.arange(n.sum()) + np.repeat(begins[part] - firsts, n)]], firsts, dtype=np.int64)
+                    linked = part[100 * common >= percent * (sizes[i] + n - common)]
+                    for component in np.unique(own[linked]):
+                        if component != own[i]:
+                            partner = linked[own[linked] == component][0]
+                            a.append(min(node[i], node[partner]))
+                            b.append(max(node[i], node[partner]))
+                            own[own == component] = own[i]
+                held[flat[begins[i] : ends[i]]] = False
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return test
 
@@ -219,6 +287,18 @@ def _verify(size: int, percent: int):
     return verify
 
 
+def _sets(size: int):
+    """Shingles of texts, as bytes."""
+
+    def sets(batches):
+        ids = WordIds(100_000)
+        for batch in small_batches(batches):
+            members = [shingles(text, size, ids).tobytes() for text in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(members, pa.binary())], ["node", "members"])
+
+    return sets
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 24, miss: float = 1e-5) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable), kept; one row per row of ``docs`` (doc_id, text).
 
@@ -239,7 +319,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     sets = real.groupBy("one", "two", "n_shingles").agg(F.min("doc_id").alias("node"))
     named = written(real.join(sets, ["one", "two", "n_shingles"]).select("doc_id", "mark", "node"), "nodes")
     nodes = named.filter("doc_id = node").select("doc_id", "mark")
-    marks = sketches.join(nodes, ["doc_id", "mark"]).selectExpr("doc_id as node", "signature", "bands").dropDuplicates(["node"])
+    marks = sketches.join(nodes, ["doc_id", "mark"]).selectExpr("doc_id as node", "signature", "bands", "n_shingles").dropDuplicates(["node"])
     marks = written(marks, "marks")
     members = marks.select("node", F.explode("bands").alias("bucket"))
     buckets = members.groupBy("bucket").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -251,13 +331,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
         both = pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right")
         return both.mapInArrow(_bayes(percent / 100, miss), "a long, b long")
 
-    def linked(pairs: DataFrame, name: str) -> DataFrame:
-        pairs = written(pairs, f"{name}-pairs")
-        ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-        ends = written(ends.join(nodes, "doc_id").toDF("node", "own"), f"{name}-ends")
+    def texts_of(ends: DataFrame, name: str) -> DataFrame:
+        """node, text of distinct nodes."""
+        ends = written(ends.join(nodes, F.col("node") == F.col("doc_id")).selectExpr("node", "mark as own"), f"{name}-ends")
         few = ends.count() <= _BROADCAST_IDS
         needed = texts.join(F.broadcast(ends) if few else ends, F.col("doc_id") == F.col("node")).filter("mark = own")
-        needed = written(needed.select("node", "text").dropDuplicates(["node"]), f"{name}-texts")
+        return needed.select("node", "text").dropDuplicates(["node"])
+
+    def linked(pairs: DataFrame, name: str) -> DataFrame:
+        pairs = written(pairs, f"{name}-pairs")
+        ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        needed = written(texts_of(ends, name), f"{name}-texts")
         both = pairs.join(needed.toDF("b", "right"), "b").join(needed.toDF("a", "left"), "a")
         return written(both.select("a", "b", "left", "right").mapInArrow(_verify(shingle, percent), "a long, b long"), f"{name}-links")
 
@@ -271,6 +355,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
         mixed = mixed.filter("most < n").selectExpr("bucket", "largest", f"ceil((n - most) / {_ROWS}) as across", f"ceil(n / {_COLUMNS}) as down")
         return placed.join(mixed, "bucket").withColumn("minor", F.col("component") != F.col("largest"))
 
+    def in_tiles(placed: DataFrame, brought: DataFrame) -> DataFrame:
+        """Members (bucket, node, component, minor, across, down) in tiles, with what ``brought`` has of their nodes."""
+        place = lambda of: F.pmod(F.xxhash64("node"), F.col(of))
+        each = lambda of: F.explode(F.sequence(F.lit(0).cast("long"), F.col(of) - 1))
+        columns = placed.select("bucket", "node", "component", "minor", F.lit(False).alias("row"), each("across").alias("first"), place("down").alias("second"))
+        rows = placed.filter("minor").select("bucket", "node", "component", "minor", F.lit(True).alias("row"), place("across").alias("first"), each("down").alias("second"))
+        tiles = columns.union(rows).join(brought, "node").repartition("bucket", "first", "second")
+        return tiles.sortWithinPartitions("bucket", "first", "second", "node")
+
     def around_consensus(classes: DataFrame) -> DataFrame:
         """Pairs of members with the one most like the consensus of those outside the largest component, where these are many."""
         many = written(mixed_buckets(classes).filter("across > 1").join(marks.select("node", "signature"), "node"), "many")
@@ -284,16 +377,27 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
         pairs = many.join(middle, "bucket").filter("component <> own")
         return pairs.select(F.least("node", "middle").alias("a"), F.greatest("node", "middle").alias("b")).distinct()
 
-    def apart(classes: DataFrame, best: bool) -> DataFrame:
-        """Likely pairs across components."""
+    def apart(classes: DataFrame) -> DataFrame:
+        """Likely pairs across components, one for each member outside a bucket's largest component."""
+        tiles = in_tiles(mixed_buckets(classes), marks.select("node", "signature"))
+        return tiles.mapInArrow(_best(percent / 100, miss), "a long, b long").distinct()
+
+    def across(classes: DataFrame) -> DataFrame:
+        """All links across components of what shares a bucket, or as many as join the same components."""
         placed = mixed_buckets(classes)
-        place = lambda of: F.pmod(F.xxhash64("node"), F.col(of))
-        each = lambda of: F.explode(F.sequence(F.lit(0).cast("long"), F.col(of) - 1))
-        columns = placed.select("bucket", "node", "component", "minor", F.lit(False).alias("row"), each("across").alias("first"), place("down").alias("second"))
-        rows = placed.filter("minor").select("bucket", "node", "component", "minor", F.lit(True).alias("row"), place("across").alias("first"), each("down").alias("second"))
-        tiles = columns.union(rows).join(marks.select("node", "signature"), "node").repartition("bucket", "first", "second")
-        tiles = tiles.sortWithinPartitions("bucket", "first", "second", "node")
-        return tiles.mapInArrow(_tiles(percent / 100, miss, best), "a long, b long").distinct()
+        found = in_tiles(placed, marks.select("node", "signature")).mapInArrow(_partnered(percent / 100, miss), "bucket long, node long").distinct()
+        found = written(found, "partnered")
+        if found.isEmpty():
+            return found.selectExpr("bucket as a", "node as b")
+        members = texts_of(found.select("node").distinct(), "across").mapInArrow(_sets(shingle), "node long, members binary")
+        brought = written(members, "across-sets").join(marks.select("node", "signature"), "node")
+        placed = placed.drop("across", "down").join(found, ["bucket", "node"]).join(marks.select("node", "n_shingles"), "node")
+        tiles = placed.groupBy("bucket").agg(F.expr("count_if(minor) as few"), F.expr("sum(if(minor, n_shingles, 0)) as fewer"), F.expr("count(1) as n"), F.expr("sum(n_shingles) as all"))
+        tiles = tiles.selectExpr(
+            "bucket", f"ceil(greatest(few / {_ROWS}, fewer / {_ROW_SHINGLES})) as across", f"ceil(greatest(n / {_COLUMNS}, all / {_COLUMN_SHINGLES})) as down"
+        )
+        links = in_tiles(placed.join(tiles, "bucket"), brought).select("bucket", "node", "component", "minor", "row", "first", "second", "signature", "members")
+        return written(links.mapInArrow(_links(percent / 100, miss, percent), "a long, b long").distinct(), "across-links")
 
     def joined(classes: DataFrame, links: DataFrame) -> DataFrame:
         return components(classes.selectExpr("node as a", "component as b").union(links))
@@ -306,11 +410,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
             break
         whole = joined(whole, links)
     while True:
-        links = linked(apart(whole, best=True), "best")
+        links = linked(apart(whole), "best")
         if links.isEmpty():
             break
         whole = joined(whole, links)
-    links = linked(apart(whole, best=False), "across")
+    links = across(whole)
     whole = whole if links.isEmpty() else joined(whole, links)
     classes = named.join(whole, "node", "left").select(F.col("doc_id").alias("__id"), F.coalesce("component", "node").alias("__class"))
     out = sketches.select("doc_id", "n_shingles").join(classes, F.col("doc_id") == F.col("__id"), "left")
