@@ -171,6 +171,17 @@ def test_feed_arrives_in_even_files_a_batch_at_a_time(spark, tmp_path, monkeypat
     assert list(jobs.messages_in_order(messages.filter("false"), path)) == []
 
 
+def test_batches_outweigh_what_each_of_them_costs(spark, tmp_path, monkeypatch):
+    """A long feed arrives whole, in batches of many files, not in one for every few."""
+    monkeypatch.setattr(jobs, "_FILE_MESSAGES", 10)
+    messages = spark.range(400).selectExpr("id msg_seq", "0L tick", "0 copy", "cast(id as string) value").repartition(7)
+    path, seen = str(tmp_path / "in"), []
+    for _ in jobs.messages_in_order(messages, path, batches=4):
+        seen.append(sorted(f for f in os.listdir(path) if f.endswith(".txt")))
+    assert len(seen) == 4 and len(seen[-1]) == 40
+    assert [int(line) for f in seen[-1] for line in open(f"{path}/{f}").read().splitlines()] == list(range(400))
+
+
 def test_logs_of_a_batch_are_read_once(spark, tmp_path, monkeypatch):
     """The plan that numbers the logs of a batch holds their JSON once, and the numbers of their messages."""
     plans = []
