@@ -182,6 +182,28 @@ def test_batches_outweigh_what_each_of_them_costs(spark, tmp_path, monkeypatch):
     assert [int(line) for f in seen[-1] for line in open(f"{path}/{f}").read().splitlines()] == list(range(400))
 
 
+def events(spark, path, n):
+    """A table of events in one file of one row group."""
+    types = "element_at(array('click', 'signup', 'purchase', 'error', 'view'), cast(id % 5 + 1 as int))"
+    rows = spark.range(n).selectExpr(
+        "id event_id", "timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id * 300) ts", "id % 40 user_id",
+        f"{types} event_type", "id * 1.5D value", "concat('{\"k\": ', id * 7 % 100, '}') props",
+    )
+    rows.coalesce(1).write.parquet(f"{path}/events.parquet")
+    return str(path)
+
+
+def test_feed_texts_are_made_after_the_table_is_shuffled(spark, tmp_path):
+    """A table of one row group is read by one task; logs and texts are not to be made there, and are not shuffled once more."""
+    sf_dir = events(spark, tmp_path, 400)
+    for feed in (feeds.feed_messages, feeds.broken_messages):
+        plan = feed(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and plan.index("Exchange") > plan.rindex("StructsToJson") and plan.index("Exchange") > plan.rindex("get_json_object")
+    messages = sorted(map(tuple, feeds.feed_messages(spark, sf_dir).collect()), key=str)
+    assert messages == sorted(map(tuple, feeds._as_messages(feeds.log_texts(spark, sf_dir)).collect()), key=str)
+    assert len({(m[0], m[1]) for m in messages}) == len(messages) and sum(m[2].count('"logId"') for m in messages) == 400
+
+
 def test_logs_of_a_batch_are_read_once(spark, tmp_path, monkeypatch):
     """The plan that numbers the logs of a batch holds their JSON once, and the numbers of their messages."""
     plans = []
