@@ -204,6 +204,21 @@ def test_feed_texts_are_made_after_the_table_is_shuffled(spark, tmp_path):
     assert len({(m[0], m[1]) for m in messages}) == len(messages) and sum(m[2].count('"logId"') for m in messages) == 400
 
 
+def test_ticks_to_look_up_are_found_once(spark, tmp_path, monkeypatch):
+    """The table of events is read once for the ticks that ``stream_lookup`` asks for, however often they are asked."""
+    sf_dir = events(spark, tmp_path, 400)
+    logs, asked = feeds.feed_e(spark, sf_dir).filter("ok"), []
+    jobs.events_table(spark, str(tmp_path / "table")).append(to_stored_event(feeds.enriched_e(spark, sf_dir)), 0, "index_in_tick")
+    monkeypatch.setattr(jobs, "_resent_part", lambda *_: BridgeTables(str(tmp_path)))
+    monkeypatch.setattr(jobs, "events_table", lambda *_: bridge.events_table(spark, str(tmp_path / "table")))
+    found, look = jobs.events.events_for_ticks, lambda rows, wanted: asked.append(wanted) or found(rows, wanted)
+    monkeypatch.setattr(jobs.events, "events_for_ticks", look)
+    rows = jobs.stream_lookup(spark, sf_dir)
+    assert not any("events.parquet" in f for f in asked[0].inputFiles())
+    ticks = [r["tick"] for r in logs.select("tick").distinct().collect()]
+    assert {r["tick"] for r in rows.collect()} == {t for t in ticks if t % 50 == 0} | {min(ticks) - 1}
+
+
 def test_logs_of_a_batch_are_read_once(spark, tmp_path, monkeypatch):
     """The plan that numbers the logs of a batch holds their JSON once, and the numbers of their messages."""
     plans = []
