@@ -1,5 +1,6 @@
 import json
 import os
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from tickflow.operators.validate import BadRecords
 from tickflow.plans import feeds, jobs
 from tickflow.schemas import STORED_COLUMNS
 from tickflow.sinks.files import write_bulk_ndjson, write_event_ndjson
-from tickflow.sinks.tables import compact_events, read_documents, read_events
+from tickflow.sinks.tables import PROGRESS_SCHEMA, compact_events, read_documents, read_events
 from tickflow.sources.tick_stream import explode_logs, parse_messages, read_rpc_logs, read_tick_stream
 from tickflow.sources.topic import read_event_ndjson
 from tickflow.streaming import bridge
@@ -219,6 +220,20 @@ def test_ticks_to_look_up_are_found_once(spark, tmp_path, monkeypatch):
     assert {r["tick"] for r in rows.collect()} == {t for t in ticks if t % 50 == 0} | {min(ticks) - 1}
 
 
+def test_progress_compares_the_last_run_only(spark):
+    rows = [(run, i, 100 - run, 3, run * 10 + i, i == 1) for run in range(4) for i in range(3 if run < 3 else 2)]
+    schema = "run bigint, index_in_tick bigint, tick bigint, epoch bigint, log_id bigint, dividend boolean"
+    enriched = spark.createDataFrame(rows, schema).withColumn("log_id", F.col("log_id").cast("decimal(20,0)")).withColumn("parsed", F.struct(F.lit(None).cast("string").alias("customMessage")))
+    none = spark.createDataFrame([], PROGRESS_SCHEMA)
+    new = bridge.progress_row(enriched, none)
+    assert "hashpartitioning(run" not in new._jdf.queryExecution().executedPlan().toString()
+    saved = [(3, 31, 97, 2, True)]
+    assert [tuple(r) for r in new.collect()] == saved
+    before = spark.createDataFrame([(1, Decimal(5), 7, 9, False, 0)], PROGRESS_SCHEMA)
+    assert [tuple(r) for r in bridge.progress_row(enriched, before).collect()] == saved
+    assert [tuple(r) for r in bridge.progress_row(enriched.filter("run < 0"), before).collect()] == [(1, 5, 7, 9, False)]
+
+
 def test_logs_of_a_batch_are_read_once(spark, tmp_path, monkeypatch):
     """The plan that numbers the logs of a batch holds their JSON once, and the numbers of their messages."""
     plans = []
