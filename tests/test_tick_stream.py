@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tickflow.functions.json_text import _plain
 from tickflow.operators.enrich import enrich, ok_logs, tick_runs
 from tickflow.sinks.tables import read_events
 from tickflow.sources.tick_stream import arrival_numbers, explode_logs, parse_messages, read_tick_stream, with_place
@@ -132,3 +133,25 @@ def test_indices_by_run(spark):
     parsed = parse_messages(lines(spark, *texts).coalesce(1).withColumn("msg_seq", F.monotonically_increasing_id()), METHOD)
     rows = enrich(ok_logs(explode_logs(tick_runs(parsed)))).orderBy("msg_seq", "pos").collect()
     assert [(r["tick"], r["index_in_tick"]) for r in rows] == [(3, 0), (3, 1), (4, 0), (3, 0), (3, 1)]
+
+
+def test_places_are_numbered_without_a_shuffle_of_messages(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.createDataFrame([("b", 0, 7, "x"), ("a", 0, 3, "y"), ("a", 9, 5, "z"), ("a", 0, 4, "w")], "file string, block long, offset long, text string")
+        numbered = arrival_numbers(rows)
+        assert "SortMergeJoin" not in numbered._jdf.queryExecution().executedPlan().toString()
+        assert sorted((r["msg_seq"], r["text"]) for r in numbered.collect()) == [(0, "y"), (1, "w"), (2, "z"), (3, "x")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize(
+    "text, plain",
+    [('{"a":"x"}', True), ('{"b":1}', True), ('{"a":1}', False), ('{"a":"x","a":"y"}', False), ('{"a":"x","b":{"a":1}}', False), ('{"a":"éé"}', True), ('{"a":"a"a"}', False)],
+)
+def test_a_key_that_stands_once_before_a_text_is_plain(spark, text, plain):
+    test = _plain("t", "a", '"')
+    assert "locate" not in test  # it counts characters anew from the start each time
+    assert spark.createDataFrame([(text,)], "t string").selectExpr(f"{test} p").first()["p"] is plain
